@@ -77,8 +77,15 @@ def id_frame(docs: DataFrame, ids: DataFrame | Iterable[str]) -> DataFrame:
 
 
 def missing_ids(docs: DataFrame, ids: DataFrame | Iterable[str]) -> DataFrame:
-    """Requested ids no document has."""
-    return id_frame(docs, ids).join(docs.select("id"), "id", "left_anti")
+    """Requested ids no document has.
+
+    The documents are reduced to the requested ids first, so what meets in the
+    anti join is no larger than the request.
+    """
+    if not isinstance(ids, DataFrame):
+        ids = list(ids)
+    found = pick_ids(docs, ids).select("id")
+    return id_frame(docs, ids).join(found, "id", "left_anti")
 
 
 def must_exist(found: DataFrame, ids: DataFrame | Iterable[str], what: str) -> DataFrame:
@@ -110,6 +117,7 @@ def find_requests(
     """Extended logs of the listed requests; ``strict`` fails on an unknown id."""
     if not isinstance(ids, DataFrame):
         ids = list(ids)
-        logs = pick_ids(logs, ids)
-    found = request_with_log(pick_ids(requests, ids), logs, codes)
+    # Both sides are cut to the ids before they meet: payloads are the widest
+    # rows of the store and must not be shuffled for a lookup.
+    found = request_with_log(pick_ids(requests, ids), pick_ids(logs, ids), codes)
     return must_exist(found, ids, "Request") if strict else found

@@ -459,7 +459,7 @@ def bulk_parse(spark, sf_dir):
     docs = views.requests(spark, sf_dir)
     place = lambda turn: F.struct(F.lit(turn).alias("file"), F.lit(0).alias("offset"), F.lit(0).alias("row"))
     feed = request_feed(docs).withColumn("place", place("1")).unionByName(resent(docs).withColumn("place", place("2")))
-    return ingested(bulk.typed_rows(bulk.last_actions(bulk.parse_bulk(feed)), "request"))
+    return ingested(bulk.typed_rows(bulk.typed_documents(bulk.last_actions(bulk.parse_bulk(feed))), "request"))
 
 
 def work_folder(spark: SparkSession) -> str:

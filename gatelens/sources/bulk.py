@@ -19,6 +19,7 @@ ACTION = '{"index":'
 RECORD_SEPARATOR = "\n" + ACTION
 
 ACTION_SCHEMA = "index struct<_index:string,_type:string,_id:string>"
+OPENING_PATTERN = r'^\{"index":'
 DAY_PATTERN = r"(\d{4}\.\d{2}\.\d{2})$"
 
 
@@ -49,12 +50,11 @@ def placed(records: DataFrame) -> DataFrame:
 def parse_bulk(records: DataFrame) -> DataFrame:
     """``doc_type, day, id, source, place`` of every record.
 
-    The separator eats the start of the action; the first record of a file still
-    has it.  A record without a usable action fails the query.
+    The separator eats the start of the action; only the first record of a file
+    still has it.  A record without a usable action fails the query.
     """
     lines = F.split("value", "\n", 2)
-    opening = F.element_at(lines, 1)
-    action_text = F.when(F.startswith(opening, F.lit(ACTION)), opening).otherwise(F.concat(F.lit(ACTION), opening))
+    action_text = F.concat(F.lit(ACTION), F.regexp_replace(F.element_at(lines, 1), OPENING_PATTERN, ""))
     parsed = records.where(F.trim("value") != "").select(
         F.from_json(action_text, ACTION_SCHEMA)["index"].alias("action"),
         F.try_element_at(lines, F.lit(2)).alias("source"),
@@ -69,9 +69,9 @@ def parse_bulk(records: DataFrame) -> DataFrame:
     )
     complaint = F.raise_error(F.concat(F.lit("unusable bulk record: "), F.coalesce(F.to_json("action"), F.lit("?"))))
     return parsed.select(
-        F.when(usable, F.col("action._type")).otherwise(complaint).alias("doc_type"),
+        F.col("action._type").alias("doc_type"),
         day.alias("day"),
-        F.col("action._id").alias("id"),
+        F.when(usable, F.col("action._id")).otherwise(complaint).alias("id"),
         "source",
         "place",
     )
@@ -87,27 +87,39 @@ def last_actions(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("recency", F.row_number().over(order)).where(F.col("recency") == 1).drop("recency", "place")
 
 
-def typed_rows(actions: DataFrame, doc_type: str) -> DataFrame:
+def typed_documents(actions: DataFrame) -> DataFrame:
+    """Each document parsed once, into the struct column named after its type."""
+    structs = [
+        F.when(F.col("doc_type") == doc_type, from_document(doc_type, F.col("source"))).alias(doc_type)
+        for doc_type in DOC_TYPES
+    ]
+    return actions.select("doc_type", "day", "id", *structs)
+
+
+def typed_rows(typed: DataFrame, doc_type: str) -> DataFrame:
     """Table rows of one document type."""
-    chosen = actions.where(F.col("doc_type") == doc_type)
-    document = chosen.select("id", "day", from_document(doc_type, F.col("source")).alias("document"))
-    return document.select("id", *table_columns(doc_type, "document"), "day")
+    chosen = typed.where(F.col("doc_type") == doc_type)
+    return chosen.select("id", *table_columns(doc_type, doc_type), "day")
 
 
 def ingest(records: DataFrame, root: str) -> list[str]:
     """Upserts a batch of records into the tables; returns the types it held.
 
-    The parsed batch is read once per type, so it is persisted to disk for the
-    length of the call; lost blocks are recomputed from the feed.
+    Merging needs the batch several times (its days, its ids, the sampling of
+    the output's ranges), so the parsed batch is persisted for the length of the
+    call: the feed is read and its JSON parsed once.  Blocks that do not fit go
+    to disk, lost ones are recomputed from the feed.
     """
-    actions = last_actions(parse_bulk(records)).persist(StorageLevel.MEMORY_AND_DISK)
+    typed = typed_documents(last_actions(parse_bulk(records))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = sorted(row.doc_type for row in actions.select("doc_type").distinct().toLocalIterator())
-        for doc_type in present:
-            upsert(typed_rows(actions, doc_type), root, doc_type)
-        return present
+        targets: dict[str, list[str]] = {}
+        for row in typed.select("doc_type", "day").distinct().toLocalIterator():
+            targets.setdefault(row.doc_type, []).append(row.day)
+        for doc_type, days in sorted(targets.items()):
+            upsert(typed_rows(typed, doc_type), root, doc_type, days)
+        return sorted(targets)
     finally:
-        actions.unpersist()
+        typed.unpersist()
 
 
 def bulk_lines(docs: DataFrame, doc_type: str, prefix: str, document) -> DataFrame:

@@ -98,24 +98,25 @@ def write(docs: DataFrame, root: str, doc_type: str, replace_days: bool = False)
         )
 
 
-def upsert(docs: DataFrame, root: str, doc_type: str) -> None:
+def upsert(docs: DataFrame, root: str, doc_type: str, days: Iterable[str] | None = None) -> None:
     """Merges rows with unique ``(day, id)`` into the table; they win over stored ones.
 
-    Days where no stored id comes again are appended to.  Only days that do hold
-    one are rewritten, through dynamic partition overwrite: the new files are
-    staged while the old are read and swapped in at commit.  Running the same
-    batch again leads to the same table.
+    ``days`` are the days of the rows, looked up where not given.  Days in which
+    no stored id comes again are appended to.  Only days that do hold one are
+    rewritten, through dynamic partition overwrite: the new files are staged
+    while the old are read and swapped in at commit.  Running the same batch
+    again leads to the same table.  One writer per table at a time.
     """
     spark = docs.sparkSession
-    touched = day_names(docs)
-    stored = scan(spark, root, doc_type, touched)
+    days = set(day_names(docs) if days is None else days)
+    stored = scan(spark, root, doc_type, days)
     again = stored.select("day", "id").join(docs.select("day", "id"), ["day", "id"], "left_semi")
     rewritten = day_names(again)
     if rewritten:
         incoming = docs.where(F.col("day").isin(rewritten))
         kept = scan(spark, root, doc_type, rewritten).join(incoming.select("day", "id"), ["day", "id"], "left_anti")
         write(kept.unionByName(incoming), root, doc_type, replace_days=True)
-    fresh = sorted(set(touched) - set(rewritten))
+    fresh = sorted(days.difference(rewritten))
     if fresh:
         write(docs.where(F.col("day").isin(fresh)), root, doc_type)
 
