@@ -51,13 +51,15 @@ def parse_bulk(records: DataFrame) -> DataFrame:
     """``doc_type, day, id, source, place`` of every record.
 
     The separator eats the start of the action; only the first record of a file
-    still has it.  A record without a usable action fails the query.
+    still has it.  A record that is not a usable action and one document line
+    fails the query.
     """
-    lines = F.split("value", "\n", 2)
+    lines = F.split("value", "\n", 3)
     action_text = F.concat(F.lit(ACTION), F.regexp_replace(F.element_at(lines, 1), OPENING_PATTERN, ""))
     parsed = records.where(F.trim("value") != "").select(
         F.from_json(action_text, ACTION_SCHEMA)["index"].alias("action"),
         F.try_element_at(lines, F.lit(2)).alias("source"),
+        F.coalesce(F.try_element_at(lines, F.lit(3)), F.lit("")).alias("excess"),
         "place",
     )
     day = F.regexp_extract(F.col("action._index"), DAY_PATTERN, 1)
@@ -65,7 +67,8 @@ def parse_bulk(records: DataFrame) -> DataFrame:
         F.col("action._id").isNotNull()
         & F.col("action._type").isin(list(DOC_TYPES))
         & F.coalesce(day != "", F.lit(False))
-        & F.col("source").isNotNull()
+        & F.coalesce(F.trim("source") != "", F.lit(False))
+        & (F.trim("excess") == "")
     )
     complaint = F.raise_error(F.concat(F.lit("unusable bulk record: "), F.coalesce(F.to_json("action"), F.lit("?"))))
     return parsed.select(
