@@ -14,6 +14,8 @@ from gatelens.functions.time import TimeRange
 # Lookups of at most this many literal ids become an IN list, which reaches the
 # scan (statistics and bloom filters); longer lists belong in a frame.
 LITERAL_IDS = 1_000
+# A longer list is broadcast up to this length, some tens of MB.
+BROADCAST_IDS = 500_000
 
 
 def hits_total(docs: DataFrame) -> DataFrame:
@@ -61,13 +63,19 @@ def tabular(
 
 
 def pick_ids(docs: DataFrame, ids: DataFrame | Iterable[str]) -> DataFrame:
-    """Documents whose id is listed, over all days."""
+    """Documents whose id is listed, over all days.
+
+    The size of a list is known and decides how it travels; that of a frame is
+    for Spark to judge, which also filters the documents by its runtime bloom
+    filter where it has to shuffle them.
+    """
     if isinstance(ids, DataFrame):
         return docs.join(ids.select("id"), "id", "left_semi")
     ids = list(ids)
     if len(ids) <= LITERAL_IDS:
         return docs.where(has_id(ids))
-    return docs.join(id_frame(docs, ids), "id", "left_semi")
+    listed = id_frame(docs, ids)
+    return docs.join(F.broadcast(listed) if len(ids) <= BROADCAST_IDS else listed, "id", "left_semi")
 
 
 def id_frame(docs: DataFrame, ids: DataFrame | Iterable[str]) -> DataFrame:

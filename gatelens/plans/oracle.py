@@ -168,10 +168,6 @@ SELECT (SELECT axis FROM size) AS axis, ordinal AS slot,
 FROM p GROUP BY ordinal, aggregation, field, key
 UNION ALL SELECT (SELECT axis FROM size), 1, NULL, NULL, NULL
 """
-SQL["hist_axis"] = f"""
-WITH {axis(q.PAST_DATA, 12 * q.HOUR)}
-SELECT CAST(row_number() OVER (ORDER BY timestamp) - 1 AS INTEGER) AS position, timestamp FROM axis
-"""
 
 # --- group by ----------------------------------------------------------------
 
@@ -306,15 +302,25 @@ SQL["availability_gateway"] = available("gateway", "api-2")
 SQL["avg_response_time"] = response_time("endpoint", "api-1", MONTH_DAYS, q.NOW)
 SQL["avg_response_time_gateway"] = response_time("gateway", "api-3", FEBRUARY_DAYS, q.MID_FEBRUARY)
 
-HEALTH_HOURS = f"""b AS (
-  SELECT {bucket()} AS timestamp, * FROM health WHERE {MONTH_DAYS} AND api = 'api-1')"""
-SQL["health_hist_count"] = f"""
-WITH {HEALTH}, {HEALTH_HOURS}, ends AS (
+def health_hours(api: str) -> str:
+    return f"""b AS (
+  SELECT {bucket()} AS timestamp, * FROM health WHERE {MONTH_DAYS} AND api = '{api}')"""
+
+
+# The axis reaches over the data and the bounds.
+HEALTH_AXIS = f"""ends AS (
   SELECT least(min(timestamp), {time.bucket_floor(q.TEN_DAYS.start, q.HOUR)}) AS a,
     greatest(max(timestamp), {time.bucket_floor(q.TEN_DAYS.end, q.HOUR)}) AS z FROM b),
-axis AS (SELECT unnest(generate_series(a, z, {q.HOUR})) AS timestamp FROM ends)
+axis AS (SELECT unnest(generate_series(a, z, {q.HOUR})) AS timestamp FROM ends)"""
+
+SQL["health_hist_count"] = f"""
+WITH {HEALTH}, {health_hours("api-1")}, {HEALTH_AXIS}
 SELECT axis.timestamp, count(b.id) AS count FROM axis LEFT JOIN b USING (timestamp) GROUP BY 1
 """
+SQL["health_hist_axis"] = f"""
+WITH {HEALTH}, {health_hours("api-2")}, {HEALTH_AXIS}
+SELECT CAST(row_number() OVER (ORDER BY timestamp) - 1 AS INTEGER) AS position, timestamp FROM axis
+"""
 
 
 def health_points(ordinal: int, kind: str, field: str, key: str, value: str) -> str:
@@ -324,7 +330,7 @@ SELECT CAST({ordinal} AS INTEGER) AS ordinal, timestamp, '{kind}' AS aggregation
 
 
 def health_series(*parts: str) -> str:
-    return f"WITH {HEALTH}, {HEALTH_HOURS} " + "\nUNION ALL ".join(parts)
+    return f"WITH {HEALTH}, {health_hours('api-1')} " + "\nUNION ALL ".join(parts)
 
 
 SQL["health_hist_avg"] = health_series(

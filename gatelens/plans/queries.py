@@ -192,15 +192,6 @@ def hist_series(spark, sf_dir):
     return flat.select("axis", "slot", "name", "key", F.array_join(text, " ").alias("points"))
 
 
-@registered
-def hist_axis(spark, sf_dir):
-    """The axis array of the response, beside what it spans."""
-    docs = views.requests(spark, sf_dir)
-    counts = analytics.histogram_counts(docs, PAST_DATA, 12 * HOUR, root=ROOT)
-    axis = shaping.timestamps(counts)
-    return axis.select(F.posexplode("timestamps").alias("position", "timestamp"))
-
-
 # --- group by ----------------------------------------------------------------
 
 
@@ -358,6 +349,13 @@ def health_hist_count(spark, sf_dir):
     return health.health_histogram_dense(views.health(spark, sf_dir), TEN_DAYS, HOUR, api="api-1", now=NOW)
 
 
+@registered
+def health_hist_axis(spark, sf_dir):
+    """The axis array of the response, by position."""
+    dense = health.health_histogram_dense(views.health(spark, sf_dir), TEN_DAYS, HOUR, api="api-2", now=NOW)
+    return shaping.timestamps(dense).select(F.posexplode("timestamps").alias("position", "timestamp"))
+
+
 @registered
 def health_hist_avg(spark, sf_dir):
     return health_histogram(spark, sf_dir, analytics.avg("response-time"))

@@ -96,7 +96,7 @@ def typed_documents(actions: DataFrame) -> DataFrame:
         F.when(F.col("doc_type") == doc_type, from_document(doc_type, F.col("source"))).alias(doc_type)
         for doc_type in DOC_TYPES
     ]
-    return actions.select("doc_type", "day", "id", *structs)
+    return actions.select("doc_type", "day", "id", F.octet_length("source").alias("bytes"), *structs)
 
 
 def typed_rows(typed: DataFrame, doc_type: str) -> DataFrame:
@@ -108,19 +108,20 @@ def typed_rows(typed: DataFrame, doc_type: str) -> DataFrame:
 def ingest(records: DataFrame, root: str) -> list[str]:
     """Upserts a batch of records into the tables; returns the types it held.
 
-    Merging needs the batch several times (its days, its ids, the sampling of
-    the output's ranges), so the parsed batch is persisted for the length of the
+    Merging needs the batch several times (its days, its ids, the sampling
+    of the output's ranges), so the parsed batch is persisted for the length of the
     call: the feed is read and its JSON parsed once.  Blocks that do not fit go
     to disk, lost ones are recomputed from the feed.
     """
     typed = typed_documents(last_actions(parse_bulk(records))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        targets: dict[str, list[str]] = {}
-        for row in typed.select("doc_type", "day").distinct().toLocalIterator():
-            targets.setdefault(row.doc_type, []).append(row.day)
-        for doc_type, days in sorted(targets.items()):
-            upsert(typed_rows(typed, doc_type), root, doc_type, days)
-        return sorted(targets)
+        sizes: dict[str, dict[str, int]] = {}
+        per_day = typed.groupBy("doc_type", "day").agg(F.sum("bytes").alias("bytes"))
+        for row in per_day.collect():  # one row per type and day
+            sizes.setdefault(row.doc_type, {})[row.day] = row.bytes
+        for doc_type, text_bytes in sorted(sizes.items()):
+            upsert(typed_rows(typed, doc_type), root, doc_type, text_bytes)
+        return sorted(sizes)
     finally:
         typed.unpersist()
 

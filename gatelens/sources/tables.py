@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from datetime import date, timedelta
 
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from gatelens.functions.time import day_text
 from gatelens.schemas import CLUSTERING, DOC_TYPES, table_schema
 
+FILE_BYTES = 128 * 1024 * 1024  # Parquet written per file, about
+TASK_BYTES = 1024 * 1024  # a smaller share is not worth another task
+TEXT_RATIO = 4  # JSON text shrinks at least this much
 GLOB_DAYS = 366  # directories named in one scan; longer spans prune on the partition column
 
 
@@ -78,49 +81,72 @@ def microsecond_timestamps(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def write(docs: DataFrame, root: str, doc_type: str, replace_days: bool = False) -> None:
+def write(docs: DataFrame, root: str, doc_type: str, files: int | None = None, replace_days: bool = False) -> None:
     """Appends rows, or replaces exactly the days the rows fall on.
 
     Rows are spread by range over day and clustering columns: a day that holds
     most of the batch still goes to many tasks, a small one makes few files, and
-    each file covers a narrow stretch.  Ids are random, so lookups by id rely on
-    bloom filters instead.
+    each file covers a narrow stretch.  ``files`` is their number, which must
+    grow with the batch; unset it is the session's shuffle partitions.  Ids are
+    random, so lookups by id rely on bloom filters instead.
     """
     layout = ("day", *CLUSTERING[doc_type])
-    spread = docs.select(*table_schema(doc_type).fieldNames()).repartitionByRange(*layout).sortWithinPartitions(*layout)
+    count = () if files is None else (files,)
+    rows = docs.select(*table_schema(doc_type).fieldNames())
+    spread = rows.repartitionByRange(*count, *layout).sortWithinPartitions(*layout)
     with microsecond_timestamps(docs.sparkSession):
         (
             spread.write.mode("overwrite" if replace_days else "append")
             .option("partitionOverwriteMode", "dynamic")
             .option("parquet.bloom.filter.enabled#id", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")  # sized by the ids a row group holds
             .partitionBy("day")
             .parquet(table_path(root, doc_type))
         )
 
 
-def upsert(docs: DataFrame, root: str, doc_type: str, days: Iterable[str] | None = None) -> None:
+def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[str, int] | None = None) -> None:
     """Merges rows with unique ``(day, id)`` into the table; they win over stored ones.
 
-    ``days`` are the days of the rows, looked up where not given.  Days in which
-    no stored id comes again are appended to.  Only days that do hold one are
-    rewritten, through dynamic partition overwrite: the new files are staged
-    while the old are read and swapped in at commit.  Running the same batch
-    again leads to the same table.  One writer per table at a time.
+    ``text_bytes`` is the size of the batch's JSON per day; where it is not given
+    the days are looked up and the session decides on the number of files.
+
+    Days in which no stored id comes again are appended to.  Only days that do
+    hold one are rewritten, through dynamic partition overwrite: the new files
+    are staged while the old are read and swapped in at commit.  Running the
+    same batch again leads to the same table.  One writer per table at a time.
     """
     spark = docs.sparkSession
-    days = set(day_names(docs) if days is None else days)
+    days = set(day_names(docs) if text_bytes is None else text_bytes)
     stored = scan(spark, root, doc_type, days)
     again = stored.select("day", "id").join(docs.select("day", "id"), ["day", "id"], "left_semi")
     rewritten = day_names(again)
+
+    def files(chosen: Iterable[str], parquet: int) -> int | None:
+        if text_bytes is None:
+            return None
+        size = sum(text_bytes[day] for day in chosen) // TEXT_RATIO + parquet
+        busy = min(spark.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
+        return max(busy, size // FILE_BYTES + 1)
+
     if rewritten:
         incoming = docs.where(F.col("day").isin(rewritten))
-        kept = scan(spark, root, doc_type, rewritten).join(incoming.select("day", "id"), ["day", "id"], "left_anti")
-        write(kept.unionByName(incoming), root, doc_type, replace_days=True)
+        old = scan(spark, root, doc_type, rewritten)
+        kept = old.join(incoming.select("day", "id"), ["day", "id"], "left_anti")
+        target = files(rewritten, stored_bytes(old))
+        write(kept.unionByName(incoming), root, doc_type, target, replace_days=True)
     fresh = sorted(days.difference(rewritten))
     if fresh:
-        write(docs.where(F.col("day").isin(fresh)), root, doc_type)
+        write(docs.where(F.col("day").isin(fresh)), root, doc_type, files(fresh, 0))
+
+
+def stored_bytes(docs: DataFrame) -> int:
+    """Size of the files behind a scan: one row per file, no content read."""
+    paths = docs.inputFiles()
+    listed = docs.sparkSession.read.format("binaryFile").load(paths)
+    return listed.agg(F.sum("length")).first()[0] or 0
 
 
 def day_names(docs: DataFrame) -> list[str]:
     """The days of a batch; a handful of names, like directories."""
-    return sorted(row.day for row in docs.select("day").distinct().toLocalIterator())
+    return sorted(row.day for row in docs.select("day").distinct().collect())
