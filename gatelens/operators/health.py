@@ -196,11 +196,14 @@ def health_histogram_dense(
 
 
 def health_series(aggregation: Aggregation) -> Column:
-    """A metric truncated, or for a term field the percent of true among non-null."""
+    """A metric truncated, or for a term field the percent of true among non-null.
+
+    True is also 1, as old documents hold it; any other term is a failure.
+    """
     if aggregation.kind == "field":
-        flag = F.col(aggregation.column).cast("boolean")
-        known = F.count(flag)
-        return F.when(known > 0, percent(F.count_if(flag), known))
+        term = F.col(aggregation.column)
+        known = F.count(term)
+        return F.when(known > 0, percent(F.count_if(term.cast("string").isin("true", "1")), known))
     value = metric(aggregation)
     return F.when(is_finite(value), truncated(value).cast("double"))
 

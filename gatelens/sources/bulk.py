@@ -28,6 +28,13 @@ def read_bulk(spark: SparkSession, *paths: str) -> DataFrame:
     return placed(located(spark.read.option("lineSep", RECORD_SEPARATOR).text(list(paths))))
 
 
+def text_records(spark: SparkSession, text: str) -> DataFrame:
+    """Records of a bulk request held as a string."""
+    parts = text.replace("\r\n", "\n").split(RECORD_SEPARATOR)
+    rows = [(part, ("", 0, row)) for row, part in enumerate(parts)]
+    return spark.createDataFrame(rows, "value string, place struct<file:string,offset:bigint,row:bigint>")
+
+
 def located(records: DataFrame) -> DataFrame:
     """Records with the file and the split they were read from."""
     return records.select(

@@ -117,5 +117,9 @@ class GatewayStore:
         """Upserts bulk files; returns the document types they held."""
         return bulk.ingest(bulk.read_bulk(self.spark, *paths), self.root)
 
+    def index(self, text: str) -> list[str]:
+        """Upserts one bulk request given as a string."""
+        return bulk.ingest(bulk.text_records(self.spark, text), self.root)
+
     def start_ingest(self, landing: str, checkpoint: str, **options):
         return start_ingest(self.spark, landing, self.root, checkpoint, **options)

@@ -90,6 +90,15 @@ def test_axis_without_data_is_the_bounds(spark):
     assert dense(checks(spark, (HOUR, "x", True, 1)).where("false"), g.TimeRange(NOW - HOUR, NOW)) == [(-1, 0), (0, 0)]
 
 
+def test_terms_that_are_not_true_are_failures(spark):
+    docs = checks(spark, (HOUR, "true", None, 1), (HOUR, "x", None, 1), (0, "x", None, 1))
+    numbers = docs.withColumn("available", F.when(F.col("endpoint") == "x", 0).otherwise(1))
+    bounds = g.TimeRange(NOW - HOUR, NOW)
+    wanted = g.terms("available"), g.terms("endpoint")
+    assert dense(numbers, bounds, *wanted) == [(-1, 2, 50.0, 50.0), (0, 1, 0.0, 0.0)]
+    assert dense(docs, bounds, g.terms("available")) == [(-1, 2, None), (0, 1, None)]
+
+
 def test_points(spark):
     docs = checks(spark, (2 * HOUR, "x", False, 21))
     wanted = [g.terms("available"), g.minimum("response-time")]

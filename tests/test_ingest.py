@@ -55,6 +55,11 @@ def test_last_action_wins_within_a_file(store, feed):
     assert statuses(store) == {(DAY1, "r1"): 239, (DAY1, "r2"): 500}
 
 
+def test_a_bulk_request_as_a_string(store):
+    assert store.index(request("r1") + request("r2", end="\r\n") + request("r1", status=404)) == ["request"]
+    assert statuses(store) == {(DAY1, "r1"): 404, (DAY1, "r2"): 200}
+
+
 def test_later_file_wins(store, feed):
     late, early = feed("b.json", request("r1", status=201)), feed("a.json", request("r1", status=202))
     store.ingest(late, early)
