@@ -188,6 +188,14 @@ def test_pushdown_and_statistics(spark, store, feed):
     assert columns["ts"].is_stats_set and columns["ts"].physical_type == "INT64"
 
 
+def test_an_absent_id_reads_no_rows(spark, store, feed):
+    store.ingest(feed("1.json", *[request(f"r{n:04}") for n in range(0, 2000, 2)]))
+    docs = store.documents("request").where("id = 'r0501'")  # inside the bounds of the statistics
+    docs.collect()
+    scan_node = docs._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan_node.metrics().apply("numOutputRows").value() == 0
+
+
 def test_stream(store, feed, tmp_path):
     landing = str(tmp_path / "feed")
     feed("1.json", request("r1"), request("r2"))
