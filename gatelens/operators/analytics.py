@@ -262,9 +262,9 @@ def top_terms_by_mean(docs: DataFrame, field: str, sort: Sort, limit: int) -> Da
     return top.select("key", truncated(F.col("mean")).alias("value"), "rank")
 
 
-def range_key(start: float, end: float) -> str:
+def range_key(start: float, end: float) -> Column:
     """Label of a numeric range: ``100.0-199.0``."""
-    return f"{float(start)}-{float(end)}"
+    return F.concat_ws("-", F.lit(float(start)).cast("string"), F.lit(float(end)).cast("string"))
 
 
 def range_counts(docs: DataFrame, field: str, ranges: Sequence[tuple[float, float]]) -> DataFrame:
@@ -279,7 +279,7 @@ def range_counts(docs: DataFrame, field: str, ranges: Sequence[tuple[float, floa
     )
     buckets = [
         F.struct(
-            F.lit(range_key(start, end)).alias("key"),
+            range_key(start, end).alias("key"),
             F.col(f"n{i}").alias("value"),
             F.lit(i + 1).alias("rank"),
         )

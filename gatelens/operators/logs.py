@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatelens.functions.documents import EXCHANGES, drop_payloads, request_columns
@@ -14,6 +14,8 @@ from gatelens.functions.time import TimeRange
 # Lookups of at most this many literal ids become an IN list, which reaches the
 # scan (statistics and bloom filters); longer lists belong in a frame.
 LITERAL_IDS = 1_000
+# Pages that end within this many rows are taken as a top-k.
+TOP_K_ROWS = 10_000
 # A longer list is broadcast up to this length, some tens of MB.
 BROADCAST_IDS = 500_000
 
@@ -31,18 +33,58 @@ def newest_first(docs: DataFrame) -> DataFrame:
 def page_of(docs: DataFrame, page: int, size: int) -> DataFrame:
     """The 1-based page of documents, newest first.
 
-    A top-k: a task keeps no more than ``page * size`` rows.  Beyond
-    ``spark.sql.execution.topKSortFallbackThreshold`` Spark sorts by range instead.
+    Near the front it is a top-k: a task keeps no more than ``page * size`` rows.
+    A deep page would make every task send that many to one, so it is located by
+    counting instead.
 
     In a day-partitioned table the page is found over narrow keys first, and
     whole documents are read only of the days it falls on.
     """
     if page < 1 or size < 0:
         raise ValueError("page starts at 1 and size at 0")
-    keys = ["day", "id", "ts"]
-    late = "day" in docs.columns and size <= BROADCAST_IDS
-    rows = newest_first(docs.select(*keys) if late else docs).offset((page - 1) * size).limit(size)
-    return newest_first(docs.join(F.broadcast(rows), keys, "left_semi")).limit(size) if late else rows
+    offset = (page - 1) * size
+    keys = [name for name in ("day", "id", "ts") if name in docs.columns]
+    deep = offset + size > TOP_K_ROWS
+    if deep:
+        rows = deep_page_keys(docs.select(*keys), offset, size)
+    elif "day" in docs.columns:
+        rows = newest_first(docs.select(*keys)).offset(offset).limit(size)
+    else:
+        return newest_first(docs).offset(offset).limit(size)
+    rows = F.broadcast(rows) if size <= BROADCAST_IDS else rows
+    return newest_first(docs.join(rows, keys, "left_semi")).limit(size)
+
+
+def deep_page_keys(keys: DataFrame, offset: int, size: int) -> DataFrame:
+    """Keys of the documents at positions ``offset .. offset + size``, newest first.
+
+    Documents are counted per minute; running totals tell which minutes the page
+    overlaps. Within those they are counted per millisecond, then per id prefix,
+    and only the documents of the last few groups are numbered one by one. Each
+    step reads the keys once more and keeps no more groups than the page has
+    documents. The running totals go over one row per minute of the span.
+    """
+    millis = F.unix_millis("ts")
+    levels = {
+        "minute": F.floor(millis / 60_000).cast("bigint"),
+        "millis": millis,
+        "prefix": F.left("id", F.lit(4)),
+    }
+    leveled = keys.select("*", *[column.alias(name) for name, column in levels.items()])
+    near, path = leveled.withColumn("before", F.lit(0).cast("bigint")), []
+    for name in levels:
+        counts = near.groupBy(*path, name, "before").agg(F.count("*").alias("n"))
+        newer = Window.partitionBy(*path).orderBy(F.desc(name)).rowsBetween(Window.unboundedPreceding, -1)
+        path.append(name)
+        start = F.col("before") + F.coalesce(F.sum("n").over(newer), F.lit(0).cast("bigint"))
+        placed = counts.select(*path, "n", start.alias("before"))
+        overlapping = placed.where((F.col("before") < offset + size) & (F.col("before") + F.col("n") > offset))
+        overlapping = overlapping.drop("n")
+        near = leveled.join(F.broadcast(overlapping) if size <= BROADCAST_IDS else overlapping, path)
+    position = F.col("before") + F.row_number().over(Window.partitionBy(*path).orderBy(F.desc("id")))
+    numbered = near.withColumn("position", position)
+    chosen = numbered.where((F.col("position") > offset) & (F.col("position") <= offset + size))
+    return chosen.select(*keys.columns)
 
 
 def with_total(rows: DataFrame, docs: DataFrame) -> DataFrame:

@@ -233,6 +233,11 @@ WITH {REQ}, hits AS (SELECT * FROM req WHERE {TEN_DAYS} AND {ROOT})
 SELECT {log_columns(METHOD)}, (SELECT count(*) FROM hits) AS total
 FROM hits ORDER BY ms DESC, id DESC LIMIT 25 OFFSET 50
 """
+SQL["tabular_deep_page"] = f"""
+WITH {REQ}, hits AS (SELECT * FROM req WHERE {within(q.PAST_DATA)})
+SELECT id, ms AS timestamp, (SELECT count(*) FROM hits) AS total
+FROM hits ORDER BY ms DESC, id DESC LIMIT 9000 OFFSET 9000
+"""
 SQL["tabular_total"] = f"WITH {REQ} SELECT count(*) AS total FROM req WHERE {TEN_DAYS} AND {ROOT}"
 SQL["tabular_without_payloads"] = f"""
 WITH {REQ} SELECT {log_columns("method_code")} FROM req WHERE {TEN_DAYS} AND application = 'app-7'

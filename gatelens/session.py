@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Terms per bucket are limited before the shuffle up to this many.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
-    # Pages deeper than this are sorted by range instead of held per task.
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 

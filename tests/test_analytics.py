@@ -172,6 +172,11 @@ def test_group_by_ranges(docs):
     ]
 
 
+def test_range_labels_are_doubles(docs):
+    rows = g.group_by(docs, "status", WHOLE, ranges=[(0, 0.5), (1, 20_000_000)]).collect()
+    assert [r.key for r in rows] == ["0.0-0.5", "1.0-2.0E7"]
+
+
 def test_unknown_aggregation():
     with pytest.raises(ValueError):
         g.Aggregation("median", "status")

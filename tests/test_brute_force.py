@@ -154,7 +154,9 @@ def test_health_histogram(docs, documents):
     assert {r.timestamp: tuple(r)[1:] for r in frame.collect()} == expected
 
 
-def test_pages(docs, documents):
+@pytest.mark.parametrize("top_k_rows", [10_000, 0])
+def test_pages(docs, documents, monkeypatch, top_k_rows):
+    monkeypatch.setattr(logs, "TOP_K_ROWS", top_k_rows)
     ordered = sorted(documents, key=lambda d: (d["ms"], d["id"]), reverse=True)
     for page, size in ((1, 10), (7, 33), (100, 10)):
         rows = logs.page_of(docs, page, size).collect()
