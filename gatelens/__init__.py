@@ -21,7 +21,7 @@ from gatelens.operators.health import (
 )
 from gatelens.operators.logs import find_requests, missing_ids, tabular
 from gatelens.operators.monitoring import latest_per_gateway, latest_snapshot
-from gatelens.operators.shaping import assemble_series
+from gatelens.operators.shaping import assemble_dense, assemble_series
 from gatelens.store import GatewayStore
 
 __all__ = [
@@ -29,6 +29,7 @@ __all__ = [
     "GatewayStore",
     "Sort",
     "TimeRange",
+    "assemble_dense",
     "assemble_series",
     "availability",
     "average_response_time",

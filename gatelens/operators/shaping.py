@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelens.operators.analytics import Aggregation
@@ -41,3 +41,27 @@ def assemble_series(points: DataFrame, axis: DataFrame, aggregations: Sequence[A
     values = F.array(*slots).alias("values") if slots else F.array().alias("values")
     axis_row = timestamps(axis)
     return by_ordinal.select(axis_row.scalar().alias("timestamps"), values)
+
+
+def assemble_dense(dense: DataFrame, aggregations: Sequence[Aggregation]) -> DataFrame:
+    """The same row out of a dense histogram with a column per series.
+
+    Axis and points come from the one frame, so its documents are read once.
+    """
+    series_names = [f"series_{n}" for n in range(len(aggregations))]
+    rows = dense.agg(F.array_sort(F.collect_list(F.struct("timestamp", *series_names))).alias("rows"))
+    slots = []
+    for name, a in zip(series_names, aggregations):
+        points = column_points("rows", name)
+        data = F.create_map(F.lit(a.name), points)
+        slot = F.struct(F.lit(a.name).alias("name"), F.lit(a.field).alias("field"), data.alias("data"))
+        slots.append(F.when(F.size(points) > 0, slot))
+    return rows.select(
+        F.transform("rows", lambda row: row["timestamp"]).alias("timestamps"), F.array(*slots).alias("values")
+    )
+
+
+def column_points(rows: str, name: str) -> Column:
+    """Points of one column among rows in time order; rows without it have none."""
+    present = F.filter(rows, lambda row: row[name].isNotNull())
+    return F.transform(present, lambda row: F.struct(row["timestamp"].alias("timestamp"), row[name].alias("value")))

@@ -349,6 +349,26 @@ SQL["health_hist_minmax"] = health_series(
     health_points(1, "max", "response-time", "max_response-time", "max(response_time)"),
 )
 
+SIX_HOURS = 6 * q.HOUR
+
+
+def health_slot(slot: int, kind: str) -> str:
+    return f"""
+SELECT (SELECT n FROM size) AS axis, CAST({slot} AS INTEGER) AS slot, '{kind}_response-time' AS name,
+  '{kind}_response-time' AS key, string_agg(timestamp || ':' || value || '.0', ' ' ORDER BY timestamp) AS points
+FROM (SELECT {bucket(SIX_HOURS)} AS timestamp, {kind}(response_time) AS value FROM h GROUP BY 1)"""
+
+
+SQL["health_hist_series"] = f"""
+WITH {HEALTH}, h AS (SELECT * FROM health WHERE {MONTH_DAYS} AND api = 'api-1'),
+size AS (SELECT CAST((
+    greatest(max({bucket(SIX_HOURS)}), {time.bucket_floor(q.TEN_DAYS.end, SIX_HOURS)})
+    - least(min({bucket(SIX_HOURS)}), {time.bucket_floor(q.TEN_DAYS.start, SIX_HOURS)})) // {SIX_HOURS} + 1 AS INTEGER) AS n
+  FROM h)
+{health_slot(0, "max")} UNION ALL {health_slot(2, "min")}
+UNION ALL SELECT (SELECT n FROM size), 1, NULL, NULL, NULL
+"""
+
 FIRST_STEP = """CASE event_id % 3 WHEN 0 THEN '/' || endpoint WHEN 1 THEN '/probe' END AS uri,
   CASE WHEN event_id % 3 < 2 THEN 'GET' END AS method, CASE WHEN event_id % 3 < 2 THEN step_status END AS status"""
 HEALTH_ROW = "id, gateway, ms AS timestamp, endpoint, CAST(response_time AS BIGINT) AS response_time, available, state"

@@ -184,6 +184,10 @@ def hist_series(spark, sf_dir):
     # Failed requests have no latency, so the second slot is empty and stays.
     points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
     response = shaping.assemble_series(points, analytics.histogram_axis(spark, PAST_DATA, 6 * HOUR), wanted)
+    return flat_response(response)
+
+
+def flat_response(response: DataFrame) -> DataFrame:
     slots = response.select(F.size("timestamps").alias("axis"), F.posexplode("values").alias("slot", "series"))
     flat = slots.select(
         "axis", "slot", F.col("series.name").alias("name"), F.explode_outer("series.data").alias("key", "points")
@@ -378,6 +382,15 @@ def health_hist_minmax(spark, sf_dir):
     return health_histogram(spark, sf_dir, analytics.minimum("response-time"), analytics.maximum("response-time"))
 
 
+@registered
+def health_hist_series(spark, sf_dir):
+    """The nested response of a health histogram, flattened to text."""
+    wanted = [analytics.maximum("response-time"), analytics.avg("state"), analytics.minimum("response-time")]
+    docs = views.health(spark, sf_dir).withColumn("state", F.lit(None).cast("int"))  # the second slot is empty
+    dense = health.health_histogram_dense(docs, TEN_DAYS, 6 * HOUR, wanted, api="api-1", now=NOW)
+    return flat_response(shaping.assemble_dense(dense, wanted))
+
+
 @registered
 def health_logs_page(spark, sf_dir):
     return health.health_logs(views.health(spark, sf_dir), "api-1", page=2, size=30, now=NOW)

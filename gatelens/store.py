@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatelens.functions import time as t
 from gatelens.operators import analytics, health, logs, monitoring
-from gatelens.operators.shaping import assemble_series
+from gatelens.operators.shaping import assemble_dense, assemble_series
 from gatelens.sources import bulk, tables
 from gatelens.streaming.ingest import start_ingest
 
@@ -87,12 +87,13 @@ class GatewayStore:
     def health_histogram(
         self, api: str, time_range: t.TimeRange, interval: int, aggregations=(), now: int | None = None, **options
     ) -> DataFrame:
-        """Dense buckets with a column per requested series."""
+        """One row: the dense axis and a slot per requested series."""
         now = t.current_millis() if now is None else now
         docs = self.last_month("health", now)
-        return health.health_histogram_dense(
+        dense = health.health_histogram_dense(
             docs, time_range, interval, aggregations, api, now=now, zone=self.zone, **options
         )
+        return assemble_dense(dense, aggregations)
 
     def health_logs(self, api: str, page: int = 1, size: int = 20, now: int | None = None, **options) -> DataFrame:
         now = t.current_millis() if now is None else now

@@ -90,6 +90,22 @@ def test_axis_without_data_is_the_bounds(spark):
     assert dense(checks(spark, (HOUR, "x", True, 1)).where("false"), g.TimeRange(NOW - HOUR, NOW)) == [(-1, 0), (0, 0)]
 
 
+def test_response(spark):
+    docs = checks(spark, (2 * HOUR, "x", True, 10), (HOUR, "x", False, 30), (HOUR, "x", True, None))
+    wanted = [g.terms("available"), g.avg("response-time"), g.avg("id_that_is_null")]
+    docs = docs.withColumn("id_that_is_null", F.lit(None).cast("int"))
+    bounds = g.TimeRange(NOW - 2 * HOUR, NOW)
+    frame = health.health_histogram_dense(docs, bounds, HOUR, wanted, api="a", now=NOW)
+    row = g.assemble_dense(frame, wanted).first()
+    assert row.timestamps == [NOW - 2 * HOUR, NOW - HOUR, NOW]
+    up, time, nothing = row["values"]
+    assert (up.name, up.field, nothing) == ("by_available", "available", None)
+    assert [tuple(p) for p in up.data["by_available"]] == [(NOW - 2 * HOUR, 100.0), (NOW - HOUR, 50.0)]
+    assert [tuple(p) for p in time.data["avg_response-time"]] == [(NOW - 2 * HOUR, 10.0), (NOW - HOUR, 30.0)]
+    empty = g.assemble_dense(health.health_histogram_dense(docs, bounds, HOUR, now=NOW), []).first()
+    assert (len(empty.timestamps), empty["values"]) == (3, [])
+
+
 def test_terms_that_are_not_true_are_failures(spark):
     docs = checks(spark, (HOUR, "true", None, 1), (HOUR, "x", None, 1), (0, "x", None, 1))
     numbers = docs.withColumn("available", F.when(F.col("endpoint") == "x", 0).otherwise(1))

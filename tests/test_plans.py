@@ -28,7 +28,7 @@ def test_terms_per_bucket_are_limited_before_the_shuffle(spark, name):
     assert text.count("FileScan") == 1
 
 
-@pytest.mark.parametrize("name", ["hist_avg", "hist_count", "health_hist_avg", "health_hist_avail", "group_ranges_overlap"])
+@pytest.mark.parametrize("name", ["hist_avg", "hist_count", "health_hist_avg", "health_hist_avail", "health_hist_series", "group_ranges_overlap"])
 def test_documents_are_read_once(spark, name):
     text = plan(spark, name)
     assert text.count("FileScan") == 1
