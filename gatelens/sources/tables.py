@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from gatelens.functions.time import day_text
 from gatelens.schemas import CLUSTERING, DOC_TYPES, table_schema
 
+ROW_KEY = ["day", "id"]
+
 FILE_BYTES = 128 * 1024 * 1024  # Parquet written per file, about
 TASK_BYTES = 1024 * 1024  # a smaller share is not worth another task
 TEXT_RATIO = 4  # JSON text shrinks at least this much
@@ -111,16 +114,14 @@ def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[str, i
     ``text_bytes`` is the size of the batch's JSON per day; where it is not given
     the days are looked up and the session decides on the number of files.
 
-    Days in which no stored id comes again are appended to.  Only days that do
-    hold one are rewritten, through dynamic partition overwrite: the new files
-    are staged while the old are read and swapped in at commit.  Running the
-    same batch again leads to the same table.  One writer per table at a time.
+    Rows equal to a stored one are dropped, so a feed that is sent twice writes
+    nothing.  Days in which no stored id changes are appended to.  Only the
+    others are rewritten, through dynamic partition overwrite: the new files are
+    staged while the old are read and swapped in at commit.  One writer per
+    table at a time.
     """
     spark = docs.sparkSession
     days = set(day_names(docs) if text_bytes is None else text_bytes)
-    stored = scan(spark, root, doc_type, days)
-    again = stored.select("day", "id").join(docs.select("day", "id"), ["day", "id"], "left_semi")
-    rewritten = day_names(again)
 
     def files(chosen: Iterable[str], parquet: int) -> int | None:
         if text_bytes is None:
@@ -129,15 +130,45 @@ def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[str, i
         busy = min(spark.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
         return max(busy, size // FILE_BYTES + 1)
 
-    if rewritten:
-        incoming = docs.where(F.col("day").isin(rewritten))
-        old = scan(spark, root, doc_type, rewritten)
-        kept = old.join(incoming.select("day", "id"), ["day", "id"], "left_anti")
-        target = files(rewritten, stored_bytes(old))
-        write(kept.unionByName(incoming), root, doc_type, target, replace_days=True)
-    fresh = sorted(days.difference(rewritten))
-    if fresh:
-        write(docs.where(F.col("day").isin(fresh)), root, doc_type, files(fresh, 0))
+    def append(rows: DataFrame, chosen: set[str]) -> None:
+        if chosen:
+            write(rows.where(F.col("day").isin(sorted(chosen))), root, doc_type, files(chosen, 0))
+
+    repeated = day_names(with_ids_of(scan(spark, root, doc_type, days), docs))
+    append(docs, days.difference(repeated))
+    if not repeated:
+        return
+    stored = scan(spark, root, doc_type, repeated)
+    news = without_rows_of(docs.where(F.col("day").isin(repeated)), stored).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        remaining = set(day_names(news))
+        rewritten = day_names(with_ids_of(stored, news))
+        append(news, remaining.difference(rewritten))
+        if rewritten:
+            incoming = news.where(F.col("day").isin(rewritten))
+            old = scan(spark, root, doc_type, rewritten)
+            kept = old.join(incoming.select(*ROW_KEY), ROW_KEY, "left_anti")
+            target = files(rewritten, stored_bytes(old))
+            write(kept.unionByName(incoming), root, doc_type, target, replace_days=True)
+    finally:
+        news.unpersist()
+
+
+def with_ids_of(stored: DataFrame, docs: DataFrame) -> DataFrame:
+    """Keys of stored rows that ``docs`` holds too."""
+    return stored.select(*ROW_KEY).join(docs.select(*ROW_KEY), ROW_KEY, "left_semi")
+
+
+def without_rows_of(docs: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows that are not stored in the very same form.
+
+    Stored rows are cut to the keys of ``docs`` before whole rows are compared,
+    as JSON because maps have no equality.
+    """
+    columns = sorted(docs.columns)
+    text = F.to_json(F.struct(*columns)).alias("text")
+    candidates = stored.join(docs.select(*ROW_KEY), ROW_KEY, "left_semi").select(*ROW_KEY, text)
+    return docs.select("*", text).join(candidates, [*ROW_KEY, "text"], "left_anti").drop("text")
 
 
 def stored_bytes(docs: DataFrame) -> int:

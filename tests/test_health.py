@@ -157,3 +157,14 @@ def test_logs_and_steps(spark):
     assert len(found["h1"]) == 1 and found["h3"] is None
     with pytest.raises(Exception, match=r"Health-check \[h9\] does not exist"):
         g.find_health(docs, ["h1", "h9"], strict=True).collect()
+
+
+def test_hourly_successes_over_two_days(spark):
+    # Bucket positions and their numbers of successful checks.
+    successes = {17: 5, 39: 1, 40: 1, 41: 3}
+    start = NOW - 48 * HOUR
+    rows = [(48 * HOUR - at * HOUR - 7 * MINUTE, "x", True, 1) for at, n in successes.items() for _ in range(n)]
+    docs = checks(spark, *rows, (3 * HOUR, "x", False, 1))
+    frame = health.health_histogram_dense(docs, g.TimeRange(start, NOW), HOUR, api="a", query="available:true", now=NOW)
+    counts = [row["count"] for row in frame.orderBy("timestamp").collect()]
+    assert counts == [successes.get(at, 0) for at in range(49)]

@@ -78,13 +78,24 @@ def test_upsert_over_days(spark, store, feed):
     assert scan(spark, store.root, "request", [DAY2]).inputFiles() == untouched
 
 
-def test_same_batch_again_changes_nothing(store, feed):
-    path = feed("1.json", request("r1"), request("r2", DAY2))
+def test_same_batch_again_writes_nothing(store, feed):
+    headers = {"X": ["1"], "Y": ["2", "3"]}
+    path = feed("1.json", request("r1", **{"client-request-headers": headers}), request("r2", DAY2))
     store.ingest(path)
-    before = statuses(store)
+    before, files = statuses(store), store.documents("request").inputFiles()
     store.ingest(path)
     assert statuses(store) == before
-    assert store.documents("request").count() == 2
+    assert sorted(store.documents("request").inputFiles()) == sorted(files)
+
+
+def test_repeated_and_new_rows_are_told_apart(store, feed):
+    store.ingest(feed("1.json", request("r1"), request("r2", DAY2), request("r3", DAY2)))
+    files = set(store.documents("request").inputFiles())
+    # The first day only repeats and grows; on the second a document changes.
+    store.ingest(feed("2.json", request("r1"), request("r4"), request("r2", DAY2), request("r3", DAY2, status=500)))
+    assert statuses(store) == {(DAY1, "r1"): 200, (DAY1, "r4"): 200, (DAY2, "r2"): 200, (DAY2, "r3"): 500}
+    kept = files & set(store.documents("request").inputFiles())
+    assert [DAY1 in file for file in kept] == [True]
 
 
 def test_windows_line_ends_and_blank_start(store, feed):

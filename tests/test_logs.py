@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 import gatelens as g
 from gatelens.functions.documents import decode_method, headers_map
+from gatelens.functions.predicates import select_documents
 from gatelens.functions.time import to_millis
 from gatelens.operators import logs
+from gatelens.operators.analytics import top_terms
 from gatelens.schemas import table_schema
 
 DAY = g.between(datetime(2024, 1, 2), datetime(2024, 1, 2, 23, 59))
@@ -104,3 +106,16 @@ def test_methods(spark):
 def test_headers(spark):
     row = spark.createDataFrame([('{"A":["1","2"],"B":[]}',)], "h string").select(headers_map(F.col("h")).alias("m")).first()
     assert row.m == {"A": ["1", "2"], "B": []}
+
+
+def test_raw_search(spark):
+    # Eleven checks of a day, seven of one API, one of another, three of none.
+    apis = ["one"] * 7 + ["two"] + [None] * 3
+    rows = [
+        {"id": f"h{n}", "api": api, "ts": datetime(2024, 1, 2, 10, n), "day": "2024.01.02"} for n, api in enumerate(apis)
+    ]
+    docs = frame(spark, "health", *rows, {"id": "late", "api": "one", "ts": datetime(2024, 1, 2, 20), "day": "2024.01.02"})
+    chosen = select_documents(docs, g.between(datetime(2024, 1, 2, 9), datetime(2024, 1, 2, 18)))
+    hits = logs.with_total(logs.newest_first(chosen).limit(3).select("id"), chosen).collect()
+    assert [(r.id, r.total) for r in hits] == [("h10", 11), ("h9", 11), ("h8", 11)]
+    assert [(r.key, r.value) for r in top_terms(chosen, "api", 10).collect()] == [("one", 7), ("two", 1)]
