@@ -199,6 +199,15 @@ def test_pushdown_and_statistics(spark, store, feed):
     assert columns["ts"].is_stats_set and columns["ts"].physical_type == "INT64"
 
 
+def test_files_are_clustered(store, feed):
+    import pyarrow.parquet as pq
+
+    store.ingest(feed("1.json", *[request(f"r{n}", api=f"api-{n * 7 % 5}", day=(DAY1, DAY2)[n % 2]) for n in range(400)]))
+    for file in store.documents("request").inputFiles():
+        apis = pq.ParquetFile(file.removeprefix("file://")).read(columns=["api"])["api"].to_pylist()
+        assert apis == sorted(apis)
+
+
 def test_an_absent_id_reads_no_rows(spark, store, feed):
     store.ingest(feed("1.json", *[request(f"r{n:04}") for n in range(0, 2000, 2)]))
     docs = store.documents("request").where("id = 'r0501'")  # inside the bounds of the statistics

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import gatelens as g
 from gatelens.functions.documents import decode_method, headers_map
-from gatelens.functions.predicates import select_documents
+from gatelens.functions.predicates import field_between, select_documents
 from gatelens.functions.time import to_millis
 from gatelens.operators import logs
 from gatelens.operators.analytics import top_terms
@@ -115,7 +115,9 @@ def test_raw_search(spark):
         {"id": f"h{n}", "api": api, "ts": datetime(2024, 1, 2, 10, n), "day": "2024.01.02"} for n, api in enumerate(apis)
     ]
     docs = frame(spark, "health", *rows, {"id": "late", "api": "one", "ts": datetime(2024, 1, 2, 20), "day": "2024.01.02"})
-    chosen = select_documents(docs, g.between(datetime(2024, 1, 2, 9), datetime(2024, 1, 2, 18)))
+    chosen = docs.where(field_between("@timestamp", "2024-01-02T10:00:00.000+01:00", "2024-01-02T19:00:00.000+01:00"))
+    same = select_documents(docs, g.between(datetime(2024, 1, 2, 9), datetime(2024, 1, 2, 18)))
+    assert sorted(r.id for r in chosen.collect()) == sorted(r.id for r in same.collect())
     hits = logs.with_total(logs.newest_first(chosen).limit(3).select("id"), chosen).collect()
     assert [(r.id, r.total) for r in hits] == [("h10", 11), ("h9", 11), ("h8", 11)]
     assert [(r.key, r.value) for r in top_terms(chosen, "api", 10).collect()] == [("one", 7), ("two", 1)]
