@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from gatelens.schemas import DOCUMENT_FIELDS, EXCHANGE_REQUEST, EXCHANGE_RESPONSE, column_name, document_ddl
 
-# Fixed value: text form of a document's timestamp.
+# Fixed value: text form in which gateways write a document's timestamp.
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
 
 def parse_timestamp(text: Column) -> Column:
-    """TIMESTAMP of ISO text with an offset; bad text fails the query.
+    """TIMESTAMP of ISO text or of epoch milliseconds; bad text fails the query.
 
-    The failure is raised here and not left to ANSI mode, so a session that
-    switched ANSI off does not silently store nulls.
+    Text without an offset is UTC, whatever the session zone is. The failure is
+    raised here and not left to ANSI mode, so a session that switched it off
+    does not silently store nulls.
     """
-    parsed = F.try_to_timestamp(text, F.lit(TIMESTAMP_TEXT))
+    zoned = text.rlike(r"(Z|[+-]\d\d:?\d\d)$")
+    completed = F.concat(text, F.when(F.contains(text, F.lit("T")), F.lit("Z")).otherwise(F.lit("T00:00:00Z")))
+    iso = F.when(zoned, text).otherwise(completed).try_cast("timestamp")
+    parsed = F.when(text.rlike(r"^-?\d+$"), F.timestamp_millis(text.try_cast("bigint"))).otherwise(iso)
     message = F.concat(F.lit("Impossible to parse timestamp field: "), text)
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Parquet timestamps with statistics, so time ranges skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Lists of ids reach the Parquet bloom filters up to this length.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Terms per bucket are limited before the shuffle up to this many.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }

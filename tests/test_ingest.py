@@ -2,8 +2,12 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import gatelens as g
+from gatelens.functions.documents import parse_timestamp
+from gatelens.functions.time import to_millis
+from gatelens.operators import logs
 from gatelens.sources import bulk, tables
 from gatelens.sources.tables import scan, scan_span
 
@@ -117,6 +121,32 @@ def test_files_are_split_between_records(spark, store, feed):
     assert statuses(store) == {(DAY1, f"r{n}"): 202 for n in range(300)}
 
 
+def test_timestamp_texts(spark):
+    noon = to_millis(datetime(2017, 5, 22, 12))
+    texts = {
+        "2017-05-22T13:00:00.079+01:00": noon + 79,
+        "2017-05-22T12:00:00.079Z": noon + 79,
+        "2017-05-22T10:30:00.000-0130": noon,
+        "2017-05-22T12:00:00Z": noon,
+        "2017-05-22T12:00:00.5": noon + 500,
+        "2017-05-22": noon - 12 * 3_600_000,
+        str(noon): noon,
+        "-1": -1,
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        frame = spark.createDataFrame([(text,) for text in texts], "text string")
+        rows = frame.select("text", F.unix_millis(parse_timestamp(F.col("text"))).alias("ms")).collect()
+        assert {r.text: r.ms for r in rows} == texts
+        assert frame.limit(1).select(parse_timestamp(F.lit(None).cast("string")).alias("t")).first().t is None
+        for bad in ("yesterday", "2017-13-01", "12:00", ""):
+            with pytest.raises(Exception, match="parse timestamp"):
+                frame.limit(1).select(parse_timestamp(F.concat(F.lit(bad), F.substring("text", 1, 0)))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize(
     "records",
     [
@@ -210,10 +240,12 @@ def test_files_are_clustered(store, feed):
 
 def test_an_absent_id_reads_no_rows(spark, store, feed):
     store.ingest(feed("1.json", *[request(f"r{n:04}") for n in range(0, 2000, 2)]))
-    docs = store.documents("request").where("id = 'r0501'")  # inside the bounds of the statistics
-    docs.collect()
-    scan_node = docs._jdf.queryExecution().executedPlan().collectLeaves().head()
-    assert scan_node.metrics().apply("numOutputRows").value() == 0
+    # Odd numbers are absent but inside the bounds of the statistics.
+    for ids in (["r0501"], [f"r{n:04}" for n in range(501, 541, 2)]):
+        docs = logs.pick_ids(store.documents("request"), ids)
+        docs.collect()
+        scan_node = docs._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan_node.metrics().apply("numOutputRows").value() == 0
 
 
 def test_stream(store, feed, tmp_path):
