@@ -20,10 +20,13 @@ def parse_timestamp(text: Column) -> Column:
     raised here and not left to ANSI mode, so a session that switched it off
     does not silently store nulls.
     """
-    zoned = text.rlike(r"(Z|[+-]\d\d:?\d\d)$")
-    completed = F.concat(text, F.when(F.contains(text, F.lit("T")), F.lit("Z")).otherwise(F.lit("T00:00:00Z")))
-    iso = F.when(zoned, text).otherwise(completed).try_cast("timestamp")
-    parsed = F.when(text.rlike(r"^-?\d+$"), F.timestamp_millis(text.try_cast("bigint"))).otherwise(iso)
+    iso = text.rlike(r"^\d{4}-\d\d-\d\d(T\d\d:\d\d:\d\d([.]\d+)?(Z|[+-]\d\d:?\d\d)?)?$")
+    zoned = text.rlike(r"T.*(Z|[+-]\d\d:?\d\d)$")
+    missing = F.when(zoned, F.lit("")).when(F.contains(text, F.lit("T")), F.lit("Z")).otherwise(F.lit("T00:00:00Z"))
+    parsed = (
+        F.when(iso, F.concat(text, missing).try_cast("timestamp"))
+        .when(text.rlike(r"^-?\d+$"), F.timestamp_millis(text.try_cast("bigint")))
+    )
     message = F.concat(F.lit("Impossible to parse timestamp field: "), text)
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
