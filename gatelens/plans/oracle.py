@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from gatelens.functions import time
-from gatelens.functions.documents import MONITORING_FIELDS
 from gatelens.plans import queries as q
 
 SQL: dict[str, str] = {}
@@ -59,8 +58,12 @@ FEBRUARY_DAYS = "day BETWEEN '2024.01.15' AND '2024.02.15'"
 ROOT = "api = 'api-1'"
 
 
+def floor(ms: int | str, interval: int) -> str:
+    return f"({ms} // {interval}) * {interval}"
+
+
 def bucket(interval: int = q.HOUR) -> str:
-    return f"(ms // {interval}) * {interval}"
+    return floor("ms", interval)
 
 
 # --- scans -------------------------------------------------------------------
@@ -107,8 +110,8 @@ SQL["count_expression"] = counted(f"{TEN_DAYS} AND (status >= 400 OR response_ti
 
 
 def axis(time_range: time.TimeRange, interval: int) -> str:
-    first, last = time.bucket_floor(time_range.start, interval), time.bucket_floor(time_range.end, interval)
-    return f"axis AS (SELECT unnest(generate_series({first}, {last}, {interval})) AS timestamp)"
+    ends = f"{floor(time_range.start, interval)}, {floor(time_range.end, interval)}"
+    return f"axis AS (SELECT unnest(generate_series({ends}, {interval})) AS timestamp)"
 
 
 SQL["hist_count"] = f"""
@@ -269,7 +272,9 @@ WITH {LOG} SELECT 'X-Size' AS name, header_size AS size, count(*) AS documents F
 
 
 def windows(now: int) -> str:
-    rows = ", ".join(f"('{label}', CAST({start} AS BIGINT))" for label, start in time.rolling_windows(now))
+    intervals = {"1M": "1 MONTH", "1w": "7 DAY", "1d": "1 DAY", "1h": "1 HOUR", "1m": "1 MINUTE"}
+    moment = f"make_timestamp({now} * 1000)"
+    rows = ", ".join(f"('{label}', epoch_ms({moment} - INTERVAL {span}))" for label, span in intervals.items())
     return f'w("range", "from") AS (VALUES {rows})'
 
 
@@ -314,8 +319,8 @@ def health_hours(api: str) -> str:
 
 # The axis reaches over the data and the bounds.
 HEALTH_AXIS = f"""ends AS (
-  SELECT least(min(timestamp), {time.bucket_floor(q.TEN_DAYS.start, q.HOUR)}) AS a,
-    greatest(max(timestamp), {time.bucket_floor(q.TEN_DAYS.end, q.HOUR)}) AS z FROM b),
+  SELECT least(min(timestamp), {floor(q.TEN_DAYS.start, q.HOUR)}) AS a,
+    greatest(max(timestamp), {floor(q.TEN_DAYS.end, q.HOUR)}) AS z FROM b),
 axis AS (SELECT unnest(generate_series(a, z, {q.HOUR})) AS timestamp FROM ends)"""
 
 SQL["health_hist_count"] = f"""
@@ -362,8 +367,8 @@ FROM (SELECT {bucket(SIX_HOURS)} AS timestamp, {kind}(response_time) AS value FR
 SQL["health_hist_series"] = f"""
 WITH {HEALTH}, h AS (SELECT * FROM health WHERE {MONTH_DAYS} AND api = 'api-1'),
 size AS (SELECT CAST((
-    greatest(max({bucket(SIX_HOURS)}), {time.bucket_floor(q.TEN_DAYS.end, SIX_HOURS)})
-    - least(min({bucket(SIX_HOURS)}), {time.bucket_floor(q.TEN_DAYS.start, SIX_HOURS)})) // {SIX_HOURS} + 1 AS INTEGER) AS n
+    greatest(max({bucket(SIX_HOURS)}), {floor(q.TEN_DAYS.end, SIX_HOURS)})
+    - least(min({bucket(SIX_HOURS)}), {floor(q.TEN_DAYS.start, SIX_HOURS)})) // {SIX_HOURS} + 1 AS INTEGER) AS n
   FROM h)
 {health_slot(0, "max")} UNION ALL {health_slot(2, "min")}
 UNION ALL SELECT (SELECT n FROM size), 1, NULL, NULL, NULL
@@ -412,18 +417,14 @@ FACTORS = {
     },
 }
 
-OTHERS = {"os_cpu_percent": "event_id % 100", "jvm_timestamp": "ms"}
-SNAPSHOT = ", ".join(
-    f"{OTHERS.get(name) or f'size * {FACTORS[name]}'} AS {name}"
-    for name in MONITORING_FIELDS
-    if name != "os_cpu_load_average"
-)
+SNAPSHOT = ", ".join(f"size * {factor} AS {name}" for name, factor in FACTORS.items())
 
 
 def snapshots(where: str) -> str:
     return f"""
 WITH {MONITOR}
-SELECT gateway AS gateway_id, ms AS timestamp, hostname, {SNAPSHOT},
+SELECT gateway AS gateway_id, ms AS timestamp, hostname, event_id % 100 AS os_cpu_percent, ms AS jvm_timestamp,
+  {SNAPSHOT},
   value AS load_1m, value / 2 AS load_5m, value / 4 AS load_15m
 FROM monitor WHERE strftime(make_timestamp(ms * 1000), '%Y.%m.%d') = '2024.01.30' AND {where}
 QUALIFY row_number() OVER (PARTITION BY gateway ORDER BY ms DESC, id DESC) = 1"""

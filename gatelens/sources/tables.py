@@ -139,13 +139,13 @@ def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[str, i
     if not repeated:
         return
     stored = scan(spark, root, doc_type, repeated)
-    news = without_rows_of(docs.where(F.col("day").isin(repeated)), stored).persist(StorageLevel.MEMORY_AND_DISK)
+    news = news_against(stored, docs.where(F.col("day").isin(repeated))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        remaining = set(day_names(news))
-        rewritten = day_names(with_ids_of(stored, news))
-        append(news, remaining.difference(rewritten))
+        changes = {row.day: row.changes for row in news.groupBy("day").agg(F.max("changes").alias("changes")).collect()}
+        append(news.drop("changes"), {day for day, changed in changes.items() if not changed})
+        rewritten = sorted(day for day, changed in changes.items() if changed)
         if rewritten:
-            incoming = news.where(F.col("day").isin(rewritten))
+            incoming = news.where(F.col("day").isin(rewritten)).drop("changes")
             old = scan(spark, root, doc_type, rewritten)
             kept = old.join(incoming.select(*ROW_KEY), ROW_KEY, "left_anti")
             target = files(rewritten, stored_bytes(old))
@@ -159,16 +159,17 @@ def with_ids_of(stored: DataFrame, docs: DataFrame) -> DataFrame:
     return stored.select(*ROW_KEY).join(docs.select(*ROW_KEY), ROW_KEY, "left_semi")
 
 
-def without_rows_of(docs: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows that are not stored in the very same form.
+def news_against(stored: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows that are not stored in the very same form; ``changes`` tells which are stored in another.
 
     Stored rows are cut to the keys of ``docs`` before whole rows are compared,
     as JSON because maps have no equality.
     """
-    columns = sorted(docs.columns)
-    text = F.to_json(F.struct(*columns)).alias("text")
-    candidates = stored.join(docs.select(*ROW_KEY), ROW_KEY, "left_semi").select(*ROW_KEY, text)
-    return docs.select("*", text).join(candidates, [*ROW_KEY, "text"], "left_anti").drop("text")
+    text = F.to_json(F.struct(*sorted(docs.columns)))
+    candidates = stored.join(docs.select(*ROW_KEY), ROW_KEY, "left_semi").select(*ROW_KEY, text.alias("stored_text"))
+    joined = docs.withColumn("text", text).join(candidates, ROW_KEY, "left")
+    news = joined.where(F.col("stored_text").isNull() | (F.col("stored_text") != F.col("text")))
+    return news.withColumn("changes", F.col("stored_text").isNotNull()).drop("text", "stored_text")
 
 
 def stored_bytes(docs: DataFrame) -> int:
