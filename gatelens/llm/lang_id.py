@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatelens.llm.common import row_slices, ship, text_bytes
@@ -21,6 +21,8 @@ BUCKETS = 1 << 16
 ROUNDS = 10
 ADDED = 0.5
 UNKNOWN = "und"
+#: Bytes of text judged at once.
+SLICE = 4 << 20
 
 _MAP = np.zeros(256, np.uint8)  # bytes of letters, A-Z as a-z; all others are 0, the space between words
 _MAP[97:123] = _MAP[65:91] = np.arange(97, 123)
@@ -121,29 +123,27 @@ def mixtures(words: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     return np.where(active, shares, 0)
 
 
-def _predict(langs: list[str], table: np.ndarray, penalty: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in row_slices(batch, "text", 4 << 20):
-                codes, starts, edges = _trigrams(part.column("text"))
-                sizes = np.diff(edges)
-                lettered = part.column("lettered").to_numpy(zero_copy_only=False).astype(bool) & (sizes > 0) & bool(langs)
-                names: list[str] = [UNKNOWN] * part.num_rows
-                scores = np.zeros(part.num_rows)
-                found: list[list[dict]] = [[] for _ in names]
-                if lettered.any():
-                    words = np.stack([np.add.reduceat(t[codes], starts) for t in table])
-                    shares = mixtures(words[:, np.repeat(lettered, sizes)], sizes[lettered], penalty)
-                    best = shares.argmax(axis=0)
-                    for k, i in enumerate(np.flatnonzero(lettered).tolist()):
-                        names[i], scores[i] = langs[best[k]], min(1.0, float(shares[best[k], k]))
-                        found[i] = [{"lang": langs[j], "share": float(shares[j, k])} for j in np.argsort(-shares[:, k], kind="stable").tolist() if shares[j, k] > 0]
-                kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-                kept = [part.column(i) for i, n in enumerate(part.schema.names) if n not in ("text", "lettered")]
-                own = [n for n in part.schema.names if n not in ("text", "lettered")]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores), pa.array(found, kind)], names=[*own, "lang_pred", "score", "languages"])
-
-    return run
+def _judge(texts: pa.Array, lettered: np.ndarray, langs: list[str], table: np.ndarray, penalty: float) -> tuple[list[str], np.ndarray, list[list[dict]]]:
+    """Predicted language, its share, and all selected languages of each text."""
+    codes, starts, edges = _trigrams(texts)
+    sizes = np.diff(edges)
+    judged = lettered & (sizes > 0) & bool(langs)
+    names, scores, found = [UNKNOWN] * len(sizes), np.zeros(len(sizes)), [[] for _ in sizes]
+    if judged.any():
+        words = np.stack([np.add.reduceat(t[codes], starts) for t in table])
+        shares = mixtures(words[:, np.repeat(judged, sizes)], sizes[judged], penalty)
+        best = shares.argmax(axis=0)
+        for k, i in enumerate(np.flatnonzero(judged).tolist()):
+            names[i], scores[i] = langs[best[k]], min(1.0, float(shares[best[k], k]))
+            found[i] = [{"lang": langs[j], "share": float(shares[j, k])} for j in np.argsort(-shares[:, k], kind="stable").tolist() if shares[j, k] > 0]
+    return names, scores, found
+
+
+def _letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
+_SHARES = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_column: str = "doc_id", text_column: str = "text", penalty: float = 5.0) -> DataFrame:
@@ -159,7 +159,35 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_column: st
     ship(docs.sparkSession)
     langs, table = model
     id_type = dict(docs.dtypes)[id_column]
-    text = F.col(text_column)
-    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    out = rows.mapInArrow(_predict(langs, table, penalty), f"id {id_type}, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), _letters(F.col(text_column)).alias("lettered"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, "text", SLICE):
+                lettered = part.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
+                names, scores, found = _judge(part.column("text"), lettered, langs, table, penalty)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(names, pa.string()), pa.array(scores), pa.array(found, _SHARES)], names=["id", "lang_pred", "score", "languages"])
+
+    out = rows.mapInArrow(run, f"id {id_type}, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
     return out.withColumnRenamed("id", id_column)
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_share: float = 0.4, text_column: str = "text", penalty: float = 5.0) -> DataFrame:
+    """``docs`` without the rows whose language can't be told (``und``), or of which no language makes up ``min_share``
+    of the words. All columns stay as they are; texts are not shuffled. Cases as in :func:`identify`."""
+    ship(docs.sparkSession)
+    langs, table = model
+    flag = next(n for n in (f"_lettered{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    at = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for part in row_slices(named, f"c{at}", SLICE):
+                lettered = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
+                names, scores, _ = _judge(part.column(at), lettered, langs, table, penalty)
+                keep = pa.array((np.array(names) != UNKNOWN) & (scores >= min_share))
+                rows = part.filter(keep)
+                yield pa.RecordBatch.from_arrays(rows.columns[:-1], names=batch.schema.names[:-1])
+
+    return docs.withColumn(flag, _letters(F.col(text_column))).mapInArrow(run, docs.schema)

@@ -25,8 +25,10 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(SPACES)))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 2, min_length: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with repeated lines removed from the text, and (n_lines, n_dropped) of each row behind its columns.
+def dedup_lines(
+    docs: DataFrame, min_docs: int = 2, min_length: int = 10, id_column: str = "doc_id", text_column: str = "text", counts: bool = True
+) -> DataFrame:
+    """``docs`` with repeated lines removed from the text, and with ``counts`` (n_lines, n_dropped) of each row behind its columns.
 
     Lines end at ``\\n``. Keys (:func:`line_key`) of at least ``min_length`` code points found in at least ``min_docs``
     documents lose all their lines but those of the smallest id that holds them; other lines stay, joined by ``\\n``.
@@ -36,7 +38,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_length: int = 10, id_col
     behind all others. An empty table gives an empty result. Other columns stay as they are; those named n_lines or
     n_dropped give way to the counts.
     """
-    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    own = [c for c in docs.columns if not counts or c not in ("n_lines", "n_dropped")]
     ident = F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID))
     text = F.coalesce(F.col(text_column), F.lit(""))
     row = [ident.alias("_doc"), F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(7), text).alias("_t2")]
@@ -68,8 +70,5 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_length: int = 10, id_col
         lambda i: F.slice("_lines", F.element_at("_edges", i) + 2, F.element_at("_edges", i + 1) - F.element_at("_edges", i) - 1),
     )
     kept = F.when(F.size("_drops") == 0, text).otherwise(F.array_join(F.flatten(runs), "\n"))
-    return out.select(
-        *[kept.alias(c) if c == text_column else F.col(c) for c in own],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.size("_drops").cast("long").alias("n_dropped"),
-    )
+    numbers = [F.size("_lines").cast("long").alias("n_lines"), F.size("_drops").cast("long").alias("n_dropped")]
+    return out.select(*[kept.alias(c) if c == text_column else F.col(c) for c in own], *(numbers if counts else []))
