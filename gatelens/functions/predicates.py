@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from gatelens.functions.time import TimeRange, day_span, in_time_range, restrict_days
 from gatelens.schemas import column_name
 
-CLAUSE = re.compile(r'\s*([@\w.-]+):(?:"([^"]*)"|([^\s"]+))\s*')
+# Pieces of a query string: a clause (field, then a quoted text, a range or a word), an operator or a parenthesis.
+PIECE = re.compile(
+    r"""(?P<field>[@\w][\w.-]*):(?:"(?P<quoted>(?:[^"\\]|\\.)*)"|(?P<range>[\[{][^\]}]*[\]}])|(?P<word>[^\s()":][^\s()"]*))"""
+    r"""|(?P<operator>AND|OR|NOT|&&|\|\|)(?=[\s(]|$)|(?P<parenthesis>[()])|\s+"""
+)
+RANGE = re.compile(r'([\[{])\s*("[^"]*"|\S+)\s+TO\s+("[^"]*"|\S+)\s*([\]}])')
+COMPARISON = re.compile(r"(>=|<=|>|<)(.+)")
+OPERATORS = {"&&": "AND", "||": "OR"}
 
 
 def equals(field: str, value) -> Column:
@@ -29,13 +36,90 @@ def field_between(field: str, gte=None, lte=None) -> Column:
 
 
 def matches(query: str | Column) -> Column:
-    """User filter: ``field:value`` clauses joined by AND, or a Spark SQL boolean."""
+    """User filter: a query string, a Spark SQL boolean, or a Column.
+
+    A query string consists of clauses joined by ``AND``, ``OR``, ``NOT`` and parentheses; clauses that only follow one
+    another are joined by ``OR``. A clause is ``field:value``, ``field:"quoted value"``, ``field:wild*car?``,
+    ``field:[a TO b]`` (``{`` and ``}`` exclude the end, ``*`` leaves it open), ``field:>=a`` or ``_exists_:field``.
+    Clauses become SQL conditions; Spark parses how they are joined. A text with clauses and anything else is refused.
+    """
     if isinstance(query, Column):
         return query
-    clauses = [CLAUSE.fullmatch(part) for part in query.split(" AND ")]
-    if all(clauses):
-        return all_of(equals(c[1], c[2] if c[2] is not None else c[3]) for c in clauses)
-    return F.expr(query)
+    pieces = query_pieces(query)
+    return F.expr(query if pieces is None else joined_clauses(pieces))
+
+
+def query_pieces(query: str) -> list[re.Match] | None:
+    """The pieces of a query string; None for a text without clauses, which is SQL."""
+    pieces, at, rest = [], 0, ""
+    while at < len(query):
+        piece = PIECE.match(query, at)
+        if piece is None:
+            rest = rest or query[at:]
+            at += 1
+            continue
+        pieces.append(piece)
+        at = piece.end()
+    pieces = [p for p in pieces if p[0].strip()]
+    clauses = [p for p in pieces if p["field"]]
+    if not clauses or (rest and re.search(r"[<>=']|::", PIECE.sub(" ", query))):
+        return None
+    if rest:
+        raise ValueError(f"not understood in query {query!r}: {rest!r}")
+    return pieces
+
+
+def joined_clauses(pieces: list[re.Match]) -> str:
+    negated = any(p["operator"] == "NOT" for p in pieces)
+    words, open_end = [], False  # open_end: an operand has just ended
+    for piece in pieces:
+        starts = piece["field"] or piece[0] == "(" or piece["operator"] == "NOT"
+        if starts and open_end:
+            words.append("OR")
+        open_end = bool(piece["field"]) or piece[0] == ")"
+        if piece["field"]:
+            condition = clause_condition(piece)
+            # A document without the field is one that doesn't match, also under NOT.
+            words.append(f"coalesce({condition}, false)" if negated else f"({condition})")
+        else:
+            words.append(OPERATORS.get(piece[0], piece[0]))
+    return " ".join(words)
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def clause_condition(piece: re.Match) -> str:
+    """One clause as SQL."""
+    if piece["field"] == "_exists_":
+        return f"`{column_name(piece['quoted'] or piece['word'])}` IS NOT NULL"
+    column = f"`{column_name(piece['field'])}`"
+    if piece["quoted"] is not None:
+        return f"{column} = {sql_text(re.sub(r'\\(.)', r'\1', piece['quoted']))}"
+    if piece["range"]:
+        ends = RANGE.fullmatch(piece["range"])
+        if ends is None:
+            raise ValueError(f"not a range: {piece[0]!r}")
+        low, high = (e[1:-1] if e.startswith('"') else e for e in (ends[2], ends[3]))
+        tests = [f"{column} IS NOT NULL"]
+        if low != "*":
+            tests.append(f"{column} {'>=' if ends[1] == '[' else '>'} {sql_text(low)}")
+        if high != "*":
+            tests.append(f"{column} {'<=' if ends[4] == ']' else '<'} {sql_text(high)}")
+        return " AND ".join(tests)
+    word = piece["word"]
+    if comparison := COMPARISON.fullmatch(word):
+        return f"{column} {comparison[1]} {sql_text(comparison[2])}"
+    if word == "*":
+        return f"{column} IS NOT NULL"
+    if re.search(r"(?<!\\)[*?]", word):
+        signs = {"*": "%", "?": "_", "%": "\\%", "_": "\\_"}
+        pattern = re.sub(r"\\(.)|([*?%_])", lambda m: m[1] if m[1] and m[1] not in "%_" else signs.get(m[2] or m[1], m[0]), word)
+        return f"CAST({column} AS STRING) LIKE {sql_text(pattern)}"
+    if re.search(r"[~^]\d*$", word):
+        raise ValueError(f"fuzzy and boosted clauses are not supported: {piece[0]!r}")
+    return f"{column} = {sql_text(re.sub(r'\\(.)', r'\1', word))}"
 
 
 def all_of(tests: Iterable[Column]) -> Column:

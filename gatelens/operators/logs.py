@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatelens.functions.documents import EXCHANGES, drop_payloads, request_columns
-from gatelens.functions.predicates import has_id, select_documents
+from gatelens.functions.predicates import all_of, has_id, select_documents
 from gatelens.functions.time import TimeRange
 
 # Lookups of at most this many literal ids become an IN list, which reaches the
@@ -31,11 +31,11 @@ def newest_first(docs: DataFrame) -> DataFrame:
 
 
 def page_of(docs: DataFrame, page: int, size: int) -> DataFrame:
-    """The 1-based page of documents, newest first.
+    """The 1-based page of documents, newest first; those without a timestamp come last.
 
     Near the front it is a top-k: a task keeps no more than ``page * size`` rows.
     A deep page would make every task send that many to one, so it is located by
-    counting instead.
+    counting instead; both ways give the same rows.
 
     In a day-partitioned table the page is found over narrow keys first, and
     whole documents are read only of the days it falls on.
@@ -52,41 +52,72 @@ def page_of(docs: DataFrame, page: int, size: int) -> DataFrame:
     else:
         return newest_first(docs).offset(offset).limit(size)
     rows = F.broadcast(rows) if size <= BROADCAST_IDS else rows
-    return newest_first(docs.join(rows, keys, "left_semi")).limit(size)
+    return newest_first(same_keys(docs, rows, keys, "left_semi")).limit(size)
+
+
+def same_keys(docs: DataFrame, rows: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys that may be null, nulls being equal; days never are, and a plain test prunes by them."""
+    rows = rows.withColumnsRenamed({name: f"{name}_of_page" for name in keys})
+    tests = [
+        F.col(name) == F.col(f"{name}_of_page") if name == "day" else F.col(name).eqNullSafe(F.col(f"{name}_of_page"))
+        for name in keys
+    ]
+    joined = docs.join(rows, all_of(tests), how)
+    return joined if how == "left_semi" else joined.drop(*[f"{name}_of_page" for name in keys])
+
+
+# Lengths of the id prefixes that narrow down a page within one millisecond.
+PREFIXES = (12, 28)
 
 
 def deep_page_keys(keys: DataFrame, offset: int, size: int) -> DataFrame:
     """Keys of the documents at positions ``offset .. offset + size``, newest first.
 
-    Documents are counted per minute; running totals tell which minutes the page
-    overlaps. Within those they are counted per millisecond, then per id prefix,
-    and only the documents of the last few groups are numbered one by one. Each
-    step reads the keys once more and keeps no more groups than the page has
-    documents. The running totals go over one row per minute of the span.
+    Documents are counted per minute; running totals, first over days and then
+    within each, tell which minutes the page overlaps. Within those they are
+    counted per millisecond, then per id prefix of growing length, and only the
+    documents of the last few groups are numbered one by one. Each step reads the
+    keys once more and keeps no more groups than the page has documents. Documents
+    without a timestamp are one last minute, split up by their ids.
     """
     millis = F.unix_millis("ts")
     levels = {
         "minute": F.floor(millis / 60_000).cast("bigint"),
         "millis": millis,
-        "prefix": F.left("id", F.lit(4)),
+        **{f"prefix_{n}": F.left("id", F.lit(n)) for n in PREFIXES},
     }
     leveled = keys.select("*", *[column.alias(name) for name, column in levels.items()])
-    near, path = leveled.withColumn("before", F.lit(0).cast("bigint")), []
+    zero = F.lit(0).cast("bigint")
+    near, path = leveled.withColumn("before", zero), []
     for name in levels:
         counts = near.groupBy(*path, name, "before").agg(F.count("*").alias("n"))
-        newer = Window.partitionBy(*path).orderBy(F.desc(name)).rowsBetween(Window.unboundedPreceding, -1)
+        if not path:
+            counts = after_newer_days(counts)
+        part = [*path] if path else [F.floor(F.col(name) / 1_440)]
+        newer = Window.partitionBy(*part).orderBy(F.col(name).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
         path.append(name)
-        start = F.col("before") + F.coalesce(F.sum("n").over(newer), F.lit(0).cast("bigint"))
+        start = F.col("before") + F.coalesce(F.sum("n").over(newer), zero)
         placed = counts.select(*path, "n", start.alias("before"))
         overlapping = placed.where((F.col("before") < offset + size) & (F.col("before") + F.col("n") > offset))
         overlapping = overlapping.drop("n")
-        near = leveled.join(F.broadcast(overlapping) if size <= BROADCAST_IDS else overlapping, path)
-    position = F.col("before") + F.row_number().over(Window.partitionBy(*path).orderBy(F.desc("id")))
+        near = same_keys(leveled, F.broadcast(overlapping) if size <= BROADCAST_IDS else overlapping, path, "inner")
+    order = F.col("id").desc_nulls_last()
+    position = F.col("before") + F.row_number().over(Window.partitionBy(*path).orderBy(order))
     numbered = near.withColumn("position", position)
     chosen = numbered.where((F.col("position") > offset) & (F.col("position") <= offset + size))
     return chosen.select(*keys.columns)
 
 
+def after_newer_days(minutes: DataFrame) -> DataFrame:
+    """Adds to ``before`` what all newer days hold; one row per day is all that has to be put in order at once."""
+    day = F.floor(F.col("minute") / 1_440)
+    totals = minutes.groupBy(day.alias("day_number")).agg(F.sum("n").alias("total"))
+    newer = Window.orderBy(F.col("day_number").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("day_number", F.coalesce(F.sum("total").over(newer), F.lit(0).cast("bigint")).alias("start"))
+    joined = minutes.join(starts, day.eqNullSafe(F.col("day_number")))
+    return joined.withColumn("before", F.col("before") + F.col("start")).drop("day_number", "start")
+
+
 def with_total(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the total of ``docs``, counted over the filter columns only."""
     return rows.withColumn("total", hits_total(docs).scalar())
@@ -147,22 +178,31 @@ def missing_ids(docs: DataFrame, ids: DataFrame | Iterable[str]) -> DataFrame:
 def must_exist(found: DataFrame, ids: DataFrame | Iterable[str], what: str) -> DataFrame:
     """``found``, or a failing query as soon as it runs when an id has no row."""
     wanted = id_frame(found, ids)
-    message = F.concat(F.lit(f"{what} ["), F.col("id"), F.lit("] does not exist"))
-    present = F.when(F.col("present").isNull(), F.raise_error(message)).otherwise(F.col("id"))
+    message = F.concat(F.lit(f"no {what} has the id "), F.col("id"))
     joined = wanted.join(found.withColumn("present", F.lit(True)), "id", "left")
-    return joined.withColumn("id", present).select(*found.columns)
+    # The check decides about rows, so it runs whatever columns are selected or counted.
+    present = F.when(F.col("present").isNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(present).select(*found.columns)
 
 
 def request_with_log(requests: DataFrame, logs: DataFrame, codes: Mapping[int, str] | None = None) -> DataFrame:
     """Requests beside the payloads logged under the same id on the same day.
 
-    A left join: a request that was not logged has null payloads.  ``day`` in
-    the key lets Spark prune the log table to the days the requests fall on.
+    A left join: a request that was not logged has null payloads.
     """
     left = drop_payloads(requests).select("day", *request_columns(codes))
     return left.join(logs.select("id", "day", *EXCHANGES), ["id", "day"], "left")
 
 
+def on_days_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents of the days that ``found`` falls on: a run-time filter, which prunes the partitions of a stored table.
+
+    One value per day is all that it gathers.
+    """
+    days = found.agg(F.collect_set("day").alias("days")).scalar()
+    return docs.where(F.array_contains(days, F.col("day")))
+
+
 def find_requests(
     requests: DataFrame,
     logs: DataFrame,
@@ -173,7 +213,8 @@ def find_requests(
     """Extended logs of the listed requests; ``strict`` fails on an unknown id."""
     if not isinstance(ids, DataFrame):
         ids = list(ids)
-    # Both sides are cut to the ids before they meet: payloads are the widest
-    # rows of the store and must not be shuffled for a lookup.
-    found = request_with_log(pick_ids(requests, ids), pick_ids(logs, ids), codes)
-    return must_exist(found, ids, "Request") if strict else found
+    # Requests are found first, over narrow rows; payloads, the widest rows of the store, are read of the days found
+    # only, and cut to the ids before they meet.
+    picked = pick_ids(requests, ids)
+    found = request_with_log(picked, pick_ids(on_days_of(logs, picked), ids), codes)
+    return must_exist(found, ids, "request") if strict else found

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import gatelens as g
 from gatelens.functions.documents import decode_method, headers_map
-from gatelens.functions.predicates import field_between, select_documents
+from gatelens.functions.predicates import field_between, matches, select_documents
 from gatelens.functions.time import to_millis
 from gatelens.operators import logs
 from gatelens.operators.analytics import top_terms
@@ -92,7 +92,7 @@ def test_find_by_frame_is_the_same(spark, requests, payloads):
 
 def test_missing(spark, requests, payloads):
     assert [r.id for r in g.missing_ids(requests, ["r1", "r8", "r8"]).collect()] == ["r8"]
-    with pytest.raises(Exception, match=r"Request \[r8\] does not exist"):
+    with pytest.raises(Exception, match="no request has the id r8"):
         g.find_requests(requests, payloads, ["r1", "r8"], strict=True).collect()
     assert g.find_requests(requests, payloads, ["r1"], strict=True).first().id == "r1"
 
@@ -121,3 +121,58 @@ def test_raw_search(spark):
     hits = logs.with_total(logs.newest_first(chosen).limit(3).select("id"), chosen).collect()
     assert [(r.id, r.total) for r in hits] == [("h10", 11), ("h9", 11), ("h8", 11)]
     assert [(r.key, r.value) for r in top_terms(chosen, "api", 10).collect()] == [("one", 7), ("two", 1)]
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+@pytest.mark.parametrize("ids", ["r{:05}", "a-very-long-common-prefix-of-all-the-ids-{:05}"])
+def test_all_pages_are_the_sorted_documents(spark, monkeypatch, partitioned, ids):
+    """Shallow and deep pages, with shared, missing and null keys, are pieces of one order."""
+    rows = []
+    for n in range(120):
+        ts = None if n % 9 == 0 else datetime(2024, 1, 1 + n % 3, 10, 0, n % 4)
+        rows.append((ids.format(n), ts, "2024.01.0" + str(1 + n % 3)))
+    docs = spark.createDataFrame(rows, "id string, ts timestamp, day string")
+    docs = docs if partitioned else docs.drop("day")
+    expected = [r.id for r in logs.newest_first(docs).collect()]
+    assert expected[-1] == ids.format(0) and len(expected) == 120
+    for limit in (10_000, 0, 40):
+        monkeypatch.setattr(logs, "TOP_K_ROWS", limit)
+        for size in (7, 50):
+            pages = [[r.id for r in logs.page_of(docs, page, size).collect()] for page in range(1, 120 // size + 2)]
+            assert [i for page in pages for i in page] == expected, (limit, size)
+
+
+def test_broadcast_limits_change_plans_only(spark, requests, payloads, monkeypatch):
+    many = [f"r{n}" for n in range(logs.LITERAL_IDS + 1)]
+    before = sorted(r.id for r in g.find_requests(requests, payloads, many).collect())
+    monkeypatch.setattr(logs, "BROADCAST_IDS", 1)
+    assert sorted(r.id for r in g.find_requests(requests, payloads, many).collect()) == before
+    assert [r.id for r in logs.page_of(requests, 1, 2).collect()] == ["r5", "r3"]
+
+
+@pytest.mark.parametrize(
+    ("query", "expected"),
+    [
+        ('api:a AND method:"POST"', ["r2"]),
+        ("api:b OR method:9", ["r3", "r4"]),
+        ("api:b method:9", ["r3", "r4"]),
+        ("NOT tenant:t", ["r1", "r2", "r3", "r5"]),
+        ("api:a AND NOT (method:POST OR method:9)", ["r1", "r5"]),
+        ("method:P*T", ["r2"]),
+        ("method:?", ["r1", "r3", "r4", "r5"]),
+        ("method:*", ["r1", "r2", "r3", "r4", "r5"]),
+        ("_exists_:tenant", ["r4"]),
+        ("response-time:[4 TO 5] AND response-time:{3 TO *]", ["r1", "r2", "r3", "r4", "r5"]),
+        ("response-time:>4", []),
+        ('tenant:"x AND y"', []),
+        ("api_response_time = 2 OR tenant = 't:u'", ["r2"]),
+    ],
+)
+def test_query_strings(requests, query, expected):
+    assert sorted(r.id for r in requests.where(matches(query)).collect()) == expected
+
+
+@pytest.mark.parametrize("query", ["api:a AND foo", "api:[1 TO", "api:abc~2", "+api:a"])
+def test_other_query_strings_are_refused(requests, query):
+    with pytest.raises(ValueError, match="not understood|not a range|not supported"):
+        requests.where(matches(query)).collect()
