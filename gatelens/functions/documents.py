@@ -13,36 +13,53 @@ from gatelens.schemas import DOCUMENT_FIELDS, EXCHANGE_REQUEST, EXCHANGE_RESPONS
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
 
-def parse_timestamp(text: Column) -> Column:
-    """TIMESTAMP of ISO text or of epoch milliseconds; bad text fails the query.
+def read_timestamp(text: Column) -> Column:
+    """TIMESTAMP of ISO text or of epoch milliseconds, to the millisecond; null for anything else.
 
-    Text without an offset is UTC, whatever the session zone is. The failure is
-    raised here and not left to ANSI mode, so a session that switched it off
-    does not silently store nulls.
+    Text without an offset is UTC, whatever the session zone is.
     """
     iso = text.rlike(r"^\d{4}-\d\d-\d\d(T\d\d:\d\d:\d\d([.]\d+)?(Z|[+-]\d\d:?\d\d)?)?$")
     zoned = text.rlike(r"T.*(Z|[+-]\d\d:?\d\d)$")
     missing = F.when(zoned, F.lit("")).when(F.contains(text, F.lit("T")), F.lit("Z")).otherwise(F.lit("T00:00:00Z"))
-    parsed = (
-        F.when(iso, F.concat(text, missing).try_cast("timestamp"))
-        .when(text.rlike(r"^-?\d+$"), F.timestamp_millis(text.try_cast("bigint")))
+    millis = (
+        F.when(iso, F.unix_millis(F.concat(text, missing).try_cast("timestamp")))
+        .when(text.rlike(r"^-?\d+$"), text.try_cast("bigint"))
     )
-    message = F.concat(F.lit("Impossible to parse timestamp field: "), text)
+    return F.timestamp_millis(millis)
+
+
+def parse_timestamp(text: Column) -> Column:
+    """The same; bad text fails the query.
+
+    The failure is raised here and not left to ANSI mode, so a session that
+    switched it off does not silently store nulls.
+    """
+    parsed = read_timestamp(text)
+    message = F.concat(F.lit("not a timestamp: "), text)
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
 
+UNREADABLE = "_unreadable"
+
+
 def from_document(doc_type: str, source: Column) -> Column:
     """Typed struct of a JSON document; a malformed one fails the query."""
     return F.from_json(source, document_ddl(doc_type), {"mode": "FAILFAST"})
 
 
-def table_columns(doc_type: str, document: str) -> list[Column]:
-    """Table columns out of the typed document struct."""
+def try_document(doc_type: str, source: Column) -> Column:
+    """Typed struct of a JSON document; of a malformed one the text is in the field ``UNREADABLE``."""
+    schema = f"{document_ddl(doc_type)}, `{UNREADABLE}` string"
+    return F.from_json(source, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+
+
+def table_columns(doc_type: str, document: str, checked: bool = False) -> list[Column]:
+    """Table columns out of the typed document struct; of ``checked`` documents bad timestamps are gone already."""
     columns = []
     for field in DOCUMENT_FIELDS[doc_type]:
         value = F.col(f"{document}.`{field}`")
         if field == "@timestamp":
-            value = parse_timestamp(value)
+            value = read_timestamp(value) if checked else parse_timestamp(value)
         elif (doc_type, field) == ("health", "steps"):
             value = F.coalesce(value, single_step(document))
         columns.append(value.alias(column_name(field)))

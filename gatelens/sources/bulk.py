@@ -6,126 +6,193 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gatelens.functions.documents import from_document, table_columns
-from gatelens.schemas import DOC_TYPES
-from gatelens.sources.tables import upsert
+from gatelens.functions.documents import UNREADABLE, read_timestamp, table_columns, try_document
+from gatelens.schemas import DOC_TYPES, DOCUMENT_FIELDS
+from gatelens.sources.tables import bucket_of, upsert
 
-# An action opens a record, so files split between pairs and never inside one.
+# How an action usually opens; files split in front of it, between records.
 ACTION = '{"index":'
-RECORD_SEPARATOR = "\n" + ACTION
+OPENING = r'^\s*\{\s*"index"\s*:'
 
 ACTION_SCHEMA = "index struct<_index:string,_type:string,_id:string>"
-OPENING_PATTERN = r'^\{"index":'
 DAY_PATTERN = r"(\d{4}\.\d{2}\.\d{2})$"
+PLACE = "struct<turn:int,time:timestamp,file:string,offset:bigint,row:bigint,pair:int>"
+REJECTS = "rejects"
+
+
+def separator(opening: str = ACTION) -> str:
+    return "\n" + opening
+
+
+def opening_of(spark: SparkSession, path: str) -> str:
+    """How the first action of a file or folder opens, spaces included.
+
+    It only decides where files are cut for reading. Actions that open otherwise
+    are found within the pieces.
+    """
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+    found = re.match(OPENING, first[0][0]) if first else None
+    return found[0].lstrip() if found else ACTION
 
 
 def read_bulk(spark: SparkSession, *paths: str) -> DataFrame:
-    """Records of bulk files with their place in the feed."""
-    return placed(located(spark.read.option("lineSep", RECORD_SEPARATOR).text(list(paths))))
+    """Records of bulk files with their place in the feed: paths in the given order."""
+    feeds = []
+    for turn, path in enumerate(paths):
+        opening = opening_of(spark, path)
+        lines = spark.read.option("lineSep", separator(opening)).text(path)
+        feeds.append(placed(located(lines), opening, turn))
+    union = feeds[0]
+    for feed in feeds[1:]:
+        union = union.unionByName(feed)
+    return union
 
 
 def text_records(spark: SparkSession, text: str) -> DataFrame:
     """Records of a bulk request held as a string."""
-    parts = text.replace("\r\n", "\n").split(RECORD_SEPARATOR)
-    rows = [(part, ("", 0, row)) for row, part in enumerate(parts)]
-    return spark.createDataFrame(rows, "value string, place struct<file:string,offset:bigint,row:bigint>")
+    parts = text.replace("\r\n", "\n").split(separator())
+    rows = [(part, ACTION, (0, None, "", 0, row, 0)) for row, part in enumerate(parts)]
+    return spark.createDataFrame(rows, f"value string, opening string, place {PLACE}")
 
 
 def located(records: DataFrame) -> DataFrame:
-    """Records with the file and the split they were read from."""
+    """Records with the file, its age and the split they were read from."""
     return records.select(
         "value",
+        F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
     )
 
 
-def placed(records: DataFrame) -> DataFrame:
-    """Adds ``place``: files by name, then position in the file.
+def placed(records: DataFrame, opening: str = ACTION, turn: int = 0) -> DataFrame:
+    """Adds ``place``: files by age, then by name, then position in the file.
 
     Within a split rows are numbered as read, and splits carry their offset, so
-    this orders a file exactly although many tasks read it.
+    this orders a file exactly although many tasks read it. The age decides in a
+    stream, too, so it doesn't matter how many files a batch takes.
     """
-    place = F.struct("file", "offset", F.monotonically_increasing_id().alias("row"))
-    return records.select("value", place.alias("place"))
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    place = F.struct(F.lit(turn).alias("turn"), "time", "file", "offset", row.alias("row"), F.lit(0).alias("pair"))
+    return records.select("value", F.lit(opening).alias("opening"), place.alias("place"))
 
 
-def parse_bulk(records: DataFrame) -> DataFrame:
-    """``doc_type, day, id, source, place`` of every record.
+def parse_bulk(records: DataFrame, on_error: str = "reject") -> DataFrame:
+    """``doc_type, day, id, <a struct per type>, bytes, place, reason, source`` of every record.
 
-    The separator eats the start of the action; only the first record of a file
-    still has it.  A record that is not a usable action and one document line
-    fails the query.
+    Each document is parsed once. ``reason`` tells why a record can't be stored, and is null for all others; with
+    ``on_error="fail"`` such a record fails the query instead.
     """
-    lines = F.split("value", "\n", 3)
-    action_text = F.concat(F.lit(ACTION), F.regexp_replace(F.element_at(lines, 1), OPENING_PATTERN, ""))
-    parsed = records.where(F.trim("value") != "").select(
-        F.from_json(action_text, ACTION_SCHEMA)["index"].alias("action"),
-        F.try_element_at(lines, F.lit(2)).alias("source"),
-        F.coalesce(F.try_element_at(lines, F.lit(3)), F.lit("")).alias("excess"),
-        "place",
+    if on_error not in ("reject", "fail"):
+        raise ValueError(f"unknown way to treat bad records: {on_error!r}")
+    if "opening" not in records.columns:
+        records = records.withColumn("opening", F.lit(ACTION))
+    # The separator eats the start of the action; only the first record of a file still has it.
+    text = F.when(F.col("value").rlike(OPENING), F.col("value")).otherwise(F.concat("opening", "value"))
+    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
+    # One pair of lines, or more where an action opens in another way than the first of its file.
+    pairs = records.where(F.trim("value") != "").select("place", F.posexplode(pairs_of(lines)).alias("pair", "lines"))
+    parsed = pairs.select(
+        F.from_json(F.col("lines")[0], ACTION_SCHEMA)["index"].alias("action"),
+        F.try_element_at("lines", F.lit(2)).alias("source"),
+        F.col("lines")[0].alias("action_text"),
+        F.col("place").withField("pair", F.col("pair")).alias("place"),
     )
-    day = F.regexp_extract(F.col("action._index"), DAY_PATTERN, 1)
-    usable = (
-        F.col("action._id").isNotNull()
-        & F.col("action._type").isin(list(DOC_TYPES))
-        & F.coalesce(day != "", F.lit(False))
-        & F.coalesce(F.trim("source") != "", F.lit(False))
-        & (F.trim("excess") == "")
-    )
-    complaint = F.raise_error(F.concat(F.lit("unusable bulk record: "), F.coalesce(F.to_json("action"), F.lit("?"))))
-    return parsed.select(
-        F.col("action._type").alias("doc_type"),
-        day.alias("day"),
-        F.when(usable, F.col("action._id")).otherwise(complaint).alias("id"),
-        "source",
+    doc_type = F.col("action._type")
+    structs = [F.when(doc_type == name, try_document(name, F.col("source"))).alias(name) for name in DOC_TYPES]
+    typed = parsed.select(
+        doc_type.alias("doc_type"),
+        F.regexp_extract(F.col("action._index"), DAY_PATTERN, 1).alias("day"),
+        F.col("action._id").alias("id"),
+        F.octet_length("source").alias("bytes"),
+        *structs,
         "place",
+        "source",
+        "action_text",
+    )
+    checked = typed.withColumn("reason", reason())
+    texts = {c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in ("source", "action_text")}
+    checked = checked.withColumns(texts)  # of good records the document is all that moves on
+    if on_error == "fail":
+        complaint = F.raise_error(F.concat_ws(" ", F.lit("unusable bulk record:"), "reason", "action_text"))
+        checked = checked.withColumn("id", F.when(F.col("reason").isNull(), F.col("id")).otherwise(complaint))
+    return checked
+
+
+def pairs_of(lines: Column) -> Column:
+    """Action and document lines, two by two; a last line without a partner is a pair of its own."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1)), F.lit(2))
+    return F.transform(starts, lambda start: F.slice(lines, start, F.lit(2)))
+
+
+def reason() -> Column:
+    """Why a record can't be stored."""
+    known = F.col("doc_type").isin(list(DOC_TYPES))
+    unreadable, undated = F.lit(False), F.lit(False)
+    for name, fields in DOCUMENT_FIELDS.items():
+        unreadable = unreadable | F.col(f"{name}.{UNREADABLE}").isNotNull()
+        if "@timestamp" in fields:
+            stamp = F.col(f"{name}.`@timestamp`")
+            undated = undated | (stamp.isNotNull() & read_timestamp(stamp).isNull())
+    return (
+        F.when(F.col("id").isNull() | F.col("doc_type").isNull(), "no usable action")
+        .when(~known, "unknown type")
+        .when(F.coalesce("day", F.lit("")) == "", "no day in the index name")
+        .when(F.trim(F.coalesce("source", F.lit(""))) == "", "no document")
+        .when(F.coalesce(unreadable, F.lit(False)), "unreadable document")
+        .when(F.coalesce(undated, F.lit(False)), "bad timestamp")
     )
 
 
 def last_actions(parsed: DataFrame) -> DataFrame:
-    """The last document of each id; the others were overwritten within the feed.
+    """The last good document of each id, and all bad records.
 
-    Planned as a group limit before the shuffle, so an id that comes a million
-    times sends one row per task.
+    The others were overwritten within the feed. Planned as a group limit before
+    the shuffle, so an id that comes a million times sends one row per task.
     """
-    order = Window.partitionBy("doc_type", "day", "id").orderBy(F.desc("place"))
-    return parsed.withColumn("recency", F.row_number().over(order)).where(F.col("recency") == 1).drop("recency", "place")
-
-
-def typed_documents(actions: DataFrame) -> DataFrame:
-    """Each document parsed once, into the struct column named after its type."""
-    structs = [
-        F.when(F.col("doc_type") == doc_type, from_document(doc_type, F.col("source"))).alias(doc_type)
-        for doc_type in DOC_TYPES
-    ]
-    return actions.select("doc_type", "day", "id", F.octet_length("source").alias("bytes"), *structs)
+    bad = F.when(F.col("reason").isNotNull(), F.col("place"))
+    order = Window.partitionBy("doc_type", "day", "id", bad).orderBy(F.desc("place"))
+    return parsed.withColumn("recency", F.row_number().over(order)).where(F.col("recency") == 1).drop("recency")
 
 
 def typed_rows(typed: DataFrame, doc_type: str) -> DataFrame:
     """Table rows of one document type."""
-    chosen = typed.where(F.col("doc_type") == doc_type)
-    return chosen.select("id", *table_columns(doc_type, doc_type), "day")
+    chosen = typed.where((F.col("doc_type") == doc_type) & F.col("reason").isNull())
+    return chosen.select("id", *table_columns(doc_type, doc_type, checked=True), "day")
+
 
+def rejected_rows(typed: DataFrame) -> DataFrame:
+    """Bad records: reason, place and text."""
+    bad = typed.where(F.col("reason").isNotNull())
+    return bad.select("reason", "doc_type", "id", "place.file", "place.offset", "place.row", "place.pair", F.col("action_text").alias("action"), "source")
 
-def ingest(records: DataFrame, root: str) -> list[str]:
+
+def ingest(records: DataFrame, root: str, on_error: str = "reject") -> list[str]:
     """Upserts a batch of records into the tables; returns the types it held.
 
-    Merging needs the batch several times (its days, its ids, the sampling
-    of the output's ranges), so the parsed batch is persisted for the length of the
-    call: the feed is read and its JSON parsed once.  Blocks that do not fit go
-    to disk, lost ones are recomputed from the feed.
+    Bad records are set aside under ``rejects`` (with ``on_error="fail"`` one of
+    them fails the batch). Merging needs the batch several times (its days, its
+    ids, its rows), so the parsed batch is persisted for the length of the call: the
+    feed is read and its JSON parsed once.  Blocks that do not fit go to disk,
+    lost ones are recomputed from the feed.
     """
-    typed = typed_documents(last_actions(parse_bulk(records))).persist(StorageLevel.MEMORY_AND_DISK)
+    typed = last_actions(parse_bulk(records, on_error)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes: dict[str, dict[str, int]] = {}
-        per_day = typed.groupBy("doc_type", "day").agg(F.sum("bytes").alias("bytes"))
-        for row in per_day.collect():  # one row per type and day
-            sizes.setdefault(row.doc_type, {})[row.day] = row.bytes
+        sizes: dict[str, dict[tuple[str, int], int]] = {}
+        bad = F.col("reason").isNotNull()
+        per_part = typed.groupBy(F.when(~bad, F.col("doc_type")).alias("doc_type"), F.when(~bad, F.col("day")).alias("day"), F.when(~bad, bucket_of("id")).alias("bucket"))
+        for row in per_part.agg(F.sum("bytes").alias("bytes")).collect():  # one row per type, day and bucket
+            if row.doc_type is None:
+                set_aside(rejected_rows(typed), root)
+            else:
+                sizes.setdefault(row.doc_type, {})[row.day, row.bucket] = row.bytes
         for doc_type, text_bytes in sorted(sizes.items()):
             upsert(typed_rows(typed, doc_type), root, doc_type, text_bytes)
         return sorted(sizes)
@@ -133,6 +200,25 @@ def ingest(records: DataFrame, root: str) -> list[str]:
         typed.unpersist()
 
 
+def rejects(spark: SparkSession, root: str) -> DataFrame | None:
+    """Bad records of all batches, or None where there were none."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/{REJECTS}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def set_aside(rows: DataFrame, root: str) -> None:
+    """Appends rejects; those of a batch that is replayed are there already."""
+    known = rejects(rows.sparkSession, root)
+    place = ["file", "offset", "row", "pair"]
+    if known is not None:
+        rows = rows.join(known.where("file <> ''").select(*place), place, "left_anti")
+    rows.write.mode("append").parquet(f"{root.rstrip('/')}/{REJECTS}")
+
+
 def bulk_lines(docs: DataFrame, doc_type: str, prefix: str, document) -> DataFrame:
     """The feed of a frame: one record per row, ready for ``write.text``.
 

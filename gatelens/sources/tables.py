@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gatelens.functions.time import day_text
 from gatelens.schemas import CLUSTERING, DOC_TYPES, table_schema
 
 ROW_KEY = ["day", "id"]
+# A day is cut by a hash of the id into this many parts, so that a batch compares and rewrites its own share of a day only.
+# A fixed property of stored tables.
+BUCKETS = 4
+PART = ["day", "bucket"]
 
 FILE_BYTES = 128 * 1024 * 1024  # Parquet written per file, about
-TASK_BYTES = 1024 * 1024  # a smaller share is not worth another task
 TEXT_RATIO = 4  # JSON text shrinks at least this much
 GLOB_DAYS = 366  # directories named in one scan; longer spans prune on the partition column
 
@@ -28,13 +31,23 @@ def table_path(root: str, doc_type: str) -> str:
     return f"{root.rstrip('/')}/{doc_type}"
 
 
+def bucket_of(name: str) -> Column:
+    """The part of its day that a document lies in."""
+    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
+
+
 def scan(spark: SparkSession, root: str, doc_type: str, days: Iterable[str] | None = None) -> DataFrame:
-    """Documents of a type, of all days or of the named ones.
+    """Documents of a type, of all days or of the named ones."""
+    return scan_parts(spark, root, doc_type, days).drop("bucket")
+
+
+def scan_parts(spark: SparkSession, root: str, doc_type: str, days: Iterable[str] | None = None) -> DataFrame:
+    """The same with the bucket of each document.
 
     Named days become an alternation of partition directories, so only those
     are listed, and a day that does not exist simply contributes nothing.
     """
-    path, schema = table_path(root, doc_type), table_schema(doc_type)
+    path, schema = table_path(root, doc_type), table_schema(doc_type).add("bucket", T.IntegerType())
     wanted = None if days is None else sorted(set(days))
     if wanted == []:
         return spark.createDataFrame([], schema)
@@ -72,98 +85,98 @@ def scan_all_types(spark: SparkSession, root: str, days: Iterable[str] | None =
     return union_types({doc_type: scan(spark, root, doc_type, days) for doc_type in DOC_TYPES})
 
 
-@contextmanager
-def microsecond_timestamps(spark: SparkSession):
-    """Parquet timestamps that carry statistics; the default INT96 cannot be skipped on."""
+def only_parts(docs: DataFrame, parts: Iterable[tuple[str, int]]) -> DataFrame:
+    """Documents of the given (day, bucket) parts; a test of partition columns alone, which prunes directories."""
+    return docs.where(F.concat_ws("/", *PART).isin([f"{day}/{bucket}" for day, bucket in sorted(parts)]))
+
+
+def use_microsecond_timestamps(spark: SparkSession) -> None:
+    """Parquet timestamps that carry statistics; the default INT96 cannot be skipped on.
+
+    The writer knows this as a setting of the session only. It is set once and stays, like the other ``SETTINGS``.
+    """
     key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    if spark.conf.get(key) != "TIMESTAMP_MICROS":
+        spark.conf.set(key, "TIMESTAMP_MICROS")
 
 
-def write(docs: DataFrame, root: str, doc_type: str, files: int | None = None, replace_days: bool = False) -> None:
-    """Appends rows, or replaces exactly the days the rows fall on.
+def write(docs: DataFrame, root: str, doc_type: str, part_bytes: Mapping[tuple[str, int], int] | None = None, replace_parts: bool = False) -> None:
+    """Appends rows, or replaces exactly the (day, bucket) parts the rows fall on.
 
-    Rows are spread by range over day and clustering columns: a day that holds
-    most of the batch still goes to many tasks, a small one makes few files, and
-    each file covers a narrow stretch.  ``files`` is their number, which must
-    grow with the batch; unset it is the session's shuffle partitions.  Ids are
-    random, so lookups by id rely on bloom filters instead.
+    Rows are dealt by part; a part of more than a file's size is dealt by ids over as many tasks as it fills files, so a
+    day that holds most of the batch goes to many tasks and a small one makes few files. Files are sorted by the columns
+    that queries filter on. Ids are random, so lookups by id rely on bloom filters instead.
     """
-    layout = ("day", *CLUSTERING[doc_type])
-    count = () if files is None else (files,)
-    rows = docs.select(*table_schema(doc_type).fieldNames())
-    spread = rows.repartitionByRange(*count, *layout).sortWithinPartitions(*layout)
-    with microsecond_timestamps(docs.sparkSession):
-        (
-            spread.write.mode("overwrite" if replace_days else "append")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("parquet.bloom.filter.enabled#id", "true")
-            .option("parquet.bloom.filter.adaptive.enabled", "true")  # sized by the ids a row group holds
-            .partitionBy("day")
-            .parquet(table_path(root, doc_type))
-        )
-
-
-def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[str, int] | None = None) -> None:
+    use_microsecond_timestamps(docs.sparkSession)
+    rows = docs.select(*table_schema(doc_type).fieldNames()).withColumn("bucket", bucket_of("id"))
+    large = {f"{day}/{bucket}": size // FILE_BYTES + 1 for (day, bucket), size in (part_bytes or {}).items() if size > FILE_BYTES}
+    share = F.lit(0)
+    if large:
+        counts = F.create_map(*[F.lit(x) for item in sorted(large.items()) for x in item])
+        files = F.coalesce(F.try_element_at(counts, F.concat_ws("/", *PART)), F.lit(1))
+        share = F.pmod(F.xxhash64("id", F.lit(1)), files)
+    dealt = rows.withColumn("share", share).repartition("day", "bucket", "share").drop("share")
+    (
+        dealt.sortWithinPartitions(*PART, *CLUSTERING[doc_type])
+        .write.mode("overwrite" if replace_parts else "append")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.bloom.filter.enabled#id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")  # sized by the ids a row group holds
+        .partitionBy(*PART)
+        .parquet(table_path(root, doc_type))
+    )
+
+
+def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[tuple[str, int], int] | None = None) -> None:
     """Merges rows with unique ``(day, id)`` into the table; they win over stored ones.
 
-    ``text_bytes`` is the size of the batch's JSON per day; where it is not given
-    the days are looked up and the session decides on the number of files.
+    ``text_bytes`` is the size of the batch's JSON per (day, bucket); where it is not given the parts are looked up.
 
-    Rows equal to a stored one are dropped, so a feed that is sent twice writes
-    nothing.  Days in which no stored id changes are appended to.  Only the
-    others are rewritten, through dynamic partition overwrite: the new files are
-    staged while the old are read and swapped in at commit.  One writer per
-    table at a time.
+    Rows equal to a stored one are dropped, so a feed that is sent twice writes nothing.  Only parts that the batch falls
+    on are looked at.  Those in which no stored id changes are appended to.  Only the others are rewritten, through dynamic
+    partition overwrite: the new files are staged while the old are read and swapped in at commit.  One writer per table
+    at a time.
     """
     spark = docs.sparkSession
-    days = set(day_names(docs) if text_bytes is None else text_bytes)
-
-    def files(chosen: Iterable[str], parquet: int) -> int | None:
-        if text_bytes is None:
-            return None
-        size = sum(text_bytes[day] for day in chosen) // TEXT_RATIO + parquet
-        busy = min(spark.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
-        return max(busy, size // FILE_BYTES + 1)
+    docs = docs.withColumn("bucket", bucket_of("id"))
+    sizes = {part: 0 for part in part_names(docs)} if text_bytes is None else {k: v // TEXT_RATIO for k, v in text_bytes.items()}
+    days = {day for day, _ in sizes}
 
-    def append(rows: DataFrame, chosen: set[str]) -> None:
+    def append(rows: DataFrame, chosen: set[tuple[str, int]]) -> None:
         if chosen:
-            write(rows.where(F.col("day").isin(sorted(chosen))), root, doc_type, files(chosen, 0))
+            write(only_parts(rows, chosen), root, doc_type, {part: sizes[part] for part in chosen})
 
-    repeated = day_names(with_ids_of(scan(spark, root, doc_type, days), docs))
-    append(docs, days.difference(repeated))
+    stored = only_parts(scan_parts(spark, root, doc_type, days), sizes)
+    repeated = set(part_names(with_ids_of(stored, docs)))
+    append(docs, set(sizes) - repeated)
     if not repeated:
         return
-    stored = scan(spark, root, doc_type, repeated)
-    news = news_against(stored, docs.where(F.col("day").isin(repeated))).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = only_parts(scan_parts(spark, root, doc_type, {day for day, _ in repeated}), repeated)
+    news = news_against(stored, only_parts(docs, repeated)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        changes = {row.day: row.changes for row in news.groupBy("day").agg(F.max("changes").alias("changes")).collect()}
-        append(news.drop("changes"), {day for day, changed in changes.items() if not changed})
-        rewritten = sorted(day for day, changed in changes.items() if changed)
+        changes = {(r.day, r.bucket): r.changes for r in news.groupBy(*PART).agg(F.max("changes").alias("changes")).collect()}
+        append(news.drop("changes"), {part for part, changed in changes.items() if not changed})
+        rewritten = {part for part, changed in changes.items() if changed}
         if rewritten:
-            incoming = news.where(F.col("day").isin(rewritten)).drop("changes")
-            old = scan(spark, root, doc_type, rewritten)
+            incoming = only_parts(news, rewritten).drop("changes")
+            old = only_parts(scan_parts(spark, root, doc_type, {day for day, _ in rewritten}), rewritten)
             kept = old.join(incoming.select(*ROW_KEY), ROW_KEY, "left_anti")
-            target = files(rewritten, stored_bytes(old))
-            write(kept.unionByName(incoming), root, doc_type, target, replace_days=True)
+            before = stored_bytes(old)
+            write(kept.unionByName(incoming), root, doc_type, {p: sizes[p] + before.get(p, 0) for p in rewritten}, replace_parts=True)
     finally:
         news.unpersist()
 
 
 def with_ids_of(stored: DataFrame, docs: DataFrame) -> DataFrame:
     """Keys of stored rows that ``docs`` holds too."""
-    return stored.select(*ROW_KEY).join(docs.select(*ROW_KEY), ROW_KEY, "left_semi")
+    return stored.select(*PART, "id").join(docs.select(*ROW_KEY), ROW_KEY, "left_semi")
 
 
 def news_against(stored: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows that are not stored in the very same form; ``changes`` tells which are stored in another.
 
     Stored rows are cut to the keys of ``docs`` before whole rows are compared,
-    as JSON because maps have no equality.
+    as JSON because maps have no equality (timestamps are whole milliseconds).
     """
     text = F.to_json(F.struct(*sorted(docs.columns)))
     candidates = stored.join(docs.select(*ROW_KEY), ROW_KEY, "left_semi").select(*ROW_KEY, text.alias("stored_text"))
@@ -172,13 +185,12 @@ def news_against(stored: DataFrame, docs: DataFrame) -> DataFrame:
     return news.withColumn("changes", F.col("stored_text").isNotNull()).drop("text", "stored_text")
 
 
-def stored_bytes(docs: DataFrame) -> int:
-    """Size of the files behind a scan: one row per file, no content read."""
-    paths = docs.inputFiles()
-    listed = docs.sparkSession.read.format("binaryFile").load(paths)
-    return listed.agg(F.sum("length")).first()[0] or 0
+def stored_bytes(docs: DataFrame) -> dict[tuple[str, int], int]:
+    """Size of the files behind a scan per part, from what Spark knows of each file; no column is read."""
+    files = docs.groupBy(*PART, "_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
+    return {(r.day, r.bucket): r.size for r in files.groupBy(*PART).agg(F.sum("size").alias("size")).collect()}
 
 
-def day_names(docs: DataFrame) -> list[str]:
-    """The days of a batch; a handful of names, like directories."""
-    return sorted(row.day for row in docs.select("day").distinct().collect())
+def part_names(docs: DataFrame) -> list[tuple[str, int]]:
+    """The (day, bucket) parts of a batch; a handful of names, like directories."""
+    return sorted((r.day, r.bucket) for r in docs.select(*PART).distinct().collect())

@@ -114,13 +114,20 @@ class GatewayStore:
 
     # --- ingestion ---
 
-    def ingest(self, *paths: str) -> list[str]:
-        """Upserts bulk files; returns the document types they held."""
-        return bulk.ingest(bulk.read_bulk(self.spark, *paths), self.root)
+    def ingest(self, *paths: str, on_error: str = "reject") -> list[str]:
+        """Upserts bulk files, later paths over earlier ones; returns the document types they held.
 
-    def index(self, text: str) -> list[str]:
+        Bad records are set aside (see ``rejects``); with ``on_error="fail"`` one of them fails the batch.
+        """
+        return bulk.ingest(bulk.read_bulk(self.spark, *paths), self.root, on_error)
+
+    def index(self, text: str, on_error: str = "reject") -> list[str]:
         """Upserts one bulk request given as a string."""
-        return bulk.ingest(bulk.text_records(self.spark, text), self.root)
+        return bulk.ingest(bulk.text_records(self.spark, text), self.root, on_error)
+
+    def rejects(self) -> DataFrame | None:
+        """Records that could not be stored: reason, place and text; None if there are none."""
+        return bulk.rejects(self.spark, self.root)
 
     def start_ingest(self, landing: str, checkpoint: str, **options):
         return start_ingest(self.spark, landing, self.root, checkpoint, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gatelens.sources.bulk import RECORD_SEPARATOR, ingest, located, placed
+from gatelens.sources.bulk import ACTION, ingest, located, placed, separator
 
 
 def start_ingest(
@@ -15,21 +15,26 @@ def start_ingest(
     checkpoint: str,
     max_files: int = 1_000,
     trigger: dict | None = None,
+    opening: str = ACTION,
+    on_error: str = "reject",
 ) -> StreamingQuery:
     """Starts the stream; each micro-batch is one upsert.
 
-    Batches run in order, so a later file wins.  A batch replayed after a failure
-    writes the same rows again, which an upsert by id does not notice.
+    Files are taken, and within a batch ordered, by their age, so the later file
+    wins however many a batch takes.  A batch replayed after a failure writes the
+    same rows again, which an upsert by id does not notice. ``opening`` is how the
+    producer's actions begin; others are understood too, but files aren't cut at
+    them for reading. Bad records are set aside, and the stream goes on.
     """
     records = located(
         spark.readStream.format("text")
-        .option("lineSep", RECORD_SEPARATOR)
+        .option("lineSep", separator(opening))
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
     )
 
     def upsert_batch(batch: DataFrame, _: int) -> None:
-        ingest(placed(batch), root)
+        ingest(placed(batch, opening), root, on_error)
 
     return (
         records.writeStream.foreachBatch(upsert_batch)

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -66,10 +67,19 @@ def test_a_bulk_request_as_a_string(store):
 
 def test_later_file_wins(store, feed):
     late, early = feed("b.json", request("r1", status=201)), feed("a.json", request("r1", status=202))
-    store.ingest(late, early)
+    store.ingest(late, early)  # in the order given, whatever the names
+    assert statuses(store) == {(DAY1, "r1"): 202}
+    store.ingest(early, late)
     assert statuses(store) == {(DAY1, "r1"): 201}
 
 
+def test_older_file_of_a_folder_comes_first(store, feed, tmp_path):
+    for age, name in enumerate(("feed-10", "feed-9", "feed-11")):
+        os.utime(feed(name, request("r1", status=201 + age)), (1_000_000_000 + age, 1_000_000_000 + age))
+    store.ingest(str(tmp_path / "feed"))
+    assert statuses(store) == {(DAY1, "r1"): 203}
+
+
 def test_upsert_over_days(spark, store, feed):
     store.ingest(feed("1.json", request("r1"), request("r2"), request("r3", DAY2), request("r4", "2017.05.24")))
     untouched = scan(spark, store.root, "request", [DAY2]).inputFiles()
@@ -99,7 +109,10 @@ def test_repeated_and_new_rows_are_told_apart(store, feed):
     store.ingest(feed("2.json", request("r1"), request("r4"), request("r2", DAY2), request("r3", DAY2, status=500)))
     assert statuses(store) == {(DAY1, "r1"): 200, (DAY1, "r4"): 200, (DAY2, "r2"): 200, (DAY2, "r3"): 500}
     kept = files & set(store.documents("request").inputFiles())
-    assert [DAY1 in file for file in kept] == [True]
+    # Appended to, not rewritten; and of the second day only the part in which a document changed.
+    part = {r.id: r.part for r in store.documents("request").select("id", tables.bucket_of("id").alias("part")).collect()}
+    changed = f"day={DAY2}/bucket={part['r3']}/"
+    assert kept == {f for f in files if changed not in f} and any(changed in f for f in files)
 
 
 def test_windows_line_ends_and_blank_start(store, feed):
@@ -141,7 +154,7 @@ def test_timestamp_texts(spark):
         assert {r.text: r.ms for r in rows} == texts
         assert frame.limit(1).select(parse_timestamp(F.lit(None).cast("string")).alias("t")).first().t is None
         for bad in ("yesterday", "2017-13-01", "12:00", ""):
-            with pytest.raises(Exception, match="parse timestamp"):
+            with pytest.raises(Exception, match="not a timestamp"):
                 frame.limit(1).select(parse_timestamp(F.concat(F.lit(bad), F.substring("text", 1, 0)))).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
@@ -160,13 +173,52 @@ def test_timestamp_texts(spark):
     ],
 )
 def test_unusable_records_fail(store, feed, records):
-    with pytest.raises(Exception, match="unusable bulk record|Malformed|MALFORMED|parse timestamp"):
-        store.ingest(feed("1.json", request("r0"), records))
+    path = feed("1.json", request("r0"), records)
+    with pytest.raises(Exception, match="unusable bulk record"):
+        store.ingest(path, on_error="fail")
+    assert store.documents("request").count() == 0
+    # Set aside, it keeps no other record from being stored, and a second time it is known.
+    for _ in range(2):
+        assert store.ingest(path) == ["request"]
+        assert list(statuses(store)) == [(DAY1, "r0")] and store.rejects().count() == 1
+    assert store.rejects().first().file.endswith("1.json")
 
 
 def test_no_action_at_all(store, feed):
     with pytest.raises(Exception, match="unusable bulk record"):
-        store.ingest(feed("1.json", "nonsense\n{}\n"))
+        store.ingest(feed("1.json", "nonsense\n{}\n"), on_error="fail")
+    assert store.ingest(feed("1.json", "nonsense\n{}\n")) == []
+
+
+def test_a_bad_document_does_not_replace_a_good_one(store, feed):
+    store.ingest(feed("1.json", request("r1", status=201), request("r1", status=70000), request("r2", **{"@timestamp": "soon"})))
+    assert statuses(store) == {(DAY1, "r1"): 201}
+    assert sorted((r.reason, r.id) for r in store.rejects().collect()) == [("bad timestamp", "r2"), ("unreadable document", "r1")]
+
+
+def spaced(record, how='{ "index" : '):
+    return record.replace('{"index":', how, 1)
+
+
+def test_any_spacing_of_actions(spark, store, feed):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    records = [request(f"r{n}", status=200 + n) for n in range(200)]
+    path = feed("1.json", *[spaced(r) if n % 50 else spaced(r, '{"index" :') for n, r in enumerate(records)])
+    spark.conf.set(key, "2048")
+    try:
+        assert bulk.read_bulk(spark, path).rdd.getNumPartitions() > 4
+        store.ingest(path)
+    finally:
+        spark.conf.set(key, before)
+    assert statuses(store) == {(DAY1, f"r{n}"): 200 + n for n in range(200)}
+
+
+def test_changes_below_the_millisecond_are_no_changes(store, feed):
+    for micros in ("000100", "000900", "001000"):
+        store.ingest(feed("1.json", request("r1", **{"@timestamp": f"2017-05-22T10:00:00.{micros}Z"})))
+        stored = store.documents("request").first().ts
+        assert stored.microsecond == int(micros) // 1000 * 1000
 
 
 def test_all_types(spark, store, feed):
@@ -248,6 +300,42 @@ def test_an_absent_id_reads_no_rows(spark, store, feed):
         assert scan_node.metrics().apply("numOutputRows").value() == 0
 
 
+@pytest.mark.parametrize("max_files", [1, 2, 1_000])
+def test_a_stream_does_not_depend_on_its_batches(store, feed, tmp_path, max_files):
+    for age, name in enumerate(("feed-9", "feed-10", "feed-1")):
+        bad = "nonsense\n{}\n" if age == 1 else ""
+        path = feed(name, request("r1", status=201 + age), bad, request(f"own-{age}"))
+        os.utime(path, (1_000_000_000 + age, 1_000_000_000 + age))
+    store.start_ingest(str(tmp_path / "feed"), str(tmp_path / "progress"), max_files=max_files).awaitTermination()
+    assert statuses(store) == {(DAY1, "r1"): 203, **{(DAY1, f"own-{n}"): 200 for n in range(3)}}
+    assert [r.reason for r in store.rejects().collect()] == ["no usable action"]
+
+
+def test_lookup_by_frame_reads_payloads_of_the_days_found(spark, store, feed):
+    days = [f"2017.05.{n:02}" for n in range(1, 29)]
+    log = lambda i, day: action("log", i, day) + "\n" + json.dumps({"client-response": {"status": 201}}) + "\n"
+    store.ingest(feed("1.json", *[request(f"r{n}", day) + log(f"r{n}", day) for n, day in enumerate(days)]))
+    ids = spark.createDataFrame([("r3",), ("r20",)], "id string")
+    found = store.find_requests(ids, strict=True)
+    assert sorted((r.id, r.day, r.client_response.status) for r in found.collect()) == [("r20", days[20], 201), ("r3", days[3], 201)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    payloads = next(line for line in plan.splitlines() if "FileScan" in line and "client_response" in line)
+    assert "array_contains" in payloads.partition("PartitionFilters")[2].partition("PushedFilters")[0]
+
+
+def test_strict_lookups_fail_whatever_is_selected(spark, store, feed):
+    check = action("health", "h1") + "\n" + json.dumps({"@timestamp": "2017-05-22T10:00:00Z", "api": "a"}) + "\n"
+    store.ingest(feed("1.json", request("r1"), check))
+    for find, known, field in ((store.find_requests, "r1", "uri"), (store.find_health, "h1", "timestamp")):
+        assert find([known]).count() == 1
+        frame = spark.createDataFrame([("nope",), (known,)], "id string")
+        for ids in (["nope"], [known, "nope"], frame):
+            for act in (lambda d: d.count(), lambda d, f=field: d.select(f).collect(), lambda d: d.collect()):
+                with pytest.raises(Exception, match="has the id nope"):
+                    act(find(ids))
+            assert find(ids, strict=False).count() == (0 if ids == ["nope"] else 1)
+
+
 def test_stream(store, feed, tmp_path):
     landing = str(tmp_path / "feed")
     feed("1.json", request("r1"), request("r2"))
