@@ -175,6 +175,22 @@ def restrict_today(docs: DataFrame, now: int, zone: str = "UTC") -> DataFrame:
     return restrict_days(docs, first, last, zone)
 
 
-def restrict_named_days(docs: DataFrame, names: list[str]) -> DataFrame:
-    """Explicitly named days of a day-partitioned table; absent ones match nothing."""
-    return docs.where(F.col("day").isin(list(names)))
+def restrict_named_days(docs: DataFrame, names: list[str], zone: str = "UTC") -> DataFrame:
+    """Explicitly named days; absent ones match nothing.
+
+    A day-partitioned table is pruned on its partition column. A frame without ``day`` is cut at the named days' edges
+    on ``ts``, runs of days being one stretch.
+    """
+    if "day" in docs.columns:
+        return docs.where(F.col("day").isin(list(names)))
+    stretches: list[list[date]] = []
+    for day in sorted({datetime.strptime(name, "%Y.%m.%d").date() for name in names}):
+        if stretches and day == stretches[-1][1] + timedelta(days=1):
+            stretches[-1][1] = day
+        else:
+            stretches.append([day, day])
+    inside = F.lit(False)
+    for first, last in stretches:
+        begin, end = start_of_day(first, zone), start_of_day(last + timedelta(days=1), zone)
+        inside = inside | ((F.col("ts") >= instant(begin)) & (F.col("ts") < instant(end)))
+    return docs.where(inside)

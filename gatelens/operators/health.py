@@ -16,6 +16,7 @@ from gatelens.functions.predicates import select_documents
 from gatelens.functions.time import (
     TimeRange,
     current_millis,
+    days,
     instant,
     restrict_last_month,
     rolling_windows,
@@ -33,6 +34,8 @@ from gatelens.operators.logs import must_exist, page_of, pick_ids, with_total
 from gatelens.schemas import column_name
 
 WINDOW_TERMS = 10  # endpoints or gateways reported
+AXIS_CHUNK = 10_000  # buckets of the axis that one row expands to
+MONTH_DAYS = 32  # days that the last month and today cover at most
 
 HEALTH_POINTS = "ordinal INT, timestamp BIGINT, aggregation STRING, field STRING, key STRING, value DOUBLE"
 
@@ -167,7 +170,7 @@ def health_histogram_dense(
     those few rows adds a total row that knows the outermost buckets; it expands
     to the stretch between them, and a last grouping merges it all.
     """
-    selected = recent(docs, api, query, now, zone)
+    selected = recent(docs, api, query, now, zone).where(F.col("ts").isNotNull())
     series = {f"series_{n}": health_series(a) for n, a in enumerate(aggregations)}
     per_bucket = selected.groupBy(bucket_of(interval)).agg(
         F.count("*").alias("count"), *[column.alias(name) for name, column in series.items()]
@@ -183,10 +186,16 @@ def health_histogram_dense(
             *[F.max(name).alias(name) for name in names],
         )
     )
-    stretch = F.sequence("first", "last", F.lit(interval).cast("bigint"))
+    # The stretch between the outermost buckets grows in two steps, so that many tasks share a long one.
     is_total = F.col("is_total") == 1
-    rows = spread.select(
-        F.explode(F.when(is_total, stretch).otherwise(F.array("timestamp"))).alias("timestamp"),
+    step, span = F.lit(interval).cast("bigint"), F.lit(interval * AXIS_CHUNK).cast("bigint")
+    begin = F.explode(F.when(is_total, F.sequence("first", "last", span)).otherwise(F.array("timestamp"))).alias("begin")
+    chunks = spread.select("is_total", "last", begin, *names)
+    if days(MONTH_DAYS) // interval > AXIS_CHUNK:
+        chunks = chunks.repartition("begin")
+    chunk = F.sequence("begin", F.least("last", F.col("begin") + span - step), step)
+    rows = chunks.select(
+        F.explode(F.when(is_total, chunk).otherwise(F.array("begin"))).alias("timestamp"),
         *[F.when(~is_total, F.col(name)).alias(name) for name in names],
     )
     axis = histogram_axis(docs.sparkSession, time_range, interval)
@@ -263,4 +272,4 @@ def find_health(docs: DataFrame, ids: DataFrame | Iterable[str], strict: bool =
     if not isinstance(ids, DataFrame):
         ids = list(ids)
     found = pick_ids(docs, ids).select(*extended_health_columns())
-    return must_exist(found, ids, "Health-check") if strict else found
+    return must_exist(found, ids, "health check") if strict else found

@@ -19,6 +19,17 @@ def series(points: DataFrame) -> DataFrame:
     return points.groupBy("ordinal", "aggregation", "field", "key").agg(ordered.alias("points"))
 
 
+def series_rows(points: DataFrame, aggregations: Sequence[Aggregation]) -> DataFrame:
+    """One row per requested series and key: ``slot, name, field, key, points``, in the order of the request.
+
+    A series without any point has one row, with null key and points.
+    """
+    slots = [(n, a.name, a.field) for n, a in enumerate(aggregations)]
+    requested = points.sparkSession.createDataFrame(slots, "slot int, name string, field string")
+    found = series(points).select(F.col("ordinal").alias("slot"), "key", "points")
+    return requested.join(found, "slot", "left")
+
+
 def timestamps(axis: DataFrame) -> DataFrame:
     """The axis as one ordered array."""
     return axis.agg(F.array_sort(F.collect_list("timestamp")).alias("timestamps"))

@@ -262,7 +262,7 @@ SQL["request_day_with_log"] = f"""
 WITH {REQ}, {LOG}
 SELECT r.id, r.day, r.ms AS timestamp, r."transaction", r.message, l.uri AS logged_uri, l.header_user AS logged_user,
   true AS no_proxy_request
-FROM req r LEFT JOIN log l ON l.id = r.id AND l.day = r.day WHERE r.day = '2024.01.12'
+FROM req r LEFT JOIN log l ON l.id = r.id AND l.day = r.day
 """
 SQL["headers_map"] = f"""
 WITH {LOG} SELECT 'X-Size' AS name, header_size AS size, count(*) AS documents FROM log GROUP BY 2
@@ -441,3 +441,80 @@ SELECT id, day, ms AS timestamp, api, endpoint, method_code AS method,
   CAST(CASE WHEN endpoint = 'error' THEN 599 ELSE status END AS SMALLINT) AS status, response_time, api_response_time
 FROM req
 """
+
+SQL["stream_ingest_many_files"] = f"""
+SELECT r.*, CAST(n AS INTEGER) AS max_files FROM ({SQL["stream_ingest"]}) r CROSS JOIN (VALUES (2), (1000)) t(n)
+"""
+SQL["bulk_ingest_rejects"] = """
+SELECT CASE WHEN event_id % 11 = 0 THEN 'no usable action' WHEN event_id % 13 = 0 THEN 'unknown type'
+  WHEN event_id % 17 = 0 THEN 'unreadable document' WHEN event_id % 19 = 0 THEN 'bad timestamp'
+  ELSE 'stored' END AS reason, count(*) AS records
+FROM events GROUP BY 1
+"""
+
+# --- edges -------------------------------------------------------------------
+
+SQL["count_query_or_not"] = counted(
+    f"{TEN_DAYS} AND (endpoint = 'click' OR (tenant IS DISTINCT FROM 'acme' AND gateway = 'gw-1') OR status = 404)"
+)
+SQL["count_query_wildcard"] = counted("application LIKE 'app-1_%' AND message IS NOT NULL AND uri LIKE '/%r%'")
+SQL["count_query_range"] = counted(
+    f"{TEN_DAYS} AND response_time >= 20 AND response_time < 80 AND (status >= 300 OR status > 100)"
+)
+SQL["hist_response"] = SQL["hist_series"]
+SQL["hist_nothing_found"] = f"""
+WITH {axis(q.PAST_DATA, 6 * q.HOUR)}
+SELECT (SELECT CAST(count(*) AS INTEGER) FROM axis) AS axis, CAST(slot AS INTEGER) AS slot,
+  CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS points
+FROM (VALUES (0), (1)) t(slot)
+"""
+SQL["hist_not_a_number"] = f"""
+WITH {REQ} SELECT {bucket()} AS timestamp, CAST(trunc(avg(response_time)) AS BIGINT) AS value
+FROM req WHERE {TEN_DAYS} GROUP BY 1
+HAVING count(*) FILTER (CAST(id AS BIGINT) % 97 = 0 OR CAST(id AS BIGINT) % 89 = 0) = 0
+"""
+SQL["health_hist_response"] = SQL["health_hist_series"]
+DATED = HEALTH.replace("epoch_us(ts) // 1000 AS ms", "CASE WHEN event_id % 7 > 0 THEN epoch_us(ts) // 1000 END AS ms")
+SQL["health_hist_undated"] = f"""
+WITH {DATED}, {health_hours("api-1").replace(" AND api", " AND ms IS NOT NULL AND api")}, {HEALTH_AXIS}
+SELECT axis.timestamp, count(b.id) AS count FROM axis LEFT JOIN b USING (timestamp) GROUP BY 1
+"""
+ZERO = HEALTH.replace(
+    "CAST(trunc(value) AS INTEGER) AS response_time",
+    "CASE WHEN event_type = 'click' THEN 0 ELSE CAST(trunc(value) AS INTEGER) END AS response_time",
+)
+SQL["avg_response_time_zero"] = SQL["avg_response_time"].replace(HEALTH, ZERO)
+CUT = HEALTH.replace("event_type AS endpoint", "event_type || '-' || (event_id % 4) AS endpoint")
+SQL["availability_cut"] = SQL["availability_endpoint"].replace(HEALTH, CUT)
+UNDATED = HEALTH.replace("epoch_us(ts) // 1000 AS ms", "CASE WHEN event_id % 10 > 0 THEN epoch_us(ts) // 1000 END AS ms")
+SQL["health_logs_all_pages"] = f"""
+WITH {UNDATED}, hits AS (SELECT * FROM health WHERE {MONTH_DAYS}),
+placed AS (SELECT *, row_number() OVER (ORDER BY ms DESC NULLS LAST, id DESC) AS n FROM hits)
+SELECT CAST((n - 1) // {q.PAGE} + 1 AS INTEGER) AS page, id, ms AS timestamp, (SELECT count(*) FROM hits) AS total
+FROM placed
+"""
+
+# --- the operations over an ingested store -----------------------------------
+
+SQL["store_count"] = SQL["count_root_query"]
+SQL["store_histogram"] = SQL["hist_series"]
+SQL["store_group_by"] = SQL["group_terms"]
+SQL["store_tabular"] = SQL["tabular_page"]
+SQL["store_find_requests"] = SQL["request_by_ids"]
+LISTED = "(" + ", ".join(f"'{i}'" for i in q.STORED_IDS) + ")"
+SQL["store_find_requests_listed"] = SQL["request_by_ids"].replace("(SELECT CAST(c_custkey AS VARCHAR) FROM customer)", LISTED)
+SQL["store_availability"] = SQL["availability_endpoint"]
+SQL["store_response_time"] = SQL["avg_response_time"]
+SQL["store_health_histogram"] = f"""
+WITH {HEALTH}, h AS (SELECT * FROM health WHERE {MONTH_DAYS} AND api = 'api-1'),
+size AS (SELECT CAST((
+    greatest(max({bucket(SIX_HOURS)}), {floor(q.TEN_DAYS.end, SIX_HOURS)})
+    - least(min({bucket(SIX_HOURS)}), {floor(q.TEN_DAYS.start, SIX_HOURS)})) // {SIX_HOURS} + 1 AS INTEGER) AS n
+  FROM h)
+{health_slot(0, "max")} UNION ALL {health_slot(1, "min")}
+"""
+SQL["store_health_logs"] = SQL["health_logs_page"]
+SQL["store_find_health"] = SQL["health_by_ids"].replace("(SELECT CAST(c_custkey AS VARCHAR) FROM customer)", LISTED)
+SQL["store_latest"] = SQL["latest_per_gateway"]
+SQL["store_all_types"] = SQL["scan_all_types"]
+SQL["store_missing_days"] = SQL["scan_named_days"]

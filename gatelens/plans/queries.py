@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import date, datetime
-from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatelens.functions import documents, time
 from gatelens.functions.predicates import field_between, select_documents
 from gatelens.operators import analytics, health, logs, monitoring, shaping
-from gatelens.session import shared_folder
+from gatelens.schemas import DOCUMENT_FIELDS, column_name
+from gatelens.session import passing_folder
 from gatelens.sources import bulk, tables, views
 from gatelens.store import GatewayStore
 
@@ -69,7 +68,7 @@ def scan_all_days(spark, sf_dir):
 
 @registered
 def scan_named_days(spark, sf_dir):
-    return per_day(time.restrict_named_days(views.with_day(views.requests(spark, sf_dir)), NAMED_DAYS))
+    return per_day(time.restrict_named_days(views.requests(spark, sf_dir), NAMED_DAYS))
 
 
 @registered
@@ -126,6 +125,23 @@ def count_root_query(spark, sf_dir):
     return analytics.count(views.requests(spark, sf_dir), TEN_DAYS, ROOT, "endpoint:click AND tenant:acme")
 
 
+@registered
+def count_query_or_not(spark, sf_dir):
+    query = 'endpoint:click OR (NOT tenant:acme AND gateway:"gw-1") OR status:404'
+    return analytics.count(views.requests(spark, sf_dir), TEN_DAYS, query=query)
+
+
+@registered
+def count_query_wildcard(spark, sf_dir):
+    return analytics.count(views.requests(spark, sf_dir), query="application:app-1?* AND _exists_:message AND uri:/*r*")
+
+
+@registered
+def count_query_range(spark, sf_dir):
+    query = "response-time:[20 TO 80} AND (status:>=300 status:{100 TO *])"
+    return analytics.count(views.requests(spark, sf_dir), TEN_DAYS, query=query)
+
+
 @registered
 def count_expression(spark, sf_dir):
     return analytics.count(views.requests(spark, sf_dir), TEN_DAYS, query="status >= 400 OR response_time > 100")
@@ -183,17 +199,57 @@ def hist_series(spark, sf_dir):
     wanted = [analytics.avg("response-time"), analytics.avg("proxy-latency"), analytics.terms("endpoint")]
     # Failed requests have no latency, so the second slot is empty and stays.
     points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
+    axis = analytics.histogram_axis(spark, PAST_DATA, 6 * HOUR)
+    return flat_rows(shaping.series_rows(points, wanted), axis)
+
+
+@registered
+def hist_response(spark, sf_dir):
+    """The same as one nested row."""
+    docs = views.requests(spark, sf_dir)
+    wanted = [analytics.avg("response-time"), analytics.avg("proxy-latency"), analytics.terms("endpoint")]
+    points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
     response = shaping.assemble_series(points, analytics.histogram_axis(spark, PAST_DATA, 6 * HOUR), wanted)
     return flat_response(response)
 
 
+@registered
+def hist_nothing_found(spark, sf_dir):
+    """No document matches: every series keeps its empty slot."""
+    docs = views.requests(spark, sf_dir)
+    wanted = [analytics.avg("response-time"), analytics.terms("endpoint")]
+    points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:none")
+    return flat_rows(shaping.series_rows(points, wanted), analytics.histogram_axis(spark, PAST_DATA, 6 * HOUR))
+
+
+@registered
+def hist_not_a_number(spark, sf_dir):
+    """Means that are NaN or infinite have no point."""
+    event = F.col("id").cast("bigint")
+    value = F.when(event % 97 == 0, F.lit(float("nan"))).when(event % 89 == 0, F.lit(float("inf")))
+    docs = views.requests(spark, sf_dir).withColumn("response_time", value.otherwise(F.col("response_time")).cast("double"))
+    points = analytics.date_histogram(docs, TEN_DAYS, HOUR, [analytics.avg("response-time")])
+    return points.select("timestamp", "value")
+
+
+def points_text() -> Column:
+    return F.array_join(
+        F.transform("points", lambda p: F.concat_ws(":", p["timestamp"].cast("string"), p["value"].cast("string"))), " "
+    )
+
+
+def flat_rows(rows: DataFrame, axis: DataFrame) -> DataFrame:
+    size = axis.agg(F.count("*").cast("int").alias("axis")).scalar()
+    has_points = F.col("key").isNotNull()
+    return rows.select(size.alias("axis"), "slot", F.when(has_points, F.col("name")).alias("name"), "key", points_text().alias("points"))
+
+
 def flat_response(response: DataFrame) -> DataFrame:
     slots = response.select(F.size("timestamps").alias("axis"), F.posexplode("values").alias("slot", "series"))
     flat = slots.select(
         "axis", "slot", F.col("series.name").alias("name"), F.explode_outer("series.data").alias("key", "points")
     )
-    text = F.transform("points", lambda p: F.concat_ws(":", p["timestamp"].cast("string"), p["value"].cast("string")))
-    return flat.select("axis", "slot", "name", "key", F.array_join(text, " ").alias("points"))
+    return flat.select("axis", "slot", "name", "key", points_text().alias("points"))
 
 
 # --- group by ----------------------------------------------------------------
@@ -305,7 +361,8 @@ def request_missing_ids(spark, sf_dir):
 
 @registered
 def request_day_with_log(spark, sf_dir):
-    docs = time.restrict_days(views.with_day(views.requests(spark, sf_dir)), date(2024, 1, 12), date(2024, 1, 12))
+    """All days: each request beside what was logged of it on its day."""
+    docs = views.with_day(views.requests(spark, sf_dir))
     joined = logs.request_with_log(docs, views.with_day(views.logs(spark, sf_dir)))
     return joined.select(
         "id",
@@ -350,6 +407,21 @@ def avg_response_time_gateway(spark, sf_dir):
     return health.average_response_time(views.health(spark, sf_dir), "api-3", "gateway", now=MID_FEBRUARY)
 
 
+@registered
+def avg_response_time_zero(spark, sf_dir):
+    """An endpoint all of whose means are 0 is left out."""
+    docs = views.health(spark, sf_dir)
+    zero = F.when(F.col("endpoint") == "click", F.lit(0)).otherwise(F.col("response_time"))
+    return health.average_response_time(docs.withColumn("response_time", zero), "api-1", "endpoint", now=NOW)
+
+
+@registered
+def availability_cut(spark, sf_dir):
+    """More endpoints than the ten that are reported."""
+    docs = views.health(spark, sf_dir).withColumn("endpoint", F.concat("endpoint", F.lit("-"), F.col("id").cast("bigint") % 4))
+    return health.availability(docs, "api-1", "ENDPOINT", now=NOW)
+
+
 def health_histogram(spark, sf_dir, *aggregations):
     return health.health_histogram(views.health(spark, sf_dir), TEN_DAYS, HOUR, aggregations, api="api-1", now=NOW)
 
@@ -362,9 +434,10 @@ def health_hist_count(spark, sf_dir):
 
 @registered
 def health_hist_axis(spark, sf_dir):
-    """The axis array of the response, by position."""
+    """The axis of the response, by position."""
     dense = health.health_histogram_dense(views.health(spark, sf_dir), TEN_DAYS, HOUR, api="api-2", now=NOW)
-    return shaping.timestamps(dense).select(F.posexplode("timestamps").alias("position", "timestamp"))
+    first = dense.agg(F.min("timestamp")).scalar()
+    return dense.select(((F.col("timestamp") - first) / HOUR).cast("int").alias("position"), "timestamp")
 
 
 @registered
@@ -388,14 +461,49 @@ def health_hist_series(spark, sf_dir):
     wanted = [analytics.maximum("response-time"), analytics.avg("state"), analytics.minimum("response-time")]
     docs = views.health(spark, sf_dir).withColumn("state", F.lit(None).cast("int"))  # the second slot is empty
     dense = health.health_histogram_dense(docs, TEN_DAYS, 6 * HOUR, wanted, api="api-1", now=NOW)
+    return flat_rows(shaping.series_rows(health.health_points(dense, wanted), wanted), dense)
+
+
+@registered
+def health_hist_response(spark, sf_dir):
+    """The same as one nested row."""
+    wanted = [analytics.maximum("response-time"), analytics.avg("state"), analytics.minimum("response-time")]
+    docs = views.health(spark, sf_dir).withColumn("state", F.lit(None).cast("int"))
+    dense = health.health_histogram_dense(docs, TEN_DAYS, 6 * HOUR, wanted, api="api-1", now=NOW)
     return flat_response(shaping.assemble_dense(dense, wanted))
 
 
+@registered
+def health_hist_undated(spark, sf_dir):
+    """Checks without a timestamp belong to no bucket."""
+    docs = views.with_day(views.health(spark, sf_dir)).withColumn("ts", F.when(F.col("id").cast("bigint") % 7 > 0, F.col("ts")))
+    return health.health_histogram_dense(docs, TEN_DAYS, HOUR, api="api-1", now=NOW)
+
+
 @registered
 def health_logs_page(spark, sf_dir):
     return health.health_logs(views.health(spark, sf_dir), "api-1", page=2, size=30, now=NOW)
 
 
+PAGE = 9_000  # the first page is a top-k, the others are located by counting
+
+
+@registered
+def health_logs_all_pages(spark, sf_dir):
+    """All pages one after the other, shallow and deep, with checks that have no timestamp: nothing is lost."""
+    ts = F.when(F.col("id").cast("bigint") % 10 > 0, F.col("ts"))
+    docs = views.with_day(views.health(spark, sf_dir)).withColumn("ts", ts)
+    total = health.recent(docs, None, now=NOW).count()
+    pages = []
+    for page in range(1, -(-total // PAGE) + 1):
+        rows = health.health_logs(docs, None, page=page, size=PAGE, now=NOW)
+        pages.append(rows.select(F.lit(page).alias("page"), "id", "timestamp", "total"))
+    union = pages[0]
+    for rows in pages[1:]:
+        union = union.unionByName(rows)
+    return union
+
+
 @registered
 def health_by_ids(spark, sf_dir):
     found = health.find_health(views.health(spark, sf_dir), ids_of(spark, sf_dir, "customer", "c_custkey"))
@@ -475,25 +583,15 @@ def ingested(rows: DataFrame) -> DataFrame:
 def bulk_parse(spark, sf_dir):
     """A feed in which the failed requests come twice: the later one is kept."""
     docs = views.requests(spark, sf_dir)
-    place = lambda turn: F.struct(F.lit(turn).alias("file"), F.lit(0).alias("offset"), F.lit(0).alias("row"))
-    feed = request_feed(docs).withColumn("place", place("1")).unionByName(resent(docs).withColumn("place", place("2")))
-    return ingested(bulk.typed_rows(bulk.typed_documents(bulk.last_actions(bulk.parse_bulk(feed))), "request"))
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder under the one the cluster shares; a local one in tests only."""
-    shared = shared_folder(spark)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor reaches")
-        shared = tempfile.mkdtemp(prefix="gatelens-")
-    return f"{shared.rstrip('/')}/gatelens-{uuid4().hex}"
+    place = lambda turn: F.struct(F.lit(turn).alias("turn"), F.lit(0).alias("pair"))
+    feed = request_feed(docs).withColumn("place", place(1)).unionByName(resent(docs).withColumn("place", place(2)))
+    return ingested(bulk.typed_rows(bulk.last_actions(bulk.parse_bulk(feed)), "request"))
 
 
 @registered
 def bulk_ingest(spark, sf_dir):
     """Two bulk files written, read and upserted one after the other."""
-    docs, folder = views.requests(spark, sf_dir), work_folder(spark)
+    docs, folder = views.requests(spark, sf_dir), passing_folder(spark)
     store = GatewayStore(spark, f"{folder}/store")
     for turn, feed in (("1", request_feed(docs)), ("2", resent(docs))):
         feed.write.text(f"{folder}/feed-{turn}")
@@ -501,12 +599,168 @@ def bulk_ingest(spark, sf_dir):
     return ingested(store.documents("request"))
 
 
+@registered
+def bulk_ingest_rejects(spark, sf_dir):
+    """A feed with bad records among good ones, and with spaces in its actions: bad ones are counted per reason."""
+    docs, folder = views.requests(spark, sf_dir), passing_folder(spark)
+    store = GatewayStore(spark, f"{folder}/store")
+    feed = request_feed(docs).withColumn("n", F.monotonically_increasing_id())
+    action, document = F.element_at(F.split("value", "\n"), 1), F.element_at(F.split("value", "\n"), 2)
+    event = F.regexp_extract("value", '"_id":"([0-9]+)"', 1).cast("bigint")
+    action = F.when(event % 11 == 0, F.regexp_replace(action, '"_id":"[0-9]+"', '"x":1')).otherwise(action)
+    action = F.when(event % 13 == 0, F.regexp_replace(action, '"request"', '"other"')).otherwise(action)
+    document = F.when(event % 17 == 0, F.regexp_replace(document, '"status":[0-9]+', '"status":70000')).otherwise(document)
+    document = F.when(event % 19 == 0, F.regexp_replace(document, '"@timestamp":"[^"]*"', '"@timestamp":"soon"')).otherwise(document)
+    spaced = F.regexp_replace(action, r'^\{"index":', '{ "index" : ')
+    feed.select(F.concat(spaced, F.lit("\n"), document).alias("value")).write.text(f"{folder}/feed")
+    store.ingest(f"{folder}/feed")
+    stored = store.documents("request").agg(F.lit("stored").alias("reason"), F.count("*").alias("records"))
+    return store.rejects().groupBy("reason").agg(F.count("*").alias("records")).unionByName(stored)
+
+
 @registered
 def stream_ingest(spark, sf_dir):
     """The same through the stream: a second file arrives, the query resumes."""
-    docs, folder = views.requests(spark, sf_dir), work_folder(spark)
+    docs, folder = views.requests(spark, sf_dir), passing_folder(spark)
     store = GatewayStore(spark, f"{folder}/store")
     for feed in (request_feed(docs), resent(docs)):
         feed.write.mode("append").text(f"{folder}/landing")
         store.start_ingest(f"{folder}/landing", f"{folder}/progress").awaitTermination()
     return ingested(store.documents("request"))
+
+
+@registered
+def stream_ingest_many_files(spark, sf_dir):
+    """Files whose names sort against their arrival, taken two at a time and all at once: the last to arrive wins."""
+    docs, folder = views.requests(spark, sf_dir), passing_folder(spark)
+    feed, again = request_feed(docs), resent(docs)
+    for name, part in (("z-first", feed), ("a-second", again)):
+        part.write.text(f"{folder}/landing/{name}")
+    results = []
+    for files in (2, 1_000):
+        store = GatewayStore(spark, f"{folder}/store-{files}")
+        store.start_ingest(f"{folder}/landing/*", f"{folder}/progress-{files}", max_files=files).awaitTermination()
+        results.append(ingested(store.documents("request")).withColumn("max_files", F.lit(files)))
+    return results[0].unionByName(results[1])
+
+
+# --- the operations over an ingested store -----------------------------------
+
+_stores: dict[tuple[str, str], str] = {}
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "request": views.requests(spark, sf_dir),
+        "log": views.logs(spark, sf_dir),
+        "health": views.health(spark, sf_dir),
+        "monitor": views.monitor(spark, sf_dir),
+    }
+
+
+def store_of_all(spark: SparkSession, sf_dir: str) -> GatewayStore:
+    """All events as documents of all four types, sent as a bulk feed and ingested; once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        folder = passing_folder(spark)
+        store = GatewayStore(spark, f"{folder}/store", codes=CODES)
+        for doc_type, docs in stored_documents(spark, sf_dir).items():
+            fields = []
+            for field in DOCUMENT_FIELDS[doc_type]:
+                if field == "@timestamp":
+                    fields.append(F.date_format("ts", documents.TIMESTAMP_TEXT).alias(field))
+                elif column_name(field) in docs.columns:
+                    fields.append(F.col(column_name(field)).alias(field))
+            feed = bulk.bulk_lines(views.with_day(docs), doc_type, "traffic", F.to_json(F.struct(*fields)))
+            feed.write.text(f"{folder}/feed/{doc_type}")
+        store.ingest(*[f"{folder}/feed/{doc_type}" for doc_type in DOCUMENT_FIELDS])
+        _stores[key] = store.root
+    return GatewayStore(spark, _stores[key], codes=CODES)
+
+
+@registered
+def store_count(spark, sf_dir):
+    return store_of_all(spark, sf_dir).count(TEN_DAYS, root=ROOT, query="endpoint:click AND tenant:acme")
+
+
+@registered
+def store_histogram(spark, sf_dir):
+    wanted = [analytics.avg("response-time"), analytics.avg("proxy-latency"), analytics.terms("endpoint")]
+    return flat_response(store_of_all(spark, sf_dir).date_histogram(PAST_DATA, 6 * HOUR, wanted, query="endpoint:error"))
+
+
+@registered
+def store_group_by(spark, sf_dir):
+    return store_of_all(spark, sf_dir).group_by("application", TEN_DAYS, query="api:api-1")
+
+
+@registered
+def store_tabular(spark, sf_dir):
+    return store_of_all(spark, sf_dir).tabular(TEN_DAYS, page=3, size=25, root=ROOT)
+
+
+FOUND = ["id", "method", "api_response_time", "client_request.uri", "client_request.body", "client_response.status"]
+
+
+@registered
+def store_find_requests(spark, sf_dir):
+    """By a frame of ids: the payloads of the days found are read, no others."""
+    found = store_of_all(spark, sf_dir).find_requests(ids_of(spark, sf_dir, "customer", "c_custkey"), strict=False)
+    return found.select("day", *FOUND)
+
+
+STORED_IDS = [str(n) for n in range(100, 1_000, 7)]
+
+
+@registered
+def store_find_requests_listed(spark, sf_dir):
+    """By a list of ids, all of which must exist."""
+    return store_of_all(spark, sf_dir).find_requests(STORED_IDS).select("day", *FOUND)
+
+
+@registered
+def store_availability(spark, sf_dir):
+    return store_of_all(spark, sf_dir).availability("api-1", "ENDPOINT", now=NOW)
+
+
+@registered
+def store_response_time(spark, sf_dir):
+    return store_of_all(spark, sf_dir).average_response_time("api-1", "endpoint", now=NOW)
+
+
+@registered
+def store_health_histogram(spark, sf_dir):
+    wanted = [analytics.maximum("response-time"), analytics.minimum("response-time")]
+    return flat_response(store_of_all(spark, sf_dir).health_histogram("api-1", TEN_DAYS, 6 * HOUR, wanted, now=NOW))
+
+
+@registered
+def store_health_logs(spark, sf_dir):
+    return store_of_all(spark, sf_dir).health_logs("api-1", page=2, size=30, now=NOW)
+
+
+@registered
+def store_find_health(spark, sf_dir):
+    found = store_of_all(spark, sf_dir).find_health(STORED_IDS)
+    return found.withColumn("steps", F.size("steps"))
+
+
+@registered
+def store_latest(spark, sf_dir):
+    return flat_load(store_of_all(spark, sf_dir).latest_per_gateway(NOW))
+
+
+@registered
+def store_all_types(spark, sf_dir):
+    return store_of_all(spark, sf_dir).all_types().groupBy("doc_type").agg(
+        F.count("*").alias("documents"),
+        F.count("api").alias("with_api"),
+        F.count("gateway").alias("with_gateway"),
+        F.count("hostname").alias("with_hostname"),
+    )
+
+
+@registered
+def store_missing_days(spark, sf_dir):
+    """Named days of which one was never stored."""
+    return per_day(store_of_all(spark, sf_dir).named_days("request", NAMED_DAYS))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +31,21 @@ def session(app: str = "gatelens", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder all executors reach, as the cluster names it."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def passing_folder(spark: SparkSession) -> str:
+    """A new folder under the one all executors share, removed when the application ends.
+
+    Where the cluster names none, a local master uses the machine's temporary folder.
+    """
+    shared = shared_folder(spark)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor reaches")
+        shared = tempfile.gettempdir()
+    folder = f"{shared.rstrip('/')}/gatelens-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return folder

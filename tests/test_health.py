@@ -155,7 +155,7 @@ def test_logs_and_steps(spark):
     assert (steps[1].request.uri, steps[1].request.method, steps[1].response.status) == ("/old", "POST", 503)
     found = {r.id: r.steps for r in g.find_health(docs, ["h1", "h3"], strict=True).collect()}
     assert len(found["h1"]) == 1 and found["h3"] is None
-    with pytest.raises(Exception, match=r"Health-check \[h9\] does not exist"):
+    with pytest.raises(Exception, match="no health check has the id h9"):
         g.find_health(docs, ["h1", "h9"], strict=True).collect()
 
 

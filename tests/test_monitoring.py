@@ -11,24 +11,24 @@ from gatelens.functions.time import to_millis
 POOL = {"used_in_bytes": 1, "peak_used_in_bytes": 2, "max_in_bytes": 3, "peak_max_in_bytes": 4}
 
 
-def sample(stamp, gateway="g1", heap=107843824):
+def sample(stamp, gateway="g1", heap=5550):
     return {
         "@timestamp": stamp,
         "gateway": gateway,
-        "hostname": "debian",
+        "hostname": "node-a",
         "os": {
-            "cpu": {"percent": 4, "load_average": {"1m": 0.07, "5m": 0.32, "15m": 0.29}},
-            "mem": {"used_in_bytes": 70, "free_in_bytes": 30, "total_in_bytes": 100, "used_percent": 82, "free_percent": 18},
+            "cpu": {"percent": 12, "load_average": {"1m": 1.5, "5m": 2.5, "15m": 3.5}},
+            "mem": {"used_in_bytes": 70, "free_in_bytes": 30, "total_in_bytes": 100, "used_percent": 70, "free_percent": 30},
         },
-        "process": {"timestamp": 1, "open_file_descriptors": 322, "max_file_descriptors": 65536},
+        "process": {"timestamp": 1, "open_file_descriptors": 17, "max_file_descriptors": 900},
         "jvm": {
-            "timestamp": 1490441304165,
-            "uptime_in_millis": 431143,
-            "threads": {"count": 50, "peak_count": 51},
+            "timestamp": 1500000000000,
+            "uptime_in_millis": 60000,
+            "threads": {"count": 6, "peak_count": 7},
             "gc": {
                 "collectors": {
-                    "young": {"collection_count": 9, "collection_time_in_millis": 144},
-                    "old": {"collection_count": 2, "collection_time_in_millis": 105},
+                    "young": {"collection_count": 3, "collection_time_in_millis": 33},
+                    "old": {"collection_count": 1, "collection_time_in_millis": 44},
                 }
             },
             "mem": {
@@ -44,8 +44,8 @@ def sample(stamp, gateway="g1", heap=107843824):
 def docs(spark):
     samples = [
         ("m1", sample("2017-05-22T10:00:00.000Z")),
-        ("m2", sample("2017-05-22T11:28:04.146Z", heap=1)),
-        ("m3", sample("2017-05-22T11:28:04.146Z")),
+        ("m2", sample("2017-05-22T11:30:00.500Z", heap=1)),
+        ("m3", sample("2017-05-22T11:30:00.500Z")),
         ("m4", sample("2017-05-22T01:00:00.000+02:00", heap=2)),
         ("m5", sample("2017-05-22T09:00:00.000Z", "g2", heap=3)),
         ("m6", sample("2017-05-21T09:00:00.000Z", "g3")),
@@ -61,16 +61,16 @@ NOW = to_millis(datetime(2017, 5, 22, 23))
 def test_latest_snapshot(docs):
     row = g.latest_snapshot(docs, "g1", NOW).first()
     assert len(row) == 38
-    assert (row.gateway_id, row.hostname) == ("g1", "debian")
-    assert row.timestamp == to_millis(datetime(2017, 5, 22, 11, 28, 4, 146000))
-    assert row.jvm_heap_used_in_bytes == 107843824
-    assert row.os_cpu_load_average == {"1m": 0.07, "5m": 0.32, "15m": 0.29}
-    assert (row.jvm_gc_collectors_young_collection_count, row.jvm_gc_collectors_young_collection_time_in_millis) == (9, 144)
-    assert (row.jvm_gc_collectors_old_collection_count, row.jvm_gc_collectors_old_collection_time_in_millis) == (2, 105)
-    assert (row.jvm_process_open_file_descriptors, row.jvm_process_max_file_descriptors) == (322, 65536)
-    assert (row.os_mem_used_percent, row.os_mem_free_percent, row.os_cpu_percent) == (82, 18, 4)
+    assert (row.gateway_id, row.hostname) == ("g1", "node-a")
+    assert row.timestamp == to_millis(datetime(2017, 5, 22, 11, 30, 0, 500000))
+    assert row.jvm_heap_used_in_bytes == 5550
+    assert row.os_cpu_load_average == {"1m": 1.5, "5m": 2.5, "15m": 3.5}
+    assert (row.jvm_gc_collectors_young_collection_count, row.jvm_gc_collectors_young_collection_time_in_millis) == (3, 33)
+    assert (row.jvm_gc_collectors_old_collection_count, row.jvm_gc_collectors_old_collection_time_in_millis) == (1, 44)
+    assert (row.jvm_process_open_file_descriptors, row.jvm_process_max_file_descriptors) == (17, 900)
+    assert (row.os_mem_used_percent, row.os_mem_free_percent, row.os_cpu_percent) == (70, 30, 12)
     assert (row.jvm_mem_pool_old_used_in_bytes, row.jvm_mem_pool_survivor_peak_max_in_bytes) == (1, 4)
-    assert (row.jvm_thread_count, row.jvm_thread_peak_count, row.jvm_uptime_in_millis) == (50, 51, 431143)
+    assert (row.jvm_thread_count, row.jvm_thread_peak_count, row.jvm_uptime_in_millis) == (6, 7, 60000)
 
 
 def test_only_today(docs):
@@ -81,4 +81,4 @@ def test_only_today(docs):
 
 def test_every_gateway(docs):
     rows = {r.gateway_id: r.jvm_heap_used_in_bytes for r in g.latest_per_gateway(docs, NOW).collect()}
-    assert rows == {"g1": 107843824, "g2": 3}
+    assert rows == {"g1": 5550, "g2": 3}
