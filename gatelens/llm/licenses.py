@@ -2,8 +2,8 @@
 
 A unit is a sentence of a line (a header), or a whole text (a licence file). Its tokens are weighted by their rarity among
 the templates and joined with the templates' tokens; sums per unit and template give cosines. Few units need that: a
-cosine of ``threshold`` takes one of a template's heaviest tokens, for those that are left when they are gone are too short a
-vector. This filter is exact. Directories that hold a licence file pass its licence on to the files below that have none
+cosine of ``threshold`` takes one of a few tokens of a template, for the others, its function words above all, are too short
+a vector without them. This filter is exact. Directories that hold a licence file pass its licence on to the files below that have none
 of their own, the nearest directory first, by joins on directory paths.
 """
 
@@ -34,6 +34,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright, CC0 1.0 Universal."),
     ("Proprietary", "All rights reserved."),
 )
+# Function words, which tell no licence and are in every text.
+COMMON = frozenset(
+    "a all an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its may more no not of on one "
+    "or other our out shall she so some such than that the their them there these they this to under up was we were what when which who will with without would you your".split()
+)
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 
 
@@ -49,12 +54,12 @@ class _Vectors:
         for k, ((name, _), c) in enumerate(zip(templates, counts, strict=True)):
             weights = {t: n * self.rarity[t] for t, n in c.items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            rest = 1.0
-            for token, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+            rest = 0.0  # squared length of the tokens that can be missed: function words and numbers first, then light ones
+            for token, w in sorted(weights.items(), key=lambda x: (not (x[0] in COMMON or x[0][0].isdigit()), x[1], x[0])):
                 self.rows.append((token, k, name, w / norm))
-                if rest >= (threshold - 1e-9) ** 2:  # what is left could still reach the threshold alone
+                rest += (w / norm) ** 2
+                if rest >= (threshold - 1e-9) ** 2:  # together with this one they could reach the threshold
                     needed.add(token)
-                rest -= (w / norm) ** 2
         self.needed = "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in sorted(needed)) + ")(?![a-z0-9])"
 
 
