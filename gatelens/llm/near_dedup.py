@@ -10,7 +10,9 @@ share a band key are candidates, the sketches discard most, and the rest are com
 1. Every representative is compared with one document, the smallest in most of its buckets. This makes one component
    of each usual group with as many comparisons as it has members.
 2. Whatever pairs of a bucket still lie in different components are compared too. Sketches of a bucket meet in blocks of
-   bounded size, and pairs leave the blocks only if their sketches agree. No pair is skipped, however large a bucket.
+   bounded size; documents with a partner whose sketch agrees come back to their block with their texts, where pairs are
+   compared on full sets until they are in one component or all tried. No pair is skipped, however large a bucket, and
+   none leaves its task but for the links that join components.
 
 A pair at similarity 0.8 shares none of 32 bands of 5 with probability 3e-6; the sketch's margin adds about as much.
 """
@@ -32,7 +34,7 @@ SKETCH_BITS = 1024
 #: Candidates pass if the estimate is at least the threshold less this margin (five standard deviations).
 MARGIN = 0.18
 #: Members of a bucket, and of a group that is compared with one document, that one task handles together.
-BLOCK, GROUP = 2000, 256
+BLOCK, GROUP = 1000, 256
 #: Ids that may be broadcast to pick texts (16 bytes each); longer lists are joined by a shuffle.
 BROADCAST_IDS = 400_000
 
@@ -132,12 +134,11 @@ def _confirm(size: int, percent: int):
                         firsts.append(own)
                         continue
                     for first in firsts:
-                        few, many = (own, first) if len(own) < len(first) else (first, own)
-                        if 100 * len(few) < percent * len(many) or not len(few):
+                        low, high = sorted((len(own), len(first)))
+                        if not low or 100 * low < percent * high:
                             continue
-                        at = np.searchsorted(many, few)
-                        common = int((many[np.minimum(at, len(many) - 1)] == few).sum())
-                        if 100 * common >= percent * (len(few) + len(many) - common):
+                        common = _intersection(own, first)
+                        if 100 * common >= percent * (low + high - common):
                             a.append(ident), b.append(hub)
                             break
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -160,42 +161,147 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     return saved(dealt.mapInArrow(_confirm(size, percent), "a long, b long"))
 
 
-def _meet(limit: int):
-    """The pairs of each block whose documents lie in different components and whose sketches agree."""
-
-    def pairs(rows: list[dict]) -> tuple[list[int], list[int]]:
-        ids = np.array([r[0] for r in rows], np.int64)
-        roots = np.array([r[1] for r in rows], np.int64)
-        sides = np.array([r[2] for r in rows], np.int8)
-        sketches = np.array([r[3] for r in rows], np.int64).view(np.uint64)
-        left, right = [], []
+def _pairs(roots: np.ndarray, sides: np.ndarray, bands: np.ndarray, sketches: np.ndarray, band: int, limit: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each document of a block with its later partners: in another component, with a sketch that agrees, and with this
+    band as the first that both have, so that a pair is looked at once."""
+    for i in range(len(roots)):
         # Sides are 0 and 1 where two blocks meet, all 2 where a block meets itself.
-        for i in range(len(ids)):
-            other = (roots != roots[i]) & ((sides > sides[i]) if sides[i] < 2 else (np.arange(len(ids)) > i))
-            if not other.any():
-                continue
-            at = np.flatnonzero(other)
-            close = at[np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1) <= limit]
-            left += np.minimum(ids[close], ids[i]).tolist()
-            right += np.maximum(ids[close], ids[i]).tolist()
-        return left, right
+        at = np.flatnonzero(sides > sides[i]) if sides[i] < 2 else np.arange(i + 1, len(roots))
+        at = at[roots[at] != roots[i]]
+        if not len(at):
+            continue
+        at = at[np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1) <= limit]
+        if not len(at):
+            continue
+        shared = bands[at] == bands[i]
+        first = bands[i][shared.argmax(axis=1)]
+        at = at[shared.any(axis=1) & (first == band)]
+        if len(at):
+            yield i, at
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """Rows of sorted batches by (band, low, high)."""
+    group, rows = None, {n: [] for n in names}
+    for batch in batches:
+        keys = zip(*(batch.column(n).to_pylist() for n in ("band", "low", "high")), strict=True)
+        values = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+        for key, value in zip(keys, values, strict=True):
+            if key != group:
+                if len(rows[names[0]]) > 1:
+                    yield group, rows
+                group, rows = key, {n: [] for n in names}
+            for n, v in zip(names, value, strict=True):
+                rows[n].append(v)
+    if len(rows[names[0]]) > 1:
+        yield group, rows
+
+
+def _meet(limit: int):
+    """The documents of each block that have a partner there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows):
-            left, right = pairs(rows)
-            return pa.RecordBatch.from_arrays([pa.array(right, pa.int64()), pa.array(left, pa.int64())], names=["a", "hub"])
+        for (band, low, high), rows in _groups(batches, ("id", "root", "side", "bands", "sketch")):
+            roots, sides = np.array(rows["root"], np.int64), np.array(rows["side"], np.int8)
+            bands, sketches = np.array(rows["bands"], np.int64), np.array(rows["sketch"], np.int64)
+            some = np.zeros(len(roots), bool)
+            for i, at in _pairs(roots, sides, bands, sketches.view(np.uint64), band, limit):
+                some[i] = some[at] = True
+            n = int(some.sum())
+            if n:
+                ids = np.array(rows["id"], np.int64)[some]
+                whole = [pa.array(np.full(n, x, kind)) for x, kind in ((band, np.int64), (low, np.int32), (high, np.int32))]
+                yield pa.RecordBatch.from_arrays([*whole, pa.array(ids), pa.array(roots[some]), pa.array(sides[some].astype(np.int32))], names=["band", "low", "high", "id", "root", "side"])
 
-        group, rows = None, []
-        for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("band", "low", "high", "id", "root", "side", "sketch")]
-            for band, low, high, *row in zip(*columns, strict=True):
-                if (band, low, high) != group:
-                    if len(rows) > 1:
-                        yield out(rows)
-                    group, rows = (band, low, high), []
-                rows.append(row)
-        if len(rows) > 1:
-            yield out(rows)
+    return run
+
+
+#: Pairs of a block from which intersections are counted by a matrix product, and the most work that one may be.
+DENSE_PAIRS, DENSE_WORK = 20_000, 1 << 41
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray | None:
+    """Sizes of the intersections of pairs of sets, through the shingles that several of the sets hold."""
+    shingles, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = np.cumsum(counts > 1) - 1
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = counts[inverse] > 1
+    columns, owner = several[inverse][keep], owner[keep]
+    width = int((counts > 1).sum())
+    if len(sets) ** 2 * width > DENSE_WORK:
+        return None
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(columns, kind="stable")
+    columns, owner = columns[order], owner[order]
+    for start in range(0, width, 2048):
+        a, b = np.searchsorted(columns, [start, start + 2048])
+        dense = np.zeros((len(sets), min(2048, width - start)), np.float32)
+        dense[owner[a:b], columns[a:b] - start] = 1
+        total += dense @ dense.T
+    return total[left, right].astype(np.int64)
+
+
+def _intersection(a: np.ndarray, b: np.ndarray) -> int:
+    few, many = (a, b) if len(a) < len(b) else (b, a)
+    at = np.searchsorted(many, few)
+    return int((many[np.minimum(at, len(many) - 1)] == few).sum())
+
+
+def _compare(size: int, percent: int, limit: int):
+    """Links between the components of each block, on full sets: as many as join them, not all pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def with_sets():
+            for batch in batches:
+                for part in row_slices(batch, "text"):
+                    sets = [s.tobytes() for s in shingle_sets(part.column("text"), size)]
+                    columns = [part.column(n) for n in ("band", "low", "high", "id", "root", "side")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.large_binary())], names=["band", "low", "high", "id", "root", "side", "set"])
+
+        for (band, _, _), rows in _groups(with_sets(), ("id", "root", "side", "set")):
+            # A row that comes without words is another text of its id; it has no links.
+            sets = [np.frombuffer(s, np.uint64) for s in rows["set"]]
+            some = [i for i, s in enumerate(sets) if len(s)]
+            sets = [sets[i] for i in some]
+            ids, roots = (np.array([rows[n][i] for i in some], np.int64) for n in ("id", "root"))
+            sides = np.array([rows["side"][i] for i in some], np.int8)
+            signatures = [_signature(s) for s in sets]
+            if len(sets) < 2:
+                continue
+            bands, sketches = (np.stack([x[k] for x in signatures]) for k in (0, 1))
+            found = list(_pairs(roots, sides, bands.view(np.int64), sketches, band, limit))
+            if not found:
+                continue
+            left = np.concatenate([np.full(len(at), i) for i, at in found])
+            right = np.concatenate([at for _, at in found])
+            sizes = np.array([len(s) for s in sets])
+            able = 100 * np.minimum(sizes[left], sizes[right]) >= percent * np.maximum(sizes[left], sizes[right])
+            left, right = left[able], right[able]
+            common = _common(sets, left, right) if len(left) > DENSE_PAIRS else None
+            if common is not None:
+                similar = 100 * common >= percent * (sizes[left] + sizes[right] - common)
+                left, right = left[similar], right[similar]
+            top = {r: r for r in roots.tolist()}
+
+            def find(x: int, top=top) -> int:
+                while top[x] != x:
+                    top[x] = top[top[x]]
+                    x = top[x]
+                return x
+
+            a, b = [], []
+            for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                x, y = find(int(roots[i])), find(int(roots[j]))
+                if x == y:
+                    continue
+                if common is None:
+                    n = _intersection(sets[i], sets[j])
+                    if 100 * n < percent * (sizes[i] + sizes[j] - n):
+                        continue
+                top[max(x, y)] = min(x, y)
+                a.append(int(ids[i])), b.append(int(ids[j]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -256,15 +362,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
         )
     )
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    block = ["band", "low", "high"]
     met = (
-        spread.join(sketches, "id")
-        .select("band", "low", "high", "id", "root", "side", "sketch")
-        .repartition(shuffles, "band", "low", "high")
-        .sortWithinPartitions("band", "low", "high")
-        .mapInArrow(_meet(limit), "a long, hub long")
+        spread.join(reps.select("id", "bands", "sketch"), "id")
+        .select(*block, "id", "root", "side", "bands", "sketch")
+        .repartition(shuffles, *block)
+        .sortWithinPartitions(*block)
+        .mapInArrow(_meet(limit), "band long, low int, high int, id long, root long, side int")
     )
-    second = saved(met.distinct().join(first, ["a", "hub"], "left_anti"))
-    further = _links(second, docs, words, percent)
+    met = saved(met.distinct())
+    wanted = F.broadcast(met) if met.count() <= BROADCAST_IDS else met
+    texts = docs.join(wanted, "id").select(*block, "id", "root", "side", "text")
+    dealt = texts.repartition(shuffles, *block).sortWithinPartitions(*block)
+    further = saved(dealt.mapInArrow(_compare(words, percent, limit), "a long, b long"))
 
     # Rows that share an id but not their texts tie the classes of these texts together.
     tied = members.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("id", "b")
