@@ -34,10 +34,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright, CC0 1.0 Universal."),
     ("Proprietary", "All rights reserved."),
 )
-# Function words, which tell no licence and are in every text.
+# Function words of several languages, which tell no licence and are in every text.
 COMMON = frozenset(
     "a all an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its may more no not of on one "
-    "or other our out shall she so some such than that the their them there these they this to under up was we were what when which who will with without would you your".split()
+    "or other our out shall she so some such than that the their them there these they this to under up was we were what when which who will with without would you your "
+    "das de der des die ein eine el en es et im ist la las le les los mit para por pour que se sur un una und une von y zu".split()
 )
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 
