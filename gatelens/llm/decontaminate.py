@@ -175,7 +175,11 @@ def contaminated(
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that :func:`contaminated` reports, null ids included."""
     found = contaminated(docs, benchmark, id_column=id_column, text_column=text_column, **options)
-    found = found.select(F.col(id_column).alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).distinct()
+    prefix = "_found"
+    while any(c.startswith(prefix) for c in docs.columns):  # the columns of docs may have any names
+        prefix += "_"
+    ident, t1, t2 = (f"{prefix}{n}" for n in ("id", "t1", "t2"))
+    found = found.select(F.col(id_column).alias(ident), F.col("t1").alias(t1), F.col("t2").alias(t2)).distinct()
     text = F.coalesce(F.col(text_column), F.lit(""))
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_t1")) & (F.xxhash64(F.lit(7), text) == F.col("_t2"))
+    same = F.col(id_column).eqNullSafe(F.col(ident)) & (F.xxhash64(text) == F.col(t1)) & (F.xxhash64(F.lit(7), text) == F.col(t2))
     return docs.join(found, same, "left_anti")

@@ -60,8 +60,11 @@ def dedup_lines(
         .agg(F.sort_array(F.collect_set("_pos")).alias("_drops"))
     )
 
-    out = docs.select(*own, *row).join(drops, ["_doc", "_t1", "_t2"], "left")
-    out = out.withColumn("_lines", _lines(F.col(text_column))).withColumn("_drops", F.coalesce("_drops", F.array().cast("array<int>")))
+    # The row travels as one struct, so that its columns may have any names.
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), *row)
+    out = out.join(drops, ["_doc", "_t1", "_t2"], "left")
+    text = F.coalesce(F.col("_row").getField(text_column), F.lit(""))
+    out = out.withColumn("_lines", _lines(text)).withColumn("_drops", F.coalesce("_drops", F.array().cast("array<int>")))
     # The runs of lines between dropped positions, so that a text of many lines costs one pass.
     edges = F.concat(F.array(F.lit(-1)), F.col("_drops"), F.array(F.size("_lines")))
     out = out.withColumn("_edges", edges)
@@ -71,4 +74,5 @@ def dedup_lines(
     )
     kept = F.when(F.size("_drops") == 0, text).otherwise(F.array_join(F.flatten(runs), "\n"))
     numbers = [F.size("_lines").cast("long").alias("n_lines"), F.size("_drops").cast("long").alias("n_dropped")]
-    return out.select(*[kept.alias(c) if c == text_column else F.col(c) for c in own], *(numbers if counts else []))
+    columns = [kept.alias(c) if c == text_column else F.col("_row").getField(c).alias(c) for c in own]
+    return out.select(*columns, *(numbers if counts else []))

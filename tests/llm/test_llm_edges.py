@@ -1,0 +1,337 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gatelens.llm.common import components, hashed_words, lower_ascii
+from gatelens.llm.decontaminate import contaminated, without_contaminated
+from gatelens.llm.lang_id import identify, keep_identified, train
+from gatelens.llm.licenses import scan_licenses
+from gatelens.llm.line_dedup import dedup_lines
+from gatelens.llm.lm_score import score
+from gatelens.llm.near_dedup import near_duplicates
+from gatelens.llm.packing import CapacityTree, pack, plan_runs
+from gatelens.llm.queries import TOKENIZERS
+from gatelens.llm.secrets import find_secrets
+from gatelens.llm.topk_search import top_k
+from gatelens.llm.url_filter import judge_urls
+
+CLASHES = "id row key host path part n a b hub salt block band rep size level unit dir kind start end held window place item _doc _row _id text2 component_id score lang_pred".split()
+PROSE = "the quick brown fox jumps over the lazy dog while many other animals look on in silent wonder today"
+LONG = " ".join(f"w{i % 5000} and" for i in range(150_000))
+DOCS = [
+    (1, PROSE, "en"), (1, PROSE, "en"), (2, PROSE + " again", None), (3, None, "en"), (4, "", "de"), (5, " \n\t ", "de"), (6, "1234 !?", "de"),
+    (7, LONG, "en"), (8, "eins zwei drei vier fünf\nsechs", "de"), (None, PROSE, "en"), (9, "x", None), (10, "É\u2028\x00 \U0001f600 ŁÓDŹ", "de"),
+]
+
+
+def frame(spark, rows, schema):
+    out = spark.createDataFrame(rows, schema)
+    for c in CLASHES:
+        if c not in out.columns:
+            out = out.withColumn(c, F.when(F.rand(3) < 0.5, F.lit("x")))
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return frame(spark, DOCS, "doc_id long, text string, lang string").cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+def by_id(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, str(r)))
+
+
+def test_lower_ascii(spark):
+    got = spark.createDataFrame([("ABC É ß",), ("XYZ",), (None,), ("",)], "t string").select(lower_ascii(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["abc É ß", "xyz", None, ""]
+
+
+def test_words_of_any_window():
+    import pyarrow as pa
+
+    texts = ["A bc  D", None, "", "a\x0bBC\nd", "é" * 3_000_000, "x " * 1_000_000, "a b" + "c" * 2_000_000 + " a"]
+    words, edges = hashed_words(pa.array(texts))
+    assert (edges[1:] - edges[:-1]).tolist() == [3, 0, 0, 3, 1, 1_000_000, 3]
+    assert words[:3].tolist() == words[3:6].tolist()
+    assert len(set(words[7:1_000_007].tolist())) == 1
+    assert words[1_000_007] == words[0] == words[1_000_009]
+    sliced, _ = hashed_words(pa.array(texts).slice(3, 1))
+    assert sliced.tolist() == words[:3].tolist()
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 300), (300, 100), (7, 7)] + [(1000, i) for i in range(1001, 1200)]
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(got[i] == 1 for i in range(1, 61)) and got[300] == 100 and all(got[i] == 1000 for i in range(1000, 1200))
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_op1(spark):
+    urls = [
+        (1, "http://example.org/es/x"), (1, "http://example.org/es/x"), (2, None), (3, ""), (4, "no scheme"), (None, "https://A.B.EXAMPLE.org/EN/1"), (5, "x://example.org"),
+        (6, "x://example.org/en/19?q=/es/"), (7, "x://notexample.org/es/"), (8, "x://h.com/" + "a" * 100_000), (9, "x://com/fr/#://"), (10, "x:///de/"), (11, "x://example.org./es/"), (12, "x://y.com:80/de/"),
+    ]
+    rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), (None, "/", "block"), ("com", None, "block")]
+    pages = frame(spark, urls, "page_id long, url string")
+    table = frame(spark, rules, "host string, path string, verdict string")
+    got = {(r["page_id"], r["host"]): (r["rule"], r["verdict"]) for r in judge_urls(pages, table).collect()}
+    assert judge_urls(pages, table).count() == len(urls)
+    assert got[1, "example.org"] == ("example.org/es/", "block") and got[None, "a.b.example.org"] == ("org/", "allow")
+    assert got[2, ""] == got[3, ""] == got[4, ""] == (None, "allow") and got[5, "example.org"] == (None, "allow")
+    assert got[6, "example.org"] == ("example.org/en/1", "block") and got[7, "notexample.org"] == ("org/", "allow")
+    assert got[9, "com"] == ("com/fr/", "allow") and got[10, ""] == (None, "allow") and got[11, "example.org."] == (None, "allow") and got[12, "y.com:80"] == (None, "allow")
+    assert judge_urls(pages.where("false"), table).count() == 0
+    assert {r["verdict"] for r in judge_urls(pages, table.where("false"), default="block").collect()} == {"block"}
+
+
+def test_op1_many_rows_of_one_url(spark):
+    hot = spark.range(20_000).select(F.col("id").alias("page_id"), F.when(F.col("id") % 3 > 0, F.lit("http://a.example.org/es/1")).otherwise(F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".com/de/"))).alias("url"))
+    rules = spark.createDataFrame([("example.org", "/es/", "block"), ("com", "/", "allow"), ("com", "/de/", "block"), ("h3.com", "/", "allow")], "host string, path string, verdict string")
+    out = judge_urls(hot, rules)
+    assert {r["verdict"]: r["count"] for r in out.where("page_id <> 3").groupBy("verdict").count().collect()} == {"block": 19_999}
+    assert out.where("page_id = 3").first()["rule"] == "h3.com/"  # as long as com/de/, with the longer host
+    filled = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert filled < 20_000 / 2
+
+
+def test_op2(spark, docs, nothing):
+    got = by_id(near_duplicates(docs, words=4).collect())
+    flags = {(r[0], r[2], r[3]) for r in got}
+    assert len(got) == len(DOCS)
+    assert {(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (5, 5, True), (7, 7, True), (None, None, True)} <= flags
+    assert {r[1] for r in got if r[0] in (3, 4, 5)} == {0} and {r[1] for r in got if r[0] == 9} == {1}
+    assert near_duplicates(nothing).count() == 0
+    assert near_duplicates(docs.where("text is null")).where("not kept").count() == 0
+
+
+def test_op2_chains_and_large_groups(spark):
+    """Near copies of which only neighbours are similar, and a group whose members all share one passage."""
+    base = [f"t{i}" for i in range(120)]
+    chain = [(i, " ".join(f"c{i}x{k}" if k < 4 * i else w for k, w in enumerate(base))) for i in range(12)]
+    shared = [(100 + i, " ".join(base[:40]) + " " + " ".join(f"own{i}y{k}" for k in range(30))) for i in range(40)]
+    copies = [(1000 + i, " ".join([*base, f"z{i % 7}"])) for i in range(300)]
+    rows = chain + shared + copies
+    sets = {i: {tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
+    root = {i: i for i in sets}
+    find = lambda x: x if root[x] == x else find(root[x])
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: find(i) for i in ids}
+
+
+def test_op3(spark, docs, nothing):
+    got = by_id(dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped").collect())
+    assert len(got) == len(DOCS)
+    assert (1, PROSE, 1, 0) in got and (3, "", 1, 0) in got and (4, "", 1, 0) in got and (None, "", 1, 1) in got and (2, PROSE + " again", 1, 0) in got
+    assert set(docs.columns) <= set(dedup_lines(docs).columns) and dedup_lines(docs, counts=False).columns == docs.columns
+    lines = spark.createDataFrame([(1, "same line here\nother\nsame line here"), (2, "x\n SAME LINE HERE \ny\n\nsame line here"), (2, "second text\nsame line here"), (3, "short\nshort")], "doc_id long, text string")
+    assert by_id(dedup_lines(lines).collect()) == [(1, "same line here\nother\nsame line here", 3, 0), (2, "second text", 2, 1), (2, "x\ny\n", 5, 2), (3, "short\nshort", 2, 0)]
+    assert dedup_lines(lines, min_docs=3).where("n_dropped > 0").count() == 0
+    assert dedup_lines(nothing).count() == 0
+    many = spark.createDataFrame([(1, "\n".join(["a common line of text"] * 100_000)), (2, "\n".join(["a common line of text", "b"] * 100_000))], "doc_id long, text string")
+    assert [r["n_dropped"] for r in dedup_lines(many).orderBy("doc_id").collect()] == [0, 100_000]
+
+
+def test_op4(spark, docs, nothing):
+    question = "a train leaves Paris at 10 h and travels 300 km before it meets the train that left Lyon at 12 h after 200 km"
+    texts = [
+        (1, "before. " + question + " after"), (1, "before. " + question + " after"), (2, question.replace("Paris", "Rome").replace("300", "450")),
+        (3, question.replace("at 12 h", "at 10 h")), (4, "a train leaves the station"), (5, None), (None, question), (6, ""), (7, LONG + "\n" + question.upper()), (8, "10 20 30 40 50 60 70 80 90 " * 5),
+    ]
+    items = frame(spark, [(1, question), (1, question), (2, None), (3, "too short"), (None, PROSE), (4, "1 2 3 4 5 6 7 8 9 10 11 12")], "item_id long, text string")
+    table = frame(spark, texts, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in contaminated(table, items).collect()}
+    assert got == {(1, 1): "exact", (2, 1): "variant", (None, 1): "exact", (7, 1): got.get((7, 1))} or got == {(1, 1): "exact", (2, 1): "variant", (None, 1): "exact"}
+    left = without_contaminated(table, items)
+    assert left.columns == table.columns and {r["doc_id"] for r in left.collect()} >= {3, 4, 5, 6, 8}
+    assert not {1, 2, None} & {r["doc_id"] for r in left.collect()}
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == {(1, None), (2, None), (None, None)}
+    assert contaminated(nothing, items).count() == 0 and contaminated(table, items.where("false")).count() == 0
+
+
+def test_op5(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [9.0, 9.0]), (50, [-0.001, 3e38]), (9, [0.0, -3e38]), (10, [-1.0, -1.0])]
+    got = by_id(top_k(frame(spark, rows, "vec_id long, embedding array<float>")).collect())
+    first = [(r[1], r[2], r[3]) for r in got if r[0] == 0]
+    assert len(first) == 10 and first.count((2, 0, 256 * 256 + 128 * 128)) == 2 and {r[2] for r in got} <= {0, 1, 2, 50, 9, 10}
+    assert [r for r in got if r[0] == 50][-1][1] == 5
+    assert top_k(frame(spark, rows, "vec_id long, embedding array<float>").where("false")).count() == 0
+
+
+def test_op5_against_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(3000, 37)) + rng.normal(size=(8, 37))[rng.integers(0, 8, 3000)], 1)
+    frame_ = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in top_k(frame_).collect()}
+    whole = np.floor(256 * x).astype(np.int64)
+    for q in range(0, 3000, 50):
+        scores = whole @ whole[q]
+        best = sorted((-scores[i], i) for i in range(3000) if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
+
+
+def test_op6(spark, docs, nothing):
+    got = by_id(score(docs, lexicon=20, min_count=2).collect())
+    assert len(got) == len(DOCS)
+    assert {r[2] for r in got if r[0] in (3, 4, 5)} == {1} and all(r[6] < 0 for r in got)
+    assert score(nothing).count() == 0
+    assert score(docs.where("doc_id is null")).first()["n_known"] == 0  # nothing to learn from
+
+
+def test_op6_probabilities_sum_to_one(spark):
+    """After any history, the probabilities of all words and of an unseen one add up to 1."""
+    import math
+
+    corpus = [(i, "a b c a b a c b b a " * 3 + ("a b" if i % 2 else "c")) for i in range(1, 40)]
+    words = ["a", "b", "c", "unseen"]
+    tests = [(1000 + k, f"{h} {w}".strip()) for k, (h, w) in enumerate((h, w) for h in ("", "a", "a b", "c unseen", "b a b") for w in words)]
+    prefixes = [(2000 + k, h) for k, h in enumerate(("", "a", "a b", "c unseen", "b a b"))]
+    import zlib
+
+    held = [i for i in range(5000, 90000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    kept = [(i, t) for i, t in corpus if zlib.crc32(str(i).encode()) % 10]
+    rows = kept + [(held[i - 1000], t) for i, t in tests + prefixes]
+    out = {r["doc_id"]: r for r in score(spark.createDataFrame(rows, "doc_id long, text string"), lexicon=10, min_count=2).collect()}
+    # score(h w) = P(h) P(w|h) P(end|h w) and score(h) = P(h) P(end|h): checked by an independent model below.
+    from collections import Counter, defaultdict
+
+    sents = [t.split() + ["</s>"] for _, t in kept]
+    uni = Counter(w for s in sents for w in s)
+    grams = {n: {g: c for g, c in Counter(tuple(s[i : i + n]) for s in sents for i in range(len(s) - n + 1)).items() if c >= 2} for n in (2, 3)}
+    total, distinct = sum(uni.values()), len(uni)
+    taken = defaultdict(float)
+    for n in (2, 3):
+        for g, c in grams[n].items():
+            taken[g[:-1]] += c - 0.75
+    count = lambda h: uni[h[0]] if len(h) == 1 else grams[len(h)].get(h, 0)
+
+    def p(w, h):
+        if not h:
+            return (uni[w] + 0.1) / (total + 0.1 * (distinct + 1))
+        if h not in taken:
+            return p(w, h[1:])
+        left = 1 - taken[h] / count(h)
+        c = grams[len(h) + 1].get((*h, w), 0)
+        return (c - 0.75) / count(h) * (c > 0) + left * p(w, h[1:])
+
+    for i, t in tests + prefixes:
+        s = [*t.split(), "</s>"]
+        expected = math.fsum(math.log10(p(w, tuple(s[max(0, k - 2) : k]))) for k, w in enumerate(s))
+        assert math.isclose(out[held[i - 1000]]["score"], expected, rel_tol=1e-9), t
+    for h in ((), ("a",), ("a", "b"), ("b", "a")):
+        assert math.isclose(sum(p(w, h) for w in [*uni, "never"]), 1, rel_tol=1e-9)
+
+
+def test_op7(spark, docs, nothing):
+    assert find_secrets(docs).count() == len(DOCS) and find_secrets(nothing).count() == 0
+    key = "aB3" * 12
+    texts = [
+        (1, "secret=token: abcdefgh"), (2, "PASSWORD : 'abc123' x"), (3, f"id AKIA{'A' * 16} key {key}"), (4, f"just {key} alone"), (5, f"{key} " + "x " * 300 + f"AKIA{'A' * 16}"),
+        (6, "é https://api.example.org/v1 token=abcdef"), (7, "https://api.example.org/v1 user=bob"), (8, "AKIA" + "Z" * 15), (9, "f" * 23 + " " + "f" * 24), (None, None), (10, "x=" + "0123456789abcdef" * 50_000),
+        (11, " ".join(["token=abcdefg"] * 20_000)),
+    ]
+    got = {r["doc_id"]: [(f["name"], f["start"], f["end"]) for f in r["findings"]] for r in find_secrets(frame(spark, texts, "doc_id long, text string")).collect()}
+    assert got[1] == [] and got[2] == [("assign", 0, 18)] and got[4] == [] and got[7] == [] and got[8] == [] and got[None] == []
+    assert got[3] == [("access", 3, 23), ("key", 28, 64)] and got[5] == [("access", 637, 657)] and got[9] == [("hex", 24, 48)]
+    assert got[6] == [("endpoint", 2, 28), ("assign", 29, 41)] and got[10] == [("hex", 2, 800_002)]
+    assert len(got[11]) == 20_000 and got[11][1] == ("assign", 14, 27)
+
+
+def test_op8(spark, docs, nothing):
+    assert scan_licenses(docs, "path").count() == len(DOCS) and scan_licenses(nothing, "path").count() == 0
+    files = [
+        (1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c/x.py", "code"), (3, "a/b/LICENSE", "Licensed under CC BY-NC 4.0."), (4, "a/y.py", None), (5, "z/y.py", ""),
+        (6, "a/b/own.py", "one\nLicensed under the Apache License, Version 2.0. More words follow in this line\ntwo " + "three " * 50), (7, None, "All rights reserved."), (8, "top.py", "x"), (8, "top.py", "x"),
+        (None, "a/b/c/x.py", "mit"), (9, "ab/c.py", "code"), (10, "a/b/prose.py", "all the rights of the license that a version has " * 5),
+    ]
+    got = {(r["doc_id"], r["path"]): (r["license"], r["basis"], r["source_dir"]) for r in scan_licenses(frame(spark, files, "doc_id long, path string, text string"), "path").collect()}
+    assert got[1, "a/LICENSE"] == ("MIT", "file", None) and got[2, "a/b/c/x.py"] == got[None, "a/b/c/x.py"] == ("CC-BY-NC-4.0", "inherited", "a/b")
+    assert got[4, "a/y.py"] == ("MIT", "inherited", "a") and got[5, "z/y.py"] == (None, None, None) and got[6, "a/b/own.py"] == ("Apache-2.0", "header", None)
+    assert got[7, None] == ("Proprietary", "file", None) and got[8, "top.py"] == (None, None, None) and got[9, "ab/c.py"] == (None, None, None) and got[10, "a/b/prose.py"][1] == "inherited"
+    assert scan_licenses(frame(spark, files, "doc_id long, path string, text string"), "path", templates=()).where("license is not null").count() == 0
+
+
+def test_op9(spark, docs, nothing):
+    from tokenizers import Tokenizer
+
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    tokenizer = Tokenizer.from_file(path)
+    odd = [(100, "É, ß. don't 3.5kg <|startoftext|> <|STARTOFTEXT|> a|B x<|endoftext|>y ÷, ×. ñ! Ünï… “q”, e\u0301, ﬁ. ΑΣ. İ. K. \u00a0 a\u3000b")]
+    table = frame(spark, [*((i, t) for i, t, _ in DOCS), *odd], "doc_id long, text string")
+    out = pack(table, path, capacity=64, with_ids=True).orderBy("doc_id", "piece").collect()
+    texts = {i: t for i, t, _ in DOCS} | dict(odd)
+    for i in (3, 4, 7, 8, 10, 100):
+        assert [x for r in out if r["doc_id"] == i for x in r["ids"]] == tokenizer.encode(texts[i] or "", add_special_tokens=False).ids + [0]
+    filled = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == filled.get(r["sequence_id"], 0) and len(r["ids"]) == r["length"]
+        filled[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(filled.values()) <= 64
+    assert pack(nothing, path).count() == 0
+
+
+def test_op9_plan_is_best_fit_decreasing():
+    import random
+
+    rng = random.Random(4)
+    for capacity in (1, 7, 64, 2048):
+        for _ in range(20):
+            counts = {rng.randint(1, capacity): rng.randint(1, 30) for _ in range(rng.randint(1, 40))}
+            bins: list[int] = []
+            for length in sorted(counts, reverse=True):
+                for _ in range(counts[length]):
+                    fits = [(room, i) for i, room in enumerate(bins) if room >= length]
+                    if fits:
+                        bins[min(fits)[1]] -= length
+                    else:
+                        bins.append(capacity - length)
+            used: dict[int, list[tuple[int, int]]] = {}
+            for length, _, n, first, per, offset in plan_runs(counts, capacity):
+                for k in range(n):
+                    used.setdefault(first + k // per, []).append((offset + k % per * length, length))
+            assert sorted(used) == list(range(len(bins)))
+            for placed in used.values():
+                at = 0
+                for offset, length in sorted(placed):
+                    assert offset == at
+                    at += length
+            assert sorted(capacity - sum(n for _, n in p) for p in used.values()) == sorted(bins)
+    tree = CapacityTree(10)
+    assert tree.tightest(1) is None
+    tree.add(10, 2)
+    tree.add(4, 1)
+    assert tree.tightest(4) == 4 and tree.tightest(5) == 10 and tree.tightest(0) == 4
+
+
+def test_op10(spark, docs, nothing):
+    model = train(docs.where("doc_id is null or doc_id <> 7"))
+    got = by_id(identify(docs, model).select("doc_id", "lang_pred", "score").collect())
+    assert len(got) == len(DOCS) and model[0] == ["de", "en"]
+    assert {r[1] for r in got if r[0] in (3, 4, 5, 6)} == {"und"} and {r[1] for r in got if r[0] in (1, 7, None)} == {"en"}
+    kept = keep_identified(docs, model)
+    assert kept.schema == docs.schema and sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted(r[0] or 0 for r in got if r[1] != "und")
+    assert identify(nothing, model).count() == 0 and train(nothing)[0] == []
+    assert {r["lang_pred"] for r in identify(docs, train(nothing)).collect()} == {"und"}
+
+
+def test_op10_mixture(spark):
+    mixed = spark.createDataFrame([(1, "the cat and the house with a thing " * 10 + "der hund und das haus mit einem ding " * 5)], "doc_id long, text string")
+    learn = spark.createDataFrame([("the cat and the dog with a thing in this house", "en"), ("der hund und die katze mit einem ding in dem haus", "de"), ("el gato y el perro con una cosa en la casa", "es")], "text string, lang string")
+    shares = {s["lang"]: s["share"] for s in identify(mixed, train(learn)).first()["languages"]}
+    assert set(shares) == {"en", "de"} and 0.55 < shares["en"] < 0.75
