@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -117,7 +119,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def row_slices(batch: pa.RecordBatch, column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Returns memory that a Python worker has freed to the machine; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def row_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with about ``size`` bytes of text; a longer text is a run of its own."""
     _, edges = text_bytes(batch.column(column))
     start = 0
@@ -126,6 +137,7 @@ def row_slices(batch: pa.RecordBatch, column: str, size: int = 8 << 20) -> Itera
         end = min(max(end, start + 1), batch.num_rows)
         yield batch.slice(start, end - start)
         start = end
+    give_back()
 
 
 def word_spans(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,6 +209,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     )
     for _ in range(rounds):
+        if edges.isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Larger neighbours of every id, and the id itself, point to the smallest id around it.

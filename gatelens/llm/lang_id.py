@@ -22,7 +22,7 @@ ROUNDS = 10
 ADDED = 0.5
 UNKNOWN = "und"
 #: Bytes of text judged at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _MAP = np.zeros(256, np.uint8)  # bytes of letters, A-Z as a-z; all others are 0, the space between words
 _MAP[97:123] = _MAP[65:91] = np.arange(97, 123)

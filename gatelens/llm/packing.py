@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gatelens.llm.common import row_slices, saved, ship, span_hashes, text_bytes, word_spans
 
 #: Distinct words whose ids a Python worker keeps; when there are more, it begins anew.
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_500_000
 
 
 class _WordIds:
@@ -62,7 +62,7 @@ class _WordIds:
         known[inside] = self.keys[at[inside]] == distinct[inside]
         if not known.all():
             new = first[~known]
-            raw = data.tobytes() if len(new) > 64 else data
+            raw = memoryview(data)
             words = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
             encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
             ids = [e.ids for e in encode(words, add_special_tokens=False)]
