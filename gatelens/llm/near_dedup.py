@@ -331,7 +331,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     sketches = reps.select("id", "sketch")
     banded = reps.select("id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    shared = saved(banded.join(buckets, "band").select("band", "id", "hub", "size"))
+    shared = saved(banded.join(buckets, "band").select("band", "id", "hub"))
 
     # One comparison for each representative: with the smallest document in most of its buckets.
     votes = shared.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("votes"))
@@ -348,14 +348,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     roots = saved(components(links))
 
     # Everything else that shares a bucket across components.
-    placed = shared.join(roots, "id", "left").select("band", "id", "size", F.coalesce("root", "id").alias("root"))
-    open_bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = shared.select("band", "id").distinct().join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    # Of a bucket with several components, the largest is cut into blocks that meet those of the others, but not each
+    # other; so a large group with a few strays costs about as much as its members.
+    per_root = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    open_bands = (
+        per_root.groupBy("band")
+        .agg(F.count("*").alias("roots"), F.max_by("root", "n").alias("major"), F.max("n").alias("m"), F.sum("n").alias("all"))
+        .where("roots > 1")
+        .select("band", "major", F.ceil(F.col("m") / BLOCK).cast("int").alias("major_blocks"), F.ceil((F.col("all") - F.col("m")) / BLOCK).cast("int").alias("blocks"))
+    )
+    is_major = F.col("root") == F.col("major")
+    hashed, first_other = F.xxhash64("id"), F.col("major_blocks")
     spread = (
         placed.join(open_bands, "band")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .select("band", "id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .withColumn("own", F.when(is_major, F.pmod(hashed, first_other)).otherwise(first_other + F.pmod(hashed, F.col("blocks"))).cast("int"))
+        .withColumn("from", F.when(is_major, first_other).otherwise(0))
+        .select("band", "id", "root", "own", F.explode(F.sequence("from", first_other + F.col("blocks") - 1)).alias("other"))
         .select(
             "band", "id", "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),

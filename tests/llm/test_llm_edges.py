@@ -112,8 +112,22 @@ def test_op2(spark, docs, nothing):
     assert near_duplicates(docs.where("text is null")).where("not kept").count() == 0
 
 
-def test_op2_chains_and_large_groups(spark):
+def test_op2_intersections_by_matrix():
+    import numpy as np
+
+    from gatelens.llm.near_dedup import _common, _intersection
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 6000, n).astype(np.uint64)) for n in (1, 5, 900, 2500, 2500, 6000, 1, 40)]
+    left, right = np.triu_indices(len(sets), 1)
+    assert _common(sets, left, right).tolist() == [_intersection(sets[i], sets[j]) for i, j in zip(left, right, strict=True)]
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_op2_chains_and_large_groups(spark, monkeypatch, block):
     """Near copies of which only neighbours are similar, and a group whose members all share one passage."""
+    monkeypatch.setattr("gatelens.llm.near_dedup.BLOCK", block)
+    monkeypatch.setattr("gatelens.llm.near_dedup.GROUP", block)
     base = [f"t{i}" for i in range(120)]
     chain = [(i, " ".join(f"c{i}x{k}" if k < 4 * i else w for k, w in enumerate(base))) for i in range(12)]
     shared = [(100 + i, " ".join(base[:40]) + " " + " ".join(f"own{i}y{k}" for k in range(30))) for i in range(40)]
