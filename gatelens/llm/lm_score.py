@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import hashed_words, row_slices, saved, ship
+from gatelens.llm.common import give_back, hashed_words, row_slices, saved, ship
 
 #: Text bytes per block; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
@@ -82,8 +82,8 @@ class _Block:
     def grams(self, lexicon: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per length: the distinct n-grams of lexicon words within documents, and how often training holds each."""
         number = self.lexicon_numbers(lexicon)[self.tokens]
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        code = number.copy()
+        doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        code = number
         valid = number >= 0
         for level in range(2, order + 1):
             valid = valid[:-1] & (number[level - 1 :] >= 0) & (doc[level - 1 :] == doc[: len(doc) - level + 1])
@@ -97,6 +97,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield _Block(batch.slice(i, 1).to_pylist()[0])
+            give_back()
 
 
 def _as_longs(x: np.ndarray) -> pa.Array:
@@ -112,10 +113,13 @@ class Automaton:
         self.arcs: dict[int, tuple[float, int]] = {}
         self.failure, self.failure_weight = [0], [0.0]
 
-    def state(self, failure: int, weight: float) -> int:
-        self.failure.append(failure)
-        self.failure_weight.append(weight)
-        return len(self.failure) - 1
+    def states(self, failure: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """New states for the histories that leave less than 1 to their failure arcs; 0 for the others."""
+        some = left < 1
+        numbers = np.where(some, len(self.failure) + np.cumsum(some) - 1, 0)
+        self.failure += failure[some].tolist()
+        self.failure_weight += np.log10(left[some]).tolist()
+        return numbers
 
     def weight(self, tokens: list[int]) -> float:
         """The log10 probability of a document, from left to right."""
@@ -141,32 +145,30 @@ def _build(block: _Block, counts: np.ndarray, base: np.ndarray, lexicon: np.ndar
     machine = Automaton(np.log10(base))
     size = len(lexicon)
     number = block.lexicon_numbers(lexicon)
-    word_of = {int(n): w for w, n in enumerate(number) if n >= 0}
-    states: dict[int, int] = {}  # of histories with arcs
-    reached: dict[int, int] = {}  # where a traversal is after an n-gram: its own state, or that of its longest end with one
-    probability: dict[int, float] = {}
-    context_count: dict[int, float] = {}
-    left: dict[int, float] = {}
-    for n, word in word_of.items():
-        probability[n], context_count[n] = float(base[word]), float(counts[word])
-        if lexicon_left[n] < 1:  # a history with arcs
-            left[n] = float(lexicon_left[n])
-            states[n] = machine.after_word[word] = machine.state(0, math.log10(left[n]))
-        reached[n] = states.get(n, 0)
+    words = np.flatnonzero(number >= 0)
+    word_of = np.zeros(size, np.int64)
+    word_of[number[words]] = words
+
+    # Per n-gram of the level below, in the order of its codes: what the next level builds upon. ``state`` is that of a
+    # history with arcs (0 without), ``reached`` where a traversal is after the n-gram: its own state, or that of its
+    # longest end that has one.
+    order = np.argsort(number[words])
+    words = words[order]
+    codes, total, left, probability = number[words], counts[words], lexicon_left[number[words]], base[words]
+    state = machine.states(np.zeros(len(words), np.int64), left)
+    reached = state
+    for word, target in zip(words.tolist(), state.tolist(), strict=True):
+        machine.after_word[word] = target
     for level in sorted(kept):
-        codes, totals, lefts = kept[level]
-        tail = size ** (level - 1)
-        next_states, next_reached, next_probability, next_count, next_left = {}, {}, {}, {}, {}
-        for code, total, rest in zip(codes.tolist(), totals.tolist(), lefts.tolist(), strict=True):
-            history, shorter = code // size, code % tail
-            p = (total - DISCOUNT) / context_count[history] + left[history] * probability[shorter]
-            next_probability[code], next_count[code] = p, float(total)
-            next_reached[code] = reached[shorter]
-            if rest < 1:
-                next_left[code] = rest
-                next_states[code] = next_reached[code] = machine.state(reached[shorter], math.log10(rest))
-            machine.arcs[states[history] << 32 | word_of[code % size]] = (math.log10(p), next_reached[code])
-        states, reached, probability, context_count, left = next_states, next_reached, next_probability, next_count, next_left
+        new_codes, new_total, new_left = (x[np.argsort(kept[level][0])] for x in kept[level])
+        history = np.searchsorted(codes, new_codes // size)
+        shorter = np.searchsorted(codes, new_codes % size ** (level - 1))
+        p = (new_total - DISCOUNT) / total[history] + left[history] * probability[shorter]
+        new_state = machine.states(reached[shorter], new_left)
+        new_reached = np.where(new_state > 0, new_state, reached[shorter])
+        keys = state[history] << 32 | word_of[new_codes % size]
+        machine.arcs.update(zip(keys.tolist(), zip(np.log10(p).tolist(), new_reached.tolist(), strict=True), strict=True))
+        codes, total, left, probability, state, reached = new_codes, new_total, new_left, p, new_state, new_reached
     return machine
 
 
