@@ -1,19 +1,21 @@
 """Documents scored by a smoothed n-gram model, run as a weighted automaton with failure arcs.
 
 Texts are read once into blocks: the numbers of a block's words in the block's own vocabulary. Counts leave a block as
-one row per distinct word or n-gram, are summed over the corpus, and those totals that a block needs come back to it, so
-traffic follows distinct words and n-grams, not tokens, and no model is ever held whole.
-
-The model: single words have add-0.1 probabilities. Longer n-grams, made of the ``lexicon`` most frequent words and seen
-at least ``min_count`` times, have an arc: probability ``(c(hw) - D) / c(h) + l(h) p(w | shorter h)``. The failure arc of a
-history weighs ``l(h)``, what the discounts and the rarer n-grams left over, and leads to the history without its oldest
-word. Probabilities of a state sum to one. One traversal from left to right carries the state and adds up the weights.
+one row per distinct word and, for the n-grams, as one packed message per block and part of the model; a part holds all
+n-grams that begin with the same two words, so that the totals of histories lie beside those of their n-grams. Every part
+answers each message with the totals over the corpus, in the order of the message. No model is ever held whole.
+
+The model: single words have add-0.1 probabilities. Longer n-grams seen in training have an arc: probability
+``(c(hw) - D) / c(h) + l(h) p(w | shorter h)``. The failure arc of a history weighs ``l(h)``, what the discounts left
+over, and leads to the history without its oldest word. Probabilities of a state sum to one. The state before a token is
+the longest history that the model knows, so all tokens of a block follow their arcs at once, from the shortest history up.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +23,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import give_back, hashed_words, row_slices, saved, ship
+from gatelens.llm.common import give_back, hashed_words, mix, row_slices, saved, ship
 
 #: Text bytes per block; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: The token that ends a document, among the hashes of words.
 END = 0x0E2D_0F7E_47A1_1D0C
 DISCOUNT, ADDED = 0.75, 0.1
+#: Tokens for each part of the model, which one task adds up.
+PART_TOKENS = 2_000_000
+#: Distinct words that one task answers for.
+PART_WORDS = 1_000_000
 _CODEC = "zstd"
 
 
@@ -74,23 +80,37 @@ class _Block:
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.training], minlength=len(self.words))
 
-    def lexicon_numbers(self, lexicon: np.ndarray) -> np.ndarray:
-        """The number of each word of the vocabulary in the sorted lexicon, or -1."""
-        at = np.minimum(np.searchsorted(lexicon, self.words), max(0, len(lexicon) - 1))
-        return np.where(lexicon[at] == self.words, at, -1) if len(lexicon) else np.full(len(self.words), -1)
-
-    def grams(self, lexicon: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per length: the distinct n-grams of lexicon words within documents, and how often training holds each."""
-        number = self.lexicon_numbers(lexicon)[self.tokens]
-        doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
-        code = number
-        valid = number >= 0
-        for level in range(2, order + 1):
-            valid = valid[:-1] & (number[level - 1 :] >= 0) & (doc[level - 1 :] == doc[: len(doc) - level + 1])
-            code = code[:-1] * len(lexicon) + number[level - 1 :]
-            kept, training = code[valid], self.training[: len(code)][valid]
-            codes, inverse = np.unique(kept, return_inverse=True)
-            yield level, codes, np.bincount(inverse, weights=training, minlength=len(codes)).astype(np.int64)
+    def within(self, lexicon: np.ndarray | None) -> np.ndarray:
+        """Which words of the vocabulary n-grams are made of: those of the sorted lexicon, or all."""
+        return np.isin(self.words, lexicon) if lexicon is not None else np.ones(len(self.words), bool)
+
+    def grams(self, lexicon: np.ndarray | None, order: int) -> Iterator[_Grams]:
+        """The distinct n-grams within documents, from the shorter to the longer."""
+        inside, size = self.within(lexicon), len(self.words)
+        first = np.zeros(len(self.tokens), bool)
+        first[np.cumsum(self.sizes) - self.sizes] = True
+        known = inside[self.tokens]
+        at = np.where(known, self.tokens, -1).astype(np.int32)
+        for _ in range(2, order + 1):
+            history = np.insert(at[:-1], 0, -1)
+            history[first] = -1
+            ends = np.flatnonzero((history >= 0) & known)
+            codes, inverse = np.unique(history[ends].astype(np.int64) * size + self.tokens[ends], return_inverse=True)
+            counts = np.bincount(inverse, weights=self.training[ends], minlength=len(codes)).astype(np.int64)
+            at = np.full(len(self.tokens), -1, np.int32)
+            at[ends] = inverse
+            del ends, inverse
+            yield _Grams((codes // size).astype(np.int32), (codes % size).astype(np.int32), counts.astype(np.int32), history, at)
+
+
+class _Grams(NamedTuple):
+    """A block's distinct n-grams of one length, by history and last word; and of each token its history and n-gram, or -1."""
+
+    history: np.ndarray
+    last: np.ndarray
+    counts: np.ndarray
+    history_at: np.ndarray
+    at: np.ndarray
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -104,89 +124,152 @@ def _as_longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-class Automaton:
-    """States are histories, arcs words. State 0 is the empty history; its arcs are all words."""
-
-    def __init__(self, words: np.ndarray):
-        self.word_weight = words.tolist()
-        self.after_word = [0] * len(words)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.failure, self.failure_weight = [0], [0.0]
-
-    def states(self, failure: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """New states for the histories that leave less than 1 to their failure arcs; 0 for the others."""
-        some = left < 1
-        numbers = np.where(some, len(self.failure) + np.cumsum(some) - 1, 0)
-        self.failure += failure[some].tolist()
-        self.failure_weight += np.log10(left[some]).tolist()
-        return numbers
-
-    def weight(self, tokens: list[int]) -> float:
-        """The log10 probability of a document, from left to right."""
-        total, state = 0.0, 0
-        arcs, failure, failure_weight, word_weight, after_word = self.arcs, self.failure, self.failure_weight, self.word_weight, self.after_word
-        for word in tokens:
-            while state:
-                arc = arcs.get(state << 32 | word)
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += failure_weight[state]
-                state = failure[state]
+def _pack(numbers: list[np.ndarray]) -> bytes:
+    """Arrays of 4- or 8-byte numbers, compressed; like bytes of the numbers lie together."""
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in numbers]
+    return pa.compress(b"".join(planes), codec=_CODEC, asbytes=True)
+
+
+def _unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
+    """What ``_pack`` packed, given the kinds and lengths."""
+    flat = pa.decompress(data, sum(np.dtype(k).itemsize * n for k, n in kinds), codec=_CODEC, asbytes=True)
+    out, start = [], 0
+    for kind, n in kinds:
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(flat, np.uint8, width * n, start).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        start += width * n
+    return out
+
+
+def _dealt(block: _Block, grams: list[_Grams], parts: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per length: the n-grams in the order of the parts they belong to, and where each part begins."""
+    out, part = [], None
+    for g in grams:
+        of = (mix(mix(block.words[g.history]) + block.words[g.last]) % np.uint64(parts)).astype(np.int64) if part is None else part[g.history]
+        order = np.argsort(of, kind="stable")
+        out.append((order, np.searchsorted(of[order], np.arange(parts + 1))))
+        part = of
+    return out
+
+
+def _messages(block: _Block, grams: list[_Grams], parts: int) -> Iterator[tuple[int, list[int], bytes]]:
+    """Per part: its words and its n-grams, each by the place of its history (a word, or the n-gram before) and last word."""
+    dealt = _dealt(block, grams, parts)
+    places = []
+    for order, edges in dealt:
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order)) - np.repeat(edges[:-1], np.diff(edges))
+        places.append(place)
+    for part in range(parts):
+        mine = [order[edges[part] : edges[part + 1]] for order, edges in dealt]
+        if not len(mine[0]):
+            continue
+        used, number = np.unique(np.concatenate([grams[0].history[mine[0]], *(g.last[m] for g, m in zip(grams, mine, strict=True))]), return_inverse=True)
+        first, *lasts = np.split(number.astype(np.int32), np.cumsum([len(mine[0]), *(len(m) for m in mine)])[:-1])
+        numbers = [block.words[used]]
+        for k, (g, m) in enumerate(zip(grams, mine, strict=True)):
+            history = first if k == 0 else places[k - 1][g.history[m]]
+            numbers += [np.diff(history, prepend=np.int32(0)), lasts[k], g.counts[m]]
+        yield part, [len(numbers[0]), *(len(m) for m in mine)], _pack(numbers)
+
+
+def _sum_part(min_count: int):
+    """Adds up a part's messages and answers each: per n-gram its total, 0 if it is not in the model, and what it leaves
+    to its failure arc. Rows without a block tell what the n-grams of two words take of their first ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        blocks, sizes, found = table.column("block").to_pylist(), table.column("sizes").to_pylist(), []
+        for n, data in zip(sizes, table.column("data"), strict=True):
+            found.append(_unpack(data.as_py(), [(np.uint64, n[0]), *((np.int32, m) for m in n[1:] for _ in range(3))]))
+        words = np.unique(np.concatenate([f[0] for f in found]))
+        word_of = [np.searchsorted(words, f[0]) for f in found]
+        history_of, totals, lefts, inverses, taken_of_words = word_of, [], [], [], None
+        for level in range(len(sizes[0]) - 1):
+            codes = [history_of[k][np.cumsum(f[1 + 3 * level])] * len(words) + word_of[k][f[2 + 3 * level]] if len(f[1 + 3 * level]) else np.zeros(0, np.int64) for k, f in enumerate(found)]
+            distinct, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+            total = np.bincount(inverse, weights=np.concatenate([f[3 + 3 * level] for f in found]), minlength=len(distinct)).astype(np.int64)
+            total[total < max(1, min_count)] = 0
+            taken = np.bincount(distinct // len(words), weights=np.where(total > 0, total - DISCOUNT, 0), minlength=len(totals[-1]) if level else len(words))
+            if level:
+                lefts.append(1 - taken / np.maximum(totals[-1], 1))
             else:
-                total += word_weight[word]
-                state = after_word[word]
-        return total
-
-
-def _build(block: _Block, counts: np.ndarray, base: np.ndarray, lexicon: np.ndarray, lexicon_left: np.ndarray, kept: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Automaton:
-    """The part of the model's automaton that a block's documents can reach."""
-    machine = Automaton(np.log10(base))
-    size = len(lexicon)
-    number = block.lexicon_numbers(lexicon)
-    words = np.flatnonzero(number >= 0)
-    word_of = np.zeros(size, np.int64)
-    word_of[number[words]] = words
-
-    # Per n-gram of the level below, in the order of its codes: what the next level builds upon. ``state`` is that of a
-    # history with arcs (0 without), ``reached`` where a traversal is after the n-gram: its own state, or that of its
-    # longest end that has one.
-    order = np.argsort(number[words])
-    words = words[order]
-    codes, total, left, probability = number[words], counts[words], lexicon_left[number[words]], base[words]
-    state = machine.states(np.zeros(len(words), np.int64), left)
-    reached = state
-    for word, target in zip(words.tolist(), state.tolist(), strict=True):
-        machine.after_word[word] = target
-    for level in sorted(kept):
-        new_codes, new_total, new_left = (x[np.argsort(kept[level][0])] for x in kept[level])
-        history = np.searchsorted(codes, new_codes // size)
-        shorter = np.searchsorted(codes, new_codes % size ** (level - 1))
-        p = (new_total - DISCOUNT) / total[history] + left[history] * probability[shorter]
-        new_state = machine.states(reached[shorter], new_left)
-        new_reached = np.where(new_state > 0, new_state, reached[shorter])
-        keys = state[history] << 32 | word_of[new_codes % size]
-        machine.arcs.update(zip(keys.tolist(), zip(np.log10(p).tolist(), new_reached.tolist(), strict=True), strict=True))
-        codes, total, left, probability, state, reached = new_codes, new_total, new_left, p, new_state, new_reached
-    return machine
+                taken_of_words = taken
+            history_of = np.split(inverse, np.cumsum([len(c) for c in codes])[:-1])
+            totals.append(total), inverses.append(history_of)
+        lefts.append(np.ones(len(totals[-1])))
+        answers = [_pack([x for t, r, i in zip(totals, lefts, inverses, strict=True) for x in (t[i[k]], r[i[k]])]) for k in range(len(blocks))]
+        some = taken_of_words > 0
+        n, m = len(blocks), int(some.sum())
+        none = lambda k, kind: pa.nulls(k, kind)
+        answer = [pa.array(blocks, pa.int64()), pa.array([part] * n, pa.int32()), none(n, pa.int64()), none(n, pa.float64()), pa.array(answers, pa.binary())]
+        of_words = [none(m, pa.int64()), none(m, pa.int32()), _as_longs(words[some]), pa.array(taken_of_words[some]), none(m, pa.binary())]
+        give_back()
+        return pa.concat_tables([pa.table(x, names=["block", "part", "key", "taken", "data"]) for x in (answer, of_words)])
+
+    return run
+
+
+def _words_by_part(block: _Block, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of a block's words, by the part that answers for them."""
+    of = block.words.view(np.int64) % parts
+    order = np.argsort(of, kind="stable")
+    edges = np.searchsorted(of[order], np.arange(parts + 1))
+    for part in np.flatnonzero(np.diff(edges)).tolist():
+        yield part, order[edges[part] : edges[part + 1]]
+
+
+def _answer_words(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """Per question: the totals of its words, and what they leave to their failure arcs."""
+    keys, totals, rests = (known.column(c).to_numpy() for c in ("key", "total", "rest"))
+    order = np.argsort(keys)
+    keys, totals, rests = np.append(keys[order], 0), np.append(totals[order], 0), np.append(rests[order], 1.0)
+    answers = []
+    for data in asked.column("data"):
+        words = np.frombuffer(data.as_py(), np.int64)
+        at = np.searchsorted(keys[:-1], words)
+        at[keys[at] != words] = len(keys) - 1
+        answers.append(_pack([totals[at], rests[at]]))
+    # Parts of words are numbered from -1 downwards.
+    parts = pa.array(-1 - asked.column("part").to_numpy(), pa.int32())
+    return pa.table([asked.column("block"), parts, pa.array(answers, pa.binary())], names=["block", "part", "data"])
+
+
+def _weights(block: _Block, grams: list[_Grams], base: np.ndarray, counts: np.ndarray, left: np.ndarray, answers: dict[int, bytes], parts: int) -> np.ndarray:
+    """The log10 probability of every token: the weights of its failure arcs and of the arc that is there at last."""
+    dealt = _dealt(block, grams, parts)
+    totals, lefts = [counts], [left]
+    for g in grams:
+        totals.append(np.zeros(len(g.history), np.int64)), lefts.append(np.ones(len(g.history)))
+    for part, data in answers.items():
+        mine = [order[edges[part] : edges[part + 1]] for order, edges in dealt]
+        values = _unpack(data, [(kind, len(m)) for m in mine for kind in (np.int64, np.float64)])
+        for k, m in enumerate(mine):
+            totals[k + 1][m], lefts[k + 1][m] = values[2 * k], values[2 * k + 1]
+    p = base[block.tokens]
+    for k, g in enumerate(grams):
+        state = np.flatnonzero(g.history_at >= 0)
+        history, gram = g.history_at[state], g.at[state]
+        total = np.where(gram >= 0, totals[k + 1][gram], 0) if len(totals[k + 1]) else np.zeros(len(state), np.int64)
+        p[state] = lefts[k][history] * p[state] + np.where(total > 0, total - DISCOUNT, 0) / np.maximum(totals[k][history], 1)
+    return np.log10(p)
 
 
 def score(
-    docs: DataFrame, order: int = 3, lexicon: int = 1000, min_count: int = 3, held_out: int = 10, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, order: int = 3, lexicon: int | None = None, min_count: int = 1, held_out: int = 10, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """log10 probabilities of all texts: (id_column, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Rows whose crc32 of the id as text leaves a remainder other than 0 on division by ``held_out`` are learned from. Tokens
-    are words (A-Z lower-cased) and one end per text. ``base_score`` is that of single words alone.
+    are words (A-Z lower-cased) and one end per text. ``base_score`` is that of single words alone. N-grams are made of all
+    words, or of the ``lexicon`` most frequent ones if it is given, and count if training holds them ``min_count`` times.
 
     Defined cases: a null or empty text is its end alone; a null id counts as empty text (its remainder is 0: held out);
     rows that repeat or share an id are learned from and scored each; equally frequent words enter the lexicon in the
     order of their hashes. Without training rows all words are unseen. An empty table gives an empty result. Other
     columns, whatever their names, play no part.
     """
-    if lexicon**order >= 1 << 63:
-        raise ValueError("n-grams of the lexicon must be numbered in 63 bits")
     spark = docs.sparkSession
     ship(spark)
     id_type = dict(docs.dtypes)[id_column]
@@ -202,56 +285,48 @@ def score(
 
     single = saved(blocks.mapInArrow(count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("total")))
     train_tokens, distinct = single.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
-    chosen = single.orderBy(F.desc("total"), "key").limit(lexicon).collect()  # a bounded number of words
-    words = np.sort(np.array([r["key"] for r in chosen], np.int64).view(np.uint64))
-    lexicon_counts = {r["key"]: r["total"] for r in chosen}
-    word_counts = np.array([lexicon_counts[k] for k in words.view(np.int64).tolist()], np.int64)
-
-    def count_grams(batches):
+    words = None
+    if lexicon is not None:  # a bounded number of words
+        chosen = single.orderBy(F.desc("total"), "key").limit(lexicon).collect()
+        words = np.sort(np.array([r["key"] for r in chosen], np.int64).view(np.uint64))
+    tokens = blocks.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, n: x + n)), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(tokens / PART_TOKENS))
+
+    def send(batches):
         for b in _blocks(batches):
-            for level, codes, counts in b.grams(words, order):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), level, np.int32)), _as_longs(codes), _as_longs(counts)], names=["level", "key", "n"])
-
-    size = max(1, len(words))
-    grams = blocks.mapInArrow(count_grams, "level int, key long, n long").where("n > 0").groupBy("level", "key").agg(F.sum("n").alias("total")).where(F.col("total") >= min_count)
-    grams = saved(grams)
-    taken = grams.groupBy((F.col("level") - 1).alias("level"), F.floor(F.col("key") / size).alias("key")).agg(F.sum(F.col("total") - DISCOUNT).alias("taken"))
-    of_words = {r["key"]: r["taken"] for r in taken.where("level = 1").collect()}  # one row per word of the lexicon
-    lexicon_left = np.array([1 - of_words.get(k, 0.0) / word_counts[k] for k in range(len(words))])
-    model = grams.join(taken, ["level", "key"], "left").select("level", "key", "total", (1 - F.coalesce("taken", F.lit(0.0)) / F.col("total")).alias("rest"))
-
-    def needs(batches):
-        """The words and n-grams of each block; the lexicon is everywhere."""
+            grams = list(b.grams(words, order))
+            for part, sizes, data in _messages(b, grams, parts) if grams else ():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([b.block]), pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())], names=["part", "block", "sizes", "data"])
+
+    messages = blocks.mapInArrow(send, "part int, block long, sizes array<int>, data binary")
+    answered = saved(messages.groupBy("part").applyInArrow(_sum_part(min_count), "block long, part int, key long, taken double, data binary"))
+    taken = answered.where("block is null").groupBy("key").agg(F.sum("taken").alias("taken"))
+
+    word_parts = max(1, math.ceil(distinct / PART_WORDS))
+
+    def ask(batches):
         for b in _blocks(batches):
-            rare = b.lexicon_numbers(words) < 0
-            found = [(1, b.words[rare])] + [(level, codes) for level, codes, _ in b.grams(words, order)]
-            for level, keys in found:
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b.block, np.int64)), pa.array(np.full(n, level, np.int32)), _as_longs(keys)], names=["block", "level", "key"])
+            for part, places in _words_by_part(b, word_parts):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([b.block]), pa.array([b.words[places].tobytes()], pa.binary())], names=["part", "block", "data"])
 
-    known = single.select(F.lit(1).alias("level"), "key", "total", F.lit(1.0).alias("rest")).unionByName(model)
-    wanted = blocks.mapInArrow(needs, "block long, level int, key long").join(known, ["level", "key"]).select("block", "level", "key", "total", "rest")
+    known = single.join(taken, "key", "left").select(F.pmod("key", F.lit(word_parts)).cast("int").alias("part"), "key", "total", (1 - F.coalesce("taken", F.lit(0.0)) / F.col("total")).alias("rest"))
+    of_words = blocks.mapInArrow(ask, "part int, block long, data binary").groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answer_words, "block long, part int, data binary")
+    wanted = of_words.unionByName(answered.where("block is not null").select("block", "part", "data"))
 
     divisor = train_tokens + ADDED * (distinct + 1)
 
     def score_block(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        levels = right.column("level").to_numpy()
-        keys, totals, rests = (right.column(c).to_numpy() for c in ("key", "total", "rest"))
+        answers = dict(zip(right.column("part").to_pylist(), right.column("data").to_pylist(), strict=True))
         for b in _blocks(left.to_batches()):
-            counts = np.zeros(len(b.words), np.int64)
-            number = b.lexicon_numbers(words)
-            counts[number >= 0] = word_counts[number[number >= 0]]
-            rare = levels == 1
-            by_hash = np.argsort(b.words)
-            counts[by_hash[np.searchsorted(b.words, keys[rare].view(np.uint64), sorter=by_hash)]] = totals[rare]
+            counts, rest = np.zeros(len(b.words), np.int64), np.ones(len(b.words))
+            for part, places in _words_by_part(b, word_parts):
+                counts[places], rest[places] = _unpack(answers.pop(-1 - part), [(np.int64, len(places)), (np.float64, len(places))])
             base = (counts + ADDED) / divisor
-            kept = {level: tuple(x[levels == level] for x in (keys, totals, rests)) for level in range(2, order + 1)}
-            machine = _build(b, counts, base, words, lexicon_left, kept)
             starts = np.cumsum(b.sizes) - b.sizes
             base_scores = np.add.reduceat(np.log10(base)[b.tokens], starts)
             n_known = np.add.reduceat((counts > 0)[b.tokens].astype(np.int64), starts)
-            scores = [machine.weight(b.tokens[s : s + n].tolist()) for s, n in zip(starts.tolist(), b.sizes.tolist(), strict=True)]
+            scores = np.add.reduceat(_weights(b, list(b.grams(words, order)), base, counts, rest, answers, parts), starts)
             id_field = left.schema.field("ids").type.value_type
             out.append(pa.table([pa.array(b.ids, id_field), pa.array(b.held), pa.array(b.sizes), pa.array(n_known), pa.array(base_scores), pa.array(scores, pa.float64())], names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
         schema = pa.schema([("id", left.schema.field("ids").type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])

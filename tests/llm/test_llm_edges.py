@@ -252,6 +252,34 @@ def test_op6_probabilities_sum_to_one(spark):
         assert math.isclose(sum(p(w, h) for w in [*uni, "never"]), 1, rel_tol=1e-9)
 
 
+def test_op6_all_words_make_ngrams(spark, monkeypatch):
+    """Words beyond the thousand most frequent, seen together once, back nothing off; parts of the model change nothing."""
+    import math
+    import zlib
+    from collections import Counter
+
+    kept = [i for i in range(1, 2000) if zlib.crc32(str(i).encode()) % 10]
+    held = next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    many = [f"w{k}" for k in range(1500)]
+    sentence = "rare words that stand together once"
+    rows = [(kept[0], " ".join(many)), (kept[1], " ".join(many[::-1])), (kept[2], sentence), (held, sentence)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = Counter(w for _, t in rows[:3] for w in [*t.split(), "</s>"])
+    total, distinct = sum(counts.values()), len(counts)
+    words, expected = [*sentence.split(), "</s>"], 0.0
+    for k, w in enumerate(words):
+        p = (counts[w] + 0.1) / (total + 0.1 * (distinct + 1))
+        if k >= 1:  # every word but the end stands once, before the next one only
+            p = 0.25 + 0.75 * p
+        if k >= 2:
+            p = 0.25 + 0.75 * p
+        expected += math.log10(p)
+    for tokens in (2_000_000, 50):
+        monkeypatch.setattr("gatelens.llm.lm_score.PART_TOKENS", tokens)
+        got = {r["doc_id"]: r["score"] for r in score(table).collect()}
+        assert math.isclose(got[held], expected, rel_tol=1e-9)
+
+
 def test_op7(spark, docs, nothing):
     assert find_secrets(docs).count() == len(DOCS) and find_secrets(nothing).count() == 0
     key = "aB3" * 12
