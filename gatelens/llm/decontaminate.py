@@ -2,9 +2,10 @@
 
 Texts become sequences of canonical words: numbers, names (capitalised words inside sentences) and units after numbers
 are typed placeholders, everything else is itself in lower case without punctuation. Windows of ``window`` canonical words
-are hashed and joined. A bitmap of fixed size over the benchmark's hashes lets documents send only windows that may
-match; the join then decides. Matches of one document and item are lined up, and count only if their slots agree: each
-value of the benchmark's placeholders always met the same value in the document, and the other way round.
+are hashed and joined, once with the words as they are and once with placeholders. A bitmap of fixed size over the
+benchmark's hashes lets documents send only windows that may match; the join then decides. Windows that agree word for
+word count wherever they are. Those of which placeholders hold other values are lined up, and of each diagonal the longest
+run counts in which each value of the benchmark's placeholders always met the same value in the document.
 """
 
 from __future__ import annotations
@@ -46,13 +47,13 @@ def _cut_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return np.where(some, inner, starts), np.where(some, outer, starts)
 
 
-def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the canonical words, of the values that placeholders stand for (0 for plain words), and the texts' edges."""
+def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the canonical words, of the words themselves, of the values that placeholders stand for (0 for plain words), and the texts' edges."""
     data, edges = text_bytes(texts)
     starts, ends, counts = word_spans(data, edges)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, np.zeros(len(edges), np.int64)
+        return none, none, none, np.zeros(len(edges), np.int64)
     row = np.repeat(np.arange(len(counts)), counts)
     # A sentence begins with a text, with a line, and after a full stop.
     breaks = np.flatnonzero(data[int(starts[0]) : int(ends[-1])] == 10) + int(starts[0])
@@ -63,7 +64,7 @@ def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     a, b, row, begins = a[some], b[some], row[some], begins[some]
     if not len(a):
         none = np.zeros(0, np.uint64)
-        return none, none, np.zeros(len(edges), np.int64)
+        return none, none, none, np.zeros(len(edges), np.int64)
     plain = span_hashes(data, a, b)
     x, y = data[a], data[np.minimum(a + 1, len(data) - 1)]
     z, w = data[np.minimum(a + 2, len(data) - 1)], data[np.minimum(a + 3, len(data) - 1)]
@@ -79,7 +80,7 @@ def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     unit[1:] = number[:-1] & np.isin(plain[1:], _unit_hashes()) & (row[1:] == row[:-1])
     words = np.where(number, np.uint64(_NUMBER), np.where(name, np.uint64(_NAME), np.where(unit, np.uint64(_UNIT), plain)))
     values = np.where(number | name | unit, plain | np.uint64(1), np.uint64(0))
-    return words, values, np.searchsorted(row, np.arange(len(counts) + 1))
+    return words, plain, values, np.searchsorted(row, np.arange(len(counts) + 1))
 
 
 def _unit_hashes() -> np.ndarray:
@@ -87,17 +88,20 @@ def _unit_hashes() -> np.ndarray:
     return span_hashes(data, edges[:-1], edges[1:])
 
 
-def _windows(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, position and hash of every window with enough plain words, and where its values begin; all values."""
-    words, values, edges = canonical_words(texts)
-    hashes = window_hashes(words, window)
+def _windows(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Text, position, hash, whether at least half is plain words, and placeholders' values (None for windows of the words
+    themselves) of the windows of each kind."""
+    words, plain, values, edges = canonical_words(texts)
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    start = np.arange(len(hashes))
+    count = max(0, len(words) - window + 1)
+    start = np.arange(count)
     slots = np.concatenate([[0], np.cumsum(values > 0)])
-    whole = row[: len(hashes)] == row[window - 1 : window - 1 + len(hashes)]
-    plain = window - (slots[start + window] - slots[start]) >= window // 2
-    at = np.flatnonzero(whole & plain)
-    return row[at], at - edges[row[at]], hashes[at], at, values
+    slots = slots[start + window] - slots[start]
+    usable = window - slots >= window // 2
+    whole = row[:count] == row[window - 1 : window - 1 + count]
+    for hashes, kept, held in ((window_hashes(plain, window), usable, None), (window_hashes(words, window), usable & (slots > 0), values)):
+        at = np.flatnonzero(whole & kept)
+        yield row[at], at - edges[row[at]], hashes[at], usable[at], None if held is None else held[at[:, None] + np.arange(window)]
 
 
 def _send(window: int, bitmap: np.ndarray | None):
@@ -106,20 +110,69 @@ def _send(window: int, bitmap: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, "text"):
-                row, place, hashes, at, values = _windows(part.column("text"), window)
-                if bitmap is not None:
-                    bit = _bit(hashes)
-                    hit = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                    row, place, hashes, at = row[hit], place[hit], hashes[hit], at[hit]
-                slots = values[at[:, None] + np.arange(window)].reshape(-1) if len(at) else values[:0]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * window), pa.array(slots.view(np.int64)))
-                own = [part.column(i).take(pa.array(row)) for i, n in enumerate(part.schema.names) if n != "text"]
-                names = [n for n in part.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(_bit(hashes)), lists], names=[*names, "place", "window", "bit", "slots"])
+                for row, place, hashes, usable, slots in _windows(part.column("text"), window):
+                    if bitmap is not None:
+                        bit = _bit(hashes)
+                        hit = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)
+                        row, place, hashes, usable, slots = row[hit], place[hit], hashes[hit], usable[hit], None if slots is None else slots[hit]
+                    if slots is None:
+                        lists = pa.nulls(len(row), pa.list_(pa.int64()))
+                    else:
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * window), pa.array(slots.reshape(-1).view(np.int64)))
+                    names = [n for n in part.schema.names if n != "text"]
+                    own = [part.column(n).take(pa.array(row)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(_bit(hashes)), pa.array(usable), lists], names=[*names, "place", "window", "bit", "usable", "slots"])
 
     return run
 
 
+def _longest_run(rows: list[tuple[int, list[int], list[int]]]) -> set[int]:
+    """Of a diagonal's windows (place, values of the item, values of the document), the places of the longest run in which
+    no value of the item meets two of the document."""
+    pairs = [(place, {(x, y) for x, y in zip(ours, theirs, strict=True) if x}) for place, ours, theirs in sorted(rows)]
+    pairs = [(place, bound) for place, bound in pairs if len(dict(bound)) == len(bound)]
+    best: set[int] = set()
+    first, met, uses = 0, {}, {}
+    for k, (_, bound) in enumerate(pairs):
+        while any(met.get(x, y) != y for x, y in bound):
+            for x, _ in pairs[first][1]:
+                uses[x] -= 1
+                if not uses[x]:
+                    del met[x]
+            first += 1
+        for x, y in bound:
+            met[x] = y
+            uses[x] = uses.get(x, 0) + 1
+        if k + 1 - first > len(best):
+            run = {p for p, _ in pairs[first : k + 1]}
+            best = max(best, run, key=len)
+    return best
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each diagonal that count; a diagonal's rows follow each other."""
+    keys, group, rows = None, None, {}
+    for batch in batches:
+        kept = []
+        for k, (key, place, usable, ours, theirs) in enumerate(zip(batch.column("diagonal").to_pylist(), *(batch.column(n).to_pylist() for n in ("item_place", "usable", "item_slots", "slots")), strict=True)):
+            if key != group:
+                if rows:
+                    kept.append((keys, rows))
+                group, rows, keys = key, {}, batch.slice(k, 1)
+            rows.setdefault((place, usable), []).append((place, ours, theirs))
+        yield from _counted(kept, batch.schema)
+    if rows:
+        yield from _counted([(keys, rows)], keys.schema)
+
+
+def _counted(groups: list[tuple[pa.RecordBatch, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for first, rows in groups:
+        run = _longest_run([r for found in rows.values() for r in found])
+        places = sorted({k for k in rows if k[0] in run})
+        own = [first.column(n).take(pa.array([0] * len(places), pa.int32())) for n in ("id", "t1", "t2", "item")]
+        yield pa.RecordBatch.from_arrays([*own, pa.array([p for p, _ in places], pa.int32()), pa.array([u for _, u in places], pa.bool_())], names=["id", "t1", "t2", "item", "item_place", "usable"])
+
+
 def _bit(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes) % np.uint64(BITMAP_PARTS * PART_BITS)).astype(np.int64)
 
@@ -129,8 +182,9 @@ def contaminated(
 ) -> DataFrame:
     """Documents that hold benchmark items: (id_column, item_column, t1, t2, matched, windows, kind), a row per pair.
 
-    A document holds an item if at least ``share`` of the item's windows, or ``run`` of them (13 words on end), match
-    with consistent slots. ``kind`` is ``exact`` or, where placeholders hold other values, ``variant``. (t1, t2) is a
+    A document holds an item if at least ``share`` of the item's windows, or ``run`` of them (13 words on end), match:
+    word for word, or with other values in their slots, the same for the same value of the item along the longest such run
+    of a diagonal (two values of the item may become one). ``kind`` is ``exact`` or, where placeholders hold other values, ``variant``. (t1, t2) is a
     fingerprint of the document's text, so that rows that share an id can be told apart.
 
     Defined cases: null and empty texts, items of fewer than ``window`` words, and windows that are mostly placeholders
@@ -141,7 +195,7 @@ def contaminated(
     spark = docs.sparkSession
     ship(spark)
     id_type, item_type = dict(docs.dtypes)[id_column], dict(benchmark.dtypes)[item_column]
-    shape = "place int, window long, bit long, slots array<long>"
+    shape = "place int, window long, bit long, usable boolean, slots array<long>"
     items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).mapInArrow(_send(window, None), f"item {item_type}, {shape}")
     # At most BITMAP_PARTS rows of 4 KB, however large the benchmark.
     parts = items.groupBy(F.floor(F.col("bit") / PART_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.col("bit") % PART_BITS).alias("bits")).collect()
@@ -151,22 +205,21 @@ def contaminated(
 
     text = F.coalesce(F.col(text_column), F.lit(""))
     marked = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2"), text.alias("text"))
-    sent = marked.mapInArrow(_send(window, bitmap), f"id {id_type}, t1 long, t2 long, {shape}").drop("bit")
-    known = items.select("item", F.col("place").alias("item_place"), "window", F.col("slots").alias("item_slots")).distinct()
-    met = sent.join(known, "window").distinct()
+    sent = marked.mapInArrow(_send(window, bitmap), f"id {id_type}, t1 long, t2 long, {shape}").drop("bit", "usable")
+    known = items.select("item", F.col("place").alias("item_place"), "window", "usable", F.col("slots").alias("item_slots")).distinct()
+    met = sent.join(known, "window")
+    ids = ["id", "t1", "t2", "item"]
+    exact = met.where("slots is null").select(*ids, "item_place", "usable", F.lit(True).alias("exact")).distinct()
     # Along a diagonal, words of the document and of the item move on together.
-    pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
-    lines = met.groupBy("id", "t1", "t2", "item", (F.col("place") - F.col("item_place")).alias("line")).agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
-    )
-    different = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
-    consistent = lines.where((different("item_slots") == F.size("pairs")) & (different("slots") == F.size("pairs")))
-    held = consistent.groupBy("id", "t1", "t2", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("matched"),
-        F.bool_and(F.forall("pairs", lambda p: p["item_slots"] == p["slots"])).alias("exact"),
-    )
-    sizes = known.groupBy("item").agg(F.count_distinct("item_place").alias("windows"))
-    enough = (F.col("matched") >= F.col("windows") * share) | (F.col("matched") >= run)
+    line = [*ids, "line"]
+    differing = met.where("slots is not null and slots <> item_slots").withColumn("line", F.col("place") - F.col("item_place"))
+    differing = differing.select(*ids, "line", F.struct(*line).alias("diagonal"), "item_place", "usable", "item_slots", "slots").distinct()
+    dealt = differing.repartition(*line).sortWithinPartitions(*line)
+    counted = dealt.mapInArrow(_runs, f"id {id_type}, t1 long, t2 long, item {item_type}, item_place int, usable boolean").withColumn("exact", F.lit(False))
+    places = exact.unionByName(counted).groupBy(*ids, "item_place", "usable").agg(F.max("exact").alias("exact"))
+    held = places.groupBy(*ids).agg(F.count("*").alias("matched"), F.count_if("usable").alias("matched_usable"), F.min("exact").alias("exact"))
+    sizes = known.groupBy("item", "item_place").agg(F.max("usable").alias("usable")).groupBy("item").agg(F.count("*").alias("windows"), F.count_if("usable").alias("usable"))
+    enough = (F.col("matched") >= F.col("windows") * share) | (F.col("matched") >= run) | ((F.col("usable") > 0) & (F.col("matched_usable") >= F.col("usable") * share))
     return held.withColumnRenamed("item", "held_item").join(sizes, F.col("held_item").eqNullSafe(F.col("item"))).where(enough).select(
         F.col("id").alias(id_column), F.col("item").alias(item_column), "t1", "t2", "matched", "windows", F.when(F.col("exact"), "exact").otherwise("variant").alias("kind")
     )

@@ -176,6 +176,20 @@ def test_op4(spark, docs, nothing):
     assert contaminated(nothing, items).count() == 0 and contaminated(table, items.where("false")).count() == 0
 
 
+def test_op4_conflicting_slots(spark):
+    """One conflicting value costs the windows that hold it, not the others of its diagonal."""
+    question = "a train leaves Paris at 10 h and travels 300 km before it meets the train that left Lyon at 12 h after 200 km"
+    long = " ".join(f"{w} stone 3 of the {w} wall" for w in "red green blue black white grey brown pink".split())
+    texts = [
+        (1, question.replace("at 12 h", "at 10 h")), (2, "you add 4 red apples and then 4 green apples and ask how many apples are there"),
+        (3, long.replace("brown stone 3", "brown stone 9")), (4, long.replace("stone 3", "stone 7")), (5, "nothing of the kind"),
+    ]
+    items = spark.createDataFrame([(1, question), (2, "you add 3 red apples and then 5 green apples and ask how many apples are there"), (3, long)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["kind"], r["matched"]) for r in contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert {k: kind for k, (kind, _) in got.items()} == dict.fromkeys([(1, 1), (2, 2), (3, 3), (4, 3)], "variant")
+    assert got[1, 1][1] >= 16 and got[2, 2][1] == 10 and got[3, 3][1] >= 41 and got[4, 3][1] == 49
+
+
 def test_op5(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [9.0, 9.0]), (50, [-0.001, 3e38]), (9, [0.0, -3e38]), (10, [-1.0, -1.0])]
