@@ -88,9 +88,10 @@ def _unit_hashes() -> np.ndarray:
     return span_hashes(data, edges[:-1], edges[1:])
 
 
-def _windows(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
-    """Text, position, hash, whether at least half is plain words, and placeholders' values (None for windows of the words
-    themselves) of the windows of each kind."""
+def _windows(texts: pa.Array, window: int, lengths: list[int] | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Per kind of window its size, and of each the text, position, hash, whether at least half is plain words, and
+    placeholders' values (None for windows of the words themselves). Below ``window`` words those of the given lengths, or
+    whole texts."""
     words, plain, values, edges = canonical_words(texts)
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     count = max(0, len(words) - window + 1)
@@ -99,29 +100,37 @@ def _windows(texts: pa.Array, window: int) -> Iterator[tuple[np.ndarray, np.ndar
     slots = slots[start + window] - slots[start]
     usable = window - slots >= window // 2
     whole = row[:count] == row[window - 1 : window - 1 + count]
-    for hashes, kept, held in ((window_hashes(plain, window), usable, None), (window_hashes(words, window), usable & (slots > 0), values)):
+    for hashes, kept, held in ((window_hashes(plain, window), True, None), (window_hashes(words, window), usable & (slots > 0), values)):
         at = np.flatnonzero(whole & kept)
-        yield row[at], at - edges[row[at]], hashes[at], usable[at], None if held is None else held[at[:, None] + np.arange(window)]
+        yield window, row[at], at - edges[row[at]], hashes[at], usable[at], None if held is None else held[at[:, None] + np.arange(window)]
+    sizes = np.diff(edges)
+    for size in np.unique(sizes[(sizes > 0) & (sizes < window)]).tolist() if lengths is None else lengths:
+        hashes = window_hashes(plain, size)
+        at = edges[:-1][sizes == size] if lengths is None else np.flatnonzero(row[: len(hashes)] == row[size - 1 : size - 1 + len(hashes)])
+        yield size, row[at], np.zeros(len(at), np.int64), hashes[at], np.ones(len(at), bool), None
 
 
-def _send(window: int, bitmap: np.ndarray | None):
+def _send(window: int, bitmap: np.ndarray | None, lengths: list[int] | None):
     """The windows of each text, only those in the bitmap if there is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, "text"):
-                for row, place, hashes, usable, slots in _windows(part.column("text"), window):
+                for size, row, place, hashes, usable, slots in _windows(part.column("text"), window, lengths):
                     if bitmap is not None:
                         bit = _bit(hashes)
                         hit = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)
                         row, place, hashes, usable, slots = row[hit], place[hit], hashes[hit], usable[hit], None if slots is None else slots[hit]
+                        if size < window:  # once is enough
+                            once = np.unique(np.stack([row.astype(np.uint64), hashes]), axis=1, return_index=True)[1]
+                            row, place, hashes, usable = row[once], place[once], hashes[once], usable[once]
                     if slots is None:
                         lists = pa.nulls(len(row), pa.list_(pa.int64()))
                     else:
                         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * window), pa.array(slots.reshape(-1).view(np.int64)))
                     names = [n for n in part.schema.names if n != "text"]
                     own = [part.column(n).take(pa.array(row)) for n in names]
-                    yield pa.RecordBatch.from_arrays([*own, pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(_bit(hashes)), pa.array(usable), lists], names=[*names, "place", "window", "bit", "usable", "slots"])
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(_bit(hashes)), pa.array(np.full(len(row), size, np.int32)), pa.array(usable), lists], names=[*names, "place", "window", "bit", "size", "usable", "slots"])
 
     return run
 
@@ -187,25 +196,27 @@ def contaminated(
     of a diagonal (two values of the item may become one). ``kind`` is ``exact`` or, where placeholders hold other values, ``variant``. (t1, t2) is a
     fingerprint of the document's text, so that rows that share an id can be told apart.
 
-    Defined cases: null and empty texts, items of fewer than ``window`` words, and windows that are mostly placeholders
-    match nothing. Null ids stay null and are told apart by their texts. Repeated rows are reported once, with the
+    Defined cases: null and empty texts match nothing. Items of fewer than ``window`` words are held where all their words
+    follow each other as they are; windows that are mostly placeholders match word for word only. Null ids stay null and are told apart by their texts. Repeated rows are reported once, with the
     windows of repeated items counted once. Either table may be empty: the result then is. Other columns, whatever their
     names, play no part.
     """
     spark = docs.sparkSession
     ship(spark)
     id_type, item_type = dict(docs.dtypes)[id_column], dict(benchmark.dtypes)[item_column]
-    shape = "place int, window long, bit long, usable boolean, slots array<long>"
-    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).mapInArrow(_send(window, None), f"item {item_type}, {shape}")
+    shape = "place int, window long, bit long, size int, usable boolean, slots array<long>"
+    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).mapInArrow(_send(window, None, None), f"item {item_type}, {shape}")
     # At most BITMAP_PARTS rows of 4 KB, however large the benchmark.
-    parts = items.groupBy(F.floor(F.col("bit") / PART_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.col("bit") % PART_BITS).alias("bits")).collect()
+    parts = items.groupBy(F.floor(F.col("bit") / PART_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg(F.col("bit") % PART_BITS).alias("bits"), F.collect_set("size").alias("sizes")).collect()
     bitmap = np.zeros(BITMAP_PARTS * PART_BITS // 8, np.uint8)
     for r in parts:
         bitmap[r["part"] * PART_BITS // 8 : (r["part"] + 1) * PART_BITS // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
 
+    lengths = sorted({n for r in parts for n in r["sizes"] if n < window})
+
     text = F.coalesce(F.col(text_column), F.lit(""))
     marked = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2"), text.alias("text"))
-    sent = marked.mapInArrow(_send(window, bitmap), f"id {id_type}, t1 long, t2 long, {shape}").drop("bit", "usable")
+    sent = marked.mapInArrow(_send(window, bitmap, lengths), f"id {id_type}, t1 long, t2 long, {shape}").drop("bit", "size", "usable")
     known = items.select("item", F.col("place").alias("item_place"), "window", "usable", F.col("slots").alias("item_slots")).distinct()
     met = sent.join(known, "window")
     ids = ["id", "t1", "t2", "item"]

@@ -190,6 +190,16 @@ def test_op4_conflicting_slots(spark):
     assert got[1, 1][1] >= 16 and got[2, 2][1] == 10 and got[3, 3][1] >= 41 and got[4, 3][1] == 49
 
 
+def test_op4_short_and_number_heavy_items(spark):
+    items = [(1, "What is the capital of France?"), (2, "Compute 12 + 35 - 7 * 9 / 3 + 41 - 8 * 6 + 77"), (3, "2 + 2"), (4, None), (5, " ?! ")]
+    texts = [
+        (1, "Quiz: what is the capital of France? What is the capital of France?"), (2, "What is the capital of Spain?"), (3, "Compute 12 + 35 - 7 * 9 / 3 + 41 - 8 * 6 + 77 now"),
+        (4, "Compute 11 + 34 - 6 * 8 / 2 + 40 - 7 * 5 + 76"), (5, "so 2 + 2 is 4"), (6, "what is the capital"), (7, ""), (8, None),
+    ]
+    found = contaminated(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in found) == [(1, 1, "exact"), (3, 2, "exact"), (5, 3, "exact")]
+
+
 def test_op5(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [9.0, 9.0]), (50, [-0.001, 3e38]), (9, [0.0, -3e38]), (10, [-1.0, -1.0])]
