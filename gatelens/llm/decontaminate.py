@@ -1,7 +1,8 @@
 """Benchmark passages in documents, also with other numbers, names or units.
 
-Texts become sequences of canonical words: numbers, names (capitalised words inside sentences) and units after numbers
-are typed placeholders, everything else is itself in lower case without punctuation. Windows of ``window`` canonical words
+Texts become sequences of canonical words: numbers, names (capitalised words) and units after numbers are typed
+placeholders, everything else is itself in lower case without punctuation. A capitalised word that begins a sentence may be
+a name or not; windows with such words are read both ways. Windows of ``window`` canonical words
 are hashed and joined, once with the words as they are and once with placeholders. A bitmap of fixed size over the
 benchmark's hashes lets documents send only windows that may match; the join then decides. Windows that agree word for
 word count wherever they are. Those of which placeholders hold other values are lined up, and of each diagonal the longest
@@ -14,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import mix, random_words, row_slices, ship, span_hashes, text_bytes, window_hashes, word_spans
+from gatelens.llm.common import mix, random_words, row_slices, saved, ship, span_hashes, text_bytes, window_hashes, word_spans
 
 #: Bits of the bitmap, in parts of what one bitmap aggregate holds (4 KB each, 4 MB in all).
 BITMAP_PARTS, PART_BITS = 1024, 32768
@@ -47,13 +49,33 @@ def _cut_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return np.where(some, inner, starts), np.where(some, outer, starts)
 
 
-def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the canonical words, of the words themselves, of the values that placeholders stand for (0 for plain words), and the texts' edges."""
+def _cut_money(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Starts of the words, without the signs and currency signs before a number."""
+    at = starts
+    for _ in range(4):  # such as -US dollar, minus, point
+        x, y, z = (data[np.minimum(at + k, len(data) - 1)] for k in range(3))
+        two = (x == 0xC2) & (((y >= 0xA2) & (y <= 0xA5)) | (y == 0xB1))
+        three = (x == 0xE2) & (((y == 0x82) & (z >= 0xA0)) | ((y == 0x88) & (z == 0x92)))
+        at = np.minimum(at + np.where(_EDGE[x] | (x == 36), 1, np.where(two, 2, np.where(three, 3, 0))), ends - 1)
+    return np.where(_DIGIT[data[at]], at, starts)
+
+
+def _lower(texts: pa.Array) -> pa.Array:
+    """Letters of all scripts in lower case; of texts that are no valid UTF-8 A-Z only."""
+    try:
+        return pc.utf8_lower(texts)
+    except pa.ArrowInvalid:
+        return pc.ascii_lower(texts)
+
+
+def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the canonical words, of the words themselves, of the values that placeholders stand for (0 for plain words), which
+    words may be names that begin sentences, and the texts' edges."""
     data, edges = text_bytes(texts)
     starts, ends, counts = word_spans(data, edges)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, none, np.zeros(len(edges), np.int64)
+        return none, none, none, none.astype(bool), np.zeros(len(edges), np.int64)
     row = np.repeat(np.arange(len(counts)), counts)
     # A sentence begins with a text, with a line, and after a full stop.
     breaks = np.flatnonzero(data[int(starts[0]) : int(ends[-1])] == 10) + int(starts[0])
@@ -64,8 +86,12 @@ def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     a, b, row, begins = a[some], b[some], row[some], begins[some]
     if not len(a):
         none = np.zeros(0, np.uint64)
-        return none, none, none, np.zeros(len(edges), np.int64)
-    plain = span_hashes(data, a, b)
+        return none, none, none, none.astype(bool), np.zeros(len(edges), np.int64)
+    a = _cut_money(data, a, b)
+    folded, folded_edges = text_bytes(_lower(texts))
+    c, d = _cut_ends(folded, *word_spans(folded, folded_edges)[:2])
+    c, d = c[some], d[some]
+    plain = span_hashes(folded, _cut_money(folded, c, d), d)
     x, y = data[a], data[np.minimum(a + 1, len(data) - 1)]
     z, w = data[np.minimum(a + 2, len(data) - 1)], data[np.minimum(a + 3, len(data) - 1)]
     size = b - a
@@ -75,12 +101,13 @@ def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     capital = (wide | ((x >= 65) & (x <= 90))) & (size >= np.where(wide, 3, 2))
     small = ((after >= 97) & (after <= 122)) | ((after == 0xC3) & (beyond >= 0x9F))
     number = _DIGIT[x]
-    name = capital & small & ~begins & ~number
+    name = capital & small & ~number
+    name, may_be = name & ~begins, name & begins
     unit = np.zeros(len(a), bool)
-    unit[1:] = number[:-1] & np.isin(plain[1:], _unit_hashes()) & (row[1:] == row[:-1])
+    unit[1:] = number[:-1] & ~number[1:] & np.isin(plain[1:], _unit_hashes()) & (row[1:] == row[:-1])
     words = np.where(number, np.uint64(_NUMBER), np.where(name, np.uint64(_NAME), np.where(unit, np.uint64(_UNIT), plain)))
     values = np.where(number | name | unit, plain | np.uint64(1), np.uint64(0))
-    return words, plain, values, np.searchsorted(row, np.arange(len(counts) + 1))
+    return words, plain, values, may_be & ~unit, np.searchsorted(row, np.arange(len(counts) + 1))
 
 
 def _unit_hashes() -> np.ndarray:
@@ -92,15 +119,17 @@ def _windows(texts: pa.Array, window: int, lengths: list[int] | None) -> Iterato
     """Per kind of window its size, and of each the text, position, hash, whether at least half is plain words, and
     placeholders' values (None for windows of the words themselves). Below ``window`` words those of the given lengths, or
     whole texts."""
-    words, plain, values, edges = canonical_words(texts)
+    words, plain, values, may_be, edges = canonical_words(texts)
+    other_words, other_values = np.where(may_be, np.uint64(_NAME), words), np.where(may_be, plain | np.uint64(1), values)
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     count = max(0, len(words) - window + 1)
     start = np.arange(count)
-    slots = np.concatenate([[0], np.cumsum(values > 0)])
-    slots = slots[start + window] - slots[start]
+    slots, others = (np.concatenate([[0], np.cumsum(x)]) for x in (values > 0, may_be))
+    slots, others = slots[start + window] - slots[start], others[start + window] - others[start]
     usable = window - slots >= window // 2
+    readable = (others > 0) & (window - slots - others >= window // 2)
     whole = row[:count] == row[window - 1 : window - 1 + count]
-    for hashes, kept, held in ((window_hashes(plain, window), True, None), (window_hashes(words, window), usable & (slots > 0), values)):
+    for hashes, kept, held in ((window_hashes(plain, window), True, None), (window_hashes(words, window), usable & (slots > 0), values), (window_hashes(other_words, window), readable, other_values)):
         at = np.flatnonzero(whole & kept)
         yield window, row[at], at - edges[row[at]], hashes[at], usable[at], None if held is None else held[at[:, None] + np.arange(window)]
     sizes = np.diff(edges)
@@ -218,7 +247,7 @@ def contaminated(
     marked = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2"), text.alias("text"))
     sent = marked.mapInArrow(_send(window, bitmap, lengths), f"id {id_type}, t1 long, t2 long, {shape}").drop("bit", "size", "usable")
     known = items.select("item", F.col("place").alias("item_place"), "window", "usable", F.col("slots").alias("item_slots")).distinct()
-    met = sent.join(known, "window")
+    met = saved(sent.join(known, "window"))  # texts are read once for both kinds of windows
     ids = ["id", "t1", "t2", "item"]
     exact = met.where("slots is null").select(*ids, "item_place", "usable", F.lit(True).alias("exact")).distinct()
     # Along a diagonal, words of the document and of the item move on together.

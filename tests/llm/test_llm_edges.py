@@ -200,6 +200,21 @@ def test_op4_short_and_number_heavy_items(spark):
     assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in found) == [(1, 1, "exact"), (3, 2, "exact"), (5, 3, "exact")]
 
 
+def test_op4_money_first_names_and_case(spark):
+    money = "a pen costs $5 and a book costs -$12 more so how much do both cost"
+    story = "Alice had many apples and gave some of them away. Bert took the rest home to his old mother"
+    german = "Der Hund des Bauern sah im Garten die Ärzte und den Übermut der Kinder am Abend des Festes"
+    texts = [
+        (1, money.replace("$5", "€7").replace("-$12", "$30")), (2, story.replace("Alice", "Carla").replace("Bert", "Dora")), (3, german.lower()), (4, german.upper()), (5, "$ and - and €"),
+        (6, story.split(".")[0].replace("Alice", "He said that Carla") + "."),
+    ]
+    items = spark.createDataFrame([(1, money), (2, story), (3, german), (4, story.split(".")[0] + ".")], "item_id long, text string")
+    found = contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["kind"], r["matched"]) for r in found}
+    assert got[1, 1] == ("variant", 9) and got[2, 2] == ("variant", 12) and got[2, 4][0] == got[6, 4][0] == "variant"
+    assert got[3, 3] == got[4, 3] == ("exact", 11) and not {5} & {d for d, _ in got}
+
+
 def test_op5(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (None, [9.0, 9.0]), (50, [-0.001, 3e38]), (9, [0.0, -3e38]), (10, [-1.0, -1.0])]
