@@ -1,9 +1,10 @@
 """Licences of files: sparse TF-IDF cosines to templates, and inheritance along directories. DataFrame functions only.
 
-A unit is a sentence of a line (a header), or a whole text (a licence file). Its tokens are weighted by their rarity among
+A unit is a whole text (a licence file), or a header: a sentence of a line or of a paragraph, or two or three neighbouring
+lines, without comment signs. Its tokens are weighted by their rarity among
 the templates and joined with the templates' tokens; sums per unit and template give cosines. Few units need that: a
 cosine of ``threshold`` takes one of a few tokens of a template, for the others, its function words above all, are too short
-a vector without them. This filter is exact. Directories that hold a licence file pass its licence on to the files below that have none
+a vector without them. This filter is exact. Directories that hold a licence file (a text that is a notice, or a file of such a name with a header) pass its licence on to the files below that have none
 of their own, the nearest directory first, by joins on directory paths.
 """
 
@@ -33,7 +34,23 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright, CC0 1.0 Universal."),
     ("Proprietary", "All rights reserved."),
-)
+    # What full texts begin with, and the usual headers of source files.
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+)
+# Signs that begin or end lines of comments, and names of files that hold licences.
+COMMENT = r"(?im)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|dnl\b|rem\b)[ \t]*)*|[ \t\r]*(?:\*+/|-->)?[ \t\r]*$"
+LICENSE_FILE = r"(?i)(?:^|/)(?:(?:un)?licen[cs]es?|copying|copyright)(?:[._-][^/]*)?$"
 # Function words of several languages, which tell no licence and are in every text.
 COMMON = frozenset(
     "a all an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its may more no not of on one "
@@ -70,7 +87,8 @@ def scan_licenses(
     """The licence of each file: (id_column, path, license, basis, similarity, source_dir), one row per row of ``files``.
 
     ``path`` names the column with paths (parts joined by ``/``). ``basis`` is ``file`` (the whole text is a notice),
-    ``header`` (a sentence is), ``inherited`` (neither, but a directory on the way up holds a licence file; ``source_dir``
+    ``header`` (a sentence or some neighbouring lines are), ``inherited`` (neither, but a directory on the way up holds a licence file, that is one of basis ``file``, or one named
+    like LICENSE or COPYING with a header; ``source_dir``
     is the nearest) or null. A file with several notices has that of the highest similarity, then the first by name.
 
     Defined cases: null and empty texts have no notice of their own but may inherit. A null path stays null and neither
@@ -82,8 +100,12 @@ def scan_licenses(
     vectors = _Vectors(templates, threshold)
     text = F.coalesce(F.col(text_column), F.lit(""))
     concerned = text.rlike(vectors.needed) if templates else F.lit(False)
-    sentences = F.flatten(F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(vectors.needed)), lambda x: F.split(x, r"(?<=[.!?;])\s+")))
-    units = F.concat(F.array(text), F.filter(sentences, lambda x: x.rlike(vectors.needed)))
+    bare = F.regexp_replace(text, COMMENT, "")
+    paragraphs = F.regexp_replace(bare, r"(?<=[^\n])\n(?=[^\n])", " ")
+    sentences = F.flatten(F.transform(F.filter(F.concat(F.split(text, "\n"), F.split(paragraphs, "\n")), lambda x: x.rlike(vectors.needed)), lambda x: F.split(x, r"(?<=[.!?;])\s+")))
+    neighbours = [F.regexp_extract_all(bare, F.lit(r"(?m)^(?=([^\n]+" + r"\n[^\n]+" * n + ")$)"), F.lit(1)) for n in (1, 2)]
+    headers = F.filter(F.concat(sentences, *neighbours), lambda x: x.rlike(vectors.needed))
+    units = F.concat(F.array(text), F.array_distinct(headers))
     tokens = F.transform(units, lambda u: F.regexp_extract_all(F.lower(u), F.lit(TOKEN), F.lit(0)))
     rows = files.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(path).cast("string").alias("path"),
@@ -108,7 +130,8 @@ def scan_licenses(
     )
     judged = saved(rows.select("row", "id", "path", "dir").join(own, "row", "left"))
 
-    givers = judged.where("basis = 'file' and dir is not null").groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("g"))
+    gives = (F.col("basis") == "file") | ((F.col("basis") == "header") & F.col("path").rlike(LICENSE_FILE))
+    givers = judged.where(gives & F.col("dir").isNotNull()).groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("g"))
     givers = givers.select(F.col("dir").alias("source_dir"), F.col("g.license").alias("given"), (-F.col("g.minus")).alias("given_similarity"))
     # Directories, not files, climb: one row per directory and ancestor.
     parts = F.split("dir", "/")

@@ -348,6 +348,40 @@ def test_op8(spark, docs, nothing):
     assert scan_licenses(frame(spark, files, "doc_id long, path string, text string"), "path", templates=()).where("license is not null").count() == 0
 
 
+def test_op8_full_texts_and_wrapped_notices(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+    gpl = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+""" + "static int counted(struct tree *node, int depth);\n" * 20
+    title = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007\n" + "many other words of the preamble\n" * 20
+    files = [
+        (1, "m/LICENSE", mit), (2, "m/src/a.py", "code"), (3, "x/a.c", gpl), (4, "x/b.py", "# This work is licensed under the GNU\n# General Public License, version 3.\n" + "import os, sys, json, math\n" * 9),
+        (5, "g/COPYING.txt", title), (6, "g/deep/er/c.c", "int x;"), (7, "x/c.c", "int y;"),
+    ]
+    got = {r["doc_id"]: (r["license"], r["basis"], r["source_dir"]) for r in scan_licenses(spark.createDataFrame(files, "doc_id long, path string, text string"), "path").collect()}
+    assert got[1][0] == "MIT" and got[2] == ("MIT", "inherited", "m")
+    assert got[3] == ("GPL-3.0", "header", None) and got[4] == ("GPL-3.0", "header", None)
+    assert got[5][0] == "GPL-3.0" and got[6] == ("GPL-3.0", "inherited", "g") and got[7] == (None, None, None)
+
+
 def test_op9(spark, docs, nothing):
     from tokenizers import Tokenizer
 
