@@ -32,9 +32,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each group of near-duplicates: that with the smallest id, or one without an id if none has any."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = saved(docs.withColumn(key, F.monotonically_increasing_id()))
+    groups = near_duplicates(rows, id_column=key).select(key, "component_id").join(rows.select(key, F.col("doc_id").alias("_id")), key)
+    first = F.min(F.struct(F.col("_id").isNull().alias("without"), "_id", key)).getField(key)
+    kept = groups.groupBy("component_id").agg(first.alias(key)).select(key)
+    return rows.join(kept, key, "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,14 @@ def test_near_dedup(inputs):
     assert set(after) == {i for i in ids if find(i) == i} | ({None} & set(before))
 
 
+def test_near_dedup_of_rows_without_ids_of_their_own(spark):
+    copy, other = "one text that several rows hold word for word", "another text of which each row lacks an id"
+    rows = [(7, copy), (7, copy), (None, copy), (9, copy), (None, other), (None, other), (8, "a text that stands alone"), (3, ""), (3, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.near_dedup(spark, table, DIR).collect()]
+    assert Counter(left) == Counter([(7, copy), (None, other), (8, "a text that stands alone"), (3, ""), (3, "")])
+
+
 def test_decontaminate(spark, inputs):
     before, after = texts(inputs[3]), texts(inputs[4])
     squeeze = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
