@@ -4,7 +4,7 @@ A unit is a whole text (a licence file), or a header: a sentence of a line or of
 lines, without comment signs. Its tokens are weighted by their rarity among
 the templates and joined with the templates' tokens; sums per unit and template give cosines. Few units need that: a
 cosine of ``threshold`` takes one of a few tokens of a template, for the others, its function words above all, are too short
-a vector without them. This filter is exact. Directories that hold a licence file (a text that is a notice, or a file of such a name with a header) pass its licence on to the files below that have none
+a vector without them. This filter is exact, but that function words alone, however many, make no notice. Directories that hold a licence file (a text that is a notice, or a file of such a name with a header) pass its licence on to the files below that have none
 of their own, the nearest directory first, by joins on directory paths.
 """
 
@@ -76,7 +76,7 @@ class _Vectors:
             for token, w in sorted(weights.items(), key=lambda x: (not (x[0] in COMMON or x[0][0].isdigit()), x[1], x[0])):
                 self.rows.append((token, k, name, w / norm))
                 rest += (w / norm) ** 2
-                if rest >= (threshold - 1e-9) ** 2:  # together with this one they could reach the threshold
+                if rest >= (threshold - 1e-9) ** 2 and token not in COMMON:  # together with this one they could reach the threshold
                     needed.add(token)
         self.needed = "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in sorted(needed)) + ")(?![a-z0-9])"
 
