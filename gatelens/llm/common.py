@@ -140,10 +140,12 @@ def row_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Itera
     give_back()
 
 
-def word_spans(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends (byte positions in ``data``) of all words, and how many words each row has."""
+def word_spans(data: np.ndarray, edges: np.ndarray, breaks: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends (byte positions in ``data``) of all words, and how many words each row has.
+
+    ``breaks`` tells which bytes lie between words; white space if it is not given."""
     low, high = int(edges[0]), int(edges[-1])
-    inside = ~_IS_SPACE[data[low:high]]
+    inside = ~breaks[data[low:high]]
     rows = len(edges) - 1
     if not len(inside):
         none = np.zeros(0, np.int64)

@@ -54,3 +54,26 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SQL["op12_lexical_search"] = f"""
+WITH items AS (SELECT row_number() OVER () AS item, item_id, {_TERMS.format(_LOWER.format("text"))} AS terms FROM benchmark),
+wanted AS (SELECT DISTINCT item, unnest(terms) AS term FROM items),
+texts AS (SELECT row_number() OVER () AS place, doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS terms FROM documents),
+corpus AS (SELECT count(*) FILTER (len(terms) > 0)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM texts),
+held AS (
+    SELECT place, term, count(*)::BIGINT AS tf
+    FROM (SELECT place, unnest(terms) AS term FROM texts) WHERE term IN (SELECT term FROM wanted)
+    GROUP BY place, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM held, corpus GROUP BY term, n_docs),
+impacts AS (
+    SELECT place, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms)::BIGINT * n_docs) // n_terms))) AS gain
+    FROM held JOIN weights USING (term) JOIN texts USING (place), corpus),
+scored AS (SELECT item, place, sum(gain)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY item, place),
+ranked AS (
+    SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM scored JOIN texts USING (place) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 10
+"""

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from gatelens.llm.decontaminate import contaminated
 from gatelens.llm.lang_id import identify, train
+from gatelens.llm.lexical_search import ranked_search
 from gatelens.llm.licenses import scan_licenses
 from gatelens.llm.line_dedup import dedup_lines
 from gatelens.llm.lm_score import score
 from gatelens.llm.near_dedup import near_duplicates
 from gatelens.llm.packing import pack
 from gatelens.llm.secrets import find_secrets
+from gatelens.llm.simhash_dedup import simhash_duplicates
+from gatelens.llm.token_alignment import align_tokenizers
 from gatelens.llm.topk_search import top_k
 from gatelens.llm.url_filter import judge_urls
 
-#: Where the public vocabularies lie; a parameter of the packing query.
+#: Where the public vocabularies lie; a parameter of the queries that tokenize.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,3 +105,18 @@ def op10_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = held_out_language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     found = identify(docs, train(docs.where("not held_out")))
     return held_out_language(found).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
