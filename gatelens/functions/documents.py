@@ -53,13 +53,13 @@ def try_document(doc_type: str, source: Column) -> Column:
     return F.from_json(source, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
 
 
-def table_columns(doc_type: str, document: str, checked: bool = False) -> list[Column]:
-    """Table columns out of the typed document struct; of ``checked`` documents bad timestamps are gone already."""
+def table_columns(doc_type: str, document: str, stamp: Column | None = None) -> list[Column]:
+    """Table columns out of the typed document struct; ``stamp`` is its timestamp where that has been read already."""
     columns = []
     for field in DOCUMENT_FIELDS[doc_type]:
         value = F.col(f"{document}.`{field}`")
         if field == "@timestamp":
-            value = read_timestamp(value) if checked else parse_timestamp(value)
+            value = parse_timestamp(value) if stamp is None else stamp
         elif (doc_type, field) == ("health", "steps"):
             value = F.coalesce(value, single_step(document))
         columns.append(value.alias(column_name(field)))

@@ -583,7 +583,7 @@ def ingested(rows: DataFrame) -> DataFrame:
 def bulk_parse(spark, sf_dir):
     """A feed in which the failed requests come twice: the later one is kept."""
     docs = views.requests(spark, sf_dir)
-    place = lambda turn: F.struct(F.lit(turn).alias("turn"), F.lit(0).alias("pair"))
+    place = lambda turn: F.struct(F.lit(turn).alias("turn"))
     feed = request_feed(docs).withColumn("place", place(1)).unionByName(resent(docs).withColumn("place", place(2)))
     return ingested(bulk.typed_rows(bulk.last_actions(bulk.parse_bulk(feed)), "request"))
 

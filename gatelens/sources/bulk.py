@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gatelens.functions.documents import UNREADABLE, read_timestamp, table_columns, try_document
+from gatelens.functions.time import DAY_FORMAT
 from gatelens.schemas import DOC_TYPES, DOCUMENT_FIELDS
-from gatelens.sources.tables import bucket_of, upsert
+from gatelens.sources.tables import batch_shape, upsert
 
 # How an action usually opens; files split in front of it, between records.
 ACTION = '{"index":'
@@ -23,8 +25,11 @@ OPENING = r'^\s*\{\s*"index"\s*:'
 
 ACTION_SCHEMA = "index struct<_index:string,_type:string,_id:string>"
 DAY_PATTERN = r"(\d{4}\.\d{2}\.\d{2})$"
-PLACE = "struct<turn:int,time:timestamp,file:string,offset:bigint,row:bigint,pair:int>"
-REJECTS = "rejects"
+PLACE = "struct<turn:int,time:timestamp,file:string,offset:bigint,row:bigint>"
+REJECTS = "rejected"
+OLD_REJECTS = "rejects"  # of earlier versions: one folder for all days
+# Files named in the filter on stored rejects; of more, their days alone prune.
+NAMED_FILES = 1_000
 
 
 def separator(opening: str = ACTION) -> str:
@@ -58,7 +63,7 @@ def read_bulk(spark: SparkSession, *paths: str) -> DataFrame:
 def text_records(spark: SparkSession, text: str) -> DataFrame:
     """Records of a bulk request held as a string."""
     parts = text.replace("\r\n", "\n").split(separator())
-    rows = [(part, ACTION, (0, None, "", 0, row, 0)) for row, part in enumerate(parts)]
+    rows = [(part, ACTION, (0, None, "", 0, row)) for row, part in enumerate(parts)]
     return spark.createDataFrame(rows, f"value string, opening string, place {PLACE}")
 
 
@@ -80,12 +85,12 @@ def placed(records: DataFrame, opening: str = ACTION, turn: int = 0) -> DataFram
     stream, too, so it doesn't matter how many files a batch takes.
     """
     row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    place = F.struct(F.lit(turn).alias("turn"), "time", "file", "offset", row.alias("row"), F.lit(0).alias("pair"))
+    place = F.struct(F.lit(turn).alias("turn"), "time", "file", "offset", row.alias("row"))
     return records.select("value", F.lit(opening).alias("opening"), place.alias("place"))
 
 
 def parse_bulk(records: DataFrame, on_error: str = "reject") -> DataFrame:
-    """``doc_type, day, id, <a struct per type>, bytes, place, reason, source`` of every record.
+    """``doc_type, day, id, <a struct per type>, ts, bytes, place, pair, reason, source`` of every record.
 
     Each document is parsed once. ``reason`` tells why a record can't be stored, and is null for all others; with
     ``on_error="fail"`` such a record fails the query instead.
@@ -96,16 +101,18 @@ def parse_bulk(records: DataFrame, on_error: str = "reject") -> DataFrame:
         records = records.withColumn("opening", F.lit(ACTION))
     # The separator eats the start of the action; only the first record of a file still has it.
     text = F.when(F.col("value").rlike(OPENING), F.col("value")).otherwise(F.concat("opening", "value"))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
+    lines = records.select("place", F.split(text, "\n").alias("lines"))
     # One pair of lines, or more where an action opens in another way than the first of its file.
-    pairs = records.where(F.trim("value") != "").select("place", F.posexplode(pairs_of(lines)).alias("pair", "lines"))
+    pairs = lines.select("place", F.posexplode(pairs_of(F.col("lines"))).alias("pair", "lines"))
     parsed = pairs.select(
-        F.from_json(F.col("lines")[0], ACTION_SCHEMA)["index"].alias("action"),
+        action_of(F.col("lines")[0]).alias("action"),
         F.try_element_at("lines", F.lit(2)).alias("source"),
         F.col("lines")[0].alias("action_text"),
-        F.col("place").withField("pair", F.col("pair")).alias("place"),
+        "place",
+        "pair",
     )
     doc_type = F.col("action._type")
+    # One of the four is evaluated, the one of the record's type.
     structs = [F.when(doc_type == name, try_document(name, F.col("source"))).alias(name) for name in DOC_TYPES]
     typed = parsed.select(
         doc_type.alias("doc_type"),
@@ -114,10 +121,14 @@ def parse_bulk(records: DataFrame, on_error: str = "reject") -> DataFrame:
         F.octet_length("source").alias("bytes"),
         *structs,
         "place",
+        "pair",
         "source",
         "action_text",
     )
-    checked = typed.withColumn("reason", reason())
+    # The others are null, so what is common to the types is looked up once.
+    stamped = typed.select("*", of_any("@timestamp").alias("stamp"), of_any(UNREADABLE).alias("unreadable"))
+    dated = stamped.withColumn("ts", read_timestamp(F.col("stamp")))
+    checked = dated.withColumn("reason", reason()).drop("stamp", "unreadable")
     texts = {c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in ("source", "action_text")}
     checked = checked.withColumns(texts)  # of good records the document is all that moves on
     if on_error == "fail":
@@ -127,27 +138,44 @@ def parse_bulk(records: DataFrame, on_error: str = "reject") -> DataFrame:
 
 
 def pairs_of(lines: Column) -> Column:
-    """Action and document lines, two by two; a last line without a partner is a pair of its own."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1)), F.lit(2))
-    return F.transform(starts, lambda start: F.slice(lines, start, F.lit(2)))
+    """Action and document lines, two by two; a last line without a partner is a pair of its own, blank lines don't count.
+
+    Nearly all records are two lines, and those need no more than being looked at.
+    """
+    filled = F.filter(lines, lambda line: F.trim(line) != "")
+    starts = F.when(F.size(filled) > 0, F.sequence(F.lit(1), F.greatest(F.size(filled), F.lit(1)), F.lit(2))).otherwise(F.array().cast("array<int>"))
+    general = F.transform(starts, lambda start: F.slice(filled, start, F.lit(2)))
+    plain = (F.size(lines) == 2) & (F.trim(lines[0]) != "") & (F.trim(F.get(lines, F.lit(1))) != "")
+    return F.when(plain, F.array(lines)).otherwise(general)
+
+
+# An action as nearly all producers write it; others go through a JSON parser.
+PLAIN_ACTION = r'^\{"index":\{"_index":"([^"\\]*)","_type":"([^"\\]*)","_id":"([^"\\]*)"\}\}\s*$'
+
+
+def action_of(line: Column) -> Column:
+    """The struct of an action line; null if it isn't one."""
+    part = lambda n, name: F.regexp_extract(line, PLAIN_ACTION, n).alias(name)
+    plain = F.struct(part(1, "_index"), part(2, "_type"), part(3, "_id"))
+    return F.when(line.rlike(PLAIN_ACTION), plain).otherwise(F.from_json(line, ACTION_SCHEMA)["index"])
+
+
+def of_any(field: str) -> Column:
+    """A field of the record's document, whichever type it has."""
+    have = [name for name, fields in DOCUMENT_FIELDS.items() if field == UNREADABLE or field in fields]
+    return F.coalesce(*[F.col(f"{name}.`{field}`") for name in have])
 
 
 def reason() -> Column:
     """Why a record can't be stored."""
     known = F.col("doc_type").isin(list(DOC_TYPES))
-    unreadable, undated = F.lit(False), F.lit(False)
-    for name, fields in DOCUMENT_FIELDS.items():
-        unreadable = unreadable | F.col(f"{name}.{UNREADABLE}").isNotNull()
-        if "@timestamp" in fields:
-            stamp = F.col(f"{name}.`@timestamp`")
-            undated = undated | (stamp.isNotNull() & read_timestamp(stamp).isNull())
     return (
         F.when(F.col("id").isNull() | F.col("doc_type").isNull(), "no usable action")
         .when(~known, "unknown type")
         .when(F.coalesce("day", F.lit("")) == "", "no day in the index name")
         .when(F.trim(F.coalesce("source", F.lit(""))) == "", "no document")
-        .when(F.coalesce(unreadable, F.lit(False)), "unreadable document")
-        .when(F.coalesce(undated, F.lit(False)), "bad timestamp")
+        .when(F.col("unreadable").isNotNull(), "unreadable document")
+        .when(F.col("stamp").isNotNull() & F.col("ts").isNull(), "bad timestamp")
     )
 
 
@@ -157,27 +185,32 @@ def last_actions(parsed: DataFrame) -> DataFrame:
     The others were overwritten within the feed. Planned as a group limit before
     the shuffle, so an id that comes a million times sends one row per task.
     """
-    bad = F.when(F.col("reason").isNotNull(), F.col("place"))
-    order = Window.partitionBy("doc_type", "day", "id", bad).orderBy(F.desc("place"))
+    bad = F.when(F.col("reason").isNotNull(), F.struct("place", "pair"))
+    order = Window.partitionBy("doc_type", "day", "id", bad).orderBy(F.desc("place"), F.desc("pair"))
     return parsed.withColumn("recency", F.row_number().over(order)).where(F.col("recency") == 1).drop("recency")
 
 
 def typed_rows(typed: DataFrame, doc_type: str) -> DataFrame:
     """Table rows of one document type."""
     chosen = typed.where((F.col("doc_type") == doc_type) & F.col("reason").isNull())
-    return chosen.select("id", *table_columns(doc_type, doc_type, checked=True), "day")
+    return chosen.select("id", *table_columns(doc_type, doc_type, stamp=F.col("ts")), "day")
+
+
+def file_day() -> Column:
+    """The day under which a bad record is kept: that of its file, which a replay doesn't change; else today."""
+    return F.date_format(F.coalesce(F.col("place.time"), F.current_timestamp()), DAY_FORMAT)
 
 
 def rejected_rows(typed: DataFrame) -> DataFrame:
-    """Bad records: reason, place and text."""
+    """Bad records: reason, place and text, and the day they are kept under."""
     bad = typed.where(F.col("reason").isNotNull())
-    return bad.select("reason", "doc_type", "id", "place.file", "place.offset", "place.row", "place.pair", F.col("action_text").alias("action"), "source")
+    return bad.select("reason", "doc_type", "id", "place.file", "place.offset", "place.row", "pair", F.col("action_text").alias("action"), "source", file_day().alias("day"))
 
 
 def ingest(records: DataFrame, root: str, on_error: str = "reject") -> list[str]:
     """Upserts a batch of records into the tables; returns the types it held.
 
-    Bad records are set aside under ``rejects`` (with ``on_error="fail"`` one of
+    Bad records are set aside under ``rejected`` (with ``on_error="fail"`` one of
     them fails the batch). Merging needs the batch several times (its days, its
     ids, its rows), so the parsed batch is persisted for the length of the call: the
     feed is read and its JSON parsed once.  Blocks that do not fit go to disk,
@@ -185,38 +218,63 @@ def ingest(records: DataFrame, root: str, on_error: str = "reject") -> list[str]
     """
     typed = last_actions(parse_bulk(records, on_error)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes: dict[str, dict[tuple[str, int], int]] = {}
-        bad = F.col("reason").isNotNull()
-        per_part = typed.groupBy(F.when(~bad, F.col("doc_type")).alias("doc_type"), F.when(~bad, F.col("day")).alias("day"), F.when(~bad, bucket_of("id")).alias("bucket"))
-        for row in per_part.agg(F.sum("bytes").alias("bytes")).collect():  # one row per type, day and bucket
+        shapes: dict[str, dict[str, tuple[int, list[int]]]] = {}
+        bad_days = set()
+        good = F.col("reason").isNull()
+        per_day = typed.groupBy(F.when(good, F.col("doc_type")).alias("doc_type"), F.when(good, F.col("day")).otherwise(file_day()).alias("day"))
+        for row in per_day.agg(F.sum("bytes").alias("bytes"), *batch_shape()).collect():  # one row per type and day
             if row.doc_type is None:
-                set_aside(rejected_rows(typed), root)
+                bad_days.add(row.day)
             else:
-                sizes.setdefault(row.doc_type, {})[row.day, row.bucket] = row.bytes
-        for doc_type, text_bytes in sorted(sizes.items()):
-            upsert(typed_rows(typed, doc_type), root, doc_type, text_bytes)
-        return sorted(sizes)
+                shapes.setdefault(row.doc_type, {})[row.day] = row.bytes, row.classes
+        if bad_days:
+            set_aside(rejected_rows(typed), root, bad_days)
+        for doc_type, shape in sorted(shapes.items()):
+            upsert(typed_rows(typed, doc_type), root, doc_type, shape)
+        return sorted(shapes)
     finally:
         typed.unpersist()
 
 
-def rejects(spark: SparkSession, root: str) -> DataFrame | None:
-    """Bad records of all batches, or None where there were none."""
+REJECT_COLUMNS = ["reason", "doc_type", "id", "file", "offset", "row", "pair", "action", "source"]
+
+
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{REJECTS}")
+        return spark.read.parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def set_aside(rows: DataFrame, root: str) -> None:
-    """Appends rejects; those of a batch that is replayed are there already."""
-    known = rejects(rows.sparkSession, root)
-    place = ["file", "offset", "row", "pair"]
+def rejects(spark: SparkSession, root: str) -> DataFrame | None:
+    """Bad records of all batches, or None where there were none."""
+    found = [read_if_any(spark, f"{root.rstrip('/')}/{name}") for name in (REJECTS, OLD_REJECTS)]
+    frames = [frame.select(*REJECT_COLUMNS) for frame in found if frame is not None]
+    if not frames:
+        return None
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def known_places(spark: SparkSession, root: str, days: Iterable[str], files: list[str]) -> DataFrame | None:
+    """Places of the rejects that the given files left, read from the days of the files only."""
+    kept = read_if_any(spark, f"{root.rstrip('/')}/{REJECTS}")
+    if kept is None:
+        return None
+    kept = kept.where(F.col("day").cast("string").isin(sorted(days)) & (F.col("file") != ""))
+    if len(files) <= NAMED_FILES:
+        kept = kept.where(F.col("file").isin(files))
+    return kept.select("file", "offset", "row", "pair")
+
+
+def set_aside(rows: DataFrame, root: str, days: Iterable[str]) -> None:
+    """Appends rejects to their days; those of a batch that is replayed are there already."""
+    files = [r.file for r in rows.select("file").distinct().limit(NAMED_FILES + 1).collect()]
+    known = known_places(rows.sparkSession, root, days, files)
     if known is not None:
-        rows = rows.join(known.where("file <> ''").select(*place), place, "left_anti")
-    rows.write.mode("append").parquet(f"{root.rstrip('/')}/{REJECTS}")
+        rows = rows.join(known, ["file", "offset", "row", "pair"], "left_anti")
+    rows.write.mode("append").partitionBy("day").parquet(f"{root.rstrip('/')}/{REJECTS}")
 
 
 def bulk_lines(docs: DataFrame, doc_type: str, prefix: str, document) -> DataFrame:

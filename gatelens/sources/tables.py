@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -15,14 +16,16 @@ from gatelens.functions.time import day_text
 from gatelens.schemas import CLUSTERING, DOC_TYPES, table_schema
 
 ROW_KEY = ["day", "id"]
-# A day is cut by a hash of the id into this many parts, so that a batch compares and rewrites its own share of a day only.
-# A fixed property of stored tables.
-BUCKETS = 4
 PART = ["day", "bucket"]
 
-FILE_BYTES = 128 * 1024 * 1024  # Parquet written per file, about
+FILE_BYTES = 128 * 1024 * 1024  # Parquet per part of a day, about; a part that has grown to twice as much is split
 TEXT_RATIO = 4  # JSON text shrinks at least this much
 GLOB_DAYS = 366  # directories named in one scan; longer spans prune on the partition column
+MAX_DEPTH = 24  # halvings of a day
+# Classes of ids that a batch's share of a day is described by.
+CLASSES = 4_096
+
+STAGED, COMMITTED = "_swap-", "_split"
 
 
 def table_path(root: str, doc_type: str) -> str:
@@ -31,9 +34,98 @@ def table_path(root: str, doc_type: str) -> str:
     return f"{root.rstrip('/')}/{doc_type}"
 
 
-def bucket_of(name: str) -> Column:
-    """The part of its day that a document lies in."""
-    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
+# --- parts of a day ----------------------------------------------------------
+#
+# A day is one part until it outgrows a file. A part is then halved by one more bit of the hash of its ids, as often as its
+# size asks for; the others stay as they are. After d halvings parts are numbered from -2^d on, by the d lowest bits of the
+# hash: -1 is the whole day, -2 and -3 are its halves, -4 to -7 its quarters. So the number of parts is stored with each
+# day, in the names of its directories. Days of earlier versions have the quarters 0 to 3; they are read, added to and split
+# like -4 to -7.
+
+
+def id_hash(name: str = "id") -> Column:
+    return F.xxhash64(name)
+
+
+def part_at(depth: int | Column, name: str = "id") -> Column:
+    """The part of its day that a document lies in after so many halvings."""
+    size = F.lit(1 << depth).cast("bigint") if isinstance(depth, int) else F.pow(F.lit(2), depth).cast("bigint")
+    return (-(size + id_hash(name).bitwiseAND(size - 1))).cast("int")
+
+
+def quarter(name: str = "id") -> Column:
+    """The part as earlier versions numbered it."""
+    return id_hash(name).bitwiseAND(F.lit(3).cast("bigint")).cast("int")
+
+
+def depth_of(part: int) -> int:
+    return 2 if part >= 0 else (-part).bit_length() - 1
+
+
+def low_bits(part: int) -> int:
+    """The bits of the hash that all ids of a part share."""
+    return part if part >= 0 else -part - (1 << depth_of(part))
+
+
+def halvings(size: int) -> int:
+    """How often a part of this size is halved for its pieces to be a file each."""
+    return min(MAX_DEPTH, (max(size, 1) - 1) // FILE_BYTES).bit_length()
+
+
+def possible_parts(name: str = "id") -> Column:
+    """All parts in which an id may lie, whatever the layout of its day is."""
+    return F.array(quarter(name), *[part_at(depth, name) for depth in range(MAX_DEPTH + 1)])
+
+
+def part_of(stored: Mapping[str, Iterable[int]], new_days: Mapping[str, int]) -> Column:
+    """The part of each document: in a stored day the one that holds its id, in a new one as many halvings as given.
+
+    An id whose part has no rows yet gets one of the deepest level, which no stored part overlaps.
+    """
+    depths = {day: max(map(depth_of, parts)) for day, parts in stored.items()} | dict(new_days)
+    if len(set(depths.values())) <= 1:
+        deepest = part_at(next(iter(depths.values()), 0))
+    else:
+        deepest = part_at(F.coalesce(F.try_element_at(day_map(depths), F.col("day")), F.lit(0)))
+    shallow: dict[int | None, list[str]] = {}
+    for day, parts in stored.items():
+        for part in parts:
+            if part >= 0 or depth_of(part) < depths[day]:
+                shallow.setdefault(None if part >= 0 else depth_of(part), []).append(f"{day}/{part}")
+    choices = []
+    for level, names in shallow.items():
+        choice = quarter() if level is None else part_at(level)
+        choices.append(F.when(F.concat_ws("/", "day", choice).isin(names), choice))
+    return F.coalesce(*choices, deepest)
+
+
+def day_map(values: Mapping[str, int]) -> Column:
+    return F.create_map(*[F.lit(x) for item in sorted(values.items()) for x in item])
+
+
+def file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def stored_parts(spark: SparkSession, root: str, doc_type: str, days: Iterable[str]) -> dict[str, dict[int, int]]:
+    """The parts of the given days and their bytes, from a listing of their directories; no data is read."""
+    found: dict[str, dict[int, int]] = {}
+    for day in sorted(set(days)):
+        files, folder = file_system(spark, f"{table_path(root, doc_type)}/day={day}")
+        if not files.exists(folder):
+            continue
+        listing = files.listFiles(folder, True)
+        while listing.hasNext():
+            status = listing.next()
+            parent = status.getPath().getParent().getName()
+            if parent.startswith("bucket=") and status.getPath().getName().endswith(".parquet"):
+                parts, part = found.setdefault(day, {}), int(parent.removeprefix("bucket="))
+                parts[part] = parts.get(part, 0) + status.getLen()
+    return found
+
+
+# --- scans -------------------------------------------------------------------
 
 
 def scan(spark: SparkSession, root: str, doc_type: str, days: Iterable[str] | None = None) -> DataFrame:
@@ -85,9 +177,20 @@ def scan_all_types(spark: SparkSession, root: str, days: Iterable[str] | None =
     return union_types({doc_type: scan(spark, root, doc_type, days) for doc_type in DOC_TYPES})
 
 
+def in_parts(parts: Iterable[tuple[str, int]]) -> Column:
+    return F.concat_ws("/", *PART).isin([f"{day}/{bucket}" for day, bucket in sorted(parts)])
+
+
 def only_parts(docs: DataFrame, parts: Iterable[tuple[str, int]]) -> DataFrame:
     """Documents of the given (day, bucket) parts; a test of partition columns alone, which prunes directories."""
-    return docs.where(F.concat_ws("/", *PART).isin([f"{day}/{bucket}" for day, bucket in sorted(parts)]))
+    return docs.where(in_parts(parts))
+
+
+def without_parts(docs: DataFrame, parts: Iterable[tuple[str, int]]) -> DataFrame:
+    return docs.where(~in_parts(parts))
+
+
+# --- writing -----------------------------------------------------------------
 
 
 def use_microsecond_timestamps(spark: SparkSession) -> None:
@@ -100,71 +203,156 @@ def use_microsecond_timestamps(spark: SparkSession) -> None:
         spark.conf.set(key, "TIMESTAMP_MICROS")
 
 
-def write(docs: DataFrame, root: str, doc_type: str, part_bytes: Mapping[tuple[str, int], int] | None = None, replace_parts: bool = False) -> None:
-    """Appends rows, or replaces exactly the (day, bucket) parts the rows fall on.
+def write(docs: DataFrame, path: str, doc_type: str) -> None:
+    """Appends rows that know their part: one file per part, since parts are sized to files.
 
-    Rows are dealt by part; a part of more than a file's size is dealt by ids over as many tasks as it fills files, so a
-    day that holds most of the batch goes to many tasks and a small one makes few files. Files are sorted by the columns
-    that queries filter on. Ids are random, so lookups by id rely on bloom filters instead.
+    A day that holds most of a batch has many parts and goes to many tasks, a small one makes one file. Files are sorted by
+    the columns that queries filter on. Ids are random, so lookups by id rely on bloom filters instead.
     """
     use_microsecond_timestamps(docs.sparkSession)
-    rows = docs.select(*table_schema(doc_type).fieldNames()).withColumn("bucket", bucket_of("id"))
-    large = {f"{day}/{bucket}": size // FILE_BYTES + 1 for (day, bucket), size in (part_bytes or {}).items() if size > FILE_BYTES}
-    share = F.lit(0)
-    if large:
-        counts = F.create_map(*[F.lit(x) for item in sorted(large.items()) for x in item])
-        files = F.coalesce(F.try_element_at(counts, F.concat_ws("/", *PART)), F.lit(1))
-        share = F.pmod(F.xxhash64("id", F.lit(1)), files)
-    dealt = rows.withColumn("share", share).repartition("day", "bucket", "share").drop("share")
+    rows = docs.select(*table_schema(doc_type).fieldNames(), "bucket")
     (
-        dealt.sortWithinPartitions(*PART, *CLUSTERING[doc_type])
-        .write.mode("overwrite" if replace_parts else "append")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.repartition(*PART)
+        .sortWithinPartitions(*PART, *CLUSTERING[doc_type])
+        .write.mode("append")
         .option("parquet.bloom.filter.enabled#id", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")  # sized by the ids a row group holds
         .partitionBy(*PART)
-        .parquet(table_path(root, doc_type))
+        .parquet(path)
     )
 
 
-def upsert(docs: DataFrame, root: str, doc_type: str, text_bytes: Mapping[tuple[str, int], int] | None = None) -> None:
+def batch_shape() -> list[Column]:
+    """What an upsert wants to know of a batch per day: the classes of its ids, 4,096 at most."""
+    return [F.collect_set(id_hash().bitwiseAND(F.lit(CLASSES - 1).cast("bigint")).cast("int")).alias("classes")]
+
+
+def touched(parts: Iterable[int], classes: Iterable[int]) -> set[int]:
+    """The parts in which ids of these classes may lie."""
+    by_depth: dict[int, set[int]] = {}
+    found = set()
+    for part in parts:
+        depth = min(depth_of(part), CLASSES.bit_length() - 1)
+        known = by_depth.setdefault(depth, {c & ((1 << depth) - 1) for c in classes})
+        if low_bits(part) & ((1 << depth) - 1) in known:
+            found.add(part)
+    return found
+
+
+def covered(parts: Iterable[int], classes: Iterable[int]) -> bool:
+    """Whether all ids of these classes surely lie in stored parts."""
+    known = {(depth_of(part), low_bits(part)) for part in parts if 1 << depth_of(part) <= CLASSES}
+    depths = {depth for depth, _ in known}
+    return all(any((depth, c & ((1 << depth) - 1)) in known for depth in depths) for c in classes)
+
+
+def upsert(docs: DataFrame, root: str, doc_type: str, shape: Mapping[str, tuple[int, Iterable[int]]] | None = None) -> None:
     """Merges rows with unique ``(day, id)`` into the table; they win over stored ones.
 
-    ``text_bytes`` is the size of the batch's JSON per (day, bucket); where it is not given the parts are looked up.
+    ``shape`` tells of each day of the batch the bytes of its JSON and the classes of its ids (``batch_shape``); where it
+    is not given they are looked up.
 
-    Rows equal to a stored one are dropped, so a feed that is sent twice writes nothing.  Only parts that the batch falls
-    on are looked at.  Those in which no stored id changes are appended to.  Only the others are rewritten, through dynamic
-    partition overwrite: the new files are staged while the old are read and swapped in at commit.  One writer per table
-    at a time.
+    Rows equal to a stored one are dropped, so a feed that is sent twice writes nothing. Only parts that the batch falls on
+    are looked at. Those in which no stored id changes are appended to. Only the others, and those that have outgrown their
+    size, are rewritten, each a file or two, however large the day is: the new files are staged beside the table and
+    swapped in. A driver lost in the middle of that leaves a finished stage, which the next upsert swaps in first. One
+    writer per table at a time.
     """
     spark = docs.sparkSession
-    docs = docs.withColumn("bucket", bucket_of("id"))
-    sizes = {part: 0 for part in part_names(docs)} if text_bytes is None else {k: v // TEXT_RATIO for k, v in text_bytes.items()}
-    days = {day for day, _ in sizes}
-
-    def append(rows: DataFrame, chosen: set[tuple[str, int]]) -> None:
-        if chosen:
-            write(only_parts(rows, chosen), root, doc_type, {part: sizes[part] for part in chosen})
-
-    stored = only_parts(scan_parts(spark, root, doc_type, days), sizes)
-    repeated = set(part_names(with_ids_of(stored, docs)))
-    append(docs, set(sizes) - repeated)
-    if not repeated:
-        return
-    stored = only_parts(scan_parts(spark, root, doc_type, {day for day, _ in repeated}), repeated)
-    news = news_against(stored, only_parts(docs, repeated)).persist(StorageLevel.MEMORY_AND_DISK)
+    finish_swaps(spark, root, doc_type)
+    if shape is None:
+        shape = {r.day: (0, r.classes) for r in docs.groupBy("day").agg(*batch_shape()).collect()}
+    incoming = {day: size // TEXT_RATIO for day, (size, _) in shape.items()}
+    stored = stored_parts(spark, root, doc_type, shape)
+    docs = docs.withColumn("bucket", part_of(stored, {day: halvings(size) for day, size in incoming.items() if day not in stored}))
+    path = table_path(root, doc_type)
+    if not stored:
+        return write(docs, path, doc_type)
+
+    # What each part that the batch falls on will hold, about.
+    sizes = {
+        (day, part): parts[part] + (incoming[day] >> depth_of(part)) for day, parts in stored.items() for part in touched(parts, shape[day][1])
+    }
+    grown = {part: halvings(size) for part, size in sizes.items() if size > 2 * FILE_BYTES}
+    repeated = set(part_names(with_ids_of(only_parts(scan_parts(spark, root, doc_type, stored), sizes), docs)))
+    news, changed = docs, set()
     try:
-        changes = {(r.day, r.bucket): r.changes for r in news.groupBy(*PART).agg(F.max("changes").alias("changes")).collect()}
-        append(news.drop("changes"), {part for part, changed in changes.items() if not changed})
-        rewritten = {part for part, changed in changes.items() if changed}
+        if repeated:
+            old = only_parts(scan_parts(spark, root, doc_type, {day for day, _ in repeated}), repeated)
+            news = news_against(old, only_parts(docs, repeated)).persist(StorageLevel.MEMORY_AND_DISK)
+            changed = {(r.day, r.bucket) for r in news.where("changes").select(*PART).distinct().collect()}
+        rewritten = changed | set(grown)
+        unseen = without_parts(docs, repeated | rewritten) if repeated or rewritten else docs
+        more = without_parts(only_parts(news, repeated), rewritten).drop("changes") if repeated - rewritten else None
+        append = unseen if more is None else unseen.unionByName(more)
+        if set(sizes) - rewritten or not all(covered(stored.get(day, ()), classes) for day, (_, classes) in shape.items()):
+            write(append, path, doc_type)
         if rewritten:
-            incoming = only_parts(news, rewritten).drop("changes")
+            replacing = only_parts(docs, rewritten - repeated)
+            if rewritten & repeated:
+                replacing = replacing.unionByName(only_parts(news, rewritten & repeated).drop("changes"))
             old = only_parts(scan_parts(spark, root, doc_type, {day for day, _ in rewritten}), rewritten)
-            kept = old.join(incoming.select(*ROW_KEY), ROW_KEY, "left_anti")
-            before = stored_bytes(old)
-            write(kept.unionByName(incoming), root, doc_type, {p: sizes[p] + before.get(p, 0) for p in rewritten}, replace_parts=True)
+            rows = old.join(replacing.select(*ROW_KEY), ROW_KEY, "left_anti").unionByName(replacing)
+            replace(spark, rows, root, doc_type, rewritten, grown)
     finally:
-        news.unpersist()
+        if news is not docs:
+            news.unpersist()
+
+
+def replace(spark: SparkSession, rows: DataFrame, root: str, doc_type: str, parts: Iterable[tuple[str, int]], grown: Mapping[tuple[str, int], int]) -> None:
+    """Puts ``rows`` in the place of the parts they come from, those ``grown`` halved so many times."""
+    path = table_path(root, doc_type)
+    split = {part: extra for part, extra in grown.items() if part in parts and depth_of(part[1]) + extra <= MAX_DEPTH and extra}
+    if split:
+        deeper = day_map({f"{day}/{part}": depth_of(part) + extra for (day, part), extra in split.items()})
+        depth = F.try_element_at(deeper, F.concat_ws("/", *PART))
+        rows = rows.withColumn("bucket", F.when(depth.isNotNull(), part_at(depth)).otherwise(F.col("bucket")))
+    stage = f"{path}/{STAGED}{uuid4().hex}"
+    write(rows, stage, doc_type)
+    files, target = file_system(spark, f"{stage}/{COMMITTED}.part")
+    out = files.create(target, True)
+    out.write(bytearray("".join(f"day={day}/bucket={part}\n" for day, part in sorted(split)), "utf-8"))
+    out.close()
+    files.rename(target, spark._jvm.org.apache.hadoop.fs.Path(f"{stage}/{COMMITTED}"))
+    swap(spark, path, stage)
+
+
+def swap(spark: SparkSession, path: str, stage: str) -> None:
+    """Moves the parts of a finished stage into the table. Begun anew after a failure, it does what is left."""
+    files, folder = file_system(spark, stage)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    committed = at(f"{stage}/{COMMITTED}")
+    stream = files.open(committed)
+    split = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+    stream.close()
+    for name in split:  # their rows are in the staged halves
+        files.delete(at(f"{path}/{name}"), True)
+    for day in files.listStatus(folder):
+        if not day.isDirectory() or not day.getPath().getName().startswith("day="):
+            continue
+        files.mkdirs(at(f"{path}/{day.getPath().getName()}"))
+        for part in files.listStatus(day.getPath()):
+            target = at(f"{path}/{day.getPath().getName()}/{part.getPath().getName()}")
+            files.delete(target, True)
+            if not files.rename(part.getPath(), target):
+                raise OSError(f"could not move {part.getPath()} to {target}")
+    files.delete(folder, True)
+
+
+def finish_swaps(spark: SparkSession, root: str, doc_type: str) -> None:
+    """Ends what a lost driver left: finished stages are swapped in, others removed."""
+    path = table_path(root, doc_type)
+    files, folder = file_system(spark, path)
+    if not files.exists(folder):
+        return
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for status in files.listStatus(folder):
+        if status.getPath().getName().startswith(STAGED):
+            stage = f"{path}/{status.getPath().getName()}"
+            if files.exists(at(f"{stage}/{COMMITTED}")):
+                swap(spark, path, stage)
+            else:
+                files.delete(status.getPath(), True)
 
 
 def with_ids_of(stored: DataFrame, docs: DataFrame) -> DataFrame:
@@ -185,12 +373,6 @@ def news_against(stored: DataFrame, docs: DataFrame) -> DataFrame:
     return news.withColumn("changes", F.col("stored_text").isNotNull()).drop("text", "stored_text")
 
 
-def stored_bytes(docs: DataFrame) -> dict[tuple[str, int], int]:
-    """Size of the files behind a scan per part, from what Spark knows of each file; no column is read."""
-    files = docs.groupBy(*PART, "_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
-    return {(r.day, r.bucket): r.size for r in files.groupBy(*PART).agg(F.sum("size").alias("size")).collect()}
-
-
 def part_names(docs: DataFrame) -> list[tuple[str, int]]:
     """The (day, bucket) parts of a batch; a handful of names, like directories."""
     return sorted((r.day, r.bucket) for r in docs.select(*PART).distinct().collect())

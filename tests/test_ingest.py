@@ -1,5 +1,7 @@
+import hashlib
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -109,12 +111,159 @@ def test_repeated_and_new_rows_are_told_apart(store, feed):
     store.ingest(feed("2.json", request("r1"), request("r4"), request("r2", DAY2), request("r3", DAY2, status=500)))
     assert statuses(store) == {(DAY1, "r1"): 200, (DAY1, "r4"): 200, (DAY2, "r2"): 200, (DAY2, "r3"): 500}
     kept = files & set(store.documents("request").inputFiles())
-    # Appended to, not rewritten; and of the second day only the part in which a document changed.
-    part = {r.id: r.part for r in store.documents("request").select("id", tables.bucket_of("id").alias("part")).collect()}
-    changed = f"day={DAY2}/bucket={part['r3']}/"
+    # Appended to, not rewritten; and of the second day, which is small, the one part.
+    changed = f"day={DAY2}/bucket=-1/"
     assert kept == {f for f in files if changed not in f} and any(changed in f for f in files)
 
 
+# --- parts of a day ---
+
+
+def files_by_part(store, doc_type="request"):
+    found = {}
+    for file in store.documents(doc_type).inputFiles():
+        found.setdefault(tuple(file.split("/")[-3:-1]), set()).add(file)
+    return found
+
+
+def lengthy(n, **fields):
+    """A document of some bytes that don't compress."""
+    return request(f"r{n}", transaction=hashlib.sha512(str((n, sorted(fields.items()))).encode()).hexdigest(), **fields)
+
+
+@pytest.fixture()
+def small_files(monkeypatch):
+    monkeypatch.setattr(tables, "FILE_BYTES", 20_000)
+
+
+def test_a_large_day_is_cut_and_an_update_rewrites_one_part(store, feed, small_files):
+    store.ingest(feed("1.json", *[lengthy(n) for n in range(1_500)]))
+    before = files_by_part(store)
+    assert len(before) >= 4 and all(part[1].startswith("bucket=-") for part in before)
+    store.ingest(feed("2.json", request("r7", status=404)))
+    after = files_by_part(store)
+    changed = {part for part in before if after.get(part) != before[part]}
+    assert len(changed) == 1 and len(before[changed.pop()]) == 1
+    assert statuses(store) == {(DAY1, f"r{n}"): 404 if n == 7 else 200 for n in range(1_500)}
+
+
+def test_parts_grow_with_their_day(store, feed, small_files):
+    """Batch by batch, with repeats and changes: parts that outgrow a file are split, all rows stay what was sent last."""
+    rng, want, seen = random.Random(3), {}, []
+    for turn in range(6):
+        ids = [rng.randrange(2_500) for _ in range(400 if turn % 2 else 700)]
+        records = []
+        for n in ids:
+            status = rng.choice([200, 404, 500])
+            want[DAY1, f"r{n}"] = status
+            records.append(lengthy(n, status=status))
+        store.ingest(feed(f"{turn}.json", *records))
+        assert statuses(store) == want and store.documents("request").count() == len(want)
+        seen.append(len(files_by_part(store)))
+    assert seen[-1] > seen[0] >= 1
+    labels = [int(bucket.removeprefix("bucket=")) for _, bucket in files_by_part(store)]
+    for part in labels:  # no part lies in another
+        while part < -1:
+            part = -(-part - ((1 << tables.depth_of(part)) >> 1) * (1 if tables.low_bits(part) < (1 << tables.depth_of(part)) >> 1 else 2))
+            assert part not in labels
+
+
+def test_days_of_earlier_versions(spark, store, feed, small_files):
+    """Quarters 0 to 3 are read, added to, changed and split."""
+    path = feed("1.json", *[lengthy(n) for n in range(300)])
+    typed = bulk.typed_rows(bulk.parse_bulk(bulk.read_bulk(spark, path)), "request")
+    tables.write(typed.withColumn("bucket", tables.quarter()), tables.table_path(store.root, "request"), "request")
+    old = files_by_part(store)
+    assert set(old) == {(f"day={DAY1}", f"bucket={n}") for n in range(4)}
+    store.ingest(feed("2.json", request("r7", status=404), request("new")))
+    assert statuses(store) == {(DAY1, f"r{n}"): 404 if n == 7 else 200 for n in range(300)} | {(DAY1, "new"): 200}
+    assert sum(files_by_part(store).get(part) == files for part, files in old.items()) >= 2
+    store.ingest(feed("3.json", *[lengthy(n) for n in range(100, 2_000)]))
+    assert statuses(store) == {(DAY1, f"r{n}"): 404 if n == 7 else 200 for n in range(2_000)} | {(DAY1, "new"): 200}
+    assert len(files_by_part(store)) > 4 and store.documents("request").count() == 2_001
+
+
+def test_an_id_whose_part_is_empty(spark, store):
+    """A deep layout with few rows: ids of absent parts are added and found again."""
+    rows = lambda ids, status: bulk.typed_rows(bulk.parse_bulk(bulk.text_records(spark, "".join(request(i, status=status) for i in ids))), "request")
+    first = rows(["r1", "r2"], 200).withColumn("bucket", F.when(F.col("id") == "r1", tables.part_at(5)).otherwise(tables.part_at(7)))
+    tables.write(first, tables.table_path(store.root, "request"), "request")
+    tables.upsert(rows([f"r{n}" for n in range(40)], 404), store.root, "request")
+    tables.upsert(rows([f"r{n}" for n in range(20)], 500), store.root, "request")
+    assert statuses(store) == {(DAY1, f"r{n}"): 500 if n < 20 else 404 for n in range(40)}
+    assert store.documents("request").count() == 40
+
+
+def test_a_driver_lost_in_a_swap(store, feed, monkeypatch, small_files):
+    """Before the swap nothing has changed; in its middle a finished stage waits for the next upsert."""
+    store.ingest(feed("1.json", *[lengthy(n) for n in range(400)]))
+    real = tables.swap
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "swap", lost)
+    with pytest.raises(KeyboardInterrupt):
+        store.ingest(feed("2.json", *[lengthy(n, status=404) for n in range(900)]))
+    held = statuses(store)
+    assert {held[DAY1, f"r{n}"] for n in range(400)} == {200}
+
+    def half(spark, path, stage):
+        """Moves one part, then fails."""
+        jvm, (files, _) = spark._jvm, tables.file_system(spark, stage)
+        moved = []
+        rename = lambda a, b: moved.append(a) or (len(moved) < 2 and files.rename(a, b))
+
+        class Limited:
+            def __getattr__(self, name):
+                return rename if name == "rename" else getattr(files, name)
+
+        monkeypatch.setattr(tables, "file_system", lambda s, p: (Limited(), jvm.org.apache.hadoop.fs.Path(p)))
+        real(spark, path, stage)
+
+    whole = tables.file_system
+    monkeypatch.setattr(tables, "swap", half)
+    with pytest.raises(OSError):
+        store.ingest(feed("3.json", request("other")))
+    monkeypatch.setattr(tables, "file_system", whole)
+    monkeypatch.setattr(tables, "swap", real)
+    store.ingest(feed("4.json", request("last")))
+    assert {key: status for key, status in statuses(store).items() if key[1] not in ("other", "last")} == {(DAY1, f"r{n}"): 404 for n in range(900)}
+    assert store.documents("request").count() == len(statuses(store))
+
+
+def test_possible_parts_hold_every_layout(spark):
+    ids = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit(DAY1).alias("day"))
+    layouts = [{DAY1: [0, 1, 2, 3]}, {DAY1: [-1]}, {DAY1: [-2, -5, -11, -15]}, {DAY1: [1, 3, -8, -12, -6]}, {}]
+    for stored in layouts:
+        placed = ids.select("id", tables.part_of(stored, {DAY1: 3}).alias("part"), tables.possible_parts().alias("parts")).collect()
+        assert all(r.part in r.parts for r in placed)
+        if stored:
+            assert {r.part for r in placed} == set(stored[DAY1])
+    assert [tables.halvings(n * tables.FILE_BYTES) for n in (0, 1, 2, 3, 4, 5, 8, 9)] == [0, 0, 1, 2, 2, 3, 3, 4]
+
+
+def test_rejects_are_kept_by_day_and_read_by_day(spark, store, feed, tmp_path):
+    old = feed("old.json", action("request", "r1") + "\n{\n", request("r0"))
+    os.utime(old, (1_500_000_000, 1_500_000_000))
+    store.ingest(old)
+    store.ingest(feed("new.json", action("request", "r2") + "\n{\n", "{}\n{}\n"))
+    store.ingest(old), store.ingest(feed("new.json", action("request", "r2") + "\n{\n", "{}\n{}\n"))
+    days = {name for name in os.listdir(f"{store.root}/rejected") if name.startswith("day=")}
+    assert len(days) == 2 and "day=2017.07.14" in days
+    assert sum(r.id == "r1" for r in store.rejects().collect()) == 1
+    known = bulk.known_places(spark, store.root, {"2017.07.14"}, ["file:/x"])
+    text = known._jdf.queryExecution().executedPlan().toString()
+    assert "2017.07.14" in text.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert "EqualTo(file,file:/x)" in text or "In(file" in text
+
+
+def test_rejects_of_earlier_versions_are_still_listed(spark, store, feed):
+    store.ingest(feed("1.json", action("request", "r1") + "\n{\n", request("r0")))
+    store.rejects().write.parquet(f"{store.root}/rejects")
+    assert store.rejects().count() == 2
+
+
 def test_windows_line_ends_and_blank_start(store, feed):
     store.ingest(feed("1.json", "\n", request("r1", end="\r\n"), request("r2", end="\r\n", status=201)))
     assert statuses(store) == {(DAY1, "r1"): 200, (DAY1, "r2"): 201}
