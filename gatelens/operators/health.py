@@ -30,7 +30,7 @@ from gatelens.operators.analytics import (
     ranked,
     truncated,
 )
-from gatelens.operators.logs import must_exist, page_of, pick_ids, with_total
+from gatelens.operators.logs import Pages, must_exist, page_and_total, pick_ids
 from gatelens.schemas import column_name
 
 WINDOW_TERMS = 10  # endpoints or gateways reported
@@ -263,8 +263,21 @@ def health_logs(
     zone: str = "UTC",
 ) -> DataFrame:
     """One page of the last month's health logs beside their total."""
-    selected = recent(docs, api, query, now, zone)
-    return with_total(page_of(selected, page, size).select(*health_columns()), selected)
+    rows, total = page_and_total(recent(docs, api, query, now, zone), page, size)
+    return rows.select(*health_columns(), total.alias("total"))
+
+
+def health_log_pages(
+    docs: DataFrame,
+    api: str | None,
+    size: int,
+    folder: str,
+    query: str | Column | None = None,
+    now: int | None = None,
+    zone: str = "UTC",
+) -> Pages:
+    """All pages of the last month's health logs, ordered once, into ``folder``."""
+    return Pages(recent(docs, api, query, now, zone).select(*health_columns()), size, folder)
 
 
 def find_health(docs: DataFrame, ids: DataFrame | Iterable[str], strict: bool = False) -> DataFrame:

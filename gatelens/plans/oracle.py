@@ -241,6 +241,18 @@ WITH {REQ}, hits AS (SELECT * FROM req WHERE {within(q.PAST_DATA)})
 SELECT id, ms AS timestamp, (SELECT count(*) FROM hits) AS total
 FROM hits ORDER BY ms DESC, id DESC LIMIT 9000 OFFSET 9000
 """
+SQL["tabular_all_pages"] = f"""
+WITH {REQ}, hits AS (SELECT * FROM req WHERE {TEN_DAYS} AND {ROOT}),
+placed AS (SELECT *, row_number() OVER (ORDER BY ms DESC, id DESC) AS n FROM hits)
+SELECT CAST((n - 1) // {q.PAGE // 4} + 1 AS INTEGER) AS page, id, ms AS timestamp, CAST(status AS INTEGER) AS status,
+  (SELECT count(*) FROM hits) AS total
+FROM placed
+"""
+SQL["tabular_page_of_many"] = f"""
+WITH {REQ}, hits AS (SELECT * FROM req WHERE {TEN_DAYS} AND {ROOT})
+SELECT id, ms AS timestamp, CAST(status AS INTEGER) AS status, (SELECT count(*) FROM hits) AS total
+FROM hits ORDER BY ms DESC, id DESC LIMIT 20 OFFSET 40
+"""
 SQL["tabular_total"] = f"WITH {REQ} SELECT count(*) AS total FROM req WHERE {TEN_DAYS} AND {ROOT}"
 SQL["tabular_without_payloads"] = f"""
 WITH {REQ} SELECT {log_columns("method_code")} FROM req WHERE {TEN_DAYS} AND application = 'app-7'
@@ -462,6 +474,21 @@ SQL["count_query_range"] = counted(
     f"{TEN_DAYS} AND response_time >= 20 AND response_time < 80 AND (status >= 300 OR status > 100)"
 )
 SQL["hist_response"] = SQL["hist_series"]
+SIX = 6 * q.HOUR
+SQL["hist_chunks"] = f"""
+WITH {REQ}, p AS (
+{metric_points(0, "avg", "response-time", SERIES_WHERE, SIX)}
+UNION ALL {term_points(2, "endpoint", SERIES_WHERE, SIX)})
+SELECT ordinal AS slot, key, timestamp // {SIX * q.CHUNK} * {SIX * q.CHUNK} AS chunk_start,
+  string_agg(timestamp || ':' || value, ' ' ORDER BY timestamp) AS points
+FROM p GROUP BY ordinal, key, chunk_start
+UNION ALL SELECT 1, NULL, NULL, NULL
+"""
+SQL["hist_axis_chunks"] = f"""
+WITH {axis(q.PAST_DATA, SIX)}
+SELECT timestamp // {SIX * q.CHUNK} * {SIX * q.CHUNK} AS chunk_start, CAST(count(*) AS INTEGER) AS buckets, max(timestamp) AS last
+FROM axis GROUP BY 1
+"""
 SQL["hist_nothing_found"] = f"""
 WITH {axis(q.PAST_DATA, 6 * q.HOUR)}
 SELECT (SELECT CAST(count(*) AS INTEGER) FROM axis) AS axis, CAST(slot AS INTEGER) AS slot,

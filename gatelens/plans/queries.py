@@ -200,7 +200,28 @@ def hist_series(spark, sf_dir):
     # Failed requests have no latency, so the second slot is empty and stays.
     points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
     axis = analytics.histogram_axis(spark, PAST_DATA, 6 * HOUR)
-    return flat_rows(shaping.series_rows(points, wanted), axis)
+    return flat_rows(shaping.joined_chunks(shaping.series_chunks(points, wanted, 6 * HOUR)), axis)
+
+
+CHUNK = 7
+
+
+@registered
+def hist_chunks(spark, sf_dir):
+    """The series in pieces of a few buckets, each piece a row."""
+    docs = views.requests(spark, sf_dir)
+    wanted = [analytics.avg("response-time"), analytics.avg("proxy-latency"), analytics.terms("endpoint")]
+    points = analytics.date_histogram(docs, PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
+    chunks = shaping.series_chunks(points, wanted, 6 * HOUR, CHUNK)
+    return chunks.select("slot", "key", "chunk_start", points_text().alias("points"))
+
+
+@registered
+def hist_axis_chunks(spark, sf_dir):
+    """The axis that goes with them."""
+    counts = analytics.histogram_counts(views.requests(spark, sf_dir), PAST_DATA, 6 * HOUR)
+    chunks = shaping.axis_chunks(counts, 6 * HOUR, CHUNK)
+    return chunks.select("chunk_start", F.size("timestamps").alias("buckets"), F.element_at("timestamps", -1).alias("last"))
 
 
 @registered
@@ -461,7 +482,7 @@ def health_hist_series(spark, sf_dir):
     wanted = [analytics.maximum("response-time"), analytics.avg("state"), analytics.minimum("response-time")]
     docs = views.health(spark, sf_dir).withColumn("state", F.lit(None).cast("int"))  # the second slot is empty
     dense = health.health_histogram_dense(docs, TEN_DAYS, 6 * HOUR, wanted, api="api-1", now=NOW)
-    return flat_rows(shaping.series_rows(health.health_points(dense, wanted), wanted), dense)
+    return flat_rows(shaping.joined_chunks(shaping.series_chunks(health.health_points(dense, wanted), wanted, 6 * HOUR)), dense)
 
 
 @registered
@@ -485,7 +506,7 @@ def health_logs_page(spark, sf_dir):
     return health.health_logs(views.health(spark, sf_dir), "api-1", page=2, size=30, now=NOW)
 
 
-PAGE = 9_000  # the first page is a top-k, the others are located by counting
+PAGE = 9_000
 
 
 @registered
@@ -493,15 +514,22 @@ def health_logs_all_pages(spark, sf_dir):
     """All pages one after the other, shallow and deep, with checks that have no timestamp: nothing is lost."""
     ts = F.when(F.col("id").cast("bigint") % 10 > 0, F.col("ts"))
     docs = views.with_day(views.health(spark, sf_dir)).withColumn("ts", ts)
-    total = health.recent(docs, None, now=NOW).count()
-    pages = []
-    for page in range(1, -(-total // PAGE) + 1):
-        rows = health.health_logs(docs, None, page=page, size=PAGE, now=NOW)
-        pages.append(rows.select(F.lit(page).alias("page"), "id", "timestamp", "total"))
-    union = pages[0]
-    for rows in pages[1:]:
-        union = union.unionByName(rows)
-    return union
+    pages = health.health_log_pages(docs, None, PAGE, f"{passing_folder(spark)}/pages", now=NOW)
+    return pages.all().select("page", "id", "timestamp", "total")
+
+
+@registered
+def tabular_all_pages(spark, sf_dir):
+    """All pages of request logs of one ordering."""
+    pages = logs.tabular_pages(views.requests(spark, sf_dir), TEN_DAYS, PAGE // 4, f"{passing_folder(spark)}/pages", root=ROOT)
+    return pages.all().select("page", "id", "timestamp", "status", "total")
+
+
+@registered
+def tabular_page_of_many(spark, sf_dir):
+    """One of them, as a slice."""
+    pages = logs.tabular_pages(views.requests(spark, sf_dir), TEN_DAYS, 20, f"{passing_folder(spark)}/pages", root=ROOT)
+    return pages.page(3).select("id", "timestamp", "status", "total")
 
 
 @registered
@@ -685,8 +713,11 @@ def store_count(spark, sf_dir):
 
 @registered
 def store_histogram(spark, sf_dir):
+    """The response in pieces, put together."""
     wanted = [analytics.avg("response-time"), analytics.avg("proxy-latency"), analytics.terms("endpoint")]
-    return flat_response(store_of_all(spark, sf_dir).date_histogram(PAST_DATA, 6 * HOUR, wanted, query="endpoint:error"))
+    store = store_of_all(spark, sf_dir)
+    chunks = store.date_histogram(PAST_DATA, 6 * HOUR, wanted, query="endpoint:error")
+    return flat_rows(shaping.joined_chunks(chunks), store.histogram_axis(PAST_DATA, 6 * HOUR).select(F.explode("timestamps")))
 
 
 @registered
@@ -731,7 +762,9 @@ def store_response_time(spark, sf_dir):
 @registered
 def store_health_histogram(spark, sf_dir):
     wanted = [analytics.maximum("response-time"), analytics.minimum("response-time")]
-    return flat_response(store_of_all(spark, sf_dir).health_histogram("api-1", TEN_DAYS, 6 * HOUR, wanted, now=NOW))
+    store = store_of_all(spark, sf_dir)
+    chunks = store.health_histogram("api-1", TEN_DAYS, 6 * HOUR, wanted, now=NOW)
+    return flat_rows(shaping.joined_chunks(chunks), store.health_axis("api-1", TEN_DAYS, 6 * HOUR, now=NOW).select(F.explode("timestamps")))
 
 
 @registered

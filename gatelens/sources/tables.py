@@ -72,9 +72,18 @@ def halvings(size: int) -> int:
     return min(MAX_DEPTH, (max(size, 1) - 1) // FILE_BYTES).bit_length()
 
 
+# Lookups tell this many halvings apart; a finer part counts as the coarser one that it lies in.
+KNOWN_DEPTH = 12
+
+
 def possible_parts(name: str = "id") -> Column:
     """All parts in which an id may lie, whatever the layout of its day is."""
-    return F.array(quarter(name), *[part_at(depth, name) for depth in range(MAX_DEPTH + 1)])
+    return F.array(quarter(name), *[part_at(depth, name) for depth in range(KNOWN_DEPTH + 1)])
+
+
+def known_part(part: Column) -> Column:
+    """The part as ``possible_parts`` names it."""
+    return F.when(part > -(2 << KNOWN_DEPTH), part).otherwise(-(F.lit(1 << KNOWN_DEPTH) + (-part).bitwiseAND((1 << KNOWN_DEPTH) - 1)))
 
 
 def part_of(stored: Mapping[str, Iterable[int]], new_days: Mapping[str, int]) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatelens.functions import time as t
 from gatelens.operators import analytics, health, logs, monitoring
-from gatelens.operators.shaping import assemble_dense, assemble_series
+from gatelens.operators.shaping import assemble_dense, assemble_series, axis_chunks, response_fits, series_chunks
+from gatelens.session import passing_folder
 from gatelens.sources import bulk, tables
 from gatelens.streaming.ingest import start_ingest
 
@@ -56,7 +57,18 @@ class GatewayStore:
         return analytics.count(docs, time_range, default_scope=default_scope, now=now, zone=self.zone, **filters)
 
     def date_histogram(self, time_range: t.TimeRange, interval: int, aggregations=(), **filters) -> DataFrame:
-        """One row: the dense axis and a slot per requested series."""
+        """The requested series in pieces: ``slot, name, field, key, chunk_start, points``; see ``histogram_axis``."""
+        docs = self.documents("request", time_range)
+        points = analytics.date_histogram(docs, time_range, interval, aggregations, zone=self.zone, **filters)
+        return series_chunks(points, aggregations, interval)
+
+    def histogram_axis(self, time_range: t.TimeRange, interval: int) -> DataFrame:
+        """The dense axis in pieces: ``chunk_start, timestamps``."""
+        return axis_chunks(analytics.histogram_axis(self.spark, time_range, interval), interval)
+
+    def date_histogram_response(self, time_range: t.TimeRange, interval: int, aggregations=(), **filters) -> DataFrame:
+        """The same as one row, axis and a slot per requested series, for up to ``RESPONSE_POINTS`` points."""
+        response_fits((time_range.end - time_range.start) // interval + 2, aggregations)
         docs = self.documents("request", time_range)
         points = analytics.date_histogram(docs, time_range, interval, aggregations, zone=self.zone, **filters)
         return assemble_series(points, analytics.histogram_axis(self.spark, time_range, interval), aggregations)
@@ -71,7 +83,17 @@ class GatewayStore:
         return logs.tabular(docs, time_range, page, size, codes=self.codes, zone=self.zone, **filters)
 
     def find_requests(self, ids: DataFrame | Iterable[str], strict: bool = True) -> DataFrame:
-        return logs.find_requests(self.documents("request"), self.documents("log"), ids, self.codes, strict)
+        return logs.find_requests(self._parts("request"), self._parts("log"), ids, self.codes, strict)
+
+    def tabular_pages(self, time_range: t.TimeRange, size: int = 20, **filters) -> logs.Pages:
+        """All pages of one ordering; it is written to the shared folder once, and each page is a slice of it."""
+        docs = self.documents("request", time_range)
+        folder = f"{passing_folder(self.spark)}/pages"
+        return logs.tabular_pages(docs, time_range, size, folder, codes=self.codes, zone=self.zone, **filters)
+
+    def _parts(self, doc_type: str) -> DataFrame:
+        """All days of a type with the part of each document, by which lookups prune."""
+        return tables.scan_parts(self.spark, self.root, doc_type)
 
     # --- health checks ---
 
@@ -87,20 +109,38 @@ class GatewayStore:
     def health_histogram(
         self, api: str, time_range: t.TimeRange, interval: int, aggregations=(), now: int | None = None, **options
     ) -> DataFrame:
-        """One row: the dense axis and a slot per requested series."""
+        """The requested series in pieces: ``slot, name, field, key, chunk_start, points``; see ``health_axis``."""
+        dense = self._health_dense(api, time_range, interval, aggregations, now, options)
+        return series_chunks(health.health_points(dense, aggregations), aggregations, interval)
+
+    def health_axis(self, api: str, time_range: t.TimeRange, interval: int, now: int | None = None, **options) -> DataFrame:
+        """The dense axis in pieces: ``chunk_start, timestamps``."""
+        return axis_chunks(self._health_dense(api, time_range, interval, (), now, options), interval)
+
+    def health_histogram_response(
+        self, api: str, time_range: t.TimeRange, interval: int, aggregations=(), now: int | None = None, **options
+    ) -> DataFrame:
+        """The same as one row; its axis covers the bounds and a month of days, for up to ``RESPONSE_POINTS`` points."""
+        response_fits((time_range.end - time_range.start + t.days(health.MONTH_DAYS)) // interval + 2, aggregations)
+        return assemble_dense(self._health_dense(api, time_range, interval, aggregations, now, options), aggregations)
+
+    def _health_dense(self, api, time_range, interval, aggregations, now, options) -> DataFrame:
         now = t.current_millis() if now is None else now
         docs = self.last_month("health", now)
-        dense = health.health_histogram_dense(
-            docs, time_range, interval, aggregations, api, now=now, zone=self.zone, **options
-        )
-        return assemble_dense(dense, aggregations)
+        return health.health_histogram_dense(docs, time_range, interval, aggregations, api, now=now, zone=self.zone, **options)
 
     def health_logs(self, api: str, page: int = 1, size: int = 20, now: int | None = None, **options) -> DataFrame:
         now = t.current_millis() if now is None else now
         return health.health_logs(self.last_month("health", now), api, page, size, now=now, zone=self.zone, **options)
 
     def find_health(self, ids: DataFrame | Iterable[str], strict: bool = True) -> DataFrame:
-        return health.find_health(self.documents("health"), ids, strict)
+        return health.find_health(self._parts("health"), ids, strict)
+
+    def health_log_pages(self, api: str, size: int = 20, now: int | None = None, **options) -> logs.Pages:
+        """All pages of one ordering, as ``tabular_pages``."""
+        now = t.current_millis() if now is None else now
+        folder = f"{passing_folder(self.spark)}/pages"
+        return health.health_log_pages(self.last_month("health", now), api, size, folder, now=now, zone=self.zone, **options)
 
     # --- monitoring ---
 

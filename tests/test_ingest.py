@@ -128,7 +128,7 @@ def files_by_part(store, doc_type="request"):
 
 def lengthy(n, **fields):
     """A document of some bytes that don't compress."""
-    return request(f"r{n}", transaction=hashlib.sha512(str((n, sorted(fields.items()))).encode()).hexdigest(), **fields)
+    return request(f"r{n}", fields.pop("day", DAY1), transaction=hashlib.sha512(str((n, sorted(fields.items()))).encode()).hexdigest(), **fields)
 
 
 @pytest.fixture()
@@ -243,6 +243,85 @@ def test_possible_parts_hold_every_layout(spark):
     assert [tables.halvings(n * tables.FILE_BYTES) for n in (0, 1, 2, 3, 4, 5, 8, 9)] == [0, 0, 1, 2, 2, 3, 3, 4]
 
 
+def files_read(frame, column=""):
+    """Files that the scans with this column opened."""
+    frame.collect()
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec" and column in node.toString():
+            found += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(n) for n in range(children.size())]
+    return found
+
+
+def test_lookups_open_the_parts_of_their_ids(spark, store, feed, monkeypatch):
+    """Requests, payloads and health checks, by list and by frame, whatever parts their days have."""
+    monkeypatch.setattr(tables, "FILE_BYTES", 4_000)
+    log = lambda i, day: action("log", i, day) + "\n" + json.dumps({"client-response": {"status": 201, "body": hashlib.sha512(i.encode()).hexdigest()}}) + "\n"
+    health = lambda i, day: action("health", i, day) + "\n" + json.dumps({"@timestamp": "2017-05-22T10:00:00Z", "api": hashlib.sha512(i.encode()).hexdigest()}) + "\n"
+    records = []
+    for day, n_docs in ((DAY1, 900), (DAY2, 300)):
+        for n in range(n_docs):
+            records += [lengthy(n, day=day), log(f"r{n}", day), health(f"r{n}", day)]
+    store.ingest(feed("1.json", *records))
+    parts = {kind: len(files_by_part(store, kind)) for kind in ("request", "log", "health")}
+    assert min(parts.values()) >= 5
+    for ids in (["r7"], spark.createDataFrame([("r7",)], "id string")):
+        found = store.find_requests(ids)
+        assert sorted((r.day, r.id, r.client_response.status) for r in found.collect()) == [(DAY1, "r7", 201), (DAY2, "r7", 201)]
+        assert files_read(store.find_requests(ids, strict=False), "client_response") == 2
+        assert files_read(store.find_requests(ids, strict=False), "api_response_time") in (2, 4)  # once, or for the days too
+        assert store.find_health(ids).count() == 2 and files_read(store.find_health(ids, strict=False)) == 2
+    everything = [f"r{n}" for n in range(900)]
+    assert store.find_requests(everything).count() == 1_200
+    assert store.find_requests(["nobody"], strict=False).collect() == []
+
+
+def test_deep_pages_skip_by_time(spark, store, feed, monkeypatch):
+    """The ends of the minutes found are filters of the next scans."""
+    rows = [request(f"r{n:04}", **{"@timestamp": f"2017-05-22T{n // 100:02}:{n % 60:02}:00Z"}) for n in range(2_000)]
+    store.ingest(feed("1.json", *rows))
+    monkeypatch.setattr(logs, "TOP_K_ROWS", 0)
+    page = store.tabular(g.between(datetime(2017, 5, 22), datetime(2017, 5, 23)), page=30, size=10)
+    got = [(r.id, r.total) for r in page.collect()]
+    order = sorted(range(2_000), key=lambda n: (n // 100, n % 60, n), reverse=True)
+    assert got == [(f"r{n:04}", 2_000) for n in order[290:300]]
+    scans = [line for line in page._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert any("GreaterThanOrEqual(ts,ScalarSubquery" in line.partition("PushedFilters")[2] for line in scans)
+
+
+def test_pages_of_a_store(store, feed):
+    store.ingest(feed("1.json", *[request(f"r{n:03}", **{"@timestamp": f"2017-05-22T10:00:{n % 60:02}Z"}) for n in range(130)]))
+    span = g.between(datetime(2017, 5, 22), datetime(2017, 5, 23))
+    pages = store.tabular_pages(span, size=50)
+    for page in (1, 2, 3):
+        assert [r.id for r in pages.page(page).collect()] == [r.id for r in store.tabular(span, page, 50).collect()]
+    assert store.health_log_pages("a", now=to_millis(datetime(2017, 5, 23))).all().count() == 0
+
+
+def test_histograms_of_a_store_come_in_pieces(store, feed):
+    store.ingest(feed("1.json", *[request(f"r{n:03}", **{"@timestamp": f"2017-05-22T10:{n % 60:02}:00Z"}) for n in range(120)]))
+    span = g.between(datetime(2017, 5, 22, 9), datetime(2017, 5, 22, 12))
+    wanted = [g.avg("response-time"), g.avg("proxy-latency")]
+    row = store.date_histogram_response(span, 1_000, wanted).first()
+    chunks = store.date_histogram(span, 1_000, wanted)
+    pieces = [r for r in chunks.collect() if r.slot == 0]
+    assert len(pieces) > 1 and max(len(r.points) for r in pieces) <= 1_000
+    assert [p for r in sorted(pieces, key=lambda r: r.chunk_start) for p in r.points] == row["values"][0].data["avg_response-time"]
+    assert [(r.key, r.points) for r in chunks.collect() if r.slot == 1] == [(None, None)] and row["values"][1] is None
+    axis = sorted(store.histogram_axis(span, 1_000).collect(), key=lambda r: r.chunk_start)
+    assert len(axis) == 12 and [t for r in axis for t in r.timestamps] == row.timestamps
+    with pytest.raises(ValueError):
+        store.date_histogram_response(g.between(datetime(2017, 1, 1), datetime(2017, 2, 1)), 1, wanted)
+
+
 def test_rejects_are_kept_by_day_and_read_by_day(spark, store, feed, tmp_path):
     old = feed("old.json", action("request", "r1") + "\n{\n", request("r0"))
     os.utime(old, (1_500_000_000, 1_500_000_000))

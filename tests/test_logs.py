@@ -137,11 +137,45 @@ def test_all_pages_are_the_sorted_documents(spark, monkeypatch, partitioned, ids
     assert expected[-1] == ids.format(0) and len(expected) == 120
     for limit in (10_000, 0, 40):
         monkeypatch.setattr(logs, "TOP_K_ROWS", limit)
-        for size in (7, 50):
+        for size in (17, 50):
             pages = [[r.id for r in logs.page_of(docs, page, size).collect()] for page in range(1, 120 // size + 2)]
             assert [i for page in pages for i in page] == expected, (limit, size)
 
 
+@pytest.mark.parametrize("size", [7, 50, 200])
+def test_pages_of_one_ordering(spark, tmp_path, size):
+    """Shared, missing and null keys and rows that repeat: pages are slices of the sorted documents."""
+    rows = []
+    for n in range(120):
+        ms = None if n % 9 == 0 else 1_700_000_000_000 + n % 4
+        rows += [(None if n % 13 == 0 else f"r{n:03}", ms, n)] * (1 + n % 2)
+    docs = spark.createDataFrame(rows, "id string, timestamp long, n int").repartition(6)
+    order = [F.col("timestamp").desc_nulls_last(), F.col("id").desc_nulls_last()]
+    expected = [(r.id, r.timestamp) for r in docs.orderBy(*order).collect()]
+    pages = logs.Pages(docs, size, str(tmp_path / "pages"))
+    count = -(-len(expected) // size)
+    assert [(r.id, r.timestamp) for k in range(1, count + 1) for r in pages.page(k).collect()] == expected
+    assert pages.page(count + 1).collect() == []
+    whole = pages.all()
+    assert whole.columns == ["page", "id", "timestamp", "n", "total"]
+    assert {r.total for r in whole.collect()} == {len(expected)} and sorted(r.n for r in whole.collect()) == sorted(r[2] for r in rows)
+    with pytest.raises(ValueError):
+        logs.Pages(docs, 0, str(tmp_path / "none"))
+
+
+def test_pages_of_nothing(spark, tmp_path):
+    pages = logs.Pages(spark.createDataFrame([], "id string, timestamp long"), 5, str(tmp_path / "pages"))
+    assert pages.all().collect() == [] and pages.page(1).collect() == []
+
+
+def test_a_deep_page_counts_what_a_shallow_one_does(spark, requests, monkeypatch):
+    span = g.TimeRange(0, 4_000_000_000_000)
+    before = [tuple(r) for r in g.tabular(requests, span, page=2, size=2).collect()]
+    assert before and before[0][-1] == requests.where("ts is not null").count()
+    monkeypatch.setattr(logs, "TOP_K_ROWS", 0)
+    assert [tuple(r) for r in g.tabular(requests, span, page=2, size=2).collect()] == before
+
+
 def test_broadcast_limits_change_plans_only(spark, requests, payloads, monkeypatch):
     many = [f"r{n}" for n in range(logs.LITERAL_IDS + 1)]
     before = sorted(r.id for r in g.find_requests(requests, payloads, many).collect())
