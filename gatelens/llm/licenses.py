@@ -49,7 +49,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 )
 # Signs that begin or end lines of comments, and names of files that hold licences.
-COMMENT = r"(?im)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|dnl\b|rem\b)[ \t]*)*|[ \t\r]*(?:\*+/|-->)?[ \t\r]*$"
+# Repeated groups are possessive: nothing follows them, and a long run then takes no stack.
+COMMENT = r"(?im)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|dnl\b|rem\b)[ \t]*+)*+|[ \t\r]*(?:\*+/|-->)?[ \t\r]*$"
 LICENSE_FILE = r"(?i)(?:^|/)(?:(?:un)?licen[cs]es?|copying|copyright)(?:[._-][^/]*)?$"
 # Function words of several languages, which tell no licence and are in every text.
 COMMON = frozenset(
@@ -57,7 +58,7 @@ COMMON = frozenset(
     "or other our out shall she so some such than that the their them there these they this to under up was we were what when which who will with without would you your "
     "das de der des die ein eine el en es et im ist la las le les los mit para por pour que se sur un una und une von y zu".split()
 )
-TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+TOKEN = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 
 
 class _Vectors:
