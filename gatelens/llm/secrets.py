@@ -61,7 +61,8 @@ def find_secrets(docs: DataFrame, scope: int = 200, id_column: str = "doc_id", t
 
     ``findings`` is an array of (start, kind, end, name, alone) in code points, end exclusive, ordered by start and
     kind; ``alone`` is false for weak parts, which are there only if a secret and an identifier or endpoint (one of them
-    the part itself) are at most ``scope`` characters apart.
+    the part itself) are at most ``scope`` characters apart. Parts that overlap don't complete each other: one string is
+    not two parts of a credential.
 
     Defined cases: null and empty texts have no findings; a null id stays null; repeated rows have their findings each;
     of matches of one kind the leftmost holds, those of different kinds may overlap. An empty table gives an empty
@@ -89,7 +90,8 @@ def find_secrets(docs: DataFrame, scope: int = 200, id_column: str = "doc_id", t
     linked = weak.join(
         others,
         (F.col("_row") == F.col("o_row")) & (F.col("bin") == F.col("o_bin")) & (F.col("secret") != F.col("o_secret"))
-        & (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope),
+        & (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope)
+        & ((F.col("o_end") <= F.col("start")) | (F.col("o_start") >= F.col("end"))),
         "left_semi",
     ).drop("bin").distinct()
     names = F.element_at(F.array(*(F.lit(k[0]) for k in KINDS)), F.col("kind") + 1)
