@@ -1,9 +1,10 @@
 """Removal of lines that many documents share, with DataFrame functions only.
 
-Lines are exploded, normalised and hashed; one aggregation over the hashes finds those in enough documents and the
-document that keeps each; a join brings the positions to drop back to the documents, whose lines are put together again
-in order. Texts move once, in the last join, and only if positions to drop can't be broadcast. The hash is 128 bits
-wide, so that different lines of 10^13 are not taken for one another.
+Lines are exploded, normalised and hashed; one aggregation over the hashes, written once, finds those in enough documents
+and the document that keeps each; a join brings the positions to drop back to the documents, whose lines are put together
+again in order. For that join a line that makes up more than a thousandth of all lines is dealt over several tasks. Texts
+move once, in the last join, and only if positions to drop can't be broadcast. The hash is 128 bits wide, so that
+different lines of 10^13 are not taken for one another.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import SPACES, lower_ascii
+from gatelens.llm.common import SPACES, lower_ascii, saved
 
 _NO_ID = (1 << 63) - 1
+#: No task of the join gets more lines of one key than all lines divided by this; so many keys at most have more.
+SHARES = 1000
 
 
 def _lines(text: Column) -> Column:
@@ -35,7 +38,7 @@ def dedup_lines(
 
     Defined cases: a null or empty text is one empty line, and its result is an empty text. Rows are documents by their
     id: rows that share an id count as one document, each row is rebuilt by itself. A null id counts as one document
-    behind all others. An empty table gives an empty result. Other columns stay as they are; those named n_lines or
+    behind all others. Ids are integers, or texts of integers. An empty table gives an empty result. Other columns stay as they are; those named n_lines or
     n_dropped give way to the counts.
     """
     own = [c for c in docs.columns if not counts or c not in ("n_lines", "n_dropped")]
@@ -49,12 +52,20 @@ def dedup_lines(
         .where(F.char_length("_key") >= min_length)
         .select("_doc", "_t1", "_t2", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(7), "_key").alias("_h2"))
     )
+    key = ["_h1", "_h2"]
     if min_docs == 2:  # two documents differ if the smallest id is not the largest: no distinct count is needed
-        counted = lines.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_keeper"), F.max("_doc").alias("_last")).where("_keeper < _last")
+        several = (F.min("_doc") < F.max("_doc")).alias("_several")
     else:
-        counted = lines.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_keeper"), F.count_distinct("_doc").alias("_n")).where(F.col("_n") >= min_docs)
+        several = (F.count_distinct("_doc") >= min_docs).alias("_several")
+    counted = saved(lines.groupBy(*key).agg(F.min("_doc").alias("_keeper"), several, F.count("*").alias("_n")))
+    # In how many tasks the lines of a key meet their keeper: one, but for the few keys with many lines.
+    total = counted.agg(F.sum("_n")).scalar()
+    shared = counted.where("_several").select(*key, "_keeper", F.ceil(F.col("_n") * SHARES / total).cast("int").alias("_tasks"))
+    frequent = shared.where("_tasks > 1").select(*key, F.col("_tasks").alias("_over"))
+    dealt = lines.join(F.broadcast(frequent), key, "left").withColumn("_task", F.pmod(F.xxhash64("_doc", "_pos"), F.coalesce("_over", F.lit(1))).cast("int"))
+    keepers = shared.select(*key, "_keeper", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)).alias("_task"))
     drops = (
-        lines.join(counted.select("_h1", "_h2", "_keeper"), ["_h1", "_h2"])
+        dealt.join(keepers, [*key, "_task"])
         .where("_doc <> _keeper")
         .groupBy("_doc", "_t1", "_t2")
         .agg(F.sort_array(F.collect_set("_pos")).alias("_drops"))
