@@ -66,3 +66,22 @@ def test_op8_long_runs(spark):
     got = {r["doc_id"]: (r["license"], r["basis"]) for r in scan_licenses(files, "path").collect()}
     # Signs are no tokens, so such a text is all notice.
     assert got == {n: ("MIT", "header" if n in (2, 3, 6) else "file") for n in range(7)}
+
+
+def test_op3_frequent_lines_are_dealt_out(spark, monkeypatch):
+    """A line of all documents, and one of half of them: the same result whatever the number of tasks is, and no task of
+    the join gets them all."""
+    from gatelens.llm import line_dedup
+
+    rng = random.Random(4)
+    texts = [(n, "\n".join(["the line of all documents"] * (1 + n % 3) + ["the line of the half of them"] * (n % 2) + [f"an own line {rng.random()}" for _ in range(5)])) for n in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    results = []
+    for shares in (1, 10, 1000):
+        monkeypatch.setattr(line_dedup, "SHARES", shares)
+        results.append(sorted(tuple(r) for r in line_dedup.dedup_lines(docs).collect()))
+    assert results[0] == results[1] == results[2]
+    assert [r[3] for r in results[0][:4]] == [0, 2, 3, 2] and sum(r[3] for r in results[0]) == sum(1 + n % 3 + n % 2 for n in range(600)) - 2
+    # The keepers of a frequent key are there once per task.
+    text = line_dedup.dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(0, (_tasks" in text
