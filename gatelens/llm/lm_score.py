@@ -1,14 +1,18 @@
 """Documents scored by a smoothed n-gram model, run as a weighted automaton with failure arcs.
 
 Texts are read once into blocks: the numbers of a block's words in the block's own vocabulary. Counts leave a block as
-one row per distinct word and, for the n-grams, as one packed message per block and part of the model; a part holds all
-n-grams that begin with the same two words, so that the totals of histories lie beside those of their n-grams. Every part
-answers each message with the totals over the corpus, in the order of the message. No model is ever held whole.
-
-The model: single words have add-0.1 probabilities. Longer n-grams seen in training have an arc: probability
-``(c(hw) - D) / c(h) + l(h) p(w | shorter h)``. The failure arc of a history weighs ``l(h)``, what the discounts left
-over, and leads to the history without its oldest word. Probabilities of a state sum to one. The state before a token is
-the longest history that the model knows, so all tokens of a block follow their arcs at once, from the shortest history up.
+packed messages, one per block and part of the model. First the words: a part adds them up and numbers them through the
+corpus, so that n-grams travel as sorted small numbers and not as hashes. Then the n-grams: a part holds the n-grams that
+begin with the same word, so that the totals of histories lie beside those of their n-grams; after histories of frequent
+words only, every n-gram is dealt by itself, and what follows such a history is added up over the parts. Every part answers
+each message with the totals over the corpus, in the order of the message. No model is ever held whole.
+
+The model: single words have add-0.1 probabilities. A longer n-gram seen in training is an arc from the state of its
+history: probability ``(c(hw) - D) / c(h) + l(h) p(w | shorter h)``. The failure arc of a state weighs ``l(h)``, what the
+discounts left over, and leads to the state without its oldest word. Probabilities of a state sum to one. Of its n-grams
+and their totals a block builds the states and arcs that its texts can meet, and one traversal from left to right carries
+the state and adds up the weights. The texts of a block go side by side, long ones in pieces: a state is the longest known
+n-gram that ends here, so a piece that begins ``order - 1`` tokens early arrives in the state of the whole text.
 """
 
 from __future__ import annotations
@@ -30,10 +34,12 @@ BLOCK_BYTES = 8 << 20
 #: The token that ends a document, among the hashes of words.
 END = 0x0E2D_0F7E_47A1_1D0C
 DISCOUNT, ADDED = 0.75, 0.1
-#: Tokens for each part of the model, which one task adds up.
-PART_TOKENS = 2_000_000
-#: Distinct words that one task answers for.
-PART_WORDS = 1_000_000
+#: Tokens for each part of the model, which one task adds up; and for each part of the words.
+PART_TOKENS, WORD_TOKENS = 2_000_000, 8_000_000
+#: Words that make up this share of training are frequent: 1,000 words at most, and 1,000,000 pairs of them.
+FREQUENT = 1e-3
+#: Tokens of a text that are traversed in one go.
+PIECE = 512
 _CODEC = "zstd"
 
 
@@ -51,6 +57,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place[order] = np.arange(len(order), dtype=np.int32)
             packed = pa.compress(place[numbers].tobytes(), codec=_CODEC, asbytes=True)
             sizes = np.diff(np.concatenate([[-1], ends])).astype(np.int32)
+            held = part.column("held").to_numpy(zero_copy_only=False).astype(bool)
             one = lambda x, kind: pa.array([x], kind)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -60,200 +67,321 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     one(sizes, pa.list_(pa.int32())),
                     one(packed, pa.binary()),
                     one(vocabulary[order].tobytes(), pa.binary()),
+                    one(int(sizes[~held].sum()), pa.int64()),
                 ],
-                names=["block", "ids", "held", "sizes", "tokens", "words"],
+                names=["block", "ids", "held", "sizes", "tokens", "words", "training"],
             )
             first += 1
 
 
+def _pack(numbers: list[np.ndarray]) -> bytes:
+    """Arrays of 4- or 8-byte numbers, compressed; like bytes of the numbers lie together."""
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in numbers]
+    return pa.compress(b"".join(planes), codec=_CODEC, asbytes=True)
+
+
+def _unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
+    """What ``_pack`` packed, given the kinds and lengths."""
+    flat = pa.decompress(data, sum(np.dtype(k).itemsize * n for k, n in kinds), codec=_CODEC, asbytes=True)
+    out, start = [], 0
+    for kind, n in kinds:
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(flat, np.uint8, width * n, start).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        start += width * n
+    return out
+
+
+class _Grams(NamedTuple):
+    """A block's distinct n-grams of one length by history and last word, ``codes`` of both in order, and their counts."""
+
+    codes: np.ndarray
+    history: np.ndarray
+    last: np.ndarray
+    counts: np.ndarray
+
+
 class _Block:
-    """A block's arrays."""
+    """A block's arrays. Words bear the block's own numbers until ``renumber`` orders them by those of the corpus."""
 
     def __init__(self, row: dict):
-        self.block, self.ids = row["block"], row["ids"]
+        self.block, self.ids = row["block"], row.get("ids")
         self.sizes = np.array(row["sizes"], np.int64)
         self.held = np.array(row["held"], bool)
-        self.words = np.frombuffer(row["words"], np.uint64)
         self.tokens = np.frombuffer(pa.decompress(row["tokens"], int(self.sizes.sum()) * 4, codec=_CODEC), np.int32)
         self.training = np.repeat(~self.held, self.sizes)
-
-    def word_counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.training], minlength=len(self.words))
-
-    def within(self, lexicon: np.ndarray | None) -> np.ndarray:
-        """Which words of the vocabulary n-grams are made of: those of the sorted lexicon, or all."""
-        return np.isin(self.words, lexicon) if lexicon is not None else np.ones(len(self.words), bool)
-
-    def grams(self, lexicon: np.ndarray | None, order: int) -> Iterator[_Grams]:
-        """The distinct n-grams within documents, from the shorter to the longer."""
-        inside, size = self.within(lexicon), len(self.words)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def renumber(self, sizes: list[list[int]], answers: list[bytes]) -> None:
+        """Takes the words' numbers (-1: not in training) and totals from the answers to the block's messages."""
+        count = sum(n for n, in sizes)
+        numbers, totals = np.empty(count, np.int64), np.empty(count, np.int64)
+        for (n,), data in zip(sizes, answers, strict=True):
+            steps, number, total = _unpack(data, [(np.int32, n), (np.int64, n), (np.int64, n)])
+            places = np.cumsum(steps)
+            numbers[places], totals[places] = number, total
+        order = np.argsort(numbers, kind="stable")
+        place = np.empty(count, np.int32)
+        place[order] = np.arange(count, dtype=np.int32)
+        self.tokens, self.numbers, self.totals = place[self.tokens], numbers[order], totals[order]
+
+    def grams(self, lexicon: np.ndarray | None, order: int) -> list[_Grams]:
+        """The distinct n-grams within documents, from the shorter to the longer, of training's words or the lexicon's."""
+        inside = self.numbers >= 0
+        if lexicon is not None:
+            inside &= np.isin(self.numbers, lexicon)
         first = np.zeros(len(self.tokens), bool)
-        first[np.cumsum(self.sizes) - self.sizes] = True
+        first[self.starts] = True
         known = inside[self.tokens]
-        at = np.where(known, self.tokens, -1).astype(np.int32)
+        at, out = np.where(known, self.tokens, -1).astype(np.int32), []
         for _ in range(2, order + 1):
             history = np.insert(at[:-1], 0, -1)
             history[first] = -1
             ends = np.flatnonzero((history >= 0) & known)
-            codes, inverse = np.unique(history[ends].astype(np.int64) * size + self.tokens[ends], return_inverse=True)
-            counts = np.bincount(inverse, weights=self.training[ends], minlength=len(codes)).astype(np.int64)
+            codes, inverse = np.unique(history[ends].astype(np.int64) * len(inside) + self.tokens[ends], return_inverse=True)
+            counts = np.bincount(inverse, weights=self.training[ends], minlength=len(codes)).astype(np.int32)
             at = np.full(len(self.tokens), -1, np.int32)
             at[ends] = inverse
-            del ends, inverse
-            yield _Grams((codes // size).astype(np.int32), (codes % size).astype(np.int32), counts.astype(np.int32), history, at)
-
-
-class _Grams(NamedTuple):
-    """A block's distinct n-grams of one length, by history and last word; and of each token its history and n-gram, or -1."""
+            out.append(_Grams(codes, (codes // len(inside)).astype(np.int32), (codes % len(inside)).astype(np.int32), counts))
+        return out
 
-    history: np.ndarray
-    last: np.ndarray
-    counts: np.ndarray
-    history_at: np.ndarray
-    at: np.ndarray
 
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _Block(batch.slice(i, 1).to_pylist()[0])
+            yield batch.slice(i, 1).to_pylist()[0]
             give_back()
 
 
-def _as_longs(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
+# Words ----------------------------------------------------------------------------------------------------------
 
 
-def _pack(numbers: list[np.ndarray]) -> bytes:
-    """Arrays of 4- or 8-byte numbers, compressed; like bytes of the numbers lie together."""
-    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in numbers]
-    return pa.compress(b"".join(planes), codec=_CODEC, asbytes=True)
+def _word_messages(row: dict, parts: int) -> Iterator[tuple[int, int, bytes]]:
+    """Per part: its number of words, and the words' places in the block's vocabulary, their hashes and counts in training."""
+    block, words = _Block(row), np.frombuffer(row["words"], np.uint64)
+    counts = np.bincount(block.tokens[block.training], minlength=len(words)).astype(np.int32)
+    of = (words % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    present, low = np.unique(of[order], return_index=True)
+    for part, places in zip(present.tolist(), np.split(order, low[1:]), strict=True):
+        yield part, len(places), _pack([np.diff(places, prepend=0).astype(np.int32), words[places], counts[places]])
 
 
-def _unpack(data: bytes, kinds: list[tuple[type, int]]) -> list[np.ndarray]:
-    """What ``_pack`` packed, given the kinds and lengths."""
-    flat = pa.decompress(data, sum(np.dtype(k).itemsize * n for k, n in kinds), codec=_CODEC, asbytes=True)
-    out, start = [], 0
-    for kind, n in kinds:
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(flat, np.uint8, width * n, start).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
-        start += width * n
-    return out
+def _sum_words(parts: int, lexicon: int | None):
+    """Adds up a part's words and answers each message: per word its number in the corpus and its total. Frequent words have
+    low numbers. One row without a block tells how many words the part has, and the most frequent ones if asked."""
 
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        blocks, sizes, found = table.column("block").to_pylist(), table.column("sizes").to_pylist(), []
+        for (n,), data in zip(sizes, table.column("data"), strict=True):
+            found.append(_unpack(data.as_py(), [(np.int32, n), (np.uint64, n), (np.int32, n)]))
+        keys, inverse = np.unique(np.concatenate([f[1] for f in found]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([f[2] for f in found]), minlength=len(keys)).astype(np.int64)
+        order = np.lexsort((keys.view(np.int64), -total))
+        number = np.empty(len(keys), np.int64)
+        number[order] = np.arange(len(keys)) * parts + part
+        number[total == 0] = -1
+        top = [{"number": int(number[i]), "total": int(total[i]), "key": int(keys.view(np.int64)[i])} for i in order[: lexicon or 0] if total[i]]
+        answers = [_pack([f[0], number[i], total[i]]) for f, i in zip(found, np.split(inverse, np.cumsum([n for n, in sizes])[:-1]), strict=True)]
+        give_back()
+        return pa.table(
+            [
+                pa.array([*blocks, None], pa.int64()),
+                pa.array([-1 - part] * (len(blocks) + 1), pa.int32()),
+                pa.array([*sizes, None], pa.list_(pa.int32())),
+                pa.array([*answers, None], pa.binary()),
+                pa.array([None] * len(blocks) + [int((total > 0).sum())], pa.int64()),
+                pa.array([None] * len(blocks) + [top], pa.list_(pa.struct([("number", pa.int64()), ("total", pa.int64()), ("key", pa.int64())]))),
+            ],
+            names=["block", "part", "sizes", "data", "distinct", "top"],
+        )
 
-def _dealt(block: _Block, grams: list[_Grams], parts: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per length: the n-grams in the order of the parts they belong to, and where each part begins."""
-    out, part = [], None
-    for g in grams:
-        of = (mix(mix(block.words[g.history]) + block.words[g.last]) % np.uint64(parts)).astype(np.int64) if part is None else part[g.history]
-        order = np.argsort(of, kind="stable")
-        out.append((order, np.searchsorted(of[order], np.arange(parts + 1))))
-        part = of
-    return out
+    return run
 
 
-def _messages(block: _Block, grams: list[_Grams], parts: int) -> Iterator[tuple[int, list[int], bytes]]:
-    """Per part: its words and its n-grams, each by the place of its history (a word, or the n-gram before) and last word."""
-    dealt = _dealt(block, grams, parts)
+# N-grams --------------------------------------------------------------------------------------------------------
+
+
+class _Dealt(NamedTuple):
+    """The n-grams of one length (or words) by part: for each part those beside their history, then those by themselves."""
+
+    order: np.ndarray
+    low: np.ndarray
+    middle: np.ndarray
+    high: np.ndarray
+
+
+class _Deal:
+    """Which part of the model a block's n-grams belong to."""
+
+    def __init__(self, block: _Block, grams: list[_Grams], parts: int, often: float):
+        frequent = block.totals >= often
+        self.keys, self.spread = [mix(block.numbers.view(np.uint64))], [frequent]
+        of, ofs = (self.keys[0] % np.uint64(parts)).astype(np.int64), []
+        begins = np.zeros(len(frequent), bool)
+        if grams:
+            begins[grams[0].history] = True
+        chosen = [np.flatnonzero(begins & ~frequent)]
+        ofs.append(2 * of[chosen[0]])
+        for k, g in enumerate(grams):
+            alone = self.spread[k][g.history]
+            self.keys.append(mix(self.keys[k][g.history] + block.numbers[g.last].view(np.uint64)))
+            of = np.where(alone, (self.keys[k + 1] % np.uint64(parts)).astype(np.int64), of[g.history])
+            # Histories of up to two frequent words spread what follows them.
+            self.spread.append(alone & frequent[g.last] if k == 0 else np.zeros(len(alone), bool))
+            chosen.append(np.arange(len(of)))
+            ofs.append(2 * of + alone)
+        self.present = np.unique(np.concatenate(ofs) // 2)
+        self.levels = []
+        for rows, code in zip(chosen, ofs, strict=True):
+            order = np.argsort(code, kind="stable")
+            code = code[order]
+            self.levels.append(_Dealt(rows[order], *(np.searchsorted(code, 2 * self.present + x) for x in (0, 1, 2))))
+
+    def of_part(self, i: int) -> list[np.ndarray]:
+        return [d.order[d.low[i] : d.high[i]] for d in self.levels]
+
+
+def _messages(block: _Block, grams: list[_Grams], deal: _Deal) -> Iterator[tuple[int, list[int], bytes]]:
+    """Per part: its first words; then its n-grams by the place of their history or, of those dealt by themselves, its key,
+    by last word and count. Sizes are those of the lists."""
     places = []
-    for order, edges in dealt:
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order)) - np.repeat(edges[:-1], np.diff(edges))
+    for d, n in zip(deal.levels, [len(block.numbers), *(len(g.last) for g in grams)], strict=True):
+        place = np.zeros(n, np.int32)
+        place[d.order] = np.arange(len(d.order)) - np.repeat(d.low, d.high - d.low)
         places.append(place)
-    for part in range(parts):
-        mine = [order[edges[part] : edges[part + 1]] for order, edges in dealt]
-        if not len(mine[0]):
-            continue
-        used, number = np.unique(np.concatenate([grams[0].history[mine[0]], *(g.last[m] for g, m in zip(grams, mine, strict=True))]), return_inverse=True)
-        first, *lasts = np.split(number.astype(np.int32), np.cumsum([len(mine[0]), *(len(m) for m in mine)])[:-1])
-        numbers = [block.words[used]]
+    for i, part in enumerate(deal.present.tolist()):
+        words, *mine = deal.of_part(i)
+        sizes, numbers = [len(words)], [np.diff(block.numbers[words], prepend=0)]
         for k, (g, m) in enumerate(zip(grams, mine, strict=True)):
-            history = first if k == 0 else places[k - 1][g.history[m]]
-            numbers += [np.diff(history, prepend=np.int32(0)), lasts[k], g.counts[m]]
-        yield part, [len(numbers[0]), *(len(m) for m in mine)], _pack(numbers)
+            beside = int(deal.levels[k + 1].middle[i] - deal.levels[k + 1].low[i])
+            sizes += [beside, len(m) - beside]
+            numbers += [np.diff(places[k][g.history[m[:beside]]], prepend=np.int32(0)), deal.keys[k][g.history[m[beside:]]], block.numbers[g.last[m]], g.counts[m]]
+        yield part, sizes, _pack(numbers)
 
 
-def _sum_part(min_count: int):
-    """Adds up a part's messages and answers each: per n-gram its total, 0 if it is not in the model, and what it leaves
-    to its failure arc. Rows without a block tell what the n-grams of two words take of their first ones."""
+def _sum_part(min_count: int, order: int):
+    """Adds up a part's messages and answers each: per n-gram its total, 0 if it is not in the model; per history, how many
+    tokens and how many n-grams of the model follow it. Rows without a block tell this of histories that are spread."""
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         blocks, sizes, found = table.column("block").to_pylist(), table.column("sizes").to_pylist(), []
         for n, data in zip(sizes, table.column("data"), strict=True):
-            found.append(_unpack(data.as_py(), [(np.uint64, n[0]), *((np.int32, m) for m in n[1:] for _ in range(3))]))
-        words = np.unique(np.concatenate([f[0] for f in found]))
-        word_of = [np.searchsorted(words, f[0]) for f in found]
-        history_of, totals, lefts, inverses, taken_of_words = word_of, [], [], [], None
-        for level in range(len(sizes[0]) - 1):
-            codes = [history_of[k][np.cumsum(f[1 + 3 * level])] * len(words) + word_of[k][f[2 + 3 * level]] if len(f[1 + 3 * level]) else np.zeros(0, np.int64) for k, f in enumerate(found)]
-            distinct, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate([f[3 + 3 * level] for f in found]), minlength=len(distinct)).astype(np.int64)
+            kinds = [(np.int64, n[0])]
+            for beside, alone in zip(n[1::2], n[2::2], strict=True):
+                kinds += [(np.int32, beside), (np.uint64, alone), (np.int64, beside + alone), (np.int32, beside + alone)]
+            found.append(_unpack(data.as_py(), kinds))
+        numbers = [np.cumsum(f[0]) for f in found]
+        distinct, inverse = np.unique(np.concatenate(numbers), return_inverse=True)
+        count, at = len(distinct), np.split(inverse, np.cumsum([len(x) for x in numbers])[:-1])
+        answers: list[list[np.ndarray]] = [[] for _ in blocks]
+        spread, rests = [], None
+        for k in range(order - 1):
+            steps, keys, lasts, counts = ([f[1 + 4 * k + x] for f in found] for x in range(4))
+            hot, hot_of = np.unique(np.concatenate(keys), return_inverse=True)
+            hot_of = np.split(hot_of + count, np.cumsum([len(x) for x in keys])[:-1])
+            history = np.concatenate([np.concatenate([a[np.cumsum(s)], h]) for a, s, h in zip(at, steps, hot_of, strict=True)])
+            last = np.concatenate(lasts)
+            width = int(last.max()) + 1 if len(last) else 1
+            distinct, inverse = np.unique(history * width + last, return_inverse=True)
+            total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
             total[total < max(1, min_count)] = 0
-            taken = np.bincount(distinct // len(words), weights=np.where(total > 0, total - DISCOUNT, 0), minlength=len(totals[-1]) if level else len(words))
-            if level:
-                lefts.append(1 - taken / np.maximum(totals[-1], 1))
-            else:
-                taken_of_words = taken
-            history_of = np.split(inverse, np.cumsum([len(c) for c in codes])[:-1])
-            totals.append(total), inverses.append(history_of)
-        lefts.append(np.ones(len(totals[-1])))
-        answers = [_pack([x for t, r, i in zip(totals, lefts, inverses, strict=True) for x in (t[i[k]], r[i[k]])]) for k in range(len(blocks))]
-        some = taken_of_words > 0
-        n, m = len(blocks), int(some.sum())
-        none = lambda k, kind: pa.nulls(k, kind)
-        answer = [pa.array(blocks, pa.int64()), pa.array([part] * n, pa.int32()), none(n, pa.int64()), none(n, pa.float64()), pa.array(answers, pa.binary())]
-        of_words = [none(m, pa.int64()), none(m, pa.int32()), _as_longs(words[some]), pa.array(taken_of_words[some]), none(m, pa.binary())]
+            followed = np.bincount(distinct // width, weights=total, minlength=count + len(hot)).astype(np.int64)
+            followers = np.bincount(distinct // width, weights=total > 0, minlength=count + len(hot)).astype(np.int64)
+            spread.append((k, hot, followed[count:], followers[count:]))
+            # What doesn't follow a history is 0 as a rule and packs well; of words the block knows the totals itself.
+            tell = followed[:count] if rests is None else rests - followed[:count]
+            pieces = np.split(inverse, np.cumsum([len(x) for x in lasts])[:-1])
+            for answer, a, piece in zip(answers, at, pieces, strict=True):
+                answer += [tell[a], followers[a].astype(np.int32), total[piece]]
+            at, count, rests = pieces, len(distinct), total
+        n, none = len(blocks), lambda m, kind: pa.nulls(m, kind)
+        out = [pa.table([pa.array(blocks, pa.int64()), pa.array([part] * n, pa.int32()), pa.array([_pack(a) for a in answers], pa.binary()), none(n, pa.int32()), none(n, pa.int64()), none(n, pa.int64()), none(n, pa.int64())], names=_ANSWER)]
+        for k, hot, followed, followers in spread:
+            m = len(hot)
+            out.append(pa.table([none(m, pa.int64()), none(m, pa.int32()), none(m, pa.binary()), pa.array(np.full(m, k, np.int32)), pa.array(hot.view(np.int64)), pa.array(followed), pa.array(followers)], names=_ANSWER))
         give_back()
-        return pa.concat_tables([pa.table(x, names=["block", "part", "key", "taken", "data"]) for x in (answer, of_words)])
+        return pa.concat_tables(out)
 
     return run
 
 
-def _words_by_part(block: _Block, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The places of a block's words, by the part that answers for them."""
-    of = block.words.view(np.int64) % parts
-    order = np.argsort(of, kind="stable")
-    edges = np.searchsorted(of[order], np.arange(parts + 1))
-    for part in np.flatnonzero(np.diff(edges)).tolist():
-        yield part, order[edges[part] : edges[part + 1]]
-
-
-def _answer_words(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Per question: the totals of its words, and what they leave to their failure arcs."""
-    keys, totals, rests = (known.column(c).to_numpy() for c in ("key", "total", "rest"))
-    order = np.argsort(keys)
-    keys, totals, rests = np.append(keys[order], 0), np.append(totals[order], 0), np.append(rests[order], 1.0)
-    answers = []
-    for data in asked.column("data"):
-        words = np.frombuffer(data.as_py(), np.int64)
-        at = np.searchsorted(keys[:-1], words)
-        at[keys[at] != words] = len(keys) - 1
-        answers.append(_pack([totals[at], rests[at]]))
-    # Parts of words are numbered from -1 downwards.
-    parts = pa.array(-1 - asked.column("part").to_numpy(), pa.int32())
-    return pa.table([asked.column("block"), parts, pa.array(answers, pa.binary())], names=["block", "part", "data"])
-
-
-def _weights(block: _Block, grams: list[_Grams], base: np.ndarray, counts: np.ndarray, left: np.ndarray, answers: dict[int, bytes], parts: int) -> np.ndarray:
-    """The log10 probability of every token: the weights of its failure arcs and of the arc that is there at last."""
-    dealt = _dealt(block, grams, parts)
-    totals, lefts = [counts], [left]
-    for g in grams:
-        totals.append(np.zeros(len(g.history), np.int64)), lefts.append(np.ones(len(g.history)))
-    for part, data in answers.items():
-        mine = [order[edges[part] : edges[part + 1]] for order, edges in dealt]
-        values = _unpack(data, [(kind, len(m)) for m in mine for kind in (np.int64, np.float64)])
-        for k, m in enumerate(mine):
-            totals[k + 1][m], lefts[k + 1][m] = values[2 * k], values[2 * k + 1]
-    p = base[block.tokens]
-    for k, g in enumerate(grams):
-        state = np.flatnonzero(g.history_at >= 0)
-        history, gram = g.history_at[state], g.at[state]
-        total = np.where(gram >= 0, totals[k + 1][gram], 0) if len(totals[k + 1]) else np.zeros(len(state), np.int64)
-        p[state] = lefts[k][history] * p[state] + np.where(total > 0, total - DISCOUNT, 0) / np.maximum(totals[k][history], 1)
-    return np.log10(p)
+_ANSWER = ["block", "part", "data", "level", "key", "followed", "followers"]
+
+
+class _Automaton:
+    """States and arcs that a block's texts can meet. A state is a level (words of its history) and a place there: the word's
+    number in the block, or its n-gram's. Level 0 has one state, before which nothing is known."""
+
+    def __init__(self, block: _Block, grams: list[_Grams], deal: _Deal, answers: dict[int, bytes], spread: list[tuple[np.ndarray, ...]], base: np.ndarray):
+        self.width, self.top = len(block.numbers), len(grams)
+        totals = [block.totals, *(np.zeros(len(g.last), np.int64) for g in grams)]
+        followed, followers = ([np.zeros(len(t), np.int64) for t in totals] for _ in range(2))
+        for i, part in enumerate(deal.present.tolist()):
+            lists = deal.of_part(i)
+            kinds = [kind for a, b in zip(lists, lists[1:], strict=False) for kind in ((np.int64, len(a)), (np.int32, len(a)), (np.int64, len(b)))]
+            values = _unpack(answers[part], kinds)
+            for k, (a, b) in enumerate(zip(lists, lists[1:], strict=False)):
+                tell, n, total = values[3 * k : 3 * k + 3]
+                followed[k][a], followers[k][a], totals[k + 1][b] = (tell if k == 0 else totals[k][a] - tell), n, total
+        for k, (keys, tokens, n) in enumerate(spread[: self.top]):
+            mine = np.flatnonzero(deal.spread[k])
+            if len(keys) and len(mine):
+                at = np.minimum(np.searchsorted(keys, deal.keys[k][mine]), len(keys) - 1)
+                there = keys[at] == deal.keys[k][mine]
+                followed[k][mine], followers[k][mine] = np.where(there, tokens[at], 0), np.where(there, n[at], 0)
+        left = [1 - (f - DISCOUNT * n) / np.maximum(t, 1) for f, n, t in zip(followed, followers, totals, strict=True)]
+        self.known, self.base = block.totals > 0, np.log10(base)
+        #: By level of the state an arc leaves: codes of state and word, whether training has the arc, its weight, where it leads.
+        self.codes, self.there, self.weight, self.shorter = [], [], [], []
+        below, lower = base, None
+        for k, g in enumerate(grams):
+            # The same words without the first: a word, or an arc of the level below.
+            shorter = g.last if k == 0 else np.searchsorted(self.codes[k - 1], lower[g.history].astype(np.int64) * self.width + g.last)
+            p = np.where(totals[k + 1] > 0, totals[k + 1] - DISCOUNT, 0) / np.maximum(totals[k][g.history], 1) + left[k][g.history] * below[shorter]
+            self.codes.append(g.codes), self.there.append(totals[k + 1] > 0), self.weight.append(np.log10(p)), self.shorter.append(shorter)
+            below, lower = p, shorter
+        self.failure = [np.log10(x) for x in left]
+
+    def read(self, block: _Block) -> np.ndarray:
+        """The log10 probability of every token, in one traversal from left to right, all pieces of texts side by side."""
+        pieces = -(-block.sizes // PIECE)
+        text = np.repeat(np.arange(len(pieces)), pieces)
+        begin = block.starts[text] + PIECE * (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        end = np.minimum(begin + PIECE, (block.starts + block.sizes)[text])
+        early = np.maximum(begin - self.top, block.starts[text])
+        order = np.argsort(early - end, kind="stable")
+        begin, end, early = begin[order], end[order], early[order]
+        lengths, out = end - early, np.empty(len(block.tokens))
+        level, state = np.zeros(len(order), np.int8), np.zeros(len(order), np.int64)
+        for step in range(int(lengths[0]) if len(order) else 0):
+            active = int(np.searchsorted(-lengths, -step, side="left"))
+            at = early[:active] + step
+            words, weight = block.tokens[at], np.zeros(active)
+            on, of = level[:active], state[:active]
+            moving = np.ones(active, bool)
+            for k in range(self.top, 0, -1):
+                here = np.flatnonzero(moving & (on == k))
+                if not len(here):
+                    continue
+                code = of[here] * self.width + words[here]
+                arc = np.searchsorted(self.codes[k - 1], code)
+                arc[arc == len(self.codes[k - 1])] = 0
+                taken = (self.codes[k - 1][arc] == code) & self.there[k - 1][arc] if len(self.codes[k - 1]) else np.zeros(len(here), bool)
+                go, arc, fail = here[taken], arc[taken], here[~taken]
+                weight[go] += self.weight[k - 1][arc]
+                on[go], of[go] = (k + 1, arc) if k < self.top else (k, self.shorter[k - 1][arc])
+                moving[go] = False
+                weight[fail] += self.failure[k - 1][of[fail]]
+                of[fail], on[fail] = (self.shorter[k - 2][of[fail]] if k > 1 else 0), k - 1
+            here = np.flatnonzero(moving)
+            weight[here] += self.base[words[here]]
+            of[here], on[here] = words[here], self.known[words[here]] & (self.top > 0)
+            scored = at >= begin[:active]
+            out[at[scored]] = weight[scored]
+        return out
 
 
 def score(
@@ -275,62 +403,77 @@ def score(
     id_type = dict(docs.dtypes)[id_column]
     ident = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), (F.crc32(ident) % held_out == 0).alias("held"))
-    blocks = saved(rows.mapInArrow(_encode, f"block long, ids array<{id_type}>, held array<boolean>, sizes array<int>, tokens binary, words binary"))
-
-    def count_words(batches):
-        for b in _blocks(batches):
-            counts = b.word_counts()
-            seen = counts > 0
-            yield pa.RecordBatch.from_arrays([_as_longs(b.words[seen]), _as_longs(counts[seen])], names=["key", "n"])
-
-    single = saved(blocks.mapInArrow(count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("total")))
-    train_tokens, distinct = single.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
-    words = None
+    columns = f"block long, ids array<{id_type}>, held array<boolean>, sizes array<int>, tokens binary, words binary, training long"
+    blocks = saved(rows.mapInArrow(_encode, columns))
+    of_all = F.aggregate("sizes", F.lit(0).cast("long"), lambda x, n: x + n)
+    tokens, train_tokens = blocks.agg(F.coalesce(F.sum(of_all), F.lit(0)), F.coalesce(F.sum("training"), F.lit(0))).first()
+    message, answer = "part int, block long, sizes array<int>, data binary", "block long, part int, data binary"
+
+    word_parts = max(1, math.ceil(tokens / WORD_TOKENS))
+
+    def send_words(batches):
+        for row in _blocks(batches):
+            for part, size, data in _word_messages(row, word_parts):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([row["block"]]), pa.array([[size]], pa.list_(pa.int32())), pa.array([data], pa.binary())], names=["part", "block", "sizes", "data"])
+
+    top = "array<struct<number: long, total: long, key: long>>"
+    of_words = saved(
+        blocks.select("block", "held", "sizes", "tokens", "words").mapInArrow(send_words, message).groupBy("part")
+        .applyInArrow(_sum_words(word_parts, lexicon), f"block long, part int, sizes array<int>, data binary, distinct long, top {top}")
+    )
+    distinct = of_words.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    chosen = None
     if lexicon is not None:  # a bounded number of words
-        chosen = single.orderBy(F.desc("total"), "key").limit(lexicon).collect()
-        words = np.sort(np.array([r["key"] for r in chosen], np.int64).view(np.uint64))
-    tokens = blocks.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, n: x + n)), F.lit(0))).first()[0]
-    parts = max(1, math.ceil(tokens / PART_TOKENS))
-
-    def send(batches):
-        for b in _blocks(batches):
-            grams = list(b.grams(words, order))
-            for part, sizes, data in _messages(b, grams, parts) if grams else ():
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([b.block]), pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())], names=["part", "block", "sizes", "data"])
-
-    messages = blocks.mapInArrow(send, "part int, block long, sizes array<int>, data binary")
-    answered = saved(messages.groupBy("part").applyInArrow(_sum_part(min_count), "block long, part int, key long, taken double, data binary"))
-    taken = answered.where("block is null").groupBy("key").agg(F.sum("taken").alias("taken"))
-
-    word_parts = max(1, math.ceil(distinct / PART_WORDS))
+        best = of_words.where("block is null").select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("total"), "key").limit(lexicon)
+        chosen = np.sort(np.array([r["number"] for r in best.collect()], np.int64))
+    named = of_words.where("block is not null").select("block", "part", "sizes", "data")
 
-    def ask(batches):
-        for b in _blocks(batches):
-            for part, places in _words_by_part(b, word_parts):
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([b.block]), pa.array([b.words[places].tobytes()], pa.binary())], names=["part", "block", "data"])
-
-    known = single.join(taken, "key", "left").select(F.pmod("key", F.lit(word_parts)).cast("int").alias("part"), "key", "total", (1 - F.coalesce("taken", F.lit(0.0)) / F.col("total")).alias("rest"))
-    of_words = blocks.mapInArrow(ask, "part int, block long, data binary").groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answer_words, "block long, part int, data binary")
-    wanted = of_words.unionByName(answered.where("block is not null").select("block", "part", "data"))
+    parts = max(1, math.ceil(tokens / PART_TOKENS))
+    often = max(FREQUENT * train_tokens, PART_TOKENS / 100)
+
+    def opened(left: pa.Table, right: pa.Table) -> Iterator[tuple[_Block, list[_Grams], _Deal, dict[int, bytes]]]:
+        """A block, its n-grams, the parts they belong to, and the parts' answers."""
+        rows = right.select(["part", "sizes", "data"]).to_pylist()
+        mine = [r for r in rows if r["part"] < 0]
+        for row in left.to_pylist():
+            block = _Block(row)
+            block.renumber([r["sizes"] for r in mine], [r["data"] for r in mine])
+            grams = block.grams(chosen, order)
+            yield block, grams, _Deal(block, grams, parts, often), {r["part"]: r["data"] for r in rows if r["part"] >= 0}
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(part, b.block, sizes, data) for b, grams, deal, _ in opened(left, right) for part, sizes, data in (_messages(b, grams, deal) if grams else ())]
+        give_back()
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary()]
+        return pa.table([pa.array([m[i] for m in out], kind) for i, kind in enumerate(kinds)], names=["part", "block", "sizes", "data"])
+
+    texts = blocks.select("block", "held", "sizes", "tokens")
+    messages = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(send, message)
+    answered = saved(messages.groupBy("part").applyInArrow(_sum_part(min_count, order), f"{answer}, level int, key long, followed long, followers long"))
+    # Histories of frequent words only: at most 1,000 words and 1,000,000 pairs, whatever the corpus.
+    hot = answered.where("block is null").groupBy("level", "key").agg(F.sum("followed").alias("followed"), F.sum("followers").alias("followers")).toArrow()
+    spread = []
+    for k in range(order - 1):
+        level = hot.filter(pa.array(hot.column("level").to_numpy() == k))
+        keys = level.column("key").to_numpy().view(np.uint64)
+        by_key = np.argsort(keys)
+        spread.append((keys[by_key], level.column("followed").to_numpy()[by_key], level.column("followers").to_numpy()[by_key]))
 
     divisor = train_tokens + ADDED * (distinct + 1)
 
     def score_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        answers = dict(zip(right.column("part").to_pylist(), right.column("data").to_pylist(), strict=True))
-        for b in _blocks(left.to_batches()):
-            counts, rest = np.zeros(len(b.words), np.int64), np.ones(len(b.words))
-            for part, places in _words_by_part(b, word_parts):
-                counts[places], rest[places] = _unpack(answers.pop(-1 - part), [(np.int64, len(places)), (np.float64, len(places))])
-            base = (counts + ADDED) / divisor
-            starts = np.cumsum(b.sizes) - b.sizes
-            base_scores = np.add.reduceat(np.log10(base)[b.tokens], starts)
-            n_known = np.add.reduceat((counts > 0)[b.tokens].astype(np.int64), starts)
-            scores = np.add.reduceat(_weights(b, list(b.grams(words, order)), base, counts, rest, answers, parts), starts)
-            id_field = left.schema.field("ids").type.value_type
-            out.append(pa.table([pa.array(b.ids, id_field), pa.array(b.held), pa.array(b.sizes), pa.array(n_known), pa.array(base_scores), pa.array(scores, pa.float64())], names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
-        schema = pa.schema([("id", left.schema.field("ids").type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        id_kind, out = left.schema.field("ids").type.value_type, []
+        for b, grams, deal, answers in opened(left, right):
+            base = (b.totals + ADDED) / divisor
+            base_scores = np.add.reduceat(np.log10(base)[b.tokens], b.starts)
+            n_known = np.add.reduceat((b.totals > 0)[b.tokens].astype(np.int64), b.starts)
+            scores = np.add.reduceat(_Automaton(b, grams, deal, answers, spread, base).read(b), b.starts)
+            out.append(pa.table([pa.array(b.ids, id_kind), pa.array(b.held), pa.array(b.sizes), pa.array(n_known), pa.array(base_scores), pa.array(scores, pa.float64())], names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
+        give_back()
+        schema = pa.schema([("id", id_kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
         return pa.concat_tables(out) if out else schema.empty_table()
 
-    scored = blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(score_block, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    wanted = named.unionByName(answered.where("block is not null").select("block", "part", F.lit(None).cast("array<int>").alias("sizes"), "data"))
+    texts = blocks.select("block", "ids", "held", "sizes", "tokens")
+    scored = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(score_block, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_column), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
