@@ -5,7 +5,8 @@ lines, without comment signs. Its tokens are weighted by their rarity among
 the templates and joined with the templates' tokens; sums per unit and template give cosines. Few units need that: a
 cosine of ``threshold`` takes one of a few tokens of a template, for the others, its function words above all, are too short
 a vector without them. This filter is exact, but that function words alone, however many, make no notice. Directories that hold a licence file (a text that is a notice, or a file of such a name with a header) pass its licence on to the files below that have none
-of their own, the nearest directory first, by joins on directory paths.
+of their own, the nearest directory first, by joins on directory paths. Licences that differ by a clause are told apart by it; SPDX tags are
+read as they are.
 """
 
 from __future__ import annotations
@@ -19,7 +20,20 @@ from pyspark.sql import functions as F
 
 from gatelens.llm.common import saved
 
-# Notices of well-known licences, by identifier.
+# Bodies and notices of well-known licences, by identifier.
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain."""
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "you may not use this file except in compliance with the License."),
@@ -47,7 +61,26 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;"),
     ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSD-2-Clause", f"{_BSD_2}\n{_BSD_END}"),
+    ("BSD-3-Clause", f"{_BSD_2}\n{_BSD_3}\n{_BSD_END}"),
+    ("MIT", _MIT),
+    ("ISC", _ISC),
+    ("Unlicense", _UNLICENSE),
 )
+# Near relations share most of their words; a clause tells them apart. Words of a clause may stand in different comment lines.
+_GAP = r"[\s*#/;%-]++"
+TWO_CLAUSES = rf"(?i)redistributions{_GAP}in{_GAP}binary{_GAP}form"
+THIRD_CLAUSE = rf"(?i)endorse{_GAP}or{_GAP}promote"
+SPDX = r"SPDX-License-Identifier:[ \t]*+\(?([A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?)"
+#: A directory's files are dealt so many ways where they meet its licence.
+SALTS = 32
 # Signs that begin or end lines of comments, and names of files that hold licences.
 # Repeated groups are possessive: nothing follows them, and a long run then takes no stack.
 COMMENT = r"(?im)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|dnl\b|rem\b)[ \t]*+)*+|[ \t\r]*(?:\*+/|-->)?[ \t\r]*$"
@@ -90,7 +123,8 @@ def scan_licenses(
     ``path`` names the column with paths (parts joined by ``/``). ``basis`` is ``file`` (the whole text is a notice),
     ``header`` (a sentence or some neighbouring lines are), ``inherited`` (neither, but a directory on the way up holds a licence file, that is one of basis ``file``, or one named
     like LICENSE or COPYING with a header; ``source_dir``
-    is the nearest) or null. A file with several notices has that of the highest similarity, then the first by name.
+    is the nearest) or null. An SPDX tag is a header of similarity 1 that goes before others; of its expression the first
+    identifier counts, without ``-only``, ``-or-later`` and ``+``. A file with several notices has that of the highest similarity, then the first by name.
 
     Defined cases: null and empty texts have no notice of their own but may inherit. A null path stays null and neither
     gives nor inherits. Null ids stay null; repeated rows are judged each; of several licence files in a directory the
@@ -111,6 +145,8 @@ def scan_licenses(
     rows = files.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(path).cast("string").alias("path"),
         F.when(concerned, tokens).otherwise(F.array().cast("array<array<string>>")).alias("units"),
+        F.when(concerned & text.rlike(THIRD_CLAUSE), "BSD-3-Clause").when(concerned & text.rlike(TWO_CLAUSES), "BSD-2-Clause").alias("relation"),
+        F.when(F.lit(bool(templates)) & text.contains("SPDX-License-Identifier:"), F.nullif(F.regexp_replace(F.regexp_extract(text, SPDX, 1), r"(?:-only|-or-later|\+)$", ""), F.lit(""))).alias("tag"),
     )
     rows = saved(rows.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), ""))))
 
@@ -129,7 +165,16 @@ def scan_licenses(
     own = similar.groupBy("row").agg(best.alias("best")).select(
         "row", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("similarity"), F.when(F.col("best.header"), "header").otherwise("file").alias("basis")
     )
-    judged = saved(rows.select("row", "id", "path", "dir").join(own, "row", "left"))
+    own = rows.select("row", "id", "path", "dir", "relation", "tag").join(own, "row", "left")
+    tagged = F.col("tag").isNotNull() & ~F.col("basis").eqNullSafe("file")
+    judged = saved(
+        own.select(
+            "row", "id", "path", "dir",
+            F.when(tagged, F.col("tag")).when(F.col("license").startswith("BSD-"), F.coalesce("relation", "license")).otherwise(F.col("license")).alias("license"),
+            F.when(tagged, 1.0).otherwise(F.col("similarity")).alias("similarity"),
+            F.when(tagged, "header").otherwise(F.col("basis")).alias("basis"),
+        )
+    )
 
     gives = (F.col("basis") == "file") | ((F.col("basis") == "header") & F.col("path").rlike(LICENSE_FILE))
     givers = judged.where(gives & F.col("dir").isNotNull()).groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "license")).alias("g"))
@@ -141,7 +186,10 @@ def scan_licenses(
     )
     deepest = F.row_number().over(Window.partitionBy("dir").orderBy(F.desc(F.length("source_dir"))))
     nearest = upward.distinct().join(givers, "source_dir").withColumn("rank", deepest).where("rank = 1").drop("rank")
-    return judged.join(nearest, "dir", "left").select(
+    # A directory may hold any share of all files: they meet its licence in several tasks.
+    nearest = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    judged = judged.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    return judged.join(nearest, ["dir", "salt"], "left").select(
         F.col("id").alias(id_column), "path",
         F.coalesce("license", "given").alias("license"),
         F.coalesce("basis", F.when(F.col("given").isNotNull(), "inherited")).alias("basis"),
