@@ -1,7 +1,7 @@
 """Benchmark passages in documents, also with other numbers, names or units.
 
-Texts become sequences of canonical words: numbers, names (capitalised words) and units after numbers are typed
-placeholders, everything else is itself in lower case without punctuation. A capitalised word that begins a sentence may be
+Texts become sequences of canonical words: numbers (digits of any script, number words), names (capitalised words of any
+script) and units after numbers are typed placeholders, everything else is itself in lower case without punctuation. A capitalised word that begins a sentence may be
 a name or not; windows with such words are read both ways. Windows of ``window`` canonical words
 are hashed and joined, once with the words as they are and once with placeholders. A bitmap of fixed size over the
 benchmark's hashes lets documents send only windows that may match; the join then decides. Windows that agree word for
@@ -11,6 +11,9 @@ run counts in which each value of the benchmark's placeholders always met the sa
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +30,13 @@ BITMAP_PARTS, PART_BITS = 1024, 32768
 UNITS = "mm cm m km in ft mi mg g kg t lb oz ml l s sec min h hr hours minutes seconds days weeks months years % percent € $ £ eur usd dollars euros cents mph kmh km/h °c °f".split()
 
 _NUMBER, _NAME, _UNIT = (int(x) for x in random_words(3, 41))
+# Number words (no articles) of English, German, French and Spanish.
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million "
+    "null eins zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend "
+    "zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante cent mille "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien mil"
+).split()
 _EDGE = np.zeros(256, bool)  # punctuation cut off both ends of a word
 _EDGE[list(b"!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 _DIGIT = np.zeros(256, bool)
@@ -60,6 +70,32 @@ def _cut_money(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.where(_DIGIT[data[at]], at, starts)
 
 
+def _first_letters(data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points that begin at byte positions, 0 at the ends of words, and where the next ones begin."""
+    x, y, z, w = (data[np.minimum(at + k, len(data) - 1)].astype(np.int32) for k in range(4))
+    size = np.where(x < 0xC0, 1, np.where(x < 0xE0, 2, np.where(x < 0xF0, 3, 4)))
+    tail = lambda v: v & 0x3F
+    two, three = (x & 0x1F) << 6 | tail(y), (x & 0x0F) << 12 | tail(y) << 6 | tail(z)
+    point = np.where(size == 1, x, np.where(size == 2, two, np.where(size == 3, three, (x & 0x07) << 18 | tail(y) << 12 | tail(z) << 6 | tail(w))))
+    return np.where(at + size <= ends, point, 0), at + size
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Of every code point: 1 for a decimal digit, 2 for another letter than a capital, 0 for others."""
+    names = map(unicodedata.category, map(chr, range(sys.maxunicode + 1)))
+    return np.fromiter((1 if c == "Nd" else 2 if c[0] == "L" and c != "Lu" else 0 for c in names), np.int8, sys.maxunicode + 1)
+
+
+@functools.cache
+def _number_hashes() -> np.ndarray:
+    """Number words, and English ones of two parts such as twenty-five."""
+    at = NUMBER_WORDS.index("twenty")
+    parts = [f"{ten}-{one}" for ten in NUMBER_WORDS[at : at + 8] for one in NUMBER_WORDS[1:10]]
+    data, edges = text_bytes(pa.array(NUMBER_WORDS + parts))
+    return np.unique(span_hashes(data, edges[:-1], edges[1:]))
+
+
 def _lower(texts: pa.Array) -> pa.Array:
     """Letters of all scripts in lower case; of texts that are no valid UTF-8 A-Z only."""
     try:
@@ -91,17 +127,14 @@ def canonical_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     folded, folded_edges = text_bytes(_lower(texts))
     c, d = _cut_ends(folded, *word_spans(folded, folded_edges)[:2])
     c, d = c[some], d[some]
-    plain = span_hashes(folded, _cut_money(folded, c, d), d)
-    x, y = data[a], data[np.minimum(a + 1, len(data) - 1)]
-    z, w = data[np.minimum(a + 2, len(data) - 1)], data[np.minimum(a + 3, len(data) - 1)]
-    size = b - a
-    # A capital, then a small letter: A-Z and a-z, or the accented Latin ones, whose first byte is C3.
-    wide = (x == 0xC3) & (y >= 0x80) & (y <= 0x9E)
-    after, beyond = np.where(wide, z, y), np.where(wide, w, z)
-    capital = (wide | ((x >= 65) & (x <= 90))) & (size >= np.where(wide, 3, 2))
-    small = ((after >= 97) & (after <= 122)) | ((after == 0xC3) & (beyond >= 0x9F))
-    number = _DIGIT[x]
-    name = capital & small & ~number
+    c = _cut_money(folded, c, d)
+    plain = span_hashes(folded, c, d)
+    # A capital of any script, which lower case changes, then a small letter, which it doesn't.
+    kinds, (point, second), (lower, lower_second) = _kinds(), _first_letters(data, a, b), _first_letters(folded, c, d)
+    after, beyond = _first_letters(data, second, b)[0], _first_letters(folded, lower_second, d)[0]
+    numbers = _number_hashes()
+    number = (kinds[point] == 1) | (numbers[np.minimum(np.searchsorted(numbers, plain), len(numbers) - 1)] == plain)
+    name = (point != lower) & (after == beyond) & (kinds[after] == 2) & ~number
     name, may_be = name & ~begins, name & begins
     unit = np.zeros(len(a), bool)
     unit[1:] = number[:-1] & ~number[1:] & np.isin(plain[1:], _unit_hashes()) & (row[1:] == row[:-1])
