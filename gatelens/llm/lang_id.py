@@ -177,17 +177,17 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_sh
     of the words. All columns stay as they are; texts are not shuffled. Cases as in :func:`identify`."""
     ship(docs.sparkSession)
     langs, table = model
-    flag = next(n for n in (f"_lettered{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in row_slices(named, f"c{at}", SLICE):
+            for part in row_slices(batch, f"c{at}", SLICE):
                 lettered = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
                 names, scores, _ = _judge(part.column(at), lettered, langs, table, penalty)
                 keep = pa.array((np.array(names) != UNKNOWN) & (scores >= min_share))
                 rows = part.filter(keep)
                 yield pa.RecordBatch.from_arrays(rows.columns[:-1], names=batch.schema.names[:-1])
 
-    return docs.withColumn(flag, _letters(F.col(text_column))).mapInArrow(run, docs.schema)
+    # Columns go by their places; their names may hold dots.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.withColumn("lettered", _letters(F.col(f"c{at}"))).mapInArrow(run, plain.schema).toDF(*docs.columns)

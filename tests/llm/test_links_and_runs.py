@@ -166,3 +166,12 @@ def test_op4_number_words_and_other_scripts(spark):
     ]
     found = contaminated(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()
     assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in found) == [(1, 1, "variant"), (2, 2, "variant"), (3, 3, "variant"), (4, 1, "exact"), (6, 2, "exact")]
+
+
+def test_language_filter_takes_any_column_names(spark):
+    from gatelens.llm.lang_id import keep_identified, train
+
+    rows = [(i, "the cat and the dog are in the house" if i % 2 else "1 2 3", "en", i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` long")
+    kept = keep_identified(docs, train(docs))
+    assert kept.columns == docs.columns and {r["a.b"] for r in kept.collect()} == set(range(1, 20, 2))
