@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from gatelens.llm.common import row_slices, ship, text_bytes
 
 BUCKETS = 1 << 16
-ROUNDS = 10
+#: Expectation-maximisation of a text ends when none of its shares changes by more in a round.
+SETTLED = 1e-6
+#: A word is at least so likely in any language, as a part of its likelihood in the language that explains it best.
+TRACE = 1e-20
 ADDED = 0.5
 UNKNOWN = "und"
 #: Bytes of text judged at once.
@@ -82,15 +85,21 @@ def train(docs: DataFrame, text_column: str = "text", lang_column: str = "lang")
     return langs, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def _fit(likelihood: np.ndarray, starts: np.ndarray, sizes: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Expectation-maximisation for all texts at once: shares (languages x texts) and log-likelihoods."""
-    of_word = np.repeat(np.arange(len(sizes)), sizes)
-    for _ in range(ROUNDS):
-        joint = shares[:, of_word] * likelihood
+def _fit(likelihood: np.ndarray, sizes: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expectation-maximisation for all texts, each until its shares have settled: shares (languages x texts) and
+    log-likelihoods."""
+    shares, unsettled, words, size = shares.astype(np.float32), np.arange(len(sizes)), likelihood, sizes
+    while len(unsettled):
+        before = shares[:, unsettled]
+        joint = np.repeat(before, size, axis=1) * words
         joint /= joint.sum(axis=0)
-        shares = np.add.reduceat(joint, starts, axis=1) / sizes
-    total = (shares[:, of_word] * likelihood).sum(axis=0)
-    return shares, np.add.reduceat(np.log(total).astype(np.float64), starts)
+        after = (np.add.reduceat(joint, np.cumsum(size) - size, axis=1, dtype=np.float64) / size).astype(np.float32)
+        shares[:, unsettled] = after
+        moving = np.abs(after - before).max(axis=0) > SETTLED
+        if not moving.all():
+            words, size, unsettled = words[:, np.repeat(moving, size)], size[moving], unsettled[moving]
+    total = (np.repeat(shares, sizes, axis=1) * likelihood).sum(axis=0)
+    return shares, np.add.reduceat(np.log(total).astype(np.float64), np.cumsum(sizes) - sizes)
 
 
 def mixtures(words: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
@@ -99,10 +108,9 @@ def mixtures(words: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     ``words`` are log-likelihoods (languages x words), ``sizes`` the words of each text, none of them 0.
     """
     langs = len(words)
-    # The worst language keeps a trace of likelihood, so that no sum is 0.
-    likelihood = np.maximum(np.exp(words - words.max(axis=0)), np.float32(1e-20))
+    likelihood = np.maximum(np.exp(words - words.max(axis=0)), np.float32(TRACE))  # no sum is 0
     starts = np.cumsum(sizes) - sizes
-    shares, fit = _fit(likelihood, starts, sizes, np.full((langs, len(sizes)), np.float32(1 / langs)))
+    shares, fit = _fit(likelihood, sizes, np.full((langs, len(sizes)), 1 / langs))
     active = np.ones((langs, len(sizes)), bool)
     trying = np.arange(len(sizes))
     for _ in range(langs - 1):
@@ -114,7 +122,7 @@ def mixtures(words: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
         fewer /= fewer.sum(axis=0)
         size = sizes[trying]
         where = np.repeat(starts[trying] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        new_shares, new_fit = _fit(likelihood[:, where], np.cumsum(size) - size, size, fewer)
+        new_shares, new_fit = _fit(likelihood[:, where], size, fewer)
         gone = fit[trying] - new_fit < penalty * np.log(size + 1)
         done = trying[gone]
         shares[:, done], fit[done] = new_shares[:, gone], new_fit[gone]
