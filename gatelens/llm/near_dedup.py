@@ -35,6 +35,10 @@ SKETCH_BITS = 1024
 MARGIN = 0.18
 #: Members of a bucket, and of a group that is compared with one document, that one task handles together.
 BLOCK, GROUP = 1000, 256
+#: Shingles (8 bytes each) of one side of a block; a bucket of long texts is cut into more blocks.
+BLOCK_SHINGLES = 4_000_000
+#: Keys with more than this part of all rows, 1,000 at most, are joined by a broadcast and not in one task each.
+LARGE_SHARE = 0.001
 #: Ids that may be broadcast to pick texts (16 bytes each); longer lists are joined by a shuffle.
 BROADCAST_IDS = 400_000
 
@@ -149,8 +153,8 @@ def _confirm(size: int, percent: int):
 def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, hub) whose full sets are similar. A document with many partners is dealt out with each part of them."""
     spark = docs.sparkSession
-    fan = pairs.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
-    members = pairs.join(fan, "hub").select(F.col("a").alias("id"), "hub", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("salt"), F.lit(1).alias("order"))
+    fan = saved(pairs.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"), F.count("*").alias("_n")))
+    members = _join_large(pairs, fan, ["hub"], pairs.count()).select(F.col("a").alias("id"), "hub", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("salt"), F.lit(1).alias("order"))
     hubs = fan.select(F.col("hub").alias("id"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(0).alias("order"))
     wanted = saved(members.unionByName(hubs))
     if wanted.count() <= BROADCAST_IDS:
@@ -230,15 +234,15 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     width = int((counts > 1).sum())
     if len(sets) ** 2 * width > DENSE_WORK:
         return None
-    total = np.zeros((len(sets), len(sets)), np.float32)
+    total = np.zeros((len(sets), len(sets)), np.int64)
     order = np.argsort(columns, kind="stable")
     columns, owner = columns[order], owner[order]
     for start in range(0, width, 2048):
         a, b = np.searchsorted(columns, [start, start + 2048])
         dense = np.zeros((len(sets), min(2048, width - start)), np.float32)
         dense[owner[a:b], columns[a:b] - start] = 1
-        total += dense @ dense.T
-    return total[left, right].astype(np.int64)
+        total += (dense @ dense.T).astype(np.int64)  # exact: a product counts 2048 at most
+    return total[left, right]
 
 
 def _intersection(a: np.ndarray, b: np.ndarray) -> int:
@@ -306,6 +310,15 @@ def _compare(size: int, percent: int, limit: int):
     return run
 
 
+def _join_large(rows: DataFrame, values: DataFrame, key: list[str], total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``values``, which say as ``_n`` how many of all ``total`` rows have their key. Keys with a
+    large share of the rows, 1,000 at most, are broadcast, so that none of them goes to one task."""
+    large, small = values.where(F.col("_n") > total * LARGE_SHARE).drop("_n"), values.where(F.col("_n") <= total * LARGE_SHARE).drop("_n")
+    of_large = rows.join(F.broadcast(large), key)
+    others = rows.join(F.broadcast(large.select(*key)), key, "left_anti").join(small, key, how)
+    return of_large.unionByName(others)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Groups of near-duplicates: (id_column, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -325,20 +338,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     signed = saved(docs.mapInArrow(_sign(words), "id long, n long, f1 long, f2 long, bands array<long>, sketch array<long>"))
 
     some = signed.where("n > 0 and id is not null")
-    least = some.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
-    members = saved(some.join(least, ["n", "f1", "f2"]).select("id", "rep", *(F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c) for c in ("bands", "sketch"))))
+    texts = ["n", "f1", "f2"]
+    classes = saved(some.groupBy(*texts).agg(F.min("id").alias("rep"), F.count("*").alias("_n")))
+    n_rows = signed.count()
+    members = saved(
+        _join_large(some, classes, texts, n_rows).select("id", "rep", *(F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c) for c in ("n", "bands", "sketch")))
+    )
     reps = members.where("id = rep")
     sketches = reps.select("id", "sketch")
-    banded = reps.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    shared = saved(banded.join(buckets, "band").select("band", "id", "hub"))
+    banded = reps.select("id", "n", F.explode("bands").alias("band"))
+    buckets = saved(banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("_n")).where("_n > 1"))
+    n_banded = BANDS * reps.count()
+    shared = saved(_join_large(banded, buckets, ["band"], n_banded).select("band", "id", "n", "hub"))
 
     # One comparison for each representative: with the smallest document in most of its buckets.
     votes = shared.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("votes"))
     best = votes.groupBy("id").agg(F.max_by("hub", F.struct("votes", -F.col("hub"))).alias("hub"))
+    best = saved(best.join(sketches, "id"))
+    hubs = best.groupBy("hub").agg(F.count("*").alias("_n")).join(sketches.select(F.col("id").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
     first = (
-        best.join(sketches, "id")
-        .join(sketches.select(F.col("id").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+        _join_large(best, saved(hubs), ["hub"], best.count())
         .where(_differing("sketch", "hub_sketch") <= limit)
         .select(F.col("id").alias("a"), "hub")
         .distinct()
@@ -348,20 +367,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     roots = saved(components(links))
 
     # Everything else that shares a bucket across components.
-    placed = shared.select("band", "id").distinct().join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    one_each = shared.groupBy("band", "id").agg(F.max("n").alias("n"))
+    placed = saved(one_each.join(roots, "id", "left").select("band", "id", "n", F.coalesce("root", "id").alias("root")))
     # Of a bucket with several components, the largest is cut into blocks that meet those of the others, but not each
     # other; so a large group with a few strays costs about as much as its members.
-    per_root = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    per_root = placed.groupBy("band", "root").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    blocks = lambda docs, shingles: F.ceil(F.greatest(docs / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+    size = F.struct("docs", "shingles", "root")
     open_bands = (
         per_root.groupBy("band")
-        .agg(F.count("*").alias("roots"), F.max_by("root", "n").alias("major"), F.max("n").alias("m"), F.sum("n").alias("all"))
+        .agg(F.count("*").alias("roots"), F.max(size).alias("m"), F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles"))
         .where("roots > 1")
-        .select("band", "major", F.ceil(F.col("m") / BLOCK).cast("int").alias("major_blocks"), F.ceil((F.col("all") - F.col("m")) / BLOCK).cast("int").alias("blocks"))
-    )
+        .select(
+            "band", F.col("m.root").alias("major"), blocks(F.col("m.docs"), F.col("m.shingles")).alias("major_blocks"),
+            blocks(F.col("docs") - F.col("m.docs"), F.col("shingles") - F.col("m.shingles")).alias("blocks"), F.col("docs").alias("_n"),
+        )
+    )
+    open_bands = saved(open_bands)
     is_major = F.col("root") == F.col("major")
     hashed, first_other = F.xxhash64("id"), F.col("major_blocks")
     spread = (
-        placed.join(open_bands, "band")
+        _join_large(placed, open_bands, ["band"], n_banded)
         .withColumn("own", F.when(is_major, F.pmod(hashed, first_other)).otherwise(first_other + F.pmod(hashed, F.col("blocks"))).cast("int"))
         .withColumn("from", F.when(is_major, first_other).otherwise(0))
         .select("band", "id", "root", "own", F.explode(F.sequence("from", first_other + F.col("blocks") - 1)).alias("other"))
@@ -395,14 +421,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
         .select("a", F.coalesce("b_root", "b").alias("b"))
     )
     upper = components(joined).select(F.col("id").alias("root"), F.col("root").alias("top"))
-    of_rep = (
-        members.select("id", "rep").distinct()
-        .join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
-        .withColumn("root", F.coalesce("root", "rep"))
-        .join(upper, "root", "left")
-        .groupBy("id").agg(F.min(F.coalesce("top", "root")).alias("component"))
-    )
+    tops = roots.groupBy("root").agg(F.count("*").alias("_n")).join(upper, "root", "full").select("root", F.coalesce("top", "root").alias("top"), F.coalesce("_n", F.lit(1)).alias("_n"))
+    # A class that has no link is its own root, and may be tied to others.
+    root_of = classes.select("rep", F.col("_n").alias("copies")).join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    of_class = _join_large(root_of, saved(tops), ["root"], n_rows, "left").groupBy("rep").agg(F.min(F.coalesce("top", "root")).alias("top"), F.sum("copies").alias("_n"))
+    of_rep = _join_large(members.select("id", "rep"), saved(of_class), ["rep"], n_rows).groupBy("id").agg(F.min("top").alias("component"))
+    # Rows without an id have no component, and go to no task together.
+    named, unnamed = signed.where("id is not null").select("id", "n").join(of_rep, "id", "left"), signed.where("id is null").select("id", "n")
     own = F.coalesce("component", "id")
-    return signed.select("id", "n").join(of_rep, "id", "left").select(
+    return named.unionByName(unnamed.withColumn("component", F.lit(None).cast("long"))).select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept")
     )

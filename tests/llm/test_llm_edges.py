@@ -123,16 +123,21 @@ def test_op2_intersections_by_matrix():
     assert _common(sets, left, right).tolist() == [_intersection(sets[i], sets[j]) for i, j in zip(left, right, strict=True)]
 
 
-@pytest.mark.parametrize("block", [1000, 7])
-def test_op2_chains_and_large_groups(spark, monkeypatch, block):
-    """Near copies of which only neighbours are similar, and a group whose members all share one passage."""
+@pytest.mark.parametrize(("block", "shingles", "large"), [(1000, 4_000_000, 0.001), (7, 4_000_000, 1), (1000, 500, 0.05)])
+def test_op2_chains_and_large_groups(spark, monkeypatch, block, shingles, large):
+    """Near copies of which only neighbours are similar, and a group whose members all share one passage; blocks cut by
+    documents and by shingles, frequent keys joined either way."""
     monkeypatch.setattr("gatelens.llm.near_dedup.BLOCK", block)
+    monkeypatch.setattr("gatelens.llm.near_dedup.BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr("gatelens.llm.near_dedup.LARGE_SHARE", large)
     monkeypatch.setattr("gatelens.llm.near_dedup.GROUP", block)
     base = [f"t{i}" for i in range(120)]
     chain = [(i, " ".join(f"c{i}x{k}" if k < 4 * i else w for k, w in enumerate(base))) for i in range(12)]
     shared = [(100 + i, " ".join(base[:40]) + " " + " ".join(f"own{i}y{k}" for k in range(30))) for i in range(40)]
     copies = [(1000 + i, " ".join([*base, f"z{i % 7}"])) for i in range(300)]
     rows = chain + shared + copies
+    if large < 1:  # a third of the rows is one text
+        rows += [(5000 + i, " ".join(f"same{k}" for k in range(30))) for i in range(180)]
     sets = {i: {tuple(t.split()[k : k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
     root = {i: i for i in sets}
     find = lambda x: x if root[x] == x else find(root[x])
