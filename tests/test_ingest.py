@@ -576,3 +576,31 @@ def test_stream(store, feed, tmp_path):
     feed("2.json", request("r2", status=500), request("r3", DAY2))
     store.start_ingest(landing, str(tmp_path / "progress")).awaitTermination()
     assert statuses(store) == {(DAY1, "r1"): 200, (DAY1, "r2"): 500, (DAY2, "r3"): 200}
+
+
+def test_a_batch_is_neither_held_nor_sorted_for_its_merge(spark, store, feed, monkeypatch):
+    """Only a type with a repeated id is put in order; the others go to their parts as they were parsed."""
+    seen = {}
+
+    def watched(docs, root, doc_type, shape):
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        seen[doc_type] = any(step in plan for step in ("Exchange", "Sort", "Window", "InMemoryTableScan")), {day: size for day, (size, _) in shape.items()}
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+        tables.upsert(docs, root, doc_type, shape)
+
+    monkeypatch.setattr(bulk, "upsert", watched)
+    check = action("health", "h1") + '\n{"@timestamp":"2017-05-22T10:00:00Z","api":"a"}\n'
+    repeated = request("r1", status=201)
+    store.ingest(feed("one.json", request("r1"), check, *[repeated] * 50))
+    assert [ordered for ordered, _ in seen.values()] == [False, False]
+    assert seen["request"][1][DAY1] < 2 * len(repeated)  # an id that is repeated counts once
+    assert statuses(store) == {(DAY1, "r1"): 201}
+    assert [name for name in os.listdir(store.root) if name.startswith(bulk.BATCH)] == []
+
+
+def test_a_compressed_feed(spark, store, tmp_path):
+    records = [request(f"r{n}", end="\n").rstrip("\n") for n in range(50)]
+    frame = spark.createDataFrame([(r,) for r in records], "value string").coalesce(1)
+    frame.write.option("maxRecordsPerFile", 20).text(str(tmp_path / "packed"), compression="gzip")
+    store.ingest(str(tmp_path / "packed"))
+    assert statuses(store) == {(DAY1, f"r{n}"): 200 for n in range(50)}
