@@ -7,7 +7,7 @@ import sys
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -128,6 +128,24 @@ def give_back() -> None:
             trim(0)
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]):
+    """What a Python worker keeps from task to task under a name; nothing that was kept under another one stays beside it."""
+    if name not in _kept:
+        forget()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    """Drops what the tasks of earlier operators kept in this Python worker."""
+    if _kept:
+        _kept.clear()
+        give_back()
+
+
 def row_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with about ``size`` bytes of text; a longer text is a run of its own."""
     _, edges = text_bytes(batch.column(column))

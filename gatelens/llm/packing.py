@@ -11,23 +11,62 @@ in hashed parts, so a length that many pieces share is no hot spot.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import row_slices, saved, ship, span_hashes, text_bytes, word_spans
+from gatelens.llm.common import kept, row_slices, saved, ship, span_hashes, text_bytes, word_spans
 
-#: Distinct words whose ids a Python worker keeps; when there are more, it begins anew.
+#: Words whose ids a Python worker keeps; when it has tokenized more, it begins anew.
 KEPT_WORDS = 1_500_000
+#: The first bits of a word's hash are its place in a table; a word that comes to a taken place takes it.
+SLOT_BITS = 21
+#: Bytes of text tokenized at once; what is made of them stays in the processor's caches, about.
+SLICE = 1 << 20
+#: Marks at a word's end are split off up to this many.
+MARKS = 8
+
+
+_LATIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: The letters by which byte-level models name bytes, for the bytes of such words.
+_BYTE_LETTERS = {b: 256 + 33 + b - 127 for b in range(127, 161)} | {173: 256 + 67}
+_LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters(word: str) -> str:
+    word = word.lower()
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
+def _is_letter_run_bpe(spec: dict) -> bool:
+    """Whether the tokenizer hands a run of Latin letters to a byte-level BPE model as one piece, in lower case: its model
+    alone then gives the ids of such words."""
+    steps = [(s["type"], s.get("pattern")) for s in (spec.get("normalizer") or {}).get("normalizers", ())]
+    cuts = [{k: v for k, v in s.items() if k != "trim_offsets"} for s in (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())]
+    return (
+        steps == [("NFC", None), ("Replace", {"Regex": r"\s+"}), ("Lowercase", None)]
+        and cuts
+        == [
+            {"type": "Split", "pattern": {"Regex": _LETTER_RUNS}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+        ]
+        and spec["model"]["type"] == "BPE"
+        and not spec["model"].get("dropout")
+        and all("|" in token["content"] for token in spec.get("added_tokens", ()))
+        and not any(spec.get(part) for part in ("truncation", "padding"))
+    )
 
 
 class _WordIds:
-    """Ids of words, each tokenized once: white space separates the tokenizer's words and is dropped by it, and it
+    """Ids of words, each tokenized about once: white space separates the tokenizer's words and is dropped by it, and it
     lower-cases letters, so a word's ids don't depend on its neighbours or on the case of A-Z."""
 
     def __init__(self, path: str, end_id: int):
@@ -35,14 +74,35 @@ class _WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model if _is_letter_run_bpe(json.loads(self.tokenizer.to_str())) else None
         self.end_id = end_id
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.flat = np.full(1, self.end_id, np.uint32)  # place 0 holds the id that ends a document
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)  # 0 is an empty place
+        self.first = np.zeros(1 << SLOT_BITS, np.int32)
+        self.sizes = np.zeros(1 << SLOT_BITS, np.int32)
+        self.flat = np.full(1 << 16, self.end_id, np.uint32)  # place 0 holds the id that ends a document
+        self.words, self.used = 0, 1
+
+    def _tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of new words begin, and how many they are."""
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        if self.model is None:
+            ids = [e.ids for e in encode(words, add_special_tokens=False)]
+        else:
+            tokenize = self.model.tokenize
+            ids = [[t.id for t in tokenize(_byte_letters(w))] if _LATIN_WORD.fullmatch(w) else None for w in words]
+            others = [n for n, x in enumerate(ids) if x is None]
+            for n, e in zip(others, encode([words[n] for n in others], add_special_tokens=False), strict=True):
+                ids[n] = e.ids
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        begin, end = self.used, self.used + int(sizes.sum())
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat[:begin], np.empty(2 * end - begin, np.uint32)])
+        self.flat[begin:end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - begin)
+        self.words, self.used = self.words + len(ids), end
+        return (begin + np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.int32), sizes
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, the end id after each, and the edges of the texts in them."""
@@ -53,56 +113,61 @@ class _WordIds:
         special = _holds_bar(data, starts, ends)
         if special.any():  # special tokens are found before letters are lower-cased
             keys[special] = span_hashes(data, starts[special], ends[special], fold=False) + np.uint64(1)
-        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) > KEPT_WORDS:
+        keys[keys == 0] = 1
+        if self.words > KEPT_WORDS:
             self.clear()
-        at = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == distinct[inside]
-        if not known.all():
-            new = first[~known]
+        slots = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+        first, sizes = self.first[slots], self.sizes[slots]
+        missing = np.flatnonzero(self.keys[slots] != keys)
+        if len(missing):
+            distinct, new, inverse = np.unique(keys[missing], return_index=True, return_inverse=True)
+            new = missing[new]
             raw = memoryview(data)
-            words = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            ids = [e.ids for e in encode(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            places = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
-            order = np.searchsorted(self.keys, distinct[~known])
-            self.keys = np.insert(self.keys, order, distinct[~known])
-            self.first = np.insert(self.first, order, places)
-            self.sizes = np.insert(self.sizes, order, sizes)
-            at = np.searchsorted(self.keys, distinct)
+            words = [str(raw[a:b], "utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            places, lengths = self._tokenize(words)
+            first[missing], sizes[missing] = places[inverse], lengths[inverse]
+            taken = slots[new]  # ascending, as the keys are
+            last = np.append(taken[1:] != taken[:-1], True)
+            self.keys[taken[last]], self.first[taken[last]], self.sizes[taken[last]] = distinct[last], places[last], lengths[last]
         # One more "word" of one id, at place 0, ends each text.
         text_ends = np.cumsum(counts)
-        first = np.insert(self.first[at][inverse], text_ends, 0)
-        sizes = np.insert(self.sizes[at][inverse], text_ends, 1)
-        upto = np.concatenate([[0], np.cumsum(sizes)])
+        first = np.insert(first, text_ends, 0)
+        sizes = np.insert(sizes, text_ends, 1)
+        upto = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=upto[1:])
         ids = self.flat[np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])]
         return ids, upto[np.concatenate([[0], text_ends + np.arange(1, len(counts) + 1)])]
 
 
+_IS_MARK = np.zeros(256, bool)  # ASCII signs, without the vertical bar of special tokens
+_IS_MARK[33:48] = _IS_MARK[58:65] = _IS_MARK[91:97] = _IS_MARK[123:127] = True
+_IS_MARK[124] = False
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[65:91] = _IS_LETTER[97:123] = True
+_IS_LATIN = np.zeros(256, bool)  # second bytes of the letters U+00C0 to U+00FF, without two signs among them
+_IS_LATIN[0x80:0xC0] = True
+_IS_LATIN[[0x97, 0xB7]] = False
+
+
 def _without_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Splits a final punctuation mark off words that end in a Latin letter before it: the tokenizer does so itself,
-    and fewer distinct words are left."""
+    """Splits final marks off words that end in a Latin letter before them: the tokenizer does so itself, taking a run of
+    marks as one piece, and fewer distinct words are left."""
     if not len(starts):
         return starts, ends, counts
-    is_mark = np.zeros(256, bool)
-    is_mark[list(b".,;:!?")] = True
-    is_letter = np.zeros(256, bool)
-    is_letter[65:91] = is_letter[97:123] = True
-    latin = np.zeros(256, bool)  # second bytes of the letters U+00C0 to U+00FF, without two signs among them
-    latin[0x80:0xC0] = True
-    latin[[0x97, 0xB7]] = False
-    last, before, earlier = ends - 1, np.maximum(ends - 2, 0), np.maximum(ends - 3, 0)
-    plain = (ends - starts >= 2) & is_letter[data[before]]
-    accented = (ends - starts >= 3) & (data[earlier] == 0xC3) & latin[data[before]]
-    split = is_mark[data[last]] & (plain | accented)
-    at = np.flatnonzero(split)
-    new_starts = np.insert(starts, at + 1, last[at])
+    cut = ends.copy()
+    marked = np.flatnonzero(_IS_MARK[data[ends - 1]])
+    for _ in range(MARKS):
+        cut[marked] -= 1
+        marked = marked[cut[marked] > starts[marked]]
+        marked = marked[_IS_MARK[data[cut[marked] - 1]]]
+    at = np.flatnonzero((cut < ends) & (cut > starts))
+    before, earlier = data[cut[at] - 1], data[np.maximum(cut[at] - 2, 0)]
+    at = at[_IS_LETTER[before] | (_IS_LATIN[before] & (earlier == 0xC3) & (cut[at] - starts[at] >= 2))]
+    split = np.zeros(len(starts), bool)
+    split[at] = True
+    new_starts = np.insert(starts, at + 1, cut[at])
     new_ends = ends.copy()
-    new_ends[at] -= 1
+    new_ends[at] = cut[at]
     new_ends = np.insert(new_ends, at + 1, ends[at])
     sums = np.concatenate([[0], np.cumsum(split)])
     edges = np.concatenate([[0], np.cumsum(counts)])
@@ -118,15 +183,11 @@ def _holds_bar(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.searchsorted(bars, ends) > np.searchsorted(bars, starts)
 
 
-_tokenizers: dict[tuple[str, int], _WordIds] = {}
-
-
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _tokenizers.setdefault((path, end_id), None) or _WordIds(path, end_id)
-        _tokenizers[path, end_id] = words
+        words = kept(("packing", path, end_id), lambda: _WordIds(path, end_id))
         for batch in batches:
-            for part in row_slices(batch, "text"):
+            for part in row_slices(batch, "text", SLICE):
                 ids, edges = words.of(part.column("text"))
                 ids = ids.astype("<u4", copy=False)
                 sizes = np.diff(edges)
