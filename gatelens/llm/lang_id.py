@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatelens.llm.common import row_slices, ship, text_bytes
+from gatelens.llm.common import forget, row_slices, ship, text_bytes
 
 BUCKETS = 1 << 16
 #: Expectation-maximisation of a text ends when none of its shares changes by more in a round.
@@ -56,9 +56,10 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in row_slices(batch, "text"):
+        for part in row_slices(batch, "text", SLICE):
             codes, starts, words = _trigrams(part.column("text"))
             letters = np.append(starts, len(codes))[words]  # where each text starts among its letters
             of_text = part.column("lang").to_pylist()
@@ -170,6 +171,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_column: st
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), _letters(F.col(text_column)).alias("lettered"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in row_slices(batch, "text", SLICE):
                 lettered = part.column("lettered").to_numpy(zero_copy_only=False).astype(bool)
@@ -188,6 +190,7 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], min_sh
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in row_slices(batch, f"c{at}", SLICE):
                 lettered = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
