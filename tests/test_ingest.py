@@ -604,3 +604,67 @@ def test_a_compressed_feed(spark, store, tmp_path):
     frame.write.option("maxRecordsPerFile", 20).text(str(tmp_path / "packed"), compression="gzip")
     store.ingest(str(tmp_path / "packed"))
     assert statuses(store) == {(DAY1, f"r{n}"): 200 for n in range(50)}
+
+
+def steps_of(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return {step for step in ("Exchange", "Join", "Sort", "Window", "InMemoryTableScan") if step in plan}
+
+
+def test_a_changed_part_is_shuffled_once(spark, store, feed, monkeypatch):
+    """Stored and new rows go to their part as they were read; which parts change is known by ids and hashes."""
+    store.ingest(feed("1.json", *[request(f"r{n}") for n in range(20)]))
+    seen, real = [], tables.write
+
+    def watched(docs, path, *rest):
+        seen.append((tables.STAGED in path, steps_of(docs)))
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+        real(docs, path, *rest)
+
+    monkeypatch.setattr(tables, "write", watched)
+    store.ingest(feed("2.json", *[request(f"r{n}", status=404) for n in range(0, 30, 3)]))
+    assert seen == [(True, set())]
+    assert statuses(store) == {(DAY1, f"r{n}"): 404 if n % 3 == 0 else 200 for n in [*range(20), 21, 24, 27]}
+    assert store.documents("request").count() == 23
+
+
+def test_ids_that_come_twice_are_told_apart_in_their_part(store, feed, monkeypatch):
+    seen, real = [], tables.write
+    monkeypatch.setattr(tables, "write", lambda docs, *rest: seen.append(steps_of(docs)) or real(docs, *rest))
+    records = [request(f"r{n}", status=200 + turn) for turn in range(3) for n in range(10)]
+    store.ingest(feed("1.json", *records, request("r11")))
+    assert seen == [set()]
+    want = {(DAY1, f"r{n}"): 202 for n in range(10)} | {(DAY1, "r11"): 200}
+    assert statuses(store) == want and store.documents("request").count() == 11
+    files = sorted(store.documents("request").inputFiles())
+    store.ingest(feed("1.json", *records, request("r11")))
+    assert statuses(store) == want and sorted(store.documents("request").inputFiles()) == files
+
+
+def test_a_change_that_the_hash_of_a_row_does_not_tell(spark, store, feed):
+    """Nulls don't count in it, so a value that moves to another column has the same."""
+    store.ingest(feed("1.json", request("r1", **{"request-content-length": 7})))
+    typed = bulk.typed_rows(bulk.parse_bulk(bulk.read_bulk(spark, feed("2.json", request("r1", **{"response-content-length": 7})))), "request")
+    stored, docs = tables.scan_parts(spark, store.root, "request"), typed.withColumn("bucket", F.lit(-1))
+    assert tables.with_other_hashes(stored, docs).count() == 0
+    assert tables.with_other_texts(stored, docs).count() == 1
+    store.ingest(str(feed("2.json", request("r1", **{"response-content-length": 7}))))
+    row = store.documents("request").first()
+    assert (row.request_content_length, row.response_content_length) == (None, 7)
+
+
+def test_actions_as_producers_write_them(spark):
+    lines = {
+        '{"index":{"_index":"a","_type":"request","_id":"r1"}}': ("a", "request", "r1"),
+        '{"index":{"_index":"a","_type":"request","_id":"r1"}} \r': ("a", "request", "r1"),
+        '{"index":{"_index":"","_type":"request","_id":""}}': ("", "request", ""),
+        '{"index":{"_id":"r1","_type":"request","_index":"a"}}': ("a", "request", "r1"),
+        r'{"index":{"_index":"a","_type":"request","_id":"r\"1"}}': ("a", "request", 'r"1'),
+        r'{"index":{"_index":"a","_type":"request","_id":"r\\"}}': ("a", "request", "r\\"),
+        '{"index":{"_index":"a","_type":"request","_id":"r1","x":"y"}}': ("a", "request", "r1"),
+    }
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = frame.select("line", bulk.action_of(F.col("line"), F.split("line", '"')).alias("action"))
+    assert {r.line: tuple(r.action) for r in found.collect()} == lines
+    stamps = spark.createDataFrame([("2017-05-22T18:10:11Z\n",), ("2017-05-22T18:10:11",), ("2017-05-22T18:10:11.5+0100",)], "t string")
+    assert [to_millis(r[0]) % 60_000 for r in stamps.select(parse_timestamp(F.col("t"))).collect()] == [11_000, 11_000, 11_500]
