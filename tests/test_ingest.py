@@ -628,6 +628,43 @@ def test_a_changed_part_is_shuffled_once(spark, store, feed, monkeypatch):
     assert store.documents("request").count() == 23
 
 
+def test_a_share_of_the_ids_tells_which_parts_change(store, feed, monkeypatch):
+    """All ids are compared only in parts where the share has shown no change."""
+    monkeypatch.setattr(tables, "LOOKED_AT_FIRST", 0, raising=False)
+    monkeypatch.setattr(tables, "FIRST_LOOK", 8, raising=False)
+    store.ingest(feed("1.json", *[request(f"r{n}", day) for n in range(400) for day in (DAY1, DAY2)]))
+    files, seen = files_by_part(store), []
+
+    def compared(stored, docs):
+        """Documents per day that are joined with stored rows."""
+        return {r.day: r["count"] for r in docs.join(stored.select("day").distinct(), "day").groupBy("day").count().collect()}
+
+    for name in ("with_ids_of", "with_other_hashes"):
+        real = getattr(tables, name)
+        watched = lambda stored, docs, real=real: seen.append(compared(stored, docs)) or real(stored, docs)
+        monkeypatch.setattr(tables, name, watched)
+    # All of the first day changes, on the second one document is new; on a third all are.
+    changed = [request(f"r{n}", status=404) for n in range(400)]
+    store.ingest(feed("2.json", *changed, *[request(f"r{n}", DAY2) for n in range(401)], request("r1", "2017.05.24")))
+    assert max(rows.get(DAY1, 0) for rows in seen) < 200  # shared out by hash: 50 of 400, about
+    assert [rows for rows in seen if rows.get(DAY2) == 401]
+    want = {(DAY1, f"r{n}"): 404 for n in range(400)} | {(DAY2, f"r{n}"): 200 for n in range(401)}
+    assert statuses(store) == want | {("2017.05.24", "r1"): 200} and store.documents("request").count() == 802
+    second = (f"day={DAY2}", "bucket=-1")
+    assert files[second] < files_by_part(store)[second] and not files[(f"day={DAY1}", "bucket=-1")] & files_by_part(store)[(f"day={DAY1}", "bucket=-1")]
+
+
+def test_one_change_that_the_share_misses(spark, store, feed, monkeypatch):
+    """A part with a single changed row is rewritten, whether its id is of the share or not."""
+    monkeypatch.setattr(tables, "LOOKED_AT_FIRST", 0, raising=False)
+    monkeypatch.setattr(tables, "FIRST_LOOK", 1_000_000, raising=False)
+    records = [request(f"r{n}") for n in range(40)]
+    store.ingest(feed("1.json", *records))
+    store.ingest(feed("2.json", *records[:39], request("r39", status=500), request("r40")))
+    assert statuses(store) == {(DAY1, f"r{n}"): 500 if n == 39 else 200 for n in range(41)}
+    assert store.documents("request").count() == 41
+
+
 def test_ids_that_come_twice_are_told_apart_in_their_part(store, feed, monkeypatch):
     seen, real = [], tables.write
     monkeypatch.setattr(tables, "write", lambda docs, *rest: seen.append(steps_of(docs)) or real(docs, *rest))
@@ -653,6 +690,15 @@ def test_a_change_that_the_hash_of_a_row_does_not_tell(spark, store, feed):
     assert (row.request_content_length, row.response_content_length) == (None, 7)
 
 
+def test_parsed_documents_are_copied_twice_at_most(spark, feed):
+    """Each projection after the one that parses copies the wide rows once more."""
+    parsed = bulk.parse_bulk(bulk.read_bulk(spark, feed("1.json", request("r1"))))
+    plan = parsed._jdf.queryExecution().executedPlan().toString().split("\n")
+    steps = [line.strip("+- :*()0123456789") for line in plan]
+    parsing = max(n for n, step in enumerate(steps) if step.startswith("Project") and "_unreadable,StringType" in step)
+    assert sum(step.startswith("Project") for step in steps[:parsing]) <= 2
+
+
 def test_actions_as_producers_write_them(spark):
     lines = {
         '{"index":{"_index":"a","_type":"request","_id":"r1"}}': ("a", "request", "r1"),
