@@ -4,6 +4,7 @@ import os
 import random
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -699,6 +700,23 @@ def test_parsed_documents_are_copied_twice_at_most(spark, feed):
     assert sum(step.startswith("Project") for step in steps[:parsing]) <= 2
 
 
+def test_a_staged_batch_is_written_plainly(store, feed, monkeypatch):
+    """Its files live for the length of the call; dictionaries and statistics would be made for nothing."""
+    found, real = [], bulk.batch_shapes
+
+    def watched(staged):
+        for file in staged.inputFiles():
+            group = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+            columns = [group.column(n) for n in range(group.num_columns)]
+            found.extend(c.has_dictionary_page or (c.statistics is not None and c.statistics.has_min_max) for c in columns)
+        return real(staged)
+
+    monkeypatch.setattr(bulk, "batch_shapes", watched)
+    store.ingest(feed("1.json", *[request(f"r{n % 7}", status=200 + n) for n in range(70)]))
+    assert found and not any(found)
+    assert statuses(store) == {(DAY1, f"r{n}"): 263 + n for n in range(7)}
+
+
 def test_actions_as_producers_write_them(spark):
     lines = {
         '{"index":{"_index":"a","_type":"request","_id":"r1"}}': ("a", "request", "r1"),
